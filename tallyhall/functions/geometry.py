@@ -37,13 +37,14 @@ def _equal_area(xy: np.ndarray) -> np.ndarray:
     return out
 
 
-def _shoelace(e: np.ndarray) -> float:
+def _areas(e: np.ndarray, row: np.ndarray, n: int, mode: str) -> np.ndarray:
+    """Area per row, each measured from a corner of its own."""
     if not len(e):
-        return 0.0
-    x0, y0 = e[0, 0], e[0, 1]
-    return float(
-        np.dot(e[:, 0] - x0, e[:, 3] - y0) - np.dot(e[:, 2] - x0, e[:, 1] - y0)
-    ) / 2
+        return np.zeros(n)
+    e = _equal_area(e) if mode == "geography" else e
+    first = np.zeros(n, "i8")
+    first[row[::-1]] = np.arange(len(row))[::-1]
+    return np.bincount(row, wkb.cross(e - e[first[row]][:, [0, 1, 0, 1]]), minlength=n) / 2
 
 
 def _per_row(values: pa.Array, fn: Callable, out_type: pa.DataType) -> pa.Array:
@@ -68,49 +69,37 @@ def parts(g: Column, mode: str = "geography") -> Column:
 
     @F.arrow_udf(PARTS)
     def kernel(values: pa.Array) -> pa.Array:
-        rows = []
-        for buf in values.to_pylist():
-            if buf is None:
-                rows.append(None)
-                continue
-            e = wkb.edges(wkb.read(buf))
-            if not len(e):
-                rows.append(None)
-                continue
-            area = _shoelace(_equal_area(e) if mode == "geography" else e)
-            rows.append(
-                {
-                    "edges": e.ravel(),
-                    "minx": e[:, ::2].min(),
-                    "miny": e[:, 1::2].min(),
-                    "maxx": e[:, ::2].max(),
-                    "maxy": e[:, 1::2].max(),
-                    "area": area,
-                }
-            )
-        fields = [(f.name, f.type) for f in _PARTS_TYPE]
-        return pa.array(rows, pa.struct(fields))
+        n = len(values)
+        e, row = wkb.ring_edges(values.to_pylist())
+        length = np.bincount(row, minlength=n)
+        start = np.cumsum(length) - length
+        some = length > 0
+        box = np.full((n, 4), np.nan)
+        if some.any():
+            low = np.minimum.reduceat(e, start[some], axis=0)
+            high = np.maximum.reduceat(e, start[some], axis=0)
+            box[some, :2] = np.minimum(low[:, :2], low[:, 2:])
+            box[some, 2:] = np.maximum(high[:, :2], high[:, 2:])
+        offsets = pa.array(np.append(start, len(e)) * 4, pa.int32())
+        edges = pa.ListArray.from_arrays(offsets, pa.array(e.ravel()))
+        columns = [edges, *[pa.array(c) for c in box.T], pa.array(_areas(e, row, n, mode))]
+        names = ["edges", "minx", "miny", "maxx", "maxy", "area"]
+        return pa.StructArray.from_arrays(columns, names, mask=pa.array(~some))
 
     return kernel(g)
 
 
-_PARTS_TYPE = pa.struct(
-    [("edges", pa.list_(pa.float64()))]
-    + [(n, pa.float64()) for n in ("minx", "miny", "maxx", "maxy", "area")]
-)
-
-
 def st_area(g: Column, mode: str = "geography") -> Column:
     """Area; zero for points and lines, null for null."""
     _check(mode)
 
     @F.arrow_udf("double")
     def kernel(values: pa.Array) -> pa.Array:
-        def area(buf: bytes) -> float:
-            e = wkb.edges(wkb.read(buf))
-            return _shoelace(_equal_area(e) if mode == "geography" and len(e) else e)
-
-        return _per_row(values, area, pa.float64())
+        e, row = wkb.ring_edges(values.to_pylist())
+        return pa.array(
+            _areas(e, row, len(values), mode),
+            mask=values.is_null().to_numpy(zero_copy_only=False),
+        )
 
     return kernel(g)
 
@@ -191,13 +180,11 @@ def overlap_areas(left: pa.Array, right: pa.Array, mode: str) -> np.ndarray:
         sign = np.sign(e[:, 2] - e[:, 0]) * np.sign(f[:, 2] - f[:, 0])
         area -= np.bincount(row, sign * mean * (hi - lo), minlength=n) / 2
 
-    def own_area(flat, start, length):
-        # Per row from a local origin, like the single-geometry area.
-        rows, index = wkb.ragged(start, length)
-        e = flat[index] - flat[np.minimum(start, max(len(flat) - 1, 0))][rows][:, [0, 1, 0, 1]]
-        return np.bincount(rows, e[:, 0] * e[:, 3] - e[:, 2] * e[:, 1], minlength=n) / 2
+    def own(flat, start, length):
+        row, at = wkb.ragged(start, length)
+        return _areas(flat[at], row, n, "planar")
 
-    smaller = np.minimum(own_area(*pa_), own_area(*pb_))
+    smaller = np.minimum(own(*pa_), own(*pb_))
     solid = full & (area > 1e-9 * smaller)
     out[solid] = np.minimum(area, smaller)[solid]
 
@@ -214,7 +201,11 @@ def overlap_areas(left: pa.Array, right: pa.Array, mode: str) -> np.ndarray:
 
 
 def edges_overlap(left_edges: Column, right_edges: Column, mode: str = "geography") -> Column:
-    """Intersection area of two edge lists: zero when they only touch, null when apart."""
+    """Intersection area of two edge lists: zero when they only touch, null when apart.
+
+    Declared nondeterministic so that a filter on the result is not pushed below
+    it, which would run the kernel once to filter and once more to report.
+    """
     _check(mode)
 
     @F.arrow_udf("double")
@@ -222,7 +213,7 @@ def edges_overlap(left_edges: Column, right_edges: Column, mode: str = "geograph
         area = overlap_areas(left, right, mode)
         return pa.array(area, pa.float64(), mask=np.isnan(area))
 
-    return kernel(left_edges, right_edges)
+    return kernel.asNondeterministic()(left_edges, right_edges)
 
 
 def st_intersection_area(a: Column, b: Column, mode: str = "geography") -> Column:

@@ -127,15 +127,6 @@ def orient(geom):
     return kind, [orient(p) for p in parts] if kind > POLYGON else parts
 
 
-def edges(geom) -> np.ndarray:
-    """Oriented ring edges as (n, 4) rows x1 y1 x2 y2, without zero-length ones."""
-    rings = [r for rings in polygons(orient(geom)) for r in rings]
-    if not rings:
-        return np.empty((0, 4))
-    out = np.concatenate([np.hstack([r[:-1], r[1:]]) for r in rings])
-    return out[(out[:, 0] != out[:, 2]) | (out[:, 1] != out[:, 3])]
-
-
 def ragged(starts: np.ndarray, lengths: np.ndarray):
     """Row number and element index for runs of ``lengths`` elements at ``starts``."""
     rows = np.repeat(np.arange(len(lengths)), lengths)
@@ -143,19 +134,61 @@ def ragged(starts: np.ndarray, lengths: np.ndarray):
     return rows, np.arange(len(rows)) - first[rows] + starts[rows]
 
 
+ONE_RING = struct.pack("<BII", 1, POLYGON, 1)
+
+
+def ring_edges(bufs: list[bytes]):
+    """Edges x1 y1 x2 y2 of all polygons in a batch, and the row each belongs to.
+
+    Exteriors run counter-clockwise and holes clockwise; zero-length edges are
+    left out. Polygons of one ring, the bulk of any footprint file, are taken
+    over as bytes; the rest of the work is done once for the whole batch.
+    """
+    chunks, lengths, rows, holes = [], [], [], []
+    for row, buf in enumerate(bufs):
+        if buf is None:
+            continue
+        if buf[:9] == ONE_RING:
+            rings = [buf[13:]]
+            groups = [rings]
+        else:
+            groups = [[r.tobytes() for r in rings] for rings in polygons(read(buf))]
+        for rings in groups:
+            for i, ring in enumerate(rings):
+                chunks.append(ring)
+                lengths.append(len(ring) // 16)
+                rows.append(row)
+                holes.append(i > 0)
+    xy = np.frombuffer(b"".join(chunks), "<f8").reshape(-1, 2)
+    length = np.array(lengths, "i8")
+    start = np.cumsum(length) - length
+    ring, at = ragged(start, np.maximum(length - 1, 0))
+    e = np.hstack([xy[at], xy[at + 1]]) if len(at) else np.empty((0, 4))
+    area = np.bincount(ring, cross(e - xy[start][ring][:, [0, 1, 0, 1]]), minlength=len(length))
+    turn = ((area < 0) != np.array(holes, bool))[ring]
+    e[turn] = e[turn][:, [2, 3, 0, 1]]
+    real = (e[:, 0] != e[:, 2]) | (e[:, 1] != e[:, 3])
+    return e[real], np.array(rows, "i8")[ring[real]]
+
+
+def cross(e: np.ndarray) -> np.ndarray:
+    """Twice the signed area between each edge and the origin."""
+    return e[:, 0] * e[:, 3] - e[:, 2] * e[:, 1]
+
+
 def sides(a: np.ndarray, b: np.ndarray):
     """Which side of segment a each end of b lies on, and the reverse (signs)."""
 
-    def cross(s, px, py):
+    def side(s, px, py):
         return np.sign(
             (s[:, 2] - s[:, 0]) * (py - s[:, 1]) - (s[:, 3] - s[:, 1]) * (px - s[:, 0])
         )
 
     return (
-        cross(a, b[:, 0], b[:, 1]),
-        cross(a, b[:, 2], b[:, 3]),
-        cross(b, a[:, 0], a[:, 1]),
-        cross(b, a[:, 2], a[:, 3]),
+        side(a, b[:, 0], b[:, 1]),
+        side(a, b[:, 2], b[:, 3]),
+        side(b, a[:, 0], a[:, 1]),
+        side(b, a[:, 2], a[:, 3]),
     )
 
 
@@ -183,6 +216,6 @@ def is_valid(geom) -> bool:
                 return False
             if signed_area(r) == 0:
                 return False
-        if crosses_itself(edges((POLYGON, rings))):
+        if crosses_itself(ring_edges([write((POLYGON, rings))])[0]):
             return False
     return True

@@ -13,11 +13,15 @@ INTEGERS = {"num_rows_reclustered", "bytes_inserted", "files_inserted"}
 def _sum(c: str) -> str:
     if c in INTEGERS:
         return f"cast(sum({c}) as bigint)"
+    return f"round(sum({c}), 7)"
+
+
+def _exact(c: str) -> str:
     return f"cast(sum(cast({c} as {q.EXACT})) as double)"
 
 
 def _avg(c: str) -> str:
-    return f"round(cast(sum(cast({c} as {q.EXACT})) as double) / count({c}), 6)"
+    return f"round(avg({c}), 6)"
 
 
 def _daily(model: str) -> str:
@@ -255,8 +259,8 @@ CENTRED = f"(select * replace (miny - 45 as miny, maxy - 45 as maxy) from {FP})"
 SPHERE_SQM = fv.EARTH_RADIUS_M**2
 
 
-def _tile_x(lon: str) -> str:
-    n = 1 << q.ZOOM
+def _tile_x(lon: str, zoom: int = q.ZOOM) -> str:
+    n = 1 << zoom
     p = f"(({lon}) / 360.0e0 + 0.5e0)"
     return (
         f"cast(case when {p} <= 0 then 0 when {p} >= 1 then {n - 1} "
@@ -264,8 +268,8 @@ def _tile_x(lon: str) -> str:
     )
 
 
-def _tile_y(lat: str) -> str:
-    n = 1 << q.ZOOM
+def _tile_y(lat: str, zoom: int = q.ZOOM) -> str:
+    n = 1 << zoom
     s = f"sin(radians({lat}))"
     p = f"(0.5e0 - 0.25e0 * ln((1 + {s}) / (1 - {s})) / pi())"
     return (
@@ -274,39 +278,42 @@ def _tile_y(lat: str) -> str:
     )
 
 
-def _key(x: str, y: str) -> str:
+def _key(x: str, y: str, zoom: int = q.ZOOM) -> str:
     return " || ".join(
         f"cast((({x}) >> {b}) % 2 + 2 * ((({y}) >> {b}) % 2) as varchar)"
-        for b in range(q.ZOOM - 1, -1, -1)
+        for b in range(zoom - 1, -1, -1)
     )
 
 
-def _lat(row: str) -> str:
-    return f"degrees(atan(sinh(pi() * (1 - 2 * ({row}) / {float(1 << q.ZOOM)}))))"
-
-
-TILES = f"""
+def _tiles(boxes: str, zoom: int = q.ZOOM) -> str:
+    return f"""
 with ranges as (
-  select footprint_id, minx, miny, maxx, maxy, {_tile_x("minx")} as x0,
-         {_tile_x("maxx - 1e-11")} as x1, {_tile_y("maxy")} as y0, {_tile_y("miny + 1e-11")} as y1
-  from {{boxes}}),
-columns_ as (select *, unnest(generate_series(x0, x1)) as x from ranges),
-cells as (select *, unnest(generate_series(y0, y1)) as y from columns_)
-select footprint_id, cast(x as int) as x, cast(y as int) as y, {_key("x", "y")} as quadkey from cells"""
+  select footprint_id, {_tile_x("minx", zoom)} as x0, {_tile_x("maxx - 1e-11", zoom)} as x1,
+         {_tile_y("maxy", zoom)} as y0, {_tile_y("miny + 1e-11", zoom)} as y1
+  from {boxes}),
+strips as (select *, unnest(generate_series(x0, x1)) as x from ranges),
+cells as (select *, unnest(generate_series(y0, y1)) as y from strips)
+select footprint_id, cast(x as int) as x, cast(y as int) as y, {_key("x", "y", zoom)} as quadkey
+from cells"""
+
 
 CENTRED_PLACES = (
     f"(select placefp as footprint_id, minx, miny - 45 as miny, maxx, maxy - 45 as maxy "
     f"from {PLACES})"
 )
-MASK_TILES = f"(select distinct quadkey from ({TILES.format(boxes=CENTRED_PLACES)}))"
-CORNER_KEY = _key(_tile_x("minx"), _tile_y("miny"))
-SEMI = f"""
-select footprint_id, quadkey from (select footprint_id, {CORNER_KEY} as quadkey from {CENTRED})
-where quadkey in (select quadkey from {MASK_TILES})"""
+
+
+def _in_place(zoom: int) -> str:
+    """Footprints whose lower-left corner lies in a tile that meets a place."""
+    key = _key(_tile_x("minx", zoom), _tile_y("miny", zoom), zoom)
+    return f"""(select * from (select *, {key} as quadkey from {CENTRED})
+        where quadkey in (select quadkey from ({_tiles(CENTRED_PLACES, zoom)})))"""
+
+
+SEMI = f"select footprint_id, quadkey from {_in_place(q.ZOOM)}"
 INGESTED = f"""
 select height, footprint_id, quadkey, round((maxx - minx) * (maxy - miny), 6) as area
-from (select *, {CORNER_KEY} as quadkey from {CENTRED})
-where quadkey in (select quadkey from {MASK_TILES}) and right(quadkey, 1) <> '3'"""
+from {_in_place(q.LANDED_ZOOM)} where right(quadkey, 1) <> '3'"""
 
 LAYERS = f"""
 select 'blocks' as layer, round((maxx - minx) * (maxy - miny), 6) as area, 'unknown' as failed
@@ -369,7 +376,7 @@ def sql() -> dict[str, str]:
         "group_by_all": "select organization_name, account_name, pipe_name, usage_date, "
         f"{_sum('credits_used')} as credits_used from {duck('pipe_usage_history')} group by all",
         "top_queries": f"select query_text, {MINUTES} as total_exec_time_mins, "
-        f"{_sum('credits_used_cloud_services')} as total_credits_used from {LOG} "
+        f"{_exact('credits_used_cloud_services')} as total_credits_used from {LOG} "
         f"where {SINCE} and user_name = 'SVC_USER' group by 1 "
         f"order by sum(cast(execution_time as {q.EXACT})) desc, 1 limit 20",
         "slowest_queries": "select query_text, user_name, start_time, execution_time, "
@@ -377,7 +384,7 @@ def sql() -> dict[str, str]:
         "and query_text like '%stg_%' order by execution_time desc, query_text limit 20",
         "minutes_by_query": f"select query_text, {MINUTES} as total_exec_time_mins from {LOG} "
         "where query_text like '%stg_%' group by 1",
-        "credits_by_warehouse": f"select warehouse_name, {_sum('credits_used')} as "
+        "credits_by_warehouse": f"select warehouse_name, {_exact('credits_used')} as "
         f"total_credits_used from {METERING} where {SINCE} group by 1",
         "merge_keyed": MERGE,
         "merge_null_keys": MERGE_TWICE,
@@ -428,7 +435,7 @@ def sql() -> dict[str, str]:
         f"* (sin(radians(maxy)) - sin(radians(miny))), 3) as area_sqkm from {CENTRED}",
         "geometry_types": "select footprint_id, 3 as kind, round((maxx - minx) * (maxy - miny), 6) "
         f"as area, round(radians(minx) * {fv.MERCATOR_RADIUS_M}, 3) as west_m from {CENTRED}",
-        "tiles": TILES.format(boxes=CENTRED),
+        "tiles": _tiles(CENTRED),
         "tile_semi_join": SEMI,
         "ingest_tiles": INGESTED,
         "ingest_features": "select release, footprint_id, round((maxx - minx) * (maxy - miny), 6) "
@@ -458,11 +465,11 @@ def sql() -> dict[str, str]:
         "replace_and_append": "select s_suppkey, s_nationkey from supplier "
         "where s_nationkey < 12 or s_nationkey >= 20",
         "stream_daily_usage": "select 'WH_' || event_type as warehouse_name, "
-        f"cast(ts as date) as usage_date, {_sum('value')} as credits_used from events "
+        f"cast(ts as date) as usage_date, {_exact('value')} as credits_used from events "
         "group by 1, 2 having cast(ts as date) + interval 1 day <= "
         "(select max(ts) - interval 1 day from events)",
         "stream_merge": "select 'WH_' || event_type as warehouse_name, "
-        f"cast(ts as date) as usage_date, {_sum('value')} as credits_used from events "
+        f"cast(ts as date) as usage_date, {_exact('value')} as credits_used from events "
         "group by 1, 2",
     }
     assert set(out) <= set(q.QUERIES), set(out) - set(q.QUERIES)

@@ -21,11 +21,12 @@ from tallyhall.streaming import usage_stream
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-EXACT = "decimal(20,8)"  # totals of money and bytes that do not depend on row order
+EXACT = "decimal(20,8)"  # for totals that decide an order: equal in any order of addition
 BATCH_FROM = dt.date(1998, 1, 1)
 RELOAD = (dt.date(1996, 1, 1), dt.date(1997, 1, 1))
 ASOF = "2024-01-15"
 ZOOM = 9
+LANDED_ZOOM = 5  # the proxy boxes span degrees, so their tiles are larger
 BLOCK_RIGHT = ["countyfp20", "tractce20", "blockce20", "geoid20"]
 
 
@@ -50,11 +51,13 @@ def plain(df: DataFrame) -> DataFrame:
 
 def staged(spark: SparkSession, sf: str, model: str) -> DataFrame:
     spec = usage.specs()[model]
-    return usage.usage_daily(exact(view(spark, sf, spec.source)), spec)
+    return usage.usage_daily(view(spark, sf, spec.source), spec)
 
 
-def rounded_means(df: DataFrame) -> DataFrame:
-    return df.withColumns({c: F.round(c, 6) for c in df.columns if c.startswith("average")})
+def tidy(df: DataFrame) -> DataFrame:
+    """Doubles without the last digits, which depend on the order of addition."""
+    digits = {c: 6 if c.startswith("average") else 7 for c, t in df.dtypes if t == "double"}
+    return df.withColumns({c: F.round(c, n) for c, n in digits.items()})
 
 
 def boxes(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -87,13 +90,13 @@ def _register_usage() -> None:
     for model in usage.specs():
 
         def stage(spark: SparkSession, sf: str, model: str = model) -> DataFrame:
-            return plain(rounded_means(staged(spark, sf, model)))
+            return tidy(staged(spark, sf, model))
 
         QUERIES[f"stg_{model}"] = stage
     for model in usage.COST_TYPES.values():
 
         def rollup(spark: SparkSession, sf: str, model: str = model) -> DataFrame:
-            return plain(usage.usage_rollup(staged(spark, sf, model)))
+            return tidy(usage.usage_rollup(staged(spark, sf, model)))
 
         QUERIES[f"int_{model}"] = rollup
 
@@ -107,14 +110,14 @@ def costs_by_date(spark: SparkSession, sf: str) -> DataFrame:
         kind: usage.usage_rollup(staged(spark, sf, model))
         for kind, model in usage.COST_TYPES.items()
     }
-    return plain(usage.costs_long(rollups))
+    return tidy(usage.costs_long(rollups))
 
 
 @query
 def group_by_all(spark: SparkSession, sf: str) -> DataFrame:
     """The pipe model as SQL text with inferred grouping keys."""
-    source = exact(view(spark, sf, "pipe_usage_history"))
-    return plain(
+    source = view(spark, sf, "pipe_usage_history")
+    return tidy(
         spark.sql(
             "select organization_name, account_name, pipe_name, usage_date,"
             " sum(credits_used) as credits_used from {source} group by all",
@@ -156,14 +159,14 @@ def _clustering(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, lis
     """Daily totals as the table, its recent days doubled as the batch."""
     daily = staged(spark, sf, "automatic_clustering_history")
     recent = daily.filter(F.col("usage_date") >= F.lit(BATCH_FROM))
-    batch = recent.withColumn("credits_used", (F.col("credits_used") * 2).cast("decimal(30,8)"))
+    batch = recent.withColumn("credits_used", F.col("credits_used") * 2)
     return daily, batch, usage.specs()["automatic_clustering_history"].keys
 
 
 @query
 def merge_keyed(spark: SparkSession, sf: str) -> DataFrame:
     target, batch, keys = _clustering(spark, sf)
-    return plain(tables.keyed_merge(target, batch, keys, null_safe=True))
+    return tidy(tables.keyed_merge(target, batch, keys, null_safe=True))
 
 
 @query
@@ -171,7 +174,7 @@ def merge_null_keys(spark: SparkSession, sf: str) -> DataFrame:
     """The same batch twice: rows with a null key are inserted each time."""
     target, batch, keys = _clustering(spark, sf)
     once = tables.keyed_merge(target, batch, keys)
-    return plain(tables.keyed_merge(once, batch, keys))
+    return tidy(tables.keyed_merge(once, batch, keys))
 
 
 def typed_purchases(spark: SparkSession, sf: str) -> DataFrame:
@@ -536,7 +539,7 @@ def _tile_files(spark: SparkSession, sf: str) -> tuple[str, str]:
     """Footprints landed as compressed GeoJSON lines by tile, with a link catalogue."""
     path = scratch_path(spark, "tiles")
     corners = [F.col(c) for c in spatial.BOX]
-    x, y = tl.tile_x(F.col("minx"), ZOOM), tl.tile_y(F.col("miny"), ZOOM)
+    x, y = tl.tile_x(F.col("minx"), LANDED_ZOOM), tl.tile_y(F.col("miny"), LANDED_ZOOM)
     landed = materialise(
         centred(spark, sf, "footprint_boxes").select(
             F.lit("Feature").alias("type"),
@@ -545,7 +548,7 @@ def _tile_files(spark: SparkSession, sf: str) -> tuple[str, str]:
                 geo.box_geojson(*corners),
                 "type string, coordinates array<array<array<double>>>",
             ).alias("geometry"),
-            tl.quadkey(x, y, ZOOM).alias("quadkey"),
+            tl.quadkey(x, y, LANDED_ZOOM).alias("quadkey"),
         ),
         "features",
     )
@@ -570,7 +573,7 @@ def ingest_tiles(spark: SparkSession, sf: str) -> DataFrame:
     links, features = _tile_files(spark, sf)
     masks = centred_shapes(spark, sf, "place_boxes")
     out = jobs.ingest_tiles(
-        spark, links, features, masks, "UnitedStates", "height double, footprint_id bigint", ZOOM
+        spark, links, features, masks, "UnitedStates", "height double, footprint_id bigint", LANDED_ZOOM
     )
     area = geo.st_area(F.col("geometry"), "planar")
     return out.withColumn("area", F.round(area, 6)).drop("geometry")
@@ -636,7 +639,7 @@ def export_counties(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def q_not_null(spark: SparkSession, sf: str) -> DataFrame:
     daily = staged(spark, sf, "automatic_clustering_history")
-    return plain(quality.not_null(daily, ["table_name", "credits_used"]))
+    return tidy(quality.not_null(daily, ["table_name", "credits_used"]))
 
 
 @query
@@ -700,7 +703,7 @@ def materialize_incremental(spark: SparkSession, sf: str) -> DataFrame:
     )
     tables.materialize(early, name, "staging", "incremental", spec.keys)
     full = tables.materialize(late, name, "staging", "incremental", spec.keys)
-    return plain(spark.table(full))
+    return tidy(spark.table(full))
 
 
 @query
