@@ -746,6 +746,6 @@ def stream_merge(spark: SparkSession, sf: str) -> DataFrame:
     stream = _event_stream(spark, sf).withColumn("usage_date", F.to_date("ts"))
     merged = usage_stream.merge_to_versions(
         stream, ["warehouse_name", "usage_date"],
-        {"credits_used": "sum(credits_used)"}, "merged-usage",
+        {"credits_used": "sum(credits_used)"}, scratch_path(spark, "merged-usage"),
     )
     return plain(merged)

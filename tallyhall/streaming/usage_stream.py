@@ -45,31 +45,29 @@ def run_to_parquet(stream: DataFrame, label: str) -> DataFrame:
 
 
 def merge_to_versions(
-    stream: DataFrame, keys: list[str], totals: dict[str, str], label: str
+    stream: DataFrame, keys: list[str], totals: dict[str, str], path: str
 ) -> DataFrame:
-    """Merge the totals of each micro-batch into a table keyed by ``keys``.
+    """Merge the totals of each micro-batch into the table under ``path``.
 
     Batch n reads the version of batch n-1 and writes version n whole, so a batch
-    that runs again after a failure replaces its own output and nothing else.
+    that runs again after a failure replaces its own output and nothing else. A
+    later start with the same path goes on where the last one ended.
     """
-    spark = stream.sparkSession
-    path = scratch_path(spark, label)
-    last = {}
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        own = batch.sparkSession
         new = batch.groupBy(*keys).agg(*[F.expr(e).alias(n) for n, e in totals.items()])
         if batch_id > 0:
-            old = own.read.schema(new.schema).parquet(f"{path}/v{batch_id - 1}")
+            old = batch.sparkSession.read.schema(new.schema).parquet(f"{path}/v={batch_id - 1}")
             new = keyed_merge(old, new, keys)
-        new.write.mode("overwrite").parquet(f"{path}/v{batch_id}")
-        last["schema"], last["id"] = new.schema, batch_id
+        new.write.mode("overwrite").parquet(f"{path}/v={batch_id}")
 
     query = (
         stream.writeStream.foreachBatch(merge)
-        .option("checkpointLocation", f"{path}/state")
+        .option("checkpointLocation", f"{path}/_state")
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    return spark.read.schema(last["schema"]).parquet(f"{path}/v{last['id']}")
+    versions = stream.sparkSession.read.parquet(path)
+    last = versions.agg(F.max("v")).first()[0]
+    return versions.filter(F.col("v") == last).drop("v")
