@@ -7,9 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key is hot when it holds more than 1/HOT_SHARE of the rows, so at most
-# HOT_SHARE keys can be hot and the list of them is always safe to broadcast.
-HOT_SHARE = 512
+MAX_HOT = 512  # keys dealt out at most; any further key holds under 1/512 of the rows
+MAX_SALTS = 1024
 HOW = ("inner", "left", "left_semi", "left_anti")
 
 
@@ -18,20 +17,21 @@ def any_null(keys: list[str]) -> Column:
 
 
 def hot_keys(df: DataFrame, keys: list[str], min_rows: int) -> DataFrame | None:
-    """Keys above both ``min_rows`` and 1/HOT_SHARE of all rows, with a salt count.
+    """The largest keys above ``min_rows`` rows with a salt count, None without any.
 
-    Counts are combined map-side before the one small shuffle. None when no key
-    is hot.
+    Counts are combined map-side; one job returns at most MAX_HOT rows, so the
+    list is always safe to broadcast.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total = df.count()
-    limit = max(min_rows, -(-total // HOT_SHARE))
-    if total <= limit:
-        return None
-    hot = counts.filter(F.col("_n") > limit).select(
-        *keys, F.ceil(F.col("_n") / F.lit(limit)).cast("int").alias("_salts")
+    salts = F.least(F.ceil(F.col("_n") / F.lit(min_rows)), F.lit(MAX_SALTS)).cast("int")
+    hot = (
+        df.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .filter(F.col("_n") > min_rows)
+        .orderBy(F.desc("_n"))
+        .limit(MAX_HOT)
+        .select(*keys, salts.alias("_salts"))
     )
-    found = hot.collect()  # at most HOT_SHARE rows
+    found = hot.collect()
     return df.sparkSession.createDataFrame(found, hot.schema) if found else None
 
 

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from tallyhall.functions import geometry as geo
 from tallyhall.functions import tiles as tl
 from tallyhall.functions.text import class_code
-from tallyhall.operators.skew import HOT_SHARE
 from tallyhall.session import materialise
 
 BOX = ["minx", "miny", "maxx", "maxy"]
@@ -24,6 +23,7 @@ CELL = ["grid", "cx", "cy"]
 RATIO_BITS = 3  # cell sides grow by 2**3 from one level to the next
 SMALLEST = 1e-9  # extents below this share the finest level
 PROBE_ROWS = 4_000_000  # rows looked at to find crowded cells
+HOT_SHARE = 512  # a cell with more than 1/512 of the rows is crowded
 MIN_HOT = 100_000  # cells below this many rows are never split
 
 
@@ -58,9 +58,9 @@ def _level(p: str) -> Column:
     return F.ceil((F.log2(extent) - 2) / RATIO_BITS).cast("int")
 
 
-def _levels(df: DataFrame, level: str) -> list[int]:
-    """Levels in use: at most one per eightfold size, a handful of numbers."""
-    return sorted(r[0] for r in df.select(level).distinct().collect() if r[0] is not None)
+def _levels(df: DataFrame, level: str) -> dict[int, int]:
+    """Rows per level in use: at most one level per eightfold size, a handful."""
+    return {r[0]: r["count"] for r in df.groupBy(level).count().collect()}
 
 
 def _cell(c: Column, level: Column) -> Column:
@@ -109,7 +109,7 @@ def candidate_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
     left, right = left.filter("l_level is not null"), right.filter("r_level is not null")
     l_levels, r_levels = _levels(left, "l_level"), _levels(right, "r_level")
 
-    def grids(own: str, odd: int, others: list[int], strict: bool) -> Column:
+    def grids(own: str, odd: int, others: dict[int, int], strict: bool) -> Column:
         level = F.col(own)
         above = [
             F.when((F.lit(m) > level) if strict else (F.lit(m) >= level), m * 2 + odd)
@@ -123,16 +123,17 @@ def candidate_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
     r_cells = _cover(right, "r_", grids("r_level", 1, l_levels, True))
 
     crowded = {}
-    for side, cells, rows, box in ((0, l_cells, left, "l_"), (1, r_cells, right, "r_")):
-        n = rows.count()
+    sides = (
+        (left, "l_", l_levels, grids("l_level", 0, r_levels, False)),
+        (right, "r_", r_levels, grids("r_level", 1, l_levels, True)),
+    )
+    for side, (rows, box, levels, own_grids) in enumerate(sides):
+        n = sum(levels.values())
         if n <= MIN_HOT:
             continue
         share = min(1.0, PROBE_ROWS / n)
-        base = rows.select(f"{box}level", *[box + c for c in BOX])
-        levels = grids("l_level", 0, r_levels, False) if side == 0 else grids(
-            "r_level", 1, l_levels, True
-        )
-        for cell, salts in _crowded(_cover(base.sample(share, seed=7), box, levels), share).items():
+        probe = rows.select(f"{box}level", *[box + c for c in BOX]).sample(share, seed=7)
+        for cell, salts in _crowded(_cover(probe, box, own_grids), share).items():
             crowded.setdefault(cell, [1, 1])[side] = salts
 
     keys = list(CELL)

@@ -185,6 +185,36 @@ def reload_month_partitions(
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def merge_partitions(
+    spark: SparkSession,
+    path: str,
+    batch: DataFrame,
+    keys: list[str],
+    part: str,
+    null_safe: bool = False,
+) -> None:
+    """``keyed_merge`` on files partitioned by ``part``, which is one of the keys.
+
+    Only partitions the batch reaches can hold a row to replace; the others are
+    neither read nor written. A batch that runs again replaces its own rows.
+    """
+    if part not in keys:
+        raise ValueError("the partition column must be one of the merge keys")
+    batch = materialise(batch, "batch")
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if fs_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(fs_path):
+        reached = [r[0] for r in batch.select(part).distinct().collect()]  # one per partition
+        stored = spark.read.schema(batch.schema).parquet(path)
+        values = [v for v in reached if v is not None]
+        hit = F.col(part).isin(values) if values else F.lit(False)
+        if None in reached:
+            hit = hit | F.col(part).isNull()
+        batch = materialise(keyed_merge(stored.filter(hit), batch, keys, null_safe), "merged")
+    batch.hint("rebalance", part).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).partitionBy(part).parquet(path)
+
+
 def export_partitions(
     df: DataFrame, path: str, key: str, geom: str | None = None, drop_collections: bool = True
 ) -> None:

@@ -365,6 +365,11 @@ LOG, METERING = duck("query_history"), duck("warehouse_metering_history")
 MINUTES = f"round(cast(sum(cast(execution_time as {q.EXACT})) as double) / 60000, 6)"
 SINCE = f"start_time >= date_trunc('month', date '{q.ASOF}')"
 PIPE = _daily("pipe_usage_history")
+PIPE_MERGED = (
+    f"with d as ({PIPE}) select * from d where usage_date < date '2024-01-08' union all "
+    "select * replace (files_inserted + 1 as files_inserted) from d "
+    "where usage_date >= date '2024-01-08'"
+)
 CLUSTERING = _daily("automatic_clustering_history")
 
 
@@ -458,10 +463,8 @@ def sql() -> dict[str, str]:
         "group by 1",
         "q_schemas": _schemas(False, True),
         "q_schemas_errors": _schemas(True, False),
-        "materialize_incremental": f"with d as ({PIPE}) select * from d "
-        "where usage_date < date '2024-01-08' union all "
-        "select * replace (files_inserted + 1 as files_inserted) from d "
-        "where usage_date >= date '2024-01-08'",
+        "materialize_incremental": PIPE_MERGED,
+        "merge_partitions": PIPE_MERGED,
         "replace_and_append": "select s_suppkey, s_nationkey from supplier "
         "where s_nationkey < 12 or s_nationkey >= 20",
         "stream_daily_usage": "select 'WH_' || event_type as warehouse_name, "

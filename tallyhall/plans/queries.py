@@ -177,6 +177,22 @@ def merge_null_keys(spark: SparkSession, sf: str) -> DataFrame:
     return tidy(tables.keyed_merge(once, batch, keys))
 
 
+@query
+def merge_partitions(spark: SparkSession, sf: str) -> DataFrame:
+    """Pipe totals stored by day; the batch brings later totals of the last days."""
+    daily = staged(spark, sf, "pipe_usage_history")
+    path = scratch_path(spark, "pipe-by-day")
+    keys = usage.specs()["pipe_usage_history"].keys
+    tables.merge_partitions(
+        spark, path, daily.filter("usage_date <= date'2024-01-10'"), keys, "usage_date"
+    )
+    late = daily.filter("usage_date >= date'2024-01-08'")
+    late = late.withColumn("files_inserted", F.col("files_inserted") + 1)
+    for _ in range(2):
+        tables.merge_partitions(spark, path, late, keys, "usage_date")
+    return tidy(spark.read.schema(daily.schema).parquet(path))
+
+
 def typed_purchases(spark: SparkSession, sf: str) -> DataFrame:
     return view(spark, sf, "purchases_landed").withColumns(
         {
@@ -744,8 +760,8 @@ def stream_daily_usage(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def stream_merge(spark: SparkSession, sf: str) -> DataFrame:
     stream = _event_stream(spark, sf).withColumn("usage_date", F.to_date("ts"))
-    merged = usage_stream.merge_to_versions(
-        stream, ["warehouse_name", "usage_date"],
-        {"credits_used": "sum(credits_used)"}, scratch_path(spark, "merged-usage"),
+    merged = usage_stream.merge_stream(
+        stream, ["warehouse_name", "usage_date"], {"credits_used": "sum(credits_used)"},
+        scratch_path(spark, "merged-usage"), "usage_date",
     )
     return plain(merged)

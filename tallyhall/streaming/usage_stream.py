@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhall.operators.tables import keyed_merge
+from tallyhall.operators.tables import merge_partitions
 from tallyhall.session import scratch_path
 
 
@@ -44,30 +44,25 @@ def run_to_parquet(stream: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(f"{path}/data")
 
 
-def merge_to_versions(
-    stream: DataFrame, keys: list[str], totals: dict[str, str], path: str
+def merge_stream(
+    stream: DataFrame, keys: list[str], totals: dict[str, str], path: str, part: str
 ) -> DataFrame:
-    """Merge the totals of each micro-batch into the table under ``path``.
+    """Merge the totals of each micro-batch into the files under ``path``.
 
-    Batch n reads the version of batch n-1 and writes version n whole, so a batch
-    that runs again after a failure replaces its own output and nothing else. A
-    later start with the same path goes on where the last one ended.
+    Totals replace those of the same key, so a batch that runs again after a
+    failure changes nothing, and only partitions it reaches are rewritten. A later
+    start with the same path goes on where the last one ended.
     """
 
-    def merge(batch: DataFrame, batch_id: int) -> None:
+    def merge(batch: DataFrame, _batch_id: int) -> None:
         new = batch.groupBy(*keys).agg(*[F.expr(e).alias(n) for n, e in totals.items()])
-        if batch_id > 0:
-            old = batch.sparkSession.read.schema(new.schema).parquet(f"{path}/v={batch_id - 1}")
-            new = keyed_merge(old, new, keys)
-        new.write.mode("overwrite").parquet(f"{path}/v={batch_id}")
+        merge_partitions(batch.sparkSession, f"{path}/data", new, keys, part, null_safe=True)
 
     query = (
         stream.writeStream.foreachBatch(merge)
-        .option("checkpointLocation", f"{path}/_state")
+        .option("checkpointLocation", f"{path}/state")
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    versions = stream.sparkSession.read.parquet(path)
-    last = versions.agg(F.max("v")).first()[0]
-    return versions.filter(F.col("v") == last).drop("v")
+    return stream.sparkSession.read.parquet(f"{path}/data")

@@ -86,7 +86,7 @@ def test_stream_merge_is_idempotent_and_replaces(spark, tmp_path):
     stream = reader.option("recursiveFileLookup", "true").parquet(landed)
     path = str(tmp_path / "merged")
     for _ in range(2):  # the second start finds nothing new
-        out = usage_stream.merge_to_versions(stream, ["k"], {"total": "sum(v)"}, path)
+        out = usage_stream.merge_stream(stream, ["k"], {"total": "sum(v)"}, path, "k")
         assert {r.k: r.total for r in out.collect()} == {"a": 10, "b": 5, "c": 7}
 
 

@@ -35,6 +35,21 @@ def test_merge(spark):
     assert bag(safe) == Counter([("a", "x", 1), ("b", "x", 20), ("c", "x", 30), (None, "x", 9)])
 
 
+def test_merge_partitions(spark):
+    schema, path = "d date, k string, v int", scratch_path(spark, "merge")
+    day = [D(2024, 1, i) for i in (1, 2, 3)]
+    first = [(day[0], "a", 1), (day[1], "a", 2), (day[1], None, 3), (None, "a", 4)]
+    second = [(day[1], "a", 20), (day[2], "b", 30), (None, "a", 40)]
+    for rows in (first, second):
+        batch = spark.createDataFrame(rows, schema)
+        tables.merge_partitions(spark, path, batch, ["k", "d"], "d")
+    want = [(day[0], "a", 1), (day[1], "a", 20), (day[1], None, 3), (day[2], "b", 30),
+            (None, "a", 4), (None, "a", 40)]
+    assert bag(spark.read.schema(schema).parquet(path).select("d", "k", "v")) == Counter(want)
+    with pytest.raises(ValueError):
+        tables.merge_partitions(spark, path, batch, ["k"], "d")
+
+
 SCHEMA = "d date, v int"
 STORED = [(D(2024, 1, 1), 1), (D(2024, 2, 1), 2), (D(2024, 2, 28), 3), (D(2024, 3, 1), 4), (None, 5)]
 
