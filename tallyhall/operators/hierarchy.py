@@ -124,7 +124,6 @@ def parse_hierarchy(
         "chunk",
         "line_no",
         F.coalesce("own_entity", "in_entity", orphan).alias("entity_line"),
-        F.col("own_entity").isNull().alias("overflow"),
         F.when((F.col("level") >= depth) | (F.col("level") < -1), too_deep)
         .otherwise(F.col("text"))
         .alias("text"),
@@ -136,25 +135,14 @@ def parse_hierarchy(
         return F.array_join(F.transform(parts, lambda p: p["text"]), " ").alias("text")
 
     # Same partitioning as the window above: no further shuffle of the lines.
-    named = pieces.groupBy("doc", "chunk", "entity_line", "overflow").agg(
+    named = pieces.groupBy("doc", "chunk", "entity_line").agg(
         joined_text("line_no"), F.max("codes").alias("codes")
     )
-    # At most one name per run continues from an earlier run.
-    tails = (
-        named.filter("overflow")
-        .groupBy("doc", "entity_line")
-        .agg(joined_text("chunk"))
-        .withColumnRenamed("text", "tail")
-    )
+    # A name may continue in later runs, with one piece in each.
     return (
-        named.filter(~F.col("overflow"))
-        .join(tails, ["doc", "entity_line"], "left")
-        .select(
-            "doc",
-            F.col("entity_line").alias("line_no"),
-            "codes.*",
-            F.concat_ws(" ", "text", "tail").alias("name"),
-        )
+        named.groupBy("doc", F.col("entity_line").alias("line_no"))
+        .agg(joined_text("chunk").alias("name"), F.max("codes").alias("codes"))
+        .select("doc", "line_no", "codes.*", "name")
     )
 
 
