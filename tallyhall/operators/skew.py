@@ -16,6 +16,14 @@ def any_null(keys: list[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
 
 
+def scatter_nulls(keys: list[str], cols: list[str]) -> Column:
+    """Join salt that spreads rows with a null key, zero for all others.
+
+    Such rows match nothing under ``=`` but would all be shuffled to one task.
+    """
+    return F.when(any_null(keys), F.pmod(F.xxhash64(*cols), F.lit(1 << 16))).otherwise(0).cast("int")
+
+
 def hot_keys(df: DataFrame, keys: list[str], min_rows: int) -> DataFrame | None:
     """The largest keys above ``min_rows`` rows with a salt count, None without any.
 
@@ -40,28 +48,26 @@ def skew_join(
 ) -> DataFrame:
     """Equi-join on ``keys`` with SQL ``=`` semantics (null matches nothing).
 
-    Left rows with a null key never enter the shuffle, where they would all meet
-    in one task. Left rows of a hot key are dealt over several salts by a hash of
-    the row, and the right rows of that key repeated once per salt, so every pair
-    meets exactly once. Identical copies share a salt; adaptive execution splits
-    those by map task.
+    Left rows of a hot key are dealt over several salts by a hash of the row, and
+    the right rows of that key repeated once per salt, so every pair meets exactly
+    once; left rows with a null key are scattered. Identical copies share a salt;
+    adaptive execution splits those by map task.
     """
     if how not in HOW:
         raise ValueError(f"unsupported join type {how!r}")
-    keyed = left.filter(~any_null(keys))
     right = right.filter(~any_null(keys))
-    hot = hot_keys(keyed.select(*keys), keys, min_rows)
+    hot = hot_keys(left.select(*keys).filter(~any_null(keys)), keys, min_rows)
+    scatter = scatter_nulls(keys, left.columns)
     if hot is None:
-        joined = keyed.join(right, keys, how)
+        dealt = left.withColumn("_salt", scatter)
+        repeated = right.withColumn("_salt", F.lit(0))
     else:
         salts = F.coalesce("_salts", F.lit(1))
-        dealt = keyed.join(F.broadcast(hot), keys, "left").select(
-            *left.columns, F.pmod(F.xxhash64(*left.columns), salts).cast("int").alias("_salt")
+        deal = F.pmod(F.xxhash64(*left.columns), salts).cast("int")
+        dealt = left.join(F.broadcast(hot), keys, "left").select(
+            *left.columns, F.when(any_null(keys), scatter).otherwise(deal).alias("_salt")
         )
         repeated = right.join(F.broadcast(hot), keys, "left").select(
             *right.columns, F.explode(F.sequence(F.lit(0), salts - 1)).alias("_salt")
         )
-        joined = dealt.join(repeated, [*keys, "_salt"], how).drop("_salt")
-    if how in ("left", "left_anti"):
-        joined = joined.unionByName(left.filter(any_null(keys)), allowMissingColumns=True)
-    return joined
+    return dealt.join(repeated, [*keys, "_salt"], how).drop("_salt")

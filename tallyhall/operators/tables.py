@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhall.functions.geometry import geom_type
-from tallyhall.operators.skew import any_null
+from tallyhall.operators.skew import scatter_nulls
 from tallyhall.session import materialise, scratch_path
 
 
@@ -25,16 +25,18 @@ def keyed_merge(
     By default null keys match nothing, as under SQL ``=``, so such rows pile up
     over repeated runs; ``null_safe`` treats null as an ordinary value. Only the
     keys of ``batch`` are shuffled for the join, and target rows with a null key
-    bypass it.
+    are scattered instead of meeting in one task.
     """
-    batch_keys = batch.select(*[F.col(k).alias(f"_new_{k}") for k in keys])
+    new = batch.select(*[F.col(k).alias(f"_new_{k}") for k in keys])
     if null_safe:
         match = [F.col(k).eqNullSafe(F.col(f"_new_{k}")) for k in keys]
-        kept = target.join(batch_keys, match, "left_anti")
+        kept = target.join(new, match, "left_anti")
     else:
         match = [F.col(k) == F.col(f"_new_{k}") for k in keys]
-        kept = target.filter(~any_null(keys)).join(batch_keys, match, "left_anti")
-        kept = kept.unionByName(target.filter(any_null(keys)))
+        match.append(F.col("_salt") == F.col("_new_salt"))
+        salted = target.withColumn("_salt", scatter_nulls(keys, target.columns))
+        kept = salted.join(new.withColumn("_new_salt", F.lit(0)), match, "left_anti")
+        kept = kept.drop("_salt")
     return kept.unionByName(batch)
 
 

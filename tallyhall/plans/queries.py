@@ -156,8 +156,8 @@ def credits_by_warehouse(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _clustering(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Daily totals as the table, its recent days doubled as the batch."""
-    daily = staged(spark, sf, "automatic_clustering_history")
+    """Daily totals as the stored table, its recent days doubled as the batch."""
+    daily = materialise(staged(spark, sf, "automatic_clustering_history"), "clustering")
     recent = daily.filter(F.col("usage_date") >= F.lit(BATCH_FROM))
     batch = recent.withColumn("credits_used", F.col("credits_used") * 2)
     return daily, batch, usage.specs()["automatic_clustering_history"].keys
