@@ -31,7 +31,7 @@ def parse_us_date(c: Column) -> Column:
 
 def parse_money(c: Column) -> Column:
     """``$1,234.56`` as a double; other text is an error."""
-    return F.regexp_replace(c, "[$,]", "").cast("double")
+    return F.translate(c, "$,", "").cast("double")
 
 
 def lookback_start(end: Column) -> Column:

@@ -60,17 +60,19 @@ def tiles_for_bounds(
     south = F.greatest(F.lit(-fv.MERCATOR_LAT_LIMIT), F.col(miny))
     north = F.least(F.lit(fv.MERCATOR_LAT_LIMIT), F.col(maxy))
     w, e = F.greatest(F.lit(-180.0), F.col("_span.w")), F.least(F.lit(180.0), F.col("_span.e"))
-    first_x, last_x = tile_x(w, zoom), tile_x(e - fv.LNGLAT_EPSILON, zoom)
-    first_y, last_y = tile_y(north, zoom), tile_y(south + fv.LNGLAT_EPSILON, zoom)
-
-    def run(first: Column, last: Column) -> Column:
-        # An empty range stays empty: sequence would count down.
-        return F.explode(F.when(first <= last, F.sequence(first, last)))
-
+    ranges = {
+        "_x0": tile_x(w, zoom),
+        "_x1": tile_x(e - fv.LNGLAT_EPSILON, zoom),
+        "_y0": tile_y(north, zoom),
+        "_y1": tile_y(south + fv.LNGLAT_EPSILON, zoom),
+    }
+    # An empty range stays empty: sequence would count down.
     return (
         df.withColumn("_span", F.explode(spans))
-        .withColumn("x", run(first_x, last_x))
-        .withColumn("y", run(first_y, last_y))
-        .drop("_span")
+        .withColumns(ranges)
+        .filter("_x0 <= _x1 and _y0 <= _y1")
+        .withColumn("x", F.explode(F.sequence("_x0", "_x1")))
+        .withColumn("y", F.explode(F.sequence("_y0", "_y1")))
+        .drop("_span", *ranges)
         .withColumn("quadkey", quadkey(F.col("x"), F.col("y"), zoom))
     )

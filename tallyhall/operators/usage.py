@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -125,6 +125,21 @@ def usage_rollup(daily: DataFrame) -> DataFrame:
     return daily.groupBy(*ACCOUNT_DAY).agg(F.sum("credits_used").alias("credits_used"))
 
 
+def account_credits(df: DataFrame, spec: UsageSpec) -> DataFrame:
+    """``usage_rollup(usage_daily(df, spec))`` straight from the source rows.
+
+    Sums of sums are sums, so the finer daily rows need not be shuffled when only
+    the rollup is wanted: one exchange of account-days instead of two.
+    """
+    source = {new: old for old, new in spec.renames.items()}.get("credits_used", "credits_used")
+    if source not in spec.sums:
+        raise ValueError(f"{spec.source} has no summed credits")
+    coarse = replace(
+        spec, keys=ACCOUNT_DAY, sums=[source], avgs=[], renames={source: "credits_used"}
+    )
+    return usage_daily(df, coarse)
+
+
 def costs_long(rollups: dict[str, DataFrame]) -> DataFrame:
     """One row per account, day and kind of usage; organisations are not kept."""
     parts = [

@@ -15,7 +15,7 @@ from tallyhall.operators import clean, entities, hierarchy, quality, spatial, ta
 from tallyhall.plans import jobs
 from tallyhall.session import materialise, scratch_path
 from tallyhall.sources import readers
-from tallyhall.sources.proxies import table, view
+from tallyhall.sources.proxies import SCHEMAS, table, view
 from tallyhall.streaming import usage_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -106,8 +106,9 @@ _register_usage()
 
 @query
 def costs_by_date(spark: SparkSession, sf: str) -> DataFrame:
+    specs = usage.specs()
     rollups = {
-        kind: usage.usage_rollup(staged(spark, sf, model))
+        kind: usage.account_credits(view(spark, sf, specs[model].source), specs[model])
         for kind, model in usage.COST_TYPES.items()
     }
     return tidy(usage.costs_long(rollups))
@@ -239,7 +240,9 @@ def date_range(spark: SparkSession, sf: str) -> DataFrame:
     """Orders of one lookback year, both ends included."""
     end = F.to_date(F.lit("1996-02-29"))
     day = F.to_date("o_orderdate")
-    orders = readers.table_scan(spark, sf, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
+    orders = readers.table_scan(
+        spark, sf, "orders", SCHEMAS["orders"], ["o_orderkey", "o_custkey", "o_orderdate"]
+    )
     return orders.filter(day.between(tx.lookback_start(end), end)).withColumn("o_orderdate", day)
 
 
@@ -735,13 +738,8 @@ def replace_and_append(spark: SparkSession, sf: str) -> DataFrame:
 
 # Streams -----------------------------------------------------------------------------
 
-EVENTS = (
-    "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
-)
-
-
 def _event_stream(spark: SparkSession, sf: str) -> DataFrame:
-    events = usage_stream.event_stream(spark, sf, "events*.parquet", EVENTS)
+    events = usage_stream.event_stream(spark, sf, "events*.parquet", SCHEMAS["events"])
     return events.select(
         F.col("ts").cast("timestamp").alias("ts"),
         F.concat(F.lit("WH_"), "event_type").alias("warehouse_name"),

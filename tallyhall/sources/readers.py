@@ -10,9 +10,11 @@ from tallyhall.functions.geometry import to_wkb
 CATALOGUE = "Location string, QuadKey string, Url string, Size string, UploadDate string"
 
 
-def table_scan(spark: SparkSession, folder: str, table: str, cols: list[str]) -> DataFrame:
+def table_scan(
+    spark: SparkSession, folder: str, table: str, schema: str, cols: list[str]
+) -> DataFrame:
     """Named columns of one table; only these are read from the files."""
-    return spark.read.parquet(f"{folder}/{table}.parquet").select(*cols)
+    return spark.read.schema(schema).parquet(f"{folder}/{table}.parquet").select(*cols)
 
 
 def csv_catalogue(spark: SparkSession, path: str) -> DataFrame:
