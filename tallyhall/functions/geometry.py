@@ -17,9 +17,10 @@ from tallyhall.functions import fixed_values as fv
 from tallyhall.functions import wkb
 
 MODES = ("planar", "geography")
-PARTS = (
-    "struct<edges:array<double>,minx:double,miny:double,maxx:double,maxy:double,area:double>"
-)
+BOX = "minx:double,miny:double,maxx:double,maxy:double"
+PARTS = f"struct<edges:array<double>,{BOX},area:double>"
+PIECES = f"struct<area:double,edges:array<array<double>>,boxes:array<struct<{BOX}>>>"
+PIECE_EDGES = 256  # polygons of more edges are cut into upright strips
 MAX_EDGE_PAIRS = 2_000_000  # per numpy step; bounds memory, not the input
 
 
@@ -63,6 +64,23 @@ def geom_type(g: Column) -> Column:
     return (code.bitwiseAND(F.lit(0x0FFFFFFF)) % 1000).cast("int")
 
 
+def _boxes(e: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Bounding box of each run of edges, nan for empty runs."""
+    out = np.full((len(length), 4), np.nan)
+    some = length > 0
+    if some.any():
+        low = np.minimum.reduceat(e, start[some], axis=0)
+        high = np.maximum.reduceat(e, start[some], axis=0)
+        out[some, :2] = np.minimum(low[:, :2], low[:, 2:])
+        out[some, 2:] = np.maximum(high[:, :2], high[:, 2:])
+    return out
+
+
+def _lists(length: np.ndarray, values: pa.Array, width: int = 1) -> pa.ListArray:
+    ends = np.append(0, np.cumsum(length)) * width
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
+
+
 def parts(g: Column, mode: str = "geography") -> Column:
     """Ring edges in source coordinates, bounding box and area, parsed once."""
     _check(mode)
@@ -72,19 +90,80 @@ def parts(g: Column, mode: str = "geography") -> Column:
         n = len(values)
         e, row = wkb.ring_edges(values.to_pylist())
         length = np.bincount(row, minlength=n)
-        start = np.cumsum(length) - length
-        some = length > 0
-        box = np.full((n, 4), np.nan)
-        if some.any():
-            low = np.minimum.reduceat(e, start[some], axis=0)
-            high = np.maximum.reduceat(e, start[some], axis=0)
-            box[some, :2] = np.minimum(low[:, :2], low[:, 2:])
-            box[some, 2:] = np.maximum(high[:, :2], high[:, 2:])
-        offsets = pa.array(np.append(start, len(e)) * 4, pa.int32())
-        edges = pa.ListArray.from_arrays(offsets, pa.array(e.ravel()))
+        box = _boxes(e, np.cumsum(length) - length, length)
+        edges = _lists(length, pa.array(e.ravel()), 4)
         columns = [edges, *[pa.array(c) for c in box.T], pa.array(_areas(e, row, n, mode))]
         names = ["edges", "minx", "miny", "maxx", "maxy", "area"]
-        return pa.StructArray.from_arrays(columns, names, mask=pa.array(~some))
+        return pa.StructArray.from_arrays(columns, names, mask=pa.array(length == 0))
+
+    return kernel(g)
+
+
+def _cuts(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Strip borders that leave about PIECE_EDGES edges to a strip.
+
+    An edge belongs to every strip it reaches. Fewer strips are made where long
+    edges would be repeated more than four times on average.
+    """
+    count = -(-len(low) // PIECE_EDGES)
+    middle = (low + high) / 2
+    while True:
+        inner = np.unique(np.quantile(middle, np.arange(1, count) / count))
+        borders = np.concatenate([[low.min()], inner, [high.max()]])
+        held = np.searchsorted(np.sort(low), borders[1:], "right") - np.searchsorted(
+            np.sort(high), borders[:-1], "left"
+        )
+        if count == 1 or held.sum() <= 4 * len(low):
+            return borders
+        count //= 2
+
+
+def pieces(g: Column, mode: str = "geography") -> Column:
+    """Area, and the polygon as upright strips: the edges and the box of each.
+
+    A polygon of many edges is cut so that whoever meets it needs only the edges
+    nearby. Edges keep their full length; a strip is the x range of its box, and
+    overlap areas of strips add up to that of the polygon. Null without polygons.
+    """
+    _check(mode)
+
+    @F.arrow_udf(PIECES)
+    def kernel(values: pa.Array) -> pa.Array:
+        n = len(values)
+        e, row = wkb.ring_edges(values.to_pylist())
+        length = np.bincount(row, minlength=n)
+        start = np.cumsum(length) - length
+        small = np.flatnonzero((length > 0) & (length <= PIECE_EDGES))
+        _, index = wkb.ragged(start[small], length[small])
+        owner, held = [small], [length[small]]
+        indexes, spans = [index], [_boxes(e, start, length)[small][:, [0, 2]]]
+        for big in np.flatnonzero(length > PIECE_EDGES):
+            own = np.arange(start[big], start[big] + length[big])
+            low, high = np.minimum(e[own, 0], e[own, 2]), np.maximum(e[own, 0], e[own, 2])
+            borders = _cuts(low, high)
+            for x1, x2 in zip(borders, borders[1:], strict=False):
+                inside = own[(high >= x1) & (low <= x2)]
+                owner.append([big])
+                held.append([len(inside)])
+                indexes.append(inside)
+                spans.append([[x1, x2]])
+        owner, held = np.concatenate(owner).astype("i8"), np.concatenate(held).astype("i8")
+        order = np.argsort(owner, kind="stable")
+        _, at = wkb.ragged((np.cumsum(held) - held)[order], held[order])
+        flat, held = e[np.concatenate(indexes).astype("i8")[at]], held[order]
+        box = _boxes(flat, np.cumsum(held) - held, held)
+        box[:, [0, 2]] = np.concatenate(spans)[order]
+        each = np.bincount(owner, minlength=n)
+        names = ["minx", "miny", "maxx", "maxy"]
+        boxes = pa.StructArray.from_arrays([pa.array(c) for c in box.T], names)
+        columns = [
+            pa.array(_areas(e, row, n, mode)),
+            _lists(each, _lists(held, pa.array(flat.ravel()), 4)),
+            _lists(each, boxes),
+        ]
+        return pa.StructArray.from_arrays(
+            columns, ["area", "edges", "boxes"], mask=pa.array(each == 0)
+        )
 
     return kernel(g)
 
@@ -104,67 +183,55 @@ def st_area(g: Column, mode: str = "geography") -> Column:
     return kernel(g)
 
 
-def _ends(lists: pa.Array):
-    """Flat (n, 4) edges of a list column with the start and length of each row."""
+def _near(lists: pa.Array, lo: np.ndarray, hi: np.ndarray):
+    """Flat (n, 4) edges of a list column and, per row, those that reach [lo, hi]."""
     length = np.nan_to_num(lists.value_lengths().to_numpy(zero_copy_only=False)).astype("i8") // 4
-    flat = lists.flatten().to_numpy(zero_copy_only=False).reshape(-1, 4)
-    return flat, np.cumsum(length) - length, length
-
+    e = lists.flatten().to_numpy(zero_copy_only=False).reshape(-1, 4)
+    row = np.repeat(np.arange(len(length)), length)
+    near = np.maximum(e[:, 0], e[:, 2]) >= lo[row]
+    near &= np.minimum(e[:, 0], e[:, 2]) <= hi[row]
+    return e[near], np.bincount(row[near], minlength=len(length))
 
-def _edge_pairs(a, b, boxes: np.ndarray, b_wanted: np.ndarray):
-    """Pairs of (left edge, right edge) of one row, right edges near the left box only.
 
-    Yields (row, left edge index, right edge index) in steps of bounded size.
-    """
-    (_, a_start, a_len), (b_flat, b_start, b_len) = a, b
-    row, b_index = wkb.ragged(b_start, np.where(b_wanted, b_len, 0))
-    e, box = b_flat[b_index], boxes[row]
-    near = (np.maximum(e[:, 0], e[:, 2]) >= box[:, 0]) & (
-        np.minimum(e[:, 0], e[:, 2]) <= box[:, 2]
-    )
-    row, b_index = row[near], b_index[near]
+def _edge_pairs(a_len: np.ndarray, b_len: np.ndarray):
+    """(row, left edge, right edge) for every pair within a row, in bounded steps."""
+    a_start = np.cumsum(a_len) - a_len
+    row = np.repeat(np.arange(len(b_len)), b_len)
     steps = np.cumsum(a_len[row]) // MAX_EDGE_PAIRS
     for part in np.split(np.arange(len(row)), np.flatnonzero(np.diff(steps)) + 1):
         if len(part):
             at, a_index = wkb.ragged(a_start[row[part]], a_len[row[part]])
-            yield row[part][at], a_index, b_index[part][at]
+            yield row[part][at], a_index, part[at]
 
 
-def overlap_areas(left: pa.Array, right: pa.Array, mode: str) -> np.ndarray:
-    """Intersection area of each row's two polygons; nan where they do not meet.
+def overlap_areas(
+    left: pa.Array, right: pa.Array, lo: np.ndarray, hi: np.ndarray, smaller: np.ndarray, mode: str
+) -> np.ndarray:
+    """Area each row's two polygons share between x = lo and x = hi, nan without contact.
 
     For rings oriented alike, the area of the intersection is minus half the sum,
     over all pairs of edges, of (direction of a) * (direction of b) * the integral
     of |a(x) - b(x)| over the x range both edges span. Holes and concave rings
-    need no special care, and there is nothing to clip.
+    need no special care, and there is nothing to clip. Areas below 1e-9 of
+    ``smaller`` are rounding: the row then counts as touching if edges meet.
     """
-    a, b = _ends(left), _ends(right)
     n = len(left)
-    out = np.full(n, np.nan)
-    full = (a[2] > 0) & (b[2] > 0)
-    if not full.any():
-        return out
-
-    def boxes(flat, start, length):
-        box = np.full((n, 4), np.nan)
-        has = length > 0
-        lo = np.minimum.reduceat(flat, start[has], axis=0)
-        hi = np.maximum.reduceat(flat, start[has], axis=0)
-        box[has, :2] = np.minimum(lo[:, :2], lo[:, 2:])
-        box[has, 2:] = np.maximum(hi[:, :2], hi[:, 2:])
-        return box
-
-    project = _equal_area if mode == "geography" else lambda flat: flat
-    pa_, pb_ = (project(a[0]), *a[1:]), (project(b[0]), *b[1:])
-    box = boxes(*pa_)
+    a, a_len = _near(left, lo, hi)
+    b, b_len = _near(right, lo, hi)
+    project = _equal_area if mode == "geography" else lambda xy: xy
+    pa_, pb_ = project(a), project(b)
+    first = a[np.minimum(np.cumsum(a_len) - a_len, max(len(a) - 1, 0))] if len(a) else np.zeros((n, 4))
+    origin = project(np.column_stack([lo, first[:, 1], hi, first[:, 1]]))
     area = np.zeros(n)
-    for row, i, j in _edge_pairs(pa_, pb_, box, full):
-        shift = box[row][:, [0, 1, 0, 1]]  # near origin keeps the digits
-        e, f = pa_[0][i] - shift, pb_[0][j] - shift
-        lo = np.maximum(np.minimum(e[:, 0], e[:, 2]), np.minimum(f[:, 0], f[:, 2]))
-        hi = np.minimum(np.maximum(e[:, 0], e[:, 2]), np.maximum(f[:, 0], f[:, 2]))
-        ok = hi > lo
-        row, e, f, lo, hi = row[ok], e[ok], f[ok], lo[ok], hi[ok]
+    for row, i, j in _edge_pairs(a_len, b_len):
+        base = origin[row]
+        shift = base[:, [0, 1, 0, 1]]  # a near origin keeps the digits
+        e, f = pa_[i] - shift, pb_[j] - shift
+        x1 = np.maximum(np.minimum(e[:, 0], e[:, 2]), np.minimum(f[:, 0], f[:, 2]))
+        x2 = np.minimum(np.maximum(e[:, 0], e[:, 2]), np.maximum(f[:, 0], f[:, 2]))
+        x1, x2 = np.maximum(x1, 0), np.minimum(x2, base[:, 2] - base[:, 0])
+        ok = x2 > x1
+        row, e, f, x1, x2 = row[ok], e[ok], f[ok], x1[ok], x2[ok]
 
         def gap(x, e=e, f=f):
             def at(s):
@@ -172,25 +239,21 @@ def overlap_areas(left: pa.Array, right: pa.Array, mode: str) -> np.ndarray:
 
             return at(e) - at(f)
 
-        d0, d1 = gap(lo), gap(hi)
-        size = np.abs(d0) + np.abs(d1)
+        d1, d2 = gap(x1), gap(x2)
+        size = np.abs(d1) + np.abs(d2)
         with np.errstate(invalid="ignore", divide="ignore"):
-            mean = np.where(d0 * d1 >= 0, size / 2, (d0 * d0 + d1 * d1) / (2 * size))
+            mean = np.where(d1 * d2 >= 0, size / 2, (d1 * d1 + d2 * d2) / (2 * size))
         mean = np.where(size == 0, 0.0, mean)
         sign = np.sign(e[:, 2] - e[:, 0]) * np.sign(f[:, 2] - f[:, 0])
-        area -= np.bincount(row, sign * mean * (hi - lo), minlength=n) / 2
-
-    def own(flat, start, length):
-        row, at = wkb.ragged(start, length)
-        return _areas(flat[at], row, n, "planar")
-
-    smaller = np.minimum(own(*pa_), own(*pb_))
-    solid = full & (area > 1e-9 * smaller)
-    out[solid] = np.minimum(area, smaller)[solid]
+        area -= np.bincount(row, sign * mean * (x2 - x1), minlength=n) / 2
+    solid = area > 1e-9 * smaller
+    out = np.where(solid, np.minimum(area, smaller), np.nan)
 
     # The rest meet, if at all, along their boundaries only.
-    for row, i, j in _edge_pairs(a, b, boxes(*a), full & ~solid):
-        e, f = a[0][i], b[0][j]
+    rest = ~solid[np.repeat(np.arange(n), a_len)], ~solid[np.repeat(np.arange(n), b_len)]
+    a, b = a[rest[0]], b[rest[1]]
+    for row, i, j in _edge_pairs(np.where(solid, 0, a_len), np.where(solid, 0, b_len)):
+        e, f = a[i], b[j]
         o1, o2, o3, o4 = wkb.sides(e, f)
         meet = (o1 * o2 <= 0) & (o3 * o4 <= 0)
         for x in (0, 1):
@@ -200,8 +263,11 @@ def overlap_areas(left: pa.Array, right: pa.Array, mode: str) -> np.ndarray:
     return out
 
 
-def edges_overlap(left_edges: Column, right_edges: Column, mode: str = "geography") -> Column:
-    """Intersection area of two edge lists: zero when they only touch, null when apart.
+def edges_overlap(
+    left: Column, right: Column, lo: Column, hi: Column, smaller: Column, mode: str = "geography"
+) -> Column:
+    """Area two edge lists share for x in [lo, hi]: zero when they only touch there,
+    null when apart. ``smaller`` is the area of the smaller polygon.
 
     Declared nondeterministic so that a filter on the result is not pushed below
     it, which would run the kernel once to filter and once more to report.
@@ -209,23 +275,30 @@ def edges_overlap(left_edges: Column, right_edges: Column, mode: str = "geograph
     _check(mode)
 
     @F.arrow_udf("double")
-    def kernel(left: pa.Array, right: pa.Array) -> pa.Array:
-        area = overlap_areas(left, right, mode)
+    def kernel(a: pa.Array, b: pa.Array, x1: pa.Array, x2: pa.Array, s: pa.Array) -> pa.Array:
+        lo, hi, small = (c.to_numpy(zero_copy_only=False) for c in (x1, x2, s))
+        area = overlap_areas(a, b, lo, hi, small, mode)
         return pa.array(area, pa.float64(), mask=np.isnan(area))
 
-    return kernel.asNondeterministic()(left_edges, right_edges)
+    return kernel.asNondeterministic()(left, right, lo, hi, smaller)
+
+
+def _overlap(a: Column, b: Column, mode: str) -> Column:
+    p, q = parts(a, mode), parts(b, mode)
+    lo, hi = F.greatest(p["minx"], q["minx"]), F.least(p["maxx"], q["maxx"])
+    return edges_overlap(p["edges"], q["edges"], lo, hi, F.least(p["area"], q["area"]), mode)
 
 
 def st_intersection_area(a: Column, b: Column, mode: str = "geography") -> Column:
     """Area of the intersection; zero when apart, null when either is null."""
-    area = edges_overlap(parts(a, mode)["edges"], parts(b, mode)["edges"], mode)
-    return F.when(a.isNotNull() & b.isNotNull(), F.coalesce(area, F.lit(0.0)))
+    area = F.coalesce(_overlap(a, b, mode), F.lit(0.0))
+    return F.when(a.isNotNull() & b.isNotNull(), area)
 
 
 def st_intersects(a: Column, b: Column) -> Column:
     """Whether two polygons share a point; touching counts. Null when either is null."""
-    area = edges_overlap(parts(a, "planar")["edges"], parts(b, "planar")["edges"], "planar")
-    return F.when(a.isNotNull() & b.isNotNull(), area.isNotNull())
+    meets = _overlap(a, b, "planar").isNotNull()
+    return F.when(a.isNotNull() & b.isNotNull(), meets)
 
 
 def _rewrite(g: Column, change: Callable) -> Column:

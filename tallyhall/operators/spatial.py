@@ -33,20 +33,29 @@ def prepare(
     """Number the rows, parse every geometry once and write the result.
 
     Row numbers must not change when a lost task runs again, hence the written
-    table. Later steps read only the columns they need from it.
+    table. Later steps read only the columns they need from it: payload, boxes of
+    the pieces, or their edges.
     """
     numbered = df.select(
         F.monotonically_increasing_id().alias(row_id),
         *[F.col(c) for c in cols],
         F.col(geom),
-        geo.parts(F.col(geom), mode).alias("_p"),
+        geo.pieces(F.col(geom), mode).alias("_p"),
     )
-    out = numbered.select(
-        row_id, *cols, geom, F.col("_p.edges").alias(f"{prefix}edges"),
-        *[F.col(f"_p.{c}").alias(f"{prefix}{c}") for c in [*BOX, "area"]],
-        _level("_p.").alias(f"{prefix}level"),
-    )
-    return materialise(out, f"prepared-{row_id.strip('_')}")
+    parsed = [F.col(f"_p.{c}").alias(f"{prefix}{c}") for c in ("area", "edges", "boxes")]
+    return materialise(
+        numbered.select(row_id, *cols, geom, *parsed), f"prepared-{row_id.strip('_')}"
+    )
+
+
+def _pieces(df: DataFrame, prefix: str, keep: list[str | Column], edges: bool) -> DataFrame:
+    """One row per piece: its box, grid level and, where asked for, its edges."""
+    lists = [f"{prefix}boxes", f"{prefix}edges"] if edges else [f"{prefix}boxes"]
+    rows = df.select(*keep, F.explode(F.arrays_zip(*lists)).alias("_z"))
+    box = [F.col(f"_z.{prefix}boxes.{c}").alias(prefix + c) for c in BOX]
+    shape = [F.col(f"_z.{prefix}edges")] if edges else []
+    out = rows.select(*[c for c in rows.columns if c != "_z"], *box, *shape)
+    return out.withColumn(f"{prefix}level", _level(prefix))
 
 
 def _level(p: str) -> Column:
@@ -58,9 +67,9 @@ def _level(p: str) -> Column:
     return F.ceil((F.log2(extent) - 2) / RATIO_BITS).cast("int")
 
 
-def _levels(df: DataFrame, level: str) -> dict[int, int]:
-    """Rows per level in use: at most one level per eightfold size, a handful."""
-    return {r[0]: r["count"] for r in df.groupBy(level).count().collect()}
+def _levels(boxes: DataFrame, prefix: str) -> dict[int, int]:
+    """Pieces per level in use: at most one level per eightfold size, a handful."""
+    return {r[0]: r["count"] for r in boxes.groupBy(f"{prefix}level").count().collect()}
 
 
 def _cell(c: Column, level: Column) -> Column:
@@ -96,18 +105,18 @@ def _crowded(cells: DataFrame, fraction: float) -> dict[tuple, int]:
     return {(r.grid, r.cx, r.cy): int(-(-r.n // limit)) for r in found}
 
 
-def candidate_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Pairs of prepared rows whose boxes meet, each exactly once.
+def candidate_pairs(left: DataFrame, right: DataFrame, right_part: list[Column]) -> DataFrame:
+    """Pairs of pieces of prepared rows whose boxes meet, each exactly once.
 
     A pair meets on the level of its larger member: the larger is covered at its
     own level only, the smaller at every level the other side uses above its own.
     Even grid numbers are for right >= left, odd ones for left > right. Of the
     cells a pair shares, the one with the lower-left corner of the common box
-    counts. Crowded cells are cut in both directions: left rows over ``ls``
-    salts, right rows over ``rs`` salts, each repeated along the other's.
+    counts. Crowded cells are cut in both directions: left pieces over ``ls``
+    salts, right ones over ``rs`` salts, each repeated along the other's.
     """
-    left, right = left.filter("l_level is not null"), right.filter("r_level is not null")
-    l_levels, r_levels = _levels(left, "l_level"), _levels(right, "r_level")
+    l_boxes, r_boxes = (_pieces(d, p, [], False) for d, p in ((left, "l_"), (right, "r_")))
+    l_levels, r_levels = _levels(l_boxes, "l_"), _levels(r_boxes, "r_")
 
     def grids(own: str, odd: int, others: dict[int, int], strict: bool) -> Column:
         level = F.col(own)
@@ -119,21 +128,19 @@ def candidate_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
         has_smaller = (level >= lowest) if strict else (level > lowest)
         return F.array_compact(F.array(F.when(has_smaller, level * 2 + (1 - odd)), *above))
 
-    l_cells = _cover(left, "l_", grids("l_level", 0, r_levels, False))
-    r_cells = _cover(right, "r_", grids("r_level", 1, l_levels, True))
+    l_grids, r_grids = grids("l_level", 0, r_levels, False), grids("r_level", 1, l_levels, True)
+    l_cells = _cover(_pieces(left, "l_", ["_lid", "l_area"], True), "l_", l_grids)
+    r_cells = _cover(_pieces(right, "r_", ["_rid", "r_area", *right_part], True), "r_", r_grids)
 
     crowded = {}
-    sides = (
-        (left, "l_", l_levels, grids("l_level", 0, r_levels, False)),
-        (right, "r_", r_levels, grids("r_level", 1, l_levels, True)),
-    )
-    for side, (rows, box, levels, own_grids) in enumerate(sides):
+    sides = ((l_boxes, "l_", l_levels, l_grids), (r_boxes, "r_", r_levels, r_grids))
+    for side, (boxes, box, levels, own_grids) in enumerate(sides):
         n = sum(levels.values())
         if n <= MIN_HOT:
             continue
         share = min(1.0, PROBE_ROWS / n)
-        probe = rows.select(f"{box}level", *[box + c for c in BOX]).sample(share, seed=7)
-        for cell, salts in _crowded(_cover(probe, box, own_grids), share).items():
+        probe = _cover(boxes.sample(share, seed=7), box, own_grids)
+        for cell, salts in _crowded(probe, share).items():
             crowded.setdefault(cell, [1, 1])[side] = salts
 
     keys = list(CELL)
@@ -142,8 +149,8 @@ def candidate_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
         table = left.sparkSession.createDataFrame(
             rows, "grid int, cx long, cy long, l_salts int, r_salts int"
         )
-        l_cells = _deal(l_cells, table, "l_salts", "ls", "_lid", "r_salts", "rs")
-        r_cells = _deal(r_cells, table, "r_salts", "rs", "_rid", "l_salts", "ls")
+        l_cells = _deal(l_cells, table, "l_salts", "ls", ["_lid", "l_minx"], "r_salts", "rs")
+        r_cells = _deal(r_cells, table, "r_salts", "rs", ["_rid", "r_minx"], "l_salts", "ls")
         keys += ["ls", "rs"]
     lc, rc = l_cells.alias("a"), r_cells.alias("b")
     conditions = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys]
@@ -159,34 +166,42 @@ def candidate_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def _deal(
-    cells: DataFrame, crowded: DataFrame, own: str, salt: str, row: str, other: str, along: str
-) -> DataFrame:
-    """Give each row one of its own salts and a copy per salt of the other side."""
+    cells: DataFrame, crowded: DataFrame, own: str, salt: str, piece: list[str],
+    other: str, along: str,
+) -> DataFrame:
+    """Give each piece one of its own salts and a copy per salt of the other side."""
     return (
         cells.join(F.broadcast(crowded), CELL, "left")
-        .withColumn(salt, F.pmod(F.xxhash64(row), F.coalesce(own, F.lit(1))).cast("int"))
+        .withColumn(salt, F.pmod(F.xxhash64(*piece), F.coalesce(own, F.lit(1))).cast("int"))
         .withColumn(along, F.explode(F.sequence(F.lit(0), F.coalesce(other, F.lit(1)) - 1)))
         .drop("l_salts", "r_salts")
     )
 
 
 def matches(left: DataFrame, right: DataFrame, right_cols: list[str], mode: str) -> DataFrame:
-    """Intersecting pairs of prepared rows: _lid, l_area, right columns, overlap area.
+    """Intersecting pairs of prepared rows: _lid, _rid, l_area, _r, intersection_area.
 
-    Only ids, edges and right columns travel; the left payload is joined back later.
+    Only ids, edges and right columns travel; the left payload is joined back
+    later. Pairs of pieces are summed only where a polygon was cut.
     """
     # A column may carry one name on both sides, so right columns go in a struct.
-    l_part = left.select("_lid", "l_edges", "l_area", "l_level", *[f"l_{c}" for c in BOX])
-    r_part = right.select(
-        "_rid", F.struct(*[F.col(c) for c in right_cols]).alias("_r"), "r_edges", "r_level",
-        *[f"r_{c}" for c in BOX],
-    )
-    pairs = candidate_pairs(l_part, r_part)
-    area = geo.edges_overlap(F.col("l_edges"), F.col("r_edges"), mode)
-    return (
-        pairs.select("_lid", "l_area", "_r", area.alias("intersection_area"))
-        .filter("intersection_area is not null")
+    r = F.struct(*[F.col(c) for c in right_cols]).alias("_r")
+    pairs = candidate_pairs(left, right, [r])
+    area = geo.edges_overlap(
+        F.col("l_edges"), F.col("r_edges"),
+        F.greatest("l_minx", "r_minx"), F.least("l_maxx", "r_maxx"),
+        F.least("l_area", "r_area"), mode,
     )
+    found = pairs.select("_lid", "_rid", "l_area", "_r", area.alias("intersection_area"))
+    found = found.filter("intersection_area is not null")
+    if _is_cut(left, "l_") or _is_cut(right, "r_"):
+        total = F.sum("intersection_area").alias("intersection_area")
+        found = found.groupBy("_lid", "_rid", "l_area", "_r").agg(total)
+    return found
+
+
+def _is_cut(df: DataFrame, prefix: str) -> bool:
+    return not df.filter(F.size(f"{prefix}boxes") > 1).isEmpty()
 
 
 def largest_overlap(pairs: DataFrame) -> DataFrame:
@@ -260,8 +275,8 @@ def spatial_anti(
     """Left rows whose geometry meets no mask polygon; null geometries stay."""
     cols = [c for c in left.columns if c != left_geom]
     a = prepare(left, left_geom, cols, mode, "_lid", "l_")
-    b = prepare(mask, mask_geom, [], mode, "_rid", "r_").withColumn("_mask", F.lit(1))
-    hit = matches(a, b, ["_mask"], mode).select("_lid").distinct()
+    b = prepare(mask, mask_geom, [], mode, "_rid", "r_")
+    hit = matches(a, b, ["_rid"], mode).select("_lid").distinct()
     return a.select("_lid", *left.columns).join(hit, "_lid", "left_anti").drop("_lid")
 
 
@@ -323,7 +338,12 @@ def tiles_touching(
     )
     covered = tl.tiles_for_bounds(shaped, zoom)
     bounds = tl.tile_bounds(F.col("x"), F.col("y"), zoom)
-    area = geo.edges_overlap(geo.box_edges(*bounds), F.col("edges"), "planar")
+    west, south, east, north = bounds
+    area = geo.edges_overlap(
+        geo.box_edges(*bounds), F.col("edges"),
+        F.greatest(west, "minx"), F.least(east, "maxx"),
+        F.least((east - west) * (north - south), "area"), "planar",
+    )
     return (
         covered.withColumn("_area", area)
         .filter("_area is not null")

@@ -152,7 +152,9 @@ def shapes(spark, seed, n, spread):
 
 
 @pytest.mark.parametrize("hot", [True, False])
-def test_join_against_all_pairs(spark, hot, monkeypatch):
+@pytest.mark.parametrize("cut", [4, 256])
+def test_join_against_all_pairs(spark, hot, cut, monkeypatch):
+    monkeypatch.setattr(geo, "PIECE_EDGES", cut)
     if hot:
         monkeypatch.setattr(spatial, "MIN_HOT", 5)
         monkeypatch.setattr(spatial, "HOT_SHARE", 20)
@@ -169,7 +171,10 @@ def test_join_against_all_pairs(spark, hot, monkeypatch):
     ldf = spark.createDataFrame(left, SHAPES)
     rdf = spark.createDataFrame(right, SHAPES).withColumnRenamed("id", "rid")
     out = spatial.spatial_join(ldf, rdf, ["id"], ["rid"], kind="left", dedup=False, mode="planar")
-    got = Counter((r.id, r.rid) for r in out.collect())
+    rows = out.collect()
+    got = Counter((r.id, r.rid) for r in rows)
+    for r in rows:
+        assert r.intersection_area == pytest.approx(want.get((r.id, r.rid)), abs=1e-9)
     alone = {i for i, _ in left} - {i for i, _ in want}
     assert got == Counter([*want, *[(i, None) for i in alone]])
 
@@ -182,6 +187,35 @@ def test_join_against_all_pairs(spark, hot, monkeypatch):
     assert {r.id for r in left_over} == alone
 
 
+def test_many_edges(spark):
+    """A comb and a jagged coast, whole or cut, against JTS; long edges do not multiply."""
+    rng = random.Random(5)
+    coast = [(x / 50, rng.uniform(5, 6)) for x in range(1001)]
+    coast = poly([(0, 0), *reversed(coast), (0, 0)][:1] + [(20, 0), *reversed(coast), (0, 0)])
+    comb = [(0, 0)]
+    for k in range(400):
+        comb += [(30, k + 0.2), (30, k + 0.4), (0, k + 0.5)]
+    comb = poly([*comb, (-1, 400), (-1, 0), (0, 0)])
+    df = spark.createDataFrame([(1, bytearray(coast)), (2, bytearray(comb))], SHAPES)
+    sizes = df.select(geo.pieces(F.col("geometry"), "planar").alias("p")).collect()
+    assert len(sizes[0].p.edges) > 3
+    assert all(sum(map(len, r.p.edges)) <= 5 * 4 * 1300 for r in sizes)
+    probes = [(i, rng.uniform(0, 18), rng.uniform(0, 6), rng.uniform(0.1, 9)) for i in range(60)]
+    probes = [(i, bytearray(poly(box(x, y, x + w, y + 1)))) for i, x, y, w in probes]
+    left = spark.createDataFrame(probes, SHAPES).withColumnRenamed("id", "probe")
+    out = spatial.spatial_join(left, df, ["probe"], ["id"], kind="inner", dedup=False, mode="planar")
+    reader = spark._jvm.org.locationtech.jts.io.WKBReader()
+    shapes = {1: reader.read(bytearray(coast)), 2: reader.read(bytearray(comb))}
+    want = {}
+    for i, g in probes:
+        for k, shape in shapes.items():
+            if shape.intersects(reader.read(g)):
+                want[i, k] = shape.intersection(reader.read(g)).getArea()
+    got = {(r.probe, r.id): r.intersection_area for r in out.collect()}
+    assert got.keys() == want.keys()
+    assert all(got[k] == pytest.approx(want[k], abs=1e-8) for k in want)
+
+
 def test_ties_take_smallest_right(spark):
     ldf = spark.createDataFrame([(1, bytearray(poly(box(0, 0, 2, 2))))], SHAPES)
     halves = [(9, poly(box(0, 0, 1, 2))), (3, poly(box(1, 0, 2, 2))), (1, poly(box(2, 0, 3, 2)))]
