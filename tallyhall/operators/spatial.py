@@ -30,11 +30,11 @@ MIN_HOT = 100_000  # cells below this many rows are never split
 def prepare(
     df: DataFrame, geom: str, cols: list[str], mode: str, row_id: str, prefix: str
 ) -> DataFrame:
-    """Number the rows, parse every geometry once and write the result.
+    """Number the rows, parse every geometry once and write one row per piece.
 
     Row numbers must not change when a lost task runs again, hence the written
-    table. Later steps read only the columns they need from it: payload, boxes of
-    the pieces, or their edges.
+    table. Later steps read only the columns they need from it; the geometry is
+    kept with the first piece alone.
     """
     numbered = df.select(
         F.monotonically_increasing_id().alias(row_id),
@@ -42,20 +42,29 @@ def prepare(
         F.col(geom),
         geo.pieces(F.col(geom), mode).alias("_p"),
     )
-    parsed = [F.col(f"_p.{c}").alias(f"{prefix}{c}") for c in ("area", "edges", "boxes")]
-    return materialise(
-        numbered.select(row_id, *cols, geom, *parsed), f"prepared-{row_id.strip('_')}"
-    )
+    cut = numbered.select(
+        row_id, *cols, geom, F.col("_p.area").alias(f"{prefix}area"),
+        F.posexplode_outer(F.arrays_zip("_p.edges", "_p.boxes")).alias("_n", "_z"),
+    )
+    first = F.coalesce("_n", F.lit(0)) == 0
+    flat = cut.select(
+        row_id, first.alias("_first"), *cols, F.when(first, F.col(geom)).alias(geom),
+        f"{prefix}area", F.col("_z.edges").alias(f"{prefix}edges"),
+        *[F.col(f"_z.boxes.{c}").alias(prefix + c) for c in BOX],
+    )
+    leveled = flat.withColumn(f"{prefix}level", _level(prefix))
+    return materialise(leveled, f"prepared-{row_id.strip('_')}")
+
 
+def _payload(prepared: DataFrame, cols: list[str]) -> DataFrame:
+    """One row per input row again."""
+    return prepared.filter("_first").select(*cols)
 
-def _pieces(df: DataFrame, prefix: str, keep: list[str | Column], edges: bool) -> DataFrame:
-    """One row per piece: its box, grid level and, where asked for, its edges."""
-    lists = [f"{prefix}boxes", f"{prefix}edges"] if edges else [f"{prefix}boxes"]
-    rows = df.select(*keep, F.explode(F.arrays_zip(*lists)).alias("_z"))
-    box = [F.col(f"_z.{prefix}boxes.{c}").alias(prefix + c) for c in BOX]
-    shape = [F.col(f"_z.{prefix}edges")] if edges else []
-    out = rows.select(*[c for c in rows.columns if c != "_z"], *box, *shape)
-    return out.withColumn(f"{prefix}level", _level(prefix))
+
+def _pieces(prepared: DataFrame, prefix: str, keep: list[str | Column]) -> DataFrame:
+    """Boxes and levels of all pieces, with the columns to ``keep``."""
+    found = prepared.filter(F.col(f"{prefix}level").isNotNull())
+    return found.select(*keep, *[prefix + c for c in BOX], f"{prefix}level")
 
 
 def _level(p: str) -> Column:
@@ -115,7 +124,7 @@ def candidate_pairs(left: DataFrame, right: DataFrame, right_part: list[Column])
     counts. Crowded cells are cut in both directions: left pieces over ``ls``
     salts, right ones over ``rs`` salts, each repeated along the other's.
     """
-    l_boxes, r_boxes = (_pieces(d, p, [], False) for d, p in ((left, "l_"), (right, "r_")))
+    l_boxes, r_boxes = (_pieces(d, p, []) for d, p in ((left, "l_"), (right, "r_")))
     l_levels, r_levels = _levels(l_boxes, "l_"), _levels(r_boxes, "r_")
 
     def grids(own: str, odd: int, others: dict[int, int], strict: bool) -> Column:
@@ -129,8 +138,9 @@ def candidate_pairs(left: DataFrame, right: DataFrame, right_part: list[Column])
         return F.array_compact(F.array(F.when(has_smaller, level * 2 + (1 - odd)), *above))
 
     l_grids, r_grids = grids("l_level", 0, r_levels, False), grids("r_level", 1, l_levels, True)
-    l_cells = _cover(_pieces(left, "l_", ["_lid", "l_area"], True), "l_", l_grids)
-    r_cells = _cover(_pieces(right, "r_", ["_rid", "r_area", *right_part], True), "r_", r_grids)
+    l_cells = _cover(_pieces(left, "l_", ["_lid", "l_area", "l_edges"]), "l_", l_grids)
+    r_keep = ["_rid", "r_area", "r_edges", *right_part]
+    r_cells = _cover(_pieces(right, "r_", r_keep), "r_", r_grids)
 
     crowded = {}
     sides = ((l_boxes, "l_", l_levels, l_grids), (r_boxes, "r_", r_levels, r_grids))
@@ -194,16 +204,12 @@ def matches(left: DataFrame, right: DataFrame, right_cols: list[str], mode: str)
     )
     found = pairs.select("_lid", "_rid", "l_area", "_r", area.alias("intersection_area"))
     found = found.filter("intersection_area is not null")
-    if _is_cut(left, "l_") or _is_cut(right, "r_"):
+    if not (left.filter("not _first").isEmpty() and right.filter("not _first").isEmpty()):
         total = F.sum("intersection_area").alias("intersection_area")
         found = found.groupBy("_lid", "_rid", "l_area", "_r").agg(total)
     return found
 
 
-def _is_cut(df: DataFrame, prefix: str) -> bool:
-    return not df.filter(F.size(f"{prefix}boxes") > 1).isEmpty()
-
-
 def largest_overlap(pairs: DataFrame) -> DataFrame:
     """Per left row the right columns of greatest overlap, as struct ``_r``.
 
@@ -245,7 +251,7 @@ def spatial_join(
     _check(op, kind)
     a = prepare(left, left_geom, left_cols, mode, "_lid", "l_")
     b = prepare(right, right_geom, right_cols, mode, "_rid", "r_")
-    payload = a.select("_lid", left_geom, *left_cols)
+    payload = _payload(a, ["_lid", left_geom, *left_cols])
     found = matches(a, b, right_cols, mode)
     if dedup:
         # One row per left row on both sides: no key can be hot here.
@@ -277,7 +283,8 @@ def spatial_anti(
     a = prepare(left, left_geom, cols, mode, "_lid", "l_")
     b = prepare(mask, mask_geom, [], mode, "_rid", "r_")
     hit = matches(a, b, ["_rid"], mode).select("_lid").distinct()
-    return a.select("_lid", *left.columns).join(hit, "_lid", "left_anti").drop("_lid")
+    kept = _payload(a, ["_lid", *left.columns]).join(hit, "_lid", "left_anti")
+    return kept.drop("_lid")
 
 
 def footprints_with_census(
@@ -321,7 +328,7 @@ def footprints_with_census(
         matches(fp, prepare(p, "geometry", place_cols, mode, "_rid", "r_"), place_cols, mode)
     ).withColumnRenamed("_r", "_place")
     return (
-        fp.select("_lid", "geometry", *left_cols, F.col("l_area").alias("area_sqm"))
+        _payload(fp, ["_lid", "geometry", *left_cols, F.col("l_area").alias("area_sqm")])
         .join(in_block, "_lid")
         .join(in_place, "_lid", "left")
         .select("geometry", *left_cols, "_block.*", "_place.*", "area_sqm")
