@@ -343,15 +343,21 @@ def to_wkb(g: Column, strict: bool = True, geojson: bool = False) -> Column:
         def convert(v):
             try:
                 geom = wkb.from_geojson(v) if geojson else wkb.read(v)
-                if not wkb.is_valid(geom):
-                    raise ValueError("invalid polygon")
+                if not wkb.well_formed(geom):
+                    raise ValueError("a ring is open, flat or too short")
                 return wkb.write(wkb.orient(geom))
             except (ValueError, KeyError, IndexError, TypeError, wkb.struct.error) as error:
                 if strict:
                     raise ValueError(f"cannot read geometry: {error}") from error
                 return None
 
-        return _per_row(values, convert, pa.binary())
+        shapes = [None if v is None else convert(v) for v in values.to_pylist()]
+        crossing = wkb.self_crossing(shapes)
+        if strict and crossing.any():
+            raise ValueError("cannot read geometry: edges cross")
+        return pa.array(
+            [None if bad else v for v, bad in zip(shapes, crossing, strict=True)], pa.binary()
+        )
 
     return kernel(g)
 
