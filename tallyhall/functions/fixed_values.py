@@ -34,6 +34,8 @@ SKIP_LINES = [
     r"(\s*)A(_+)(\s+)B(_+)(\s+)1(_+)(\s*)",
     r"^(\s*)(\d+)(\s*)$",
 ]
+# Upper-case text that every match of the phrases above contains.
+SKIP_HINTS = ["REVISED", "DEPARTMENT", "UNIFORM", "ORGANIZATION", "STRUCTURE", "A_"]
 ENTITY_LINE = r"^( *)(\d+)\s+(.+)$"
 INDENT_STEP = 5
 LEVELS = ["a", "b", "l1", "l2", "l3"]

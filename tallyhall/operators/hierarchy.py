@@ -2,13 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyhall.functions import fixed_values as fv
 from tallyhall.functions.text import camel_to_snake, clean_name
 
-SKIP = "(?iU)" + "|".join(fv.SKIP_LINES)
+
+def skip_line(line: Column) -> Column:
+    """Whether a line of the manual carries no entity: blank, page number or heading.
+
+    Phrases may stand anywhere in a line. The slow search runs only on lines that
+    hold a word of one, and without the blanks in front of each phrase, which
+    decide nothing but make the matcher start over on indented lines.
+    """
+    whole = [p for p in fv.SKIP_LINES if p.startswith("^")]
+    phrases = [p.removeprefix(r"(\s*)") for p in fv.SKIP_LINES if not p.startswith("^")]
+    upper = F.upper(line)
+    hinted = reduce(lambda a, b: a | b, [F.contains(upper, F.lit(h)) for h in fv.SKIP_HINTS])
+    found = line.rlike("(?U)" + "|".join(whole))
+    return found | (hinted & line.rlike("(?iU)" + "|".join(phrases)))
 
 
 def parse_hierarchy(
@@ -17,7 +33,7 @@ def parse_hierarchy(
     line_no: str = "line_no",
     line: str = "line",
     step: int = fv.INDENT_STEP,
-    skip: str = SKIP,
+    skip: Callable[[Column], Column] = skip_line,
     chunk_lines: int = 100_000,
 ) -> DataFrame:
     """One row per entity with the codes of its ancestors by level.
@@ -33,16 +49,17 @@ def parse_hierarchy(
     """
     depth = len(fv.LEVELS)
     entity = "(?U)" + fv.ENTITY_LINE
-    is_entity = F.col("_line").rlike(entity)
     kept = lines.select(
         F.col(doc).alias("doc"), F.col(line_no).alias("line_no"), F.col(line).alias("_line")
-    ).filter(~F.col("_line").rlike(skip))
-    parsed = kept.select(
+    ).filter(~skip(F.col("_line")))
+    coded = kept.withColumn("code", F.nullif(F.regexp_extract("_line", entity, 2), F.lit("")))
+    is_entity = F.col("code").isNotNull()
+    parsed = coded.select(
         "doc",
         "line_no",
         F.floor(F.col("line_no") / chunk_lines).alias("chunk"),
-        F.when(is_entity, F.length(F.regexp_extract("_line", entity, 1))).alias("spaces"),
-        F.when(is_entity, F.regexp_extract("_line", entity, 2)).alias("code"),
+        F.when(is_entity, F.length("_line") - F.length(F.ltrim("_line"))).alias("spaces"),
+        "code",
         clean_name(
             F.when(is_entity, F.regexp_extract("_line", entity, 3)).otherwise(F.col("_line"))
         ).alias("text"),
@@ -130,7 +147,7 @@ def parse_hierarchy(
         F.when(F.col("level").isNotNull(), F.struct(*codes)).alias("codes"),
     )
 
-    def joined_text(order: str) -> F.Column:
+    def joined_text(order: str) -> Column:
         parts = F.array_sort(F.collect_list(F.struct(order, "text")))
         return F.array_join(F.transform(parts, lambda p: p["text"]), " ").alias("text")
 

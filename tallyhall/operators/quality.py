@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 TABLE_ID = ["database", "schema", "table"]
@@ -123,7 +123,7 @@ def validate_schemas(
         )
     )
 
-    def names(condition: F.Column) -> F.Column:
+    def names(condition: Column) -> Column:
         return F.array_sort(F.collect_list(F.when(condition, F.col("column"))))
 
     tables = (
