@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhall.llm import packing, token_files
+from tallyhall.llm import packing, secret_scan, token_files, toxicity
 from tallyhall.llm.common import scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,3 +27,14 @@ def op9_token_files(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
     token_files.write(table(spark, sf, "documents"), path)
     return token_files.digest(token_files.read(spark, path))
+
+
+@query
+def op7_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return secret_scan.digest(secret_scan.scan(table(spark, sf, "documents")))
+
+
+@query
+def op8_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    return toxicity.digest(docs, toxicity.fit(docs, table(spark, sf, "labels")))
