@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tallyhall.session import materialise, scratch_path  # noqa: F401
 
-BATCH_BYTES = 16 << 20  # text handled at once inside a task
+BATCH_BYTES = 4 << 20  # text handled at once inside a task
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhall.llm import packing, secret_scan, token_files, toxicity
+from tallyhall.llm import order_minhash, packing, secret_scan, token_files, toxicity
 from tallyhall.llm.common import scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,3 +38,8 @@ def op7_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
 def op8_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     return toxicity.digest(docs, toxicity.fit(docs, table(spark, sf, "labels")))
+
+
+@query
+def op10_order_minhash(spark: SparkSession, sf: str) -> DataFrame:
+    return order_minhash.classes(table(spark, sf, "documents"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from itertools import compress
 from pathlib import Path
 
 import numpy as np
@@ -13,9 +14,11 @@ from tallyhall.llm.common import process_state
 
 END = 1  # id appended to each document
 VOCABULARY = "word_bpe_49k.json"
-MAX_WORDS = 600_000  # words a worker remembers
+MAX_WORDS = 400_000  # words as they stand in texts that a worker remembers
+MAX_CORES = 400_000  # lower-case words without punctuation that it remembers
 MAX_WORD_CHARS = 64  # longer ones are encoded each time
-DIVIDERS = "\u2603\u2744\u2764\u2600\u266a\u2605"  # rare signs; one that is a single token keeps words apart
+TAIL = ".,;:!?"
+LATIN = 0x100  # below, case and composition are the same to every library
 
 
 def tokenizer_json(path: str | None = None) -> str:
@@ -23,60 +26,85 @@ def tokenizer_json(path: str | None = None) -> str:
     return Path(path or public_tokenizers.path(VOCABULARY)).read_text(encoding="utf-8")
 
 
+def byte_letters() -> dict[int, int]:
+    """Bytes without a sign of their own stand as letters from 256 on, in byte order."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    return {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in plain)}
+
+
 class WordEncoder:
     """Encodes texts word by word, with the same ids as encoding each text whole.
 
     The tokenizer drops white space before it merges, so no token spans a blank and the
-    ids of a text are those of its words in a row. Words not seen before are encoded
-    together in one call, kept apart by a sign that is one token by itself; a text that
-    holds this sign or spells a special token is encoded whole instead.
+    ids of a text are those of its words in a row. A word that is Latin letters and then,
+    perhaps, punctuation is one or two units to the tokenizer: its letters in lower case
+    go to the tokenizer's model directly and are remembered apart. Any other word goes
+    through the whole tokenizer. A text that spells a special token is encoded whole.
     """
 
     def __init__(self, spec: str):
         self.tokenizer = Tokenizer.from_str(spec)
-        alone = {d: self.tokenizer.encode(d, add_special_tokens=False).ids for d in DIVIDERS}
-        self.divider, (self.divider_id,) = next((d, ids) for d, ids in alone.items() if len(ids) == 1)
-        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.special = [self.divider, *added]
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.width = self.tokenizer.get_vocab_size()
+        self.model = self.tokenizer.model
+        self.letters = byte_letters()
         self.words: dict[str, bytes] = {"": b""}
+        self.cores: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {"": b""}
+        self.plain = self._by_model("Straße,") == self.whole("Straße,")
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def learn(self, words: list[str]) -> dict[str, bytes]:
-        if not words:
-            return {}
-        joined = f" {self.divider} ".join(words)
-        ids = np.array(self.tokenizer.encode(joined, add_special_tokens=False).ids, dtype="<u4")
-        cuts = np.flatnonzero(ids == self.divider_id).tolist()
-        assert len(cuts) == len(words) - 1, "a word held the dividing token"
-        data, out, start = ids.tobytes(), {}, 0
-        for word, cut in zip(words, [*cuts, len(ids)]):
-            out[word] = data[4 * start : 4 * cut]
-            start = cut + 1
-        return out
+    def _by_model(self, word: str) -> bytes | None:
+        """Ids by way of the letters alone; none where the word has another form."""
+        core = word.rstrip(TAIL)
+        if not core.isalpha() or (not core.isascii() and ord(max(core)) >= LATIN):
+            return None
+        core, tail = core.lower(), word[len(core) :]
+        ids = self.cores.get(core)
+        if ids is None:
+            spelt = core if core.isascii() else core.encode().decode("latin-1").translate(self.letters)
+            ids = b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(spelt)])
+            if len(self.cores) >= MAX_CORES:
+                self.cores.clear()
+            if len(core) <= MAX_WORD_CHARS:
+                self.cores[core] = ids
+        if tail:
+            ends = self.tails.get(tail)
+            if ends is None:
+                ends = self.whole(tail)
+                if len(self.tails) < 10_000 and len(tail) <= MAX_WORD_CHARS:
+                    self.tails[tail] = ends
+            ids += ends
+        return ids
+
+    def word(self, word: str) -> bytes:
+        ids = self._by_model(word) if self.plain else None
+        if ids is None:
+            ids = self.whole(word)
+        if len(word) <= MAX_WORD_CHARS:
+            if len(self.words) >= MAX_WORDS:
+                self.words.clear()
+                self.words[""] = b""
+            self.words[word] = ids
+        return ids
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text, without an end id."""
-        plain = [not any(s in t for s in self.special) for t in texts]
-        split = [t.replace("\n", " ").split(" ") if ok else None for t, ok in zip(texts, plain)]
-        words, fresh = self.words, {}
-        unseen = list({w for ws in split if ws is not None for w in ws if w not in words})
-        for i in range(0, len(unseen), 50_000):
-            fresh.update(self.learn(unseen[i : i + 50_000]))
-        keep = {w: b for w, b in fresh.items() if len(w) <= MAX_WORD_CHARS}
-        if len(words) + len(keep) > MAX_WORDS:
-            fresh.update({w: words[w] for ws in split if ws is not None for w in ws if w in words})
-            words = self.words = {"": b""}
-        words.update(keep)
-        long = {w: b for w, b in fresh.items() if w not in words}
-        if long:
-            known = {**words, **long} if len(long) > 1000 else None
-            look = known.__getitem__ if known else (lambda w: long[w] if w in long else words[w])
-        else:
-            look = words.__getitem__
-        return [self.whole(t) if ws is None else b"".join(map(look, ws)) for t, ws in zip(texts, split)]
+        out, special, learn = [], self.special, self.word
+        for text in texts:
+            if any(s in text for s in special):
+                out.append(self.whole(text))
+                continue
+            words = text.replace("\n", " ").split(" ")
+            found = list(map(self.words.get, words))
+            if None in found:
+                fresh = [f is None for f in found]
+                learnt = map(learn, compress(words, fresh))
+                found = [next(learnt) if f is None else f for f in found]
+            out.append(b"".join(found))
+        return out
 
 
 def word_encoder(spec: str) -> WordEncoder:
