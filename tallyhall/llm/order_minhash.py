@@ -299,7 +299,7 @@ def across_classes(members: DataFrame) -> DataFrame:
         {"low": F.least("own", "other"), "high": F.greatest("own", "other"), "first": F.col("own") <= F.col("other")}
     )
 
-    def compare(table: pa.Table) -> pa.Table:
+    def compare(table):
         id_, label, n = (table.column(c).to_numpy() for c in ("id", "label", "n"))
         own, low, high = (table.column(c).to_numpy() for c in ("own", "low", "high"))
         raw = table.column("bins").to_pylist()

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhall.llm import order_minhash, packing, secret_scan, token_files, toxicity
+from tallyhall.llm import cover_tree, order_minhash, packing, secret_scan, token_files, topk, toxicity
 from tallyhall.llm.common import scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,3 +43,14 @@ def op8_toxicity(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op10_order_minhash(spark: SparkSession, sf: str) -> DataFrame:
     return order_minhash.classes(table(spark, sf, "documents"))
+
+
+@query
+def op3_embedding_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return cover_tree.link_table(table(spark, sf, "embeddings"))
+
+
+@query
+def op4_exact_top_k(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = table(spark, sf, "embeddings")
+    return topk.top_k(vectors, vectors.filter("vec_id % 100 = 0"))
