@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhall.llm import cover_tree, order_minhash, packing, secret_scan, token_files, topk, toxicity
+from tallyhall.llm import cover_tree, html_text, order_minhash, packing, secret_scan, token_files, topk, toxicity
 from tallyhall.llm.common import scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,3 +54,8 @@ def op3_embedding_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
 def op4_exact_top_k(spark: SparkSession, sf: str) -> DataFrame:
     vectors = table(spark, sf, "embeddings")
     return topk.top_k(vectors, vectors.filter("vec_id % 100 = 0"))
+
+
+@query
+def op5_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
+    return html_text.extract(table(spark, sf, "pages"))
