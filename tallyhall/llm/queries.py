@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhall.llm import cover_tree, html_text, order_minhash, packing, secret_scan, token_files, topk, toxicity
+from tallyhall.llm import chat, cover_tree, html_text, order_minhash, packing, pieces, secret_scan, token_files, topk, toxicity
 from tallyhall.llm.common import scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,3 +59,17 @@ def op4_exact_top_k(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op5_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
     return html_text.extract(table(spark, sf, "pages"))
+
+
+@query
+def op2_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
+    return pieces.digest(pieces.decode(pieces.encode(table(spark, sf, "documents"))))
+
+
+@query
+def op6_chat_format(spark: SparkSession, sf: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"  # the contract's conversation of control strings
+    columns = "conv_id long, turn long, role string, text string"
+    extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], columns)
+    turns = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.digest(chat.format_conversations(turns.unionByName(extra)))
