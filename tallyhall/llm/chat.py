@@ -386,16 +386,19 @@ def fold(node: object) -> object:
 def fold_body(body: tuple) -> tuple:
     """Statements with folded expressions, dead branches gone and neighbouring texts joined."""
     out: list = []
+
+    def add(expr: object) -> None:
+        if isinstance(expr, Const):
+            expr = Const(_text(expr.value))
+            if not expr.value:
+                return
+            if out and isinstance(out[-1], Output) and isinstance(out[-1].expr, Const):
+                expr = Const(out.pop().expr.value + expr.value)
+        out.append(Output(expr))
+
     for node in body:
         if isinstance(node, Output):
-            expr = fold(node.expr)
-            if isinstance(expr, Const):
-                expr = Const(_text(expr.value))
-                if not expr.value:
-                    continue
-                if out and isinstance(out[-1], Output) and isinstance(out[-1].expr, Const):
-                    expr = Const(out.pop().expr.value + expr.value)
-            out.append(Output(expr))
+            add(fold(node.expr))
         elif isinstance(node, If):
             branches = []
             for test, inner in node.branches:
@@ -406,7 +409,8 @@ def fold_body(body: tuple) -> tuple:
                 if isinstance(test, Const):
                     break
             if branches and isinstance(branches[0][0], Const):
-                out.extend(branches[0][1])
+                for inner in branches[0][1]:
+                    add(inner.expr) if isinstance(inner, Output) else out.append(inner)
             elif branches:
                 out.append(If(tuple(branches)))
         elif isinstance(node, For):

@@ -24,6 +24,14 @@ def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit("")).alias(column)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that the table does not have yet."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def process_state(key: str, make: Callable[[], object]) -> object:
     """State of this worker process that outlives a task, such as a loaded tokenizer.
 

@@ -11,7 +11,8 @@ distance of their words, found in a band as wide as allowed, is at most 1 -
 Candidates never meet all with all. First everyone in a bucket is held against its smallest
 id, which settles buckets of near copies with one pair for each member. Where a bucket still
 spans several classes, its members are compared across classes in blocks, by an exact lower
-bound of the distance (word counts in 64 bins); only pairs it can't exclude are aligned.
+bound of the distance (word counts in 64 bins): first the closest pair of each two classes
+is aligned, then, across the classes that remain, every pair that the bound can't exclude.
 
 Null ids belong to no class and come back with a null class. Rows that share an id are one
 document if their words agree; else each text counts for that id. Null texts are empty.
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhall.llm.common import materialise, process_state, slices
+from tallyhall.llm.common import fresh, materialise, process_state, slices
 from tallyhall.llm.graph import components
 
 SHINGLE = 5
@@ -286,11 +287,13 @@ def aligned(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return both.mapInArrow(verify, "a long, b long")
 
 
-def across_classes(members: DataFrame) -> DataFrame:
+def across_classes(members: DataFrame, closest: bool) -> DataFrame:
     """Pairs of unlike classes within a bucket that word counts can't exclude.
 
-    ``members``: ``key, id, n, bins, label, size`` (of the bucket). A bucket of more than
-    BLOCK members is dealt into blocks, and pairs of blocks are tasks of their own.
+    ``members``: ``key, hub, size`` of the bucket, ``id, n, bins, label`` of the member. A
+    bucket of more than BLOCK members is dealt into blocks, and pairs of blocks are tasks of
+    their own. With ``closest``, of each two classes in a task only the pair with the
+    smallest bound is given. Pairs with the hub have been tried before.
     """
     blocks = F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")
     dealt = members.withColumn("own", F.pmod(F.xxhash64("id"), blocks).cast("int"))
@@ -302,12 +305,13 @@ def across_classes(members: DataFrame) -> DataFrame:
     def compare(table):
         id_, label, n = (table.column(c).to_numpy() for c in ("id", "label", "n"))
         own, low, high = (table.column(c).to_numpy() for c in ("own", "low", "high"))
+        hub = table.column("hub")[0].as_py()
         raw = table.column("bins").to_pylist()
         counts = np.array([np.frombuffer(x, "<u2") if x is not None else np.zeros(BINS) for x in raw], dtype=np.int32)
         binned = np.array([x is not None for x in raw])
-        left = np.flatnonzero(own == low)
-        right = np.flatnonzero(own == high)
-        out_a, out_b = [], []
+        left = np.flatnonzero((own == low) & (id_ != hub))
+        right = np.flatnonzero((own == high) & (id_ != hub))
+        found = []
         for i in left:
             js = right[(label[right] != label[i]) & ((id_[right] > id_[i]) | (low[i] != high[i]))]
             longer = np.maximum(n[js], n[i])
@@ -317,11 +321,21 @@ def across_classes(members: DataFrame) -> DataFrame:
                 continue
             d = counts[js] - counts[i]
             apart = np.maximum(np.where(d > 0, d, 0).sum(1), np.where(d < 0, -d, 0).sum(1))
-            js = js[(apart <= edits) | ~binned[js] | ~binned[i]]
-            out_a.append(np.minimum(id_[js], id_[i]))
-            out_b.append(np.maximum(id_[js], id_[i]))
-        none = np.empty(0, np.int64)
-        return pa.table({"a": np.concatenate([none, *out_a]), "b": np.concatenate([none, *out_b])})
+            apart[~(binned[js] & binned[i])] = 0
+            js, apart = js[apart <= edits], apart[apart <= edits]
+            if closest and len(js):  # of each class the nearest member
+                order = np.lexsort((apart, label[js]))
+                first = np.concatenate([[True], np.diff(label[js][order]) != 0])
+                js, apart = js[order][first], apart[order][first]
+            found.append(np.stack([np.full(len(js), i), js, apart]))
+        i, j, apart = np.concatenate([np.empty((3, 0), np.int64), *found], axis=1).astype(np.int64)
+        if closest and len(i):  # of each two classes the nearest pair
+            one, two = np.minimum(label[i], label[j]), np.maximum(label[i], label[j])
+            order = np.lexsort((apart, two, one))
+            one, two = one[order], two[order]
+            first = np.concatenate([[True], (np.diff(one) != 0) | (np.diff(two) != 0)])
+            i, j = i[order][first], j[order][first]
+        return pa.table({"a": np.minimum(id_[i], id_[j]), "b": np.maximum(id_[i], id_[j])})
 
     return dealt.groupBy("key", "low", "high").applyInArrow(compare, "a long, b long").distinct()
 
@@ -343,16 +357,23 @@ def classes(docs: DataFrame) -> DataFrame:
     stars = starred.filter(_lengths_fit("n", "hub_n")).select(F.col("id").alias("a"), F.col("hub").alias("b"))
     tried = materialise(near_by_bins(stars, reps), "stars")
     links = materialise(aligned(tried, docs), "links")
-    found = materialise(components(links), "labels")
-    # Buckets that still hold several classes.
-    label = found.select("id", F.col("component").alias("label"))
-    labelled = members.join(label, "id", "left").withColumn("label", F.coalesce("label", "id"))
-    open_keys = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi")
-    rest = labelled.join(open_keys.select("key"), "key", "left_semi").join(reps.select("id", "bins"), "id")
-    pairs = across_classes(rest.select("key", "id", "n", "bins", "label", "size"))
-    pairs = pairs.join(tried.select(F.greatest("a", "b").alias("b"), F.least("a", "b").alias("a")), ["a", "b"], "left_anti")
-    more = materialise(aligned(materialise(pairs, "across"), docs), "more-links")
-    joined = components(links.unionByName(more))
+    # Buckets that still hold several classes: first the closest pair of each two classes,
+    # which joins what belongs together, then every pair across what is left.
+    binned = reps.select("id", "bins")
+    known = [tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))]
+    for closest in (True, False):
+        label = materialise(components(links), "labels").select("id", F.col("component").alias("label"))
+        labelled = members.join(label, "id", "left").withColumn("label", F.coalesce("label", "id"))
+        spread = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
+        still = spread.filter("lo <> hi").select("key")
+        rest = labelled.join(still, "key", "left_semi").join(binned, "id")
+        pairs = across_classes(rest, closest)
+        for old in known:
+            pairs = pairs.join(old, ["a", "b"], "left_anti")
+        pairs = materialise(pairs, "across")
+        known.append(pairs)
+        links = links.unionByName(materialise(aligned(pairs, docs), "more-links"))
+    joined = components(links)
     whole = reps.select("digest", "id").join(joined, "id", "left")
     named_class = whole.select("digest", F.coalesce("component", "id").alias("class_id"))
     return every.select("doc_id", "digest").join(named_class, "digest", "left").select(
@@ -362,5 +383,6 @@ def classes(docs: DataFrame) -> DataFrame:
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows with one document of each class: that of the smallest id."""
-    gone = classes(docs).filter("doc_id <> class_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"].cast("long") == F.col("_gone"), "left_anti")
+    name = fresh(docs, "_gone")
+    gone = classes(docs).filter("doc_id <> class_id").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(gone, docs["doc_id"].cast("long") == F.col(name), "left_anti")

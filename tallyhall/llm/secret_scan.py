@@ -20,6 +20,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyhall.llm.common import fresh
+
 # The patterns of the contract.
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = "AKIA[A-Z0-9]{16,}"  # runs of 20 and more; the run is greedy, so shorter ones never hide longer
@@ -162,12 +164,13 @@ def entropy_spans(text: Column, base: Column) -> Column:
     return F.filter(spans, lambda s: ~F.exists(base, lambda b: (b["start"] <= s["start"]) & (s["end"] <= b["end"])))
 
 
-def scan(docs: DataFrame) -> DataFrame:
-    """The rows with ``spans``: sorted by start, then kind (a place in :data:`KINDS`)."""
-    named = docs.withColumn("_text", F.coalesce(F.col("text").cast("string"), F.lit("")))
-    based = named.withColumn("_base", base_spans(F.col("_text")))
-    spans = F.array_sort(F.concat("_base", entropy_spans(F.col("_text"), F.col("_base"))))
-    return based.withColumn("spans", spans).drop("_text", "_base")
+def scan(docs: DataFrame, column: str = "spans") -> DataFrame:
+    """The rows with their spans: sorted by start, then kind (a place in :data:`KINDS`)."""
+    whole, base = fresh(docs, "_text"), fresh(docs, "_base")
+    named = docs.withColumn(whole, F.coalesce(F.col("text").cast("string"), F.lit("")))
+    based = named.withColumn(base, base_spans(F.col(whole)))
+    spans = F.array_sort(F.concat(F.col(base), entropy_spans(F.col(whole), F.col(base))))
+    return based.withColumn(column, spans).drop(whole, base)
 
 
 def written(spans: Column) -> Column:
@@ -205,7 +208,8 @@ def redact(docs: DataFrame, marker: str = "[SECRET]") -> DataFrame:
     def finish(state: Column) -> Column:
         return F.concat(state["out"], F.substring(F.col("text"), state["at"] + 1, F.char_length("text")))
 
+    spans = fresh(docs, "_spans")
     zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    found = F.aggregate("spans", zero, step, finish)
-    text = F.when(F.size("spans") > 0, found).otherwise(F.col("text"))
-    return scan(docs).withColumn("text", text).select(*docs.columns)
+    found = F.aggregate(spans, zero, step, finish)
+    text = F.when(F.size(spans) > 0, found).otherwise(F.col("text"))
+    return scan(docs, spans).withColumn("text", text).select(*docs.columns)

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyhall.llm.common import process_state, slices
+from tallyhall.llm.common import fresh, process_state, slices
 
 SLOTS_BITS = 22
 SLOTS = 1 << SLOTS_BITS
@@ -160,6 +160,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     order = [F.xxhash64("_id"), F.col("_id"), F.col("_f")]  # ids may repeat in docs
     one = slots.repartition(1).sortWithinPartitions(*order)
     learned = one.mapInArrow(learn, "bias double, slots binary, weights binary").collect()
+    if not learned:  # no task had a row
+        return ftrl([], [])
     row = learned[0]
     return Model(row["bias"], np.frombuffer(row["slots"], "<i4"), np.frombuffer(row["weights"], "<f8"))
 
@@ -203,4 +205,5 @@ def digest(docs: DataFrame, model: Model) -> DataFrame:
 
 def keep_clean(docs: DataFrame, model: Model) -> DataFrame:
     """The rows that are not rejected, with their own columns."""
-    return score(docs, model, "_toxic_score").filter(F.col("_toxic_score") < REJECT).select(*docs.columns)
+    column = fresh(docs, "_score")
+    return score(docs, model, column).filter(F.col(column) < REJECT).select(*docs.columns)
