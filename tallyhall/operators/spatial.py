@@ -210,16 +210,23 @@ def matches(left: DataFrame, right: DataFrame, right_cols: list[str], mode: str)
     return found
 
 
+def significant(area: Column) -> tuple[Column, Column]:
+    """An area of zero or more as power of ten and ten digits; sorted by both, sorted by size."""
+    power = F.when(area > 0, F.floor(F.log10(area)).cast("int")).otherwise(F.lit(-400))
+    digits = F.when(area > 0, F.round(area / F.pow(F.lit(10.0), power), 9)).otherwise(F.lit(0.0))
+    up = digits >= 10
+    return power + F.when(up, 1).otherwise(0), F.when(up, F.lit(1.0)).otherwise(digits)
+
+
 def largest_overlap(pairs: DataFrame) -> DataFrame:
     """Per left row the right columns of greatest overlap, as struct ``_r``.
 
-    Overlap is compared as a share of the left area to nine digits; equal shares
-    go to the smallest right columns in order, so the choice is repeatable. The
-    aggregate combines map-side.
+    Areas are compared to ten significant digits, whatever the size of the left
+    polygon; equal ones go to the smallest right columns in order, so the choice is
+    repeatable. The aggregate combines map-side.
     """
-    share = F.try_divide(F.col("intersection_area"), F.col("l_area"))
-    share = F.round(F.coalesce(share, F.lit(0.0)), 9)
-    best = F.min(F.struct((-share).alias("neg_share"), F.col("_r")))
+    power, digits = significant(F.col("intersection_area"))
+    best = F.min(F.struct((-power).alias("neg_power"), (-digits).alias("neg_digits"), F.col("_r")))
     return pairs.groupBy("_lid").agg(best.alias("_best")).select("_lid", F.col("_best._r"))
 
 

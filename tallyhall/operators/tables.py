@@ -1,8 +1,10 @@
 """Table maintenance on plain parquet: replace, append, merge, reload, export.
 
-Nothing here reads and overwrites one path. A new version is written beside the
-old one and the catalog table is repointed, so a lost executor or a failed job
-leaves the old version in place.
+Tables are never read and overwritten in one path. A new version is written beside
+the old one and the catalog table is repointed, so a lost executor or a failed job
+leaves the old version in place. Partitioned folders (``merge_partitions``,
+``reload_month_partitions``) are rewritten in place by whole partitions: readers at
+that moment may see some partitions new and others old.
 """
 
 from __future__ import annotations
@@ -14,7 +16,16 @@ from pyspark.sql import functions as F
 
 from tallyhall.functions.geometry import geom_type
 from tallyhall.operators.skew import scatter_nulls
-from tallyhall.session import materialise, scratch_path
+from tallyhall.session import materialise, table_path
+
+
+def guard_unique(batch: DataFrame, keys: list[str], null_safe: bool = False) -> DataFrame:
+    """Refuse a batch that holds a key twice; keys with a null count only if ``null_safe``."""
+    rows = batch if null_safe else batch.dropna(subset=keys)
+    twice = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    if not twice.isEmpty():
+        raise ValueError(f"the batch holds a key of {keys} more than once")
+    return batch
 
 
 def keyed_merge(
@@ -25,7 +36,8 @@ def keyed_merge(
     By default null keys match nothing, as under SQL ``=``, so such rows pile up
     over repeated runs; ``null_safe`` treats null as an ordinary value. Only the
     keys of ``batch`` are shuffled for the join, and target rows with a null key
-    are scattered instead of meeting in one task.
+    are scattered instead of meeting in one task. ``batch`` is planned twice, so
+    hand in a stored one; ``guard_unique`` refuses keys that it holds twice.
     """
     new = batch.select(*[F.col(k).alias(f"_new_{k}") for k in keys])
     if null_safe:
@@ -74,9 +86,14 @@ def _clustered(df: DataFrame, cluster_by: list[str]) -> DataFrame:
 
 
 def write_replace(df: DataFrame, table: str, cluster_by: list[str] | None = None) -> str:
-    """Write a new version of ``table`` and repoint the catalog to it."""
+    """Write a new version of ``table`` and repoint the catalog to it.
+
+    A managed table is refused: dropping it would delete its files.
+    """
     spark = df.sparkSession
-    path = scratch_path(spark, table.replace(".", "/"))
+    if spark.catalog.tableExists(table) and spark.catalog.getTable(table).tableType == "MANAGED":
+        raise ValueError(f"{table} is managed by the catalog; its versions can't be kept")
+    path = table_path(spark, table)
     (_clustered(df, cluster_by) if cluster_by else df).write.parquet(path)
     if spark.catalog.tableExists(table):
         if [f.dataType for f in spark.table(table).schema] == [
@@ -85,20 +102,30 @@ def write_replace(df: DataFrame, table: str, cluster_by: list[str] | None = None
             spark.sql(f"alter table {table} set location '{path}'")
             spark.catalog.refreshTable(table)
             return path
+        new = f"{table}_{path[-8:]}"  # created first, so a failure leaves the old table
+        spark.catalog.createTable(new, path=path, source="parquet", schema=df.schema)
         spark.sql(f"drop table {table}")  # external: files of the old version stay
+        spark.sql(f"alter table {new} rename to {table}")
+        return path
     spark.catalog.createTable(table, path=path, source="parquet", schema=df.schema)
     return path
 
 
 def write_append(df: DataFrame, table: str, cluster_by: list[str] | None = None) -> None:
-    """Insert into an existing table by column name, or create it."""
+    """Insert into an existing table by column name, or create it.
+
+    A batch must have exactly the table's columns, in any order.
+    """
     if cluster_by:
         raise ValueError("clustering an existing table on append is not supported")
     spark = df.sparkSession
     if not spark.catalog.tableExists(table):
         write_replace(df, table)
         return
-    df.select(*spark.table(table).columns).write.insertInto(table)
+    columns = spark.table(table).columns
+    if {c.lower() for c in columns} != {c.lower() for c in df.columns}:
+        raise ValueError(f"{table} has the columns {columns}, the batch {df.columns}")
+    df.select(*columns).write.insertInto(table)
 
 
 def ensure_database(spark: SparkSession, name: str) -> None:
@@ -114,6 +141,13 @@ def schema_name(custom: str | None, target: str, environment: str) -> str:
     return f"{target.lower().strip()}_{custom.strip()}"
 
 
+INCREMENTAL = "tallyhall.incremental"  # table property
+
+
+def _properties(spark: SparkSession, table: str) -> set[str]:
+    return {r["key"] for r in spark.sql(f"show tblproperties {table}").collect()}
+
+
 def materialize(
     df: DataFrame,
     name: str,
@@ -123,14 +157,19 @@ def materialize(
     limit: int | None = None,
     target: str = "dev",
     environment: str = "dev",
+    full_refresh: bool = False,
 ) -> str:
     """Publish a model as a view, a table or a keyed incremental table.
 
     A view must be built from catalog tables; it is registered for the session.
-    ``limit`` keeps a few rows only, for development targets.
+    ``limit`` keeps a few rows of a view only, for development: it would cut a stored
+    table. An incremental table holds history its source may have lost, so it is built
+    anew only with ``full_refresh``.
     """
     spark = df.sparkSession
     if limit is not None:
+        if kind != "view":
+            raise ValueError("a limit would cut the stored table")
         df = df.limit(limit)
     if kind == "view":
         df.createOrReplaceTempView(name)
@@ -138,14 +177,19 @@ def materialize(
     database = schema_name(layer, target, environment)
     ensure_database(spark, database)
     table = f"{database}.{name}"
+    exists = spark.catalog.tableExists(table)
     if kind == "table":
+        if exists and not full_refresh and INCREMENTAL in _properties(spark, table):
+            raise ValueError(f"{table} is incremental; rebuild it with full_refresh")
         write_replace(df, table)
     elif kind == "incremental":
         if not keys:
             raise ValueError("an incremental model needs its merge keys")
-        if spark.catalog.tableExists(table):
-            df = keyed_merge(spark.table(table), df, keys)
+        if exists and not full_refresh:
+            batch = guard_unique(materialise(df, "model"), keys)
+            df = keyed_merge(spark.table(table), batch, keys)
         write_replace(df, table)
+        spark.sql(f"alter table {table} set tblproperties ('{INCREMENTAL}' = 'true')")
     else:
         raise ValueError(f"unknown materialisation {kind!r}")
     return table
@@ -202,7 +246,7 @@ def merge_partitions(
     """
     if part not in keys:
         raise ValueError("the partition column must be one of the merge keys")
-    batch = materialise(batch, "batch")
+    batch = guard_unique(materialise(batch, "batch"), keys, null_safe)
     fs_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     if fs_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(fs_path):
         reached = [r[0] for r in batch.select(part).distinct().collect()]  # one per partition

@@ -229,15 +229,39 @@ OVERLAP = (
 OWN = "(l.maxx - l.minx) * (l.maxy - l.miny)"
 
 
-def _best(right: str, cols: list[str]) -> str:
+def _moved(boxes: str) -> str:
+    return f"(select * replace (miny - 45 as miny, maxy - 45 as maxy) from {boxes})"
+
+
+SPHERE_SQM = fv.EARTH_RADIUS_M**2
+SPHERE_OVERLAP = (
+    f"{SPHERE_SQM!r} * radians(least(l.maxx, r.maxx) - greatest(l.minx, r.minx)) * "
+    "(sin(radians(least(l.maxy, r.maxy))) - sin(radians(greatest(l.miny, r.miny))))"
+)
+SPHERE_OWN = (
+    f"{SPHERE_SQM!r} * radians(l.maxx - l.minx) * (sin(radians(l.maxy)) - sin(radians(l.miny)))"
+)
+
+
+def _best(right: str, cols: list[str], left: str = FP, overlap: str = OVERLAP) -> str:
     return f"""(select * exclude (rn) from (
     select l.footprint_id, {", ".join("r." + c for c in cols)},
            row_number() over (partition by l.footprint_id order by
-             round({OVERLAP} / ({OWN}), 9) desc, {", ".join("r." + c for c in cols)}) as rn
-    from {FP} l join {right} r on {TOUCH}) where rn = 1)"""
+             {_digits(overlap)}, {", ".join("r." + c for c in cols)}) as rn
+    from {left} l join {right} r on {TOUCH}) where rn = 1)"""
+
+
+def _digits(area: str) -> str:
+    """Order from the largest area down, to ten significant digits."""
+    power = f"case when ({area}) > 0 then floor(log10({area})) else -400 end"
+    return f"case when ({area}) > 0 then {power} + log10(round(({area}) / pow(10.0, {power}), 9)) else -400 end desc"
 
 
-def _census(left_cols: list[str]) -> str:
+def _census(left_cols: list[str], sphere: bool = False) -> str:
+    """``sphere``: boxes moved to the globe's middle, areas in square metres."""
+    fp, blocks, places = (_moved(b) for b in (FP, BLOCKS, PLACES)) if sphere else (FP, BLOCKS, PLACES)
+    overlap = SPHERE_OVERLAP if sphere else OVERLAP
+    own = f"round({SPHERE_OWN}, -4)" if sphere else f"round({OWN}, 6)"
     classes = " ".join(f"when '{k}' then '{v}'" for k, v in fv.PLACE_CLASSES.items())
     place_cols = ["placefp", "placens", "geoid", "name", "classfp"]
     return f"""
@@ -245,9 +269,9 @@ select l.footprint_id, {"".join("l." + c + ", " for c in left_cols)}
        b.countyfp20 as county_fips, b.tractce20 as tract, b.blockce20 as block,
        b.geoid20 as block_geoid, p.placefp as place_fips, p.placens as place_ns,
        p.geoid as place_geoid, p.name as place_name, p.classfp as class_fips_code,
-       case p.classfp {classes} end as class_fips, round({OWN}, 6) as area_sqm
-from {FP} l join {_best(BLOCKS, q.BLOCK_RIGHT)} b using (footprint_id)
-left join {_best(PLACES, place_cols)} p using (footprint_id)"""
+       case p.classfp {classes} end as class_fips, {own} as area_sqm
+from {fp} l join {_best(blocks, q.BLOCK_RIGHT, fp, overlap)} b using (footprint_id)
+left join {_best(places, place_cols, fp, overlap)} p using (footprint_id)"""
 
 
 PAIRS = f"""
@@ -255,8 +279,7 @@ select l.footprint_id, l.height, r.placefp, r.classfp,
        case when r.placefp is not null then round({OVERLAP}, 6) end as intersection_area
 from {FP} l {{kind}} join {PLACES} r on {TOUCH}"""
 
-CENTRED = f"(select * replace (miny - 45 as miny, maxy - 45 as maxy) from {FP})"
-SPHERE_SQM = fv.EARTH_RADIUS_M**2
+CENTRED = _moved(FP)
 
 
 def _tile_x(lon: str, zoom: int = q.ZOOM) -> str:
@@ -434,8 +457,10 @@ def sql() -> dict[str, str]:
         f" as {q.EXACT})) as double) as shared from {FP} l join {FP} r on {TOUCH} group by 1",
         "spatial_anti": "select footprint_id, release, capture_dates_range, height "
         f"from {FP} l where not exists (select 1 from {PLACES} r where {TOUCH})",
-        "us_footprints_with_census": _census(["release", "capture_dates_range"]),
-        "global_footprints_with_census": _census(["height"]),
+        "spatial_largest": "select r_regionkey, (select footprint_id from "
+        f"{FP} l order by {_digits(OWN)}, footprint_id limit 1) as footprint_id from region",
+        "us_footprints_with_census": _census(["release", "capture_dates_range"], sphere=True),
+        "global_footprints_with_census": _census(["height"], sphere=True),
         "footprint_areas": f"select footprint_id, round({SPHERE_SQM / 1e6!r} * radians(maxx - minx) "
         f"* (sin(radians(maxy)) - sin(radians(miny))), 3) as area_sqkm from {CENTRED}",
         "geometry_types": "select footprint_id, 3 as kind, round((maxx - minx) * (maxy - miny), 6) "
@@ -447,6 +472,8 @@ def sql() -> dict[str, str]:
         f"as area from {FP}",
         "ingest_layers": LAYERS,
         "export_partitions": "select footprint_id, height, block_geoid, area_sqm, county_fips "
+        f"from ({_census(['height'])})",
+        "read_county": "select footprint_id, height, block_geoid, area_sqm, county_fips "
         f"from ({_census(['height'])}) where county_fips = '003'",
         "export_counties": f"select distinct county_fips from ({_census([])})",
         "q_not_null": f"select * from ({CLUSTERING}) where table_name is null "
@@ -465,12 +492,10 @@ def sql() -> dict[str, str]:
         "q_schemas_errors": _schemas(True, False),
         "materialize_incremental": PIPE_MERGED,
         "merge_partitions": PIPE_MERGED,
-        "replace_and_append": "select s_suppkey, s_nationkey from supplier "
-        "where s_nationkey < 12 or s_nationkey >= 20",
+        "replace_and_append": "select s_suppkey, s_nationkey from supplier",
         "stream_daily_usage": "select 'WH_' || event_type as warehouse_name, "
         f"cast(ts as date) as usage_date, {_exact('value')} as credits_used from events "
-        "group by 1, 2 having cast(ts as date) + interval 1 day <= "
-        "(select max(ts) - interval 1 day from events)",
+        "group by 1, 2",
         "stream_merge": "select 'WH_' || event_type as warehouse_name, "
         f"cast(ts as date) as usage_date, {_exact('value')} as credits_used from events "
         "group by 1, 2",

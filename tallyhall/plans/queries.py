@@ -473,6 +473,19 @@ def spatial_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return out.drop("geometry")
 
 
+@query
+def spatial_largest(spark: SparkSession, sf: str) -> DataFrame:
+    """The largest footprint under each of five boxes ten thousand million times as large."""
+    corner = F.lit(-1e5) - F.col("r_regionkey")
+    sides = [corner, corner, F.lit(1e5), F.lit(1e5)]
+    vast = table(spark, sf, "region").select("r_regionkey", geo.box_wkb(*sides).alias("geometry"))
+    footprints = _footprints(spark, sf).select("footprint_id", "geometry")
+    out = spatial.spatial_join(
+        vast, footprints, ["r_regionkey"], ["footprint_id"], kind="inner", mode="planar"
+    )
+    return out.drop("geometry")
+
+
 @query
 def spatial_self(spark: SparkSession, sf: str) -> DataFrame:
     """Overlaps among the footprints themselves: many matches on both sides."""
@@ -495,22 +508,24 @@ def spatial_anti(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _with_census(spark: SparkSession, sf: str, cols: list[str], mode: str) -> DataFrame:
+    shapes = centred_shapes if mode == "geography" else boxes
     return spatial.footprints_with_census(
-        _footprints(spark, sf), boxes(spark, sf, "block_boxes"), boxes(spark, sf, "place_boxes"),
+        _footprints(spark, sf) if mode == "planar" else shapes(spark, sf, "footprint_boxes"),
+        shapes(spark, sf, "block_boxes"), shapes(spark, sf, "place_boxes"),
         ["footprint_id", *cols], mode,
     )
 
 
 @query
 def us_footprints_with_census(spark: SparkSession, sf: str) -> DataFrame:
-    out = _with_census(spark, sf, ["release", "capture_dates_range"], "planar")
-    return out.withColumn("area_sqm", F.round("area_sqm", 6)).drop("geometry")
+    out = _with_census(spark, sf, ["release", "capture_dates_range"], "geography")
+    return out.withColumn("area_sqm", F.round("area_sqm", -4)).drop("geometry")
 
 
 @query
 def global_footprints_with_census(spark: SparkSession, sf: str) -> DataFrame:
-    out = _with_census(spark, sf, ["height"], "planar")
-    return out.withColumn("area_sqm", F.round("area_sqm", 6)).drop("geometry")
+    out = _with_census(spark, sf, ["height"], "geography")
+    return out.withColumn("area_sqm", F.round("area_sqm", -4)).drop("geometry")
 
 
 @query
@@ -635,15 +650,27 @@ def ingest_layers(spark: SparkSession, sf: str) -> DataFrame:
     return out.withColumn("failed", F.lit(",".join(sorted(failed))))
 
 
-@query
-def export_partitions(spark: SparkSession, sf: str) -> DataFrame:
-    """Export by county, then read one county back."""
+COUNTY = "footprint_id bigint, height double, block_geoid string, area_sqm double, county_fips string"
+
+
+def _exported(spark: SparkSession, sf: str) -> str:
     path = scratch_path(spark, "counties")
     out = _with_census(spark, sf, ["height"], "planar")
     out = out.withColumn("area_sqm", F.round("area_sqm", 6))
     tables.export_partitions(out, path, "county_fips", geom="geometry")
-    schema = "footprint_id bigint, height double, block_geoid string, area_sqm double, county_fips string"
-    return tables.read_partition(spark, path, "county_fips", "003", schema)
+    return path
+
+
+@query
+def export_partitions(spark: SparkSession, sf: str) -> DataFrame:
+    """Export by county, then read all counties back."""
+    return spark.read.schema(COUNTY).parquet(_exported(spark, sf))
+
+
+@query
+def read_county(spark: SparkSession, sf: str) -> DataFrame:
+    """Export by county, then read one county back."""
+    return tables.read_partition(spark, _exported(spark, sf), "county_fips", "003", COUNTY)
 
 
 @query
@@ -727,12 +754,12 @@ def materialize_incremental(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def replace_and_append(spark: SparkSession, sf: str) -> DataFrame:
-    """A clustered table replaced once, then appended to."""
+    """A clustered table replaced once, then the other rows appended."""
     name = "default.supply_" + scratch_path(spark, "t").rsplit("-", 1)[1]
     rows = table(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
     tables.write_replace(rows, name)
     tables.write_replace(rows.filter("s_nationkey < 12"), name, cluster_by=["s_nationkey"])
-    tables.write_append(rows.filter("s_nationkey >= 20"), name)
+    tables.write_append(rows.filter("s_nationkey >= 12"), name)
     return spark.table(name)
 
 
@@ -752,14 +779,15 @@ def stream_daily_usage(spark: SparkSession, sf: str) -> DataFrame:
     daily = usage_stream.daily_usage(
         _event_stream(spark, sf), "ts", ["warehouse_name"], "credits_used"
     )
-    return plain(usage_stream.run_to_parquet(daily, "daily-usage"))
+    path = scratch_path(spark, "daily-usage")
+    return plain(usage_stream.run_totals(daily, ["warehouse_name", "usage_date"], path))
 
 
 @query
 def stream_merge(spark: SparkSession, sf: str) -> DataFrame:
     stream = _event_stream(spark, sf).withColumn("usage_date", F.to_date("ts"))
     merged = usage_stream.merge_stream(
-        stream, ["warehouse_name", "usage_date"], {"credits_used": "sum(credits_used)"},
-        scratch_path(spark, "merged-usage"), "usage_date",
+        stream, ["warehouse_name", "usage_date"], {"credits_used": "credits_used"},
+        scratch_path(spark, "merged-usage"),
     )
     return plain(merged)

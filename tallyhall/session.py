@@ -14,6 +14,8 @@ import tallyhall
 # Arrow kernels travel inside the task closure, so executors need no install.
 cloudpickle.register_pickle_by_value(tallyhall)
 
+_OWN_ROOTS: dict[str, str] = {}  # temporary folder of each local session without a shared one
+
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession:
     """A local session for tests and benchmarks; clusters bring their own."""
@@ -40,9 +42,10 @@ def scratch_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    root = tempfile.mkdtemp(prefix="tallyhall-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    app = spark.sparkContext.applicationId
+    if app not in _OWN_ROOTS:
+        _OWN_ROOTS[app] = tempfile.mkdtemp(prefix="tallyhall-")
+    return _OWN_ROOTS[app]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -50,6 +53,15 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def table_path(spark: SparkSession, table: str) -> str:
+    """A fresh path for a version of a published table, beside the warehouse's own folders.
+
+    Scratch may be cleaned at any time, so tables never live there.
+    """
+    root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    return f"{root}/_versions/{table.replace('.', '/')}/{uuid.uuid4().hex}"
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and read it back: lineage ends here and survives lost executors.
 

@@ -56,7 +56,7 @@ select concat('ORG', cast(user_id % 2 as string)) as organization_name,
        concat('PIPE_', cast(user_id % 10 as string)) as pipe_name,
        cast(ts as date) as usage_date,
        user_id * 100 as bytes_inserted, 1 as files_inserted, value as credits_used
-from {events} where event_type = 'purchase'""",
+from {events}""",
     "storage_daily_history": """
 select concat('ORG', cast(o_custkey % 2 as string)) as organization_name,
        concat('ACCT', cast(o_custkey % 5 as string)) as account_name,
@@ -98,7 +98,7 @@ select concat('ORG', cast(l_suppkey % 2 as string)) as organization_name,
        l_returnflag as database_name, l_linestatus as schema_name,
        nullif(concat('MV', cast(l_partkey % 20 as string)), 'MV7') as table_name,
        cast(l_shipdate as date) as usage_date, l_quantity / 10 as credits_used
-from {lineitem} where l_linenumber = 1""",
+from {lineitem}""",
     "purchases_landed": """
 select o_orderkey as seq,
        concat('''', cast(o_orderkey % 21 as string)) as purchase_document,
@@ -209,12 +209,13 @@ from {supplier} join {nation} on s_nationkey = n_nationkey where s_suppkey % 4 =
     "columns_documented": """
 select distinct 'raw' as database, concat('S', cast(o_custkey % 3 as string)) as schema,
        concat('T', cast(o_custkey as string)) as "table", 'model' as resource_type,
-       o_orderpriority as "column"
-from {orders} where o_orderstatus <> 'P'""",
+       case o_orderstatus when 'P' then 'dropped' else o_orderpriority end as "column"
+from {orders}""",
     "columns_actual": """
 select distinct 'RAW' as database, concat('s', cast(o_custkey % 3 as string)) as schema,
-       concat('t', cast(o_custkey as string)) as "table", lower(o_orderpriority) as "column"
-from {orders} where o_orderstatus <> 'O'""",
+       concat('t', cast(o_custkey as string)) as "table", lower(case o_orderstatus when 'O' then concat('new ', o_orderpriority)
+                          else o_orderpriority end) as "column"
+from {orders}""",
 }
 
 _NAME = re.compile(r"\{(\w+)\}")

@@ -31,10 +31,12 @@ def geojson_seq(
 ) -> DataFrame:
     """One GeoJSON feature per line, compressed or not; geometry as WKB.
 
-    ``partition`` declares folder columns, so that a tile key keeps its zeros.
+    ``partition`` declares folder columns, so that a tile key keeps its zeros. A line
+    that is no JSON fails a strict read; else it gives a row of nulls.
     """
     extra = f", {partition}" if partition else ""
-    raw = spark.read.schema(_feature(properties) + extra).json(path)
+    reader = spark.read.option("mode", "FAILFAST" if strict else "PERMISSIVE")
+    raw = reader.schema(_feature(properties) + extra).json(path)
     rest = [c for c in raw.columns if c not in ("type", "properties", "geometry")]
     shape = to_wkb(F.col("geometry"), strict=strict, geojson=True)
     return raw.select("properties.*", shape.alias("geometry"), *rest)
@@ -46,32 +48,50 @@ def geojson_collection(
     """One row per feature of a FeatureCollection.
 
     The published files keep each feature on a line of its own, so ``by_line``
-    reads the file as splittable text whatever its size. Without it a file is one
-    record and one task: only for small collections in free layout.
+    reads the file as splittable text whatever its size. A line may also hold a
+    whole collection. A line that is neither feature, collection nor part of the
+    frame around them (as in a file spread over lines freely) fails a strict read,
+    else it gives a row of nulls. Without ``by_line`` a file is one record and one
+    task: only for small collections, in any layout.
     """
     if by_line:
-        body = F.regexp_extract("value", r'^\s*(\{\s*"type"\s*:\s*"Feature"\s*,.*\})\s*,?\s*$', 1)
-        features = (
-            spark.read.text(path)
-            .select(body.alias("body"))
-            .filter("body <> ''")
-            .select(F.from_json("body", _feature(properties)).alias("f"))
+        schema = f"{_struct(properties)}, features: array<struct<{_struct(properties)}>>, _bad: string"
+        body = F.regexp_replace(F.trim("value"), r",\s*$", "")
+        parsed = F.from_json("body", f"struct<{schema}>", {"columnNameOfCorruptRecord": "_bad"})
+        lines = spark.read.text(path).select(body.alias("body")).filter("body <> ''")
+        lines = lines.select("body", parsed.alias("f"))
+        whole = F.col("f._bad").isNull()
+        one = F.struct("f.type", "f.properties", "f.geometry")
+        none = F.slice(F.array(one), 1, 0)
+        frame = F.rlike("body", F.lit(_FRAME)) & ~F.contains("body", F.lit('"Feature"'))
+        fault = F.raise_error(F.concat(F.lit("no feature: "), F.substring("body", 1, 200)))
+        rows = (
+            F.when(whole & (F.col("f.type") == "Feature"), F.array(one))
+            .when(whole & (F.col("f.type") == "FeatureCollection"), F.coalesce("f.features", none))
+            .when(frame, none)
+            .otherwise(fault.cast(f"array<struct<{_struct(properties)}>>") if strict else F.array(F.lit(None).cast(f"struct<{_struct(properties)}>")))
         )
+        features = lines.select(F.explode(rows).alias("f"))
     else:
         schema = f"features array<struct<{_struct(properties)}>>"
-        features = spark.read.schema(schema).json(path, multiLine=True)
+        reader = spark.read.option("mode", "FAILFAST" if strict else "PERMISSIVE")
+        features = reader.schema(schema).json(path, multiLine=True)
         features = features.select(F.explode("features").alias("f"))
     shape = to_wkb(F.col("f.geometry"), strict=strict, geojson=True)
     return features.select("f.properties.*", shape.alias("geometry"))
 
 
+#: Lines around the features of a collection: brackets and members of the collection.
+_FRAME = r'^([\[\]{},\s]*|\{?\s*"[A-Za-z_]+"\s*:.*)$'
+
+
 def _struct(properties: str) -> str:
     return f"type: string, properties: struct<{properties}>, geometry: string"
 
 
 def json_records(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """One JSON record per line."""
-    return spark.read.schema(schema).json(path)
+    """One JSON record per line; a line that is none is an error."""
+    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 
 def indented_lines(spark: SparkSession, path: str) -> DataFrame:

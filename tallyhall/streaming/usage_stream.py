@@ -4,9 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-
-from tallyhall.operators.tables import merge_partitions
-from tallyhall.session import scratch_path
+from pyspark.sql.types import LongType, StructField, StructType
 
 
 def event_stream(spark: SparkSession, folder: str, pattern: str, schema: str) -> DataFrame:
@@ -18,8 +16,8 @@ def event_stream(spark: SparkSession, folder: str, pattern: str, schema: str) ->
 def daily_usage(
     events: DataFrame, ts: str, keys: list[str], measure: str, lateness: str = "1 day"
 ) -> DataFrame:
-    """Totals per key and day. A day is final once the watermark has passed it;
-    rows that arrive later than ``lateness`` are dropped."""
+    """Running totals per key and day. Rows later than ``lateness`` are dropped, as
+    their day is final once the watermark has passed it."""
     return (
         events.withWatermark(ts, lateness)
         .groupBy(F.window(ts, "1 day").alias("w"), *keys)
@@ -28,41 +26,61 @@ def daily_usage(
     )
 
 
-def run_to_parquet(stream: DataFrame, label: str) -> DataFrame:
-    """Process everything available now, then read what was written."""
-    spark = stream.sparkSession
-    path = scratch_path(spark, label)
+def _run(stream: DataFrame, write, path: str, mode: str) -> None:
+    """Process everything available now, one call of ``write`` for each micro-batch."""
     query = (
-        stream.writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", f"{path}/data")
+        stream.writeStream.foreachBatch(write)
+        .outputMode(mode)
         .option("checkpointLocation", f"{path}/state")
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{path}/data")
 
 
-def merge_stream(
-    stream: DataFrame, keys: list[str], totals: dict[str, str], path: str, part: str
-) -> DataFrame:
-    """Merge the totals of each micro-batch into the files under ``path``.
+def _stored(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """All rows written so far with the ``batch`` that wrote them."""
+    whole = StructType([*schema.fields, StructField("batch", LongType())])
+    return spark.read.schema(whole).parquet(f"{path}/data")
+
+
+def _write_batch(path: str):
+    """Writes a micro-batch to a folder of its own, so running it again changes nothing."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/data/batch={batch_id}")
 
-    Totals replace those of the same key, so a batch that runs again after a
-    failure changes nothing, and only partitions it reaches are rewritten. A later
-    start with the same path goes on where the last one ended.
+    return write
+
+
+def run_totals(daily: DataFrame, keys: list[str], path: str) -> DataFrame:
+    """Totals of a stateful stream so far, all days included, the last ones too.
+
+    Each micro-batch writes the totals it changed (update mode); of each key the
+    latest stands. A later start with the same path goes on where the last ended.
     """
+    _run(daily, _write_batch(path), path, "update")
+    rest = [c for c in daily.columns if c not in keys]
+    latest = F.max_by(F.struct(*rest), "batch").alias("_last")
+    stored = _stored(daily.sparkSession, path, daily.schema)
+    return stored.groupBy(*keys).agg(latest).select(*keys, "_last.*")
 
-    def merge(batch: DataFrame, _batch_id: int) -> None:
-        new = batch.groupBy(*keys).agg(*[F.expr(e).alias(n) for n, e in totals.items()])
-        merge_partitions(batch.sparkSession, f"{path}/data", new, keys, part, null_safe=True)
 
-    query = (
-        stream.writeStream.foreachBatch(merge)
-        .option("checkpointLocation", f"{path}/state")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    return stream.sparkSession.read.parquet(f"{path}/data")
+def merge_stream(stream: DataFrame, keys: list[str], sums: dict[str, str], path: str) -> DataFrame:
+    """Sums per key over all micro-batches under ``path``.
+
+    ``sums`` names additive measures by the column they add up. A micro-batch adds
+    its partial sums in a folder of its own; a batch that runs again after a failure
+    replaces that folder, so nothing counts twice and nothing is lost. A later start
+    with the same path goes on where the last one ended.
+    """
+    partial = stream.groupBy(*keys).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        part = batch.groupBy(*keys).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
+        _write_batch(path)(part, batch_id)
+
+    _run(stream, write, path, "append")
+    stored = _stored(stream.sparkSession, path, partial.schema)
+    totals = [F.sum(n).cast(partial.schema[n].dataType).alias(n) for n in sums]
+    return stored.groupBy(*keys).agg(*totals)

@@ -3,6 +3,7 @@
 import gzip
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from tallyhall.sources import readers
@@ -60,6 +61,30 @@ def test_geojson_collection(spark, tmp_path):
         assert all(r.geometry is not None for r in got)
 
 
+def test_collection_layouts_and_bad_lines(spark, tmp_path):
+    features = [feature(i, release=f"r{i}") for i in range(3)]
+    swapped = [{"id": i, **f} for i, f in enumerate(features)]
+    one_line = json.dumps({"type": "FeatureCollection", "name": "x", "features": features})
+    by_line = ['{"type": "FeatureCollection",', '"name": "x",', '"features": [']
+    by_line += [json.dumps(f) + "," for f in swapped] + ["]", "}"]
+    for name, text in (("one", one_line), ("swapped", "\n".join(by_line))):
+        (tmp_path / name).write_text(text)
+        got = readers.geojson_collection(spark, str(tmp_path / name), "release string").collect()
+        assert sorted(r.release for r in got) == ["r0", "r1", "r2"]
+    broken = [json.dumps(features[0]) + ",", json.dumps(features[1])[:-9] + ",", json.dumps(features[2])]
+    for name, text in (
+        ("corrupt", "\n".join(broken)),
+        ("free", json.dumps({"type": "FeatureCollection", "features": features}, indent=2)),
+    ):
+        (tmp_path / name).write_text(text)
+        with pytest.raises(Exception, match="no feature"):
+            readers.geojson_collection(spark, str(tmp_path / name), "release string").collect()
+    loose = readers.geojson_collection(spark, str(tmp_path / "corrupt"), "release string", strict=False)
+    assert sorted(r.release or "" for r in loose.collect()) == ["", "r0", "r2"]
+    with pytest.raises(Exception, match="(?i)malformed"):
+        readers.geojson_seq(spark, str(tmp_path / "corrupt"), "release string").collect()
+
+
 def test_lines_keep_their_order_over_splits(spark, tmp_path):
     lines = [f"{i:04d} " + "x" * (i % 40) for i in range(2000)]
     (tmp_path / "manual.txt").write_text("\n".join(lines) + "\n")
@@ -77,7 +102,7 @@ def test_lines_keep_their_order_over_splits(spark, tmp_path):
     assert [r.line for r in sorted(got, key=lambda r: r.line_no)] == lines
 
 
-def test_stream_merge_is_idempotent_and_replaces(spark, tmp_path):
+def test_stream_merge_is_idempotent_and_adds_up(spark, tmp_path):
     landed = str(tmp_path / "landed")
     schema = "k string, v int"
     for i, rows in enumerate(([("a", 1), ("a", 2), ("b", 5)], [("a", 10), ("c", 7)])):
@@ -86,8 +111,8 @@ def test_stream_merge_is_idempotent_and_replaces(spark, tmp_path):
     stream = reader.option("recursiveFileLookup", "true").parquet(landed)
     path = str(tmp_path / "merged")
     for _ in range(2):  # the second start finds nothing new
-        out = usage_stream.merge_stream(stream, ["k"], {"total": "sum(v)"}, path, "k")
-        assert {r.k: r.total for r in out.collect()} == {"a": 10, "b": 5, "c": 7}
+        out = usage_stream.merge_stream(stream, ["k"], {"total": "v"}, path)
+        assert {r.k: r.total for r in out.collect()} == {"a": 13, "b": 5, "c": 7}
 
 
 def test_late_rows_are_dropped(spark, tmp_path):
@@ -102,5 +127,8 @@ def test_late_rows_are_dropped(spark, tmp_path):
         row.withColumn("ts", F.to_timestamp("ts")).coalesce(1).write.parquet(f"{landed}/{i}")
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
     stream = reader.option("recursiveFileLookup", "true").parquet(landed)
-    out = usage_stream.run_to_parquet(usage_stream.daily_usage(stream, "ts", ["k"], "v"), "late")
-    assert {(str(r.usage_date), r.v) for r in out.collect()} == {("2024-01-01", 1), ("2024-01-05", 5)}
+    daily = usage_stream.daily_usage(stream, "ts", ["k"], "v")
+    for _ in range(2):  # the second start finds nothing new
+        out = usage_stream.run_totals(daily, ["k", "usage_date"], str(tmp_path / "totals"))
+        got = {(str(r.usage_date), r.v) for r in out.collect()}
+        assert got == {("2024-01-01", 1), ("2024-01-05", 5), ("2024-01-09", 4)}

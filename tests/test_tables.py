@@ -106,6 +106,8 @@ def test_materialize(spark):
     view = f"v_{uuid.uuid4().hex}"
     assert tables.materialize(spark.range(9).toDF("id"), view, "marts", "view", limit=4) == view
     assert spark.table(view).count() == 4
+    with pytest.raises(ValueError, match="limit"):
+        tables.materialize(spark.range(9).toDF("id"), view, "marts", "table", limit=4)
     full = tables.materialize(spark.range(3).toDF("id"), view, "marts", "table")
     assert full == f"dev_marts.{view}" and spark.table(full).count() == 3
     for kind, keys in (("incremental", None), ("snapshot", ["id"])):
@@ -113,6 +115,30 @@ def test_materialize(spark):
             tables.materialize(spark.range(3).toDF("id"), view, "marts", kind, keys)
 
 
+def test_history_is_kept(spark):
+    rows, model = spark.range(5).toDF("id"), f"m_{uuid.uuid4().hex}"
+    full = tables.materialize(rows, model, "marts", "incremental", ["id"])
+    with pytest.raises(ValueError, match="full_refresh"):
+        tables.materialize(rows.limit(1), model, "marts", "table")
+    with pytest.raises(ValueError, match="more than once"):
+        tables.materialize(rows.union(rows), model, "marts", "incremental", ["id"])
+    tables.materialize(spark.range(4, 7).toDF("id"), model, "marts", "incremental", ["id"])
+    assert spark.table(full).count() == 7
+    tables.materialize(rows.limit(1), model, "marts", "table", full_refresh=True)
+    assert spark.table(full).count() == 1
+
+
+def test_managed_tables_and_unknown_columns(spark):
+    managed, table = name(), name()
+    spark.range(3).write.saveAsTable(managed)
+    with pytest.raises(ValueError, match="managed"):
+        tables.write_replace(spark.range(2).withColumn("x", F.lit(1)), managed)
+    assert spark.table(managed).count() == 3
+    tables.write_append(spark.range(3).toDF("id"), table)
+    with pytest.raises(ValueError, match="columns"):
+        tables.write_append(spark.range(3).withColumn("extra", F.lit(1)), table)
+
+
 def test_schema_name():
     assert tables.schema_name(None, " DEV ", "dev") == "dev"
     assert tables.schema_name("Marts", "dev", "prd") == "marts"
