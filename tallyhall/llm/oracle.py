@@ -1,5 +1,113 @@
-"""SQL twins of the operators that SQL can express."""
+"""SQL twins, for DuckDB, of the operators that SQL can express.
+
+The other operators are held against brute force in ``tests/llm``.
+"""
 
 from __future__ import annotations
 
-SQL: dict[str, str] = {}
+from tallyhall.llm import cover_tree, secret_scan, topk
+
+_GOOD = (
+    "vec_id is not null and embedding is not null and len(embedding) > 0 and "
+    "list_bool_and(list_transform(embedding, lambda x: x is not null and isfinite(x)))"
+)
+
+
+def _links() -> str:
+    return f"""
+with recursive v as (
+  select vec_id, cast(embedding as double[]) as e from embeddings
+  where {_GOOD} and list_bool_or(list_transform(embedding, lambda x: x <> 0))),
+links as (
+  select a.vec_id as a, b.vec_id as b from v a join v b
+  on a.vec_id <> b.vec_id and len(a.e) = len(b.e)
+  where list_cosine_similarity(a.e, b.e) >= {cover_tree.THRESHOLD}),
+reach(id, other) as (
+  select vec_id, vec_id from embeddings
+  union
+  select reach.id, links.b from reach join links on reach.other = links.a),
+component as (select id, min(other) as component_id from reach group by id)
+select id as vec_id, (select count(*) from links where a = id) as n_links, component_id,
+       id = component_id as kept
+from component"""
+
+
+def _top_k(k: int = 10) -> str:
+    return f"""
+with v as (
+  select vec_id, list_transform(embedding, lambda x: floor({topk.SCALE} * cast(x as double))) as e
+  from embeddings where {_GOOD}),
+scored as (
+  select q.vec_id as query_id, v.vec_id, cast(list_dot_product(q.e, v.e) as bigint) as score
+  from v as q join v on q.vec_id % 100 = 0 and q.vec_id <> v.vec_id and len(q.e) = len(v.e)),
+ranked as (
+  select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank
+  from scored)
+select query_id, rank, vec_id, score from ranked where rank <= {k}"""
+
+
+def _quoted(pattern: str) -> str:
+    return "'" + pattern.replace("'", "''") + "'"
+
+
+def _places(pattern: str) -> str:
+    """Rows ``doc_id, start, hit`` of every match: lengths between matches give the places."""
+    p = _quoted(pattern)
+    return f"""(
+  select doc_id, hits[i] as hit,
+         cast(list_sum(list_transform(gaps[1:i], lambda g: length(g))) as bigint)
+         + coalesce(cast(list_sum(list_transform(hits[1:i - 1], lambda h: length(h))) as bigint), 0) as start
+  from (select doc_id, hits, gaps, unnest(range(1, len(hits) + 1)) as i from (
+    select doc_id, regexp_extract_all(t, {p}) as hits, regexp_split_to_array(t, {p}) as gaps
+    from texts where regexp_matches(t, {p}))))"""
+
+
+def _secrets() -> str:
+    names = " ".join(f"when {i} then '{k}'" for i, k in enumerate(secret_scan.KINDS))
+    allowed = " or ".join(f"regexp_full_match(hit, {_quoted(p)})" for p in secret_scan.ALLOWED)
+    w, bars = secret_scan.WINDOW, secret_scan.THRESHOLDS
+    spans = "string_agg(name || ':' || start || ':' || \"end\", ',' order by start, kind, \"end\")"
+    counts = ", ".join(f"count(*) filter (kind = {i}) as n_{k}" for i, k in enumerate(secret_scan.KINDS))
+    columns = ", ".join(f"coalesce(n_{k}, 0) as n_{k}" for k in secret_scan.KINDS)
+    return f"""
+with texts as (select doc_id, coalesce(text, '') as t from documents),
+base as (
+  select doc_id, start, 0 as kind, start + length(hit) as "end" from {_places(secret_scan.ASSIGN)}
+  where length(regexp_extract(hit, {_quoted(secret_scan.ASSIGN)}, 2)) >= {secret_scan.ASSIGN_VALUE}
+  union all select doc_id, start, 1, start + length(hit) from {_places(secret_scan.ACCESS)}
+  union all select doc_id, start, 2, start + length(hit) from {_places(secret_scan.HEX)}),
+candidates as (
+  select doc_id, start, hit, regexp_full_match(hit, '[0-9A-Fa-f]+') as hex
+  from {_places(secret_scan.RUN)} where not ({allowed})),
+windows as (
+  select doc_id, start, hex, i from (
+    select *, unnest(range(0, length(hit) - {w - 1})) as i from candidates)
+  where list_aggregate(string_split(substr(hit, cast(i as integer) + 1, {w}), ''), 'entropy')
+        >= case when hex then {bars["hex"]} else {bars["base64"]} end),
+marked as (
+  select *, case when i - lag(i) over (partition by doc_id, start order by i) <= {w} then 0 else 1 end as fresh
+  from windows),
+joined as (
+  select doc_id, start, hex, i, sum(fresh) over (partition by doc_id, start order by i) as island from marked),
+high as (
+  select doc_id, start + min(i) as start, case when hex then 3 else 4 end as kind,
+         start + max(i) + {w} as "end"
+  from joined group by doc_id, joined.start, hex, island),
+spans as (
+  select * from base
+  union all
+  select * from high where not exists (
+    select 1 from base b where b.doc_id = high.doc_id and b.start <= high.start and high."end" <= b."end")),
+named as (select *, case kind {names} end as name from spans),
+found as (
+  select doc_id, {counts}, {spans} as spans, {spans} filter (kind < 3) as base_spans
+  from named group by doc_id)
+select d.doc_id, {columns}, sha256(coalesce(base_spans, '')) as base_sha256, coalesce(spans, '') as spans
+from documents d left join found using (doc_id)"""
+
+
+SQL: dict[str, str] = {
+    "op3_embedding_near_dedup": _links(),
+    "op4_exact_top_k": _top_k(),
+    "op7_secret_scan": _secrets(),
+}
