@@ -9,7 +9,7 @@ from tallyhall.functions import geometry as geo
 from tallyhall.operators import clean, hierarchy, spatial, tables
 from tallyhall.sources import readers
 
-MAX_PRUNE_TILES = 4**10  # tiles of the whole world at zoom 10, 11 bytes each
+MAX_LISTED = 200_000  # catalogued files that one read names; beyond, the folder is joined
 
 ORGANISATION = (
     "webAgencyCd string, legalTitl string, allBudgetYearDols double, displayOnWebFlg string"
@@ -37,22 +37,29 @@ def ingest_tiles(
     properties: str,
     zoom: int = 9,
 ) -> DataFrame:
-    """Features of every catalogued tile that meets a mask, in one read.
+    """Features of the files a catalogue lists for a location, where their tile meets a mask.
 
-    Files lie in one folder per tile, so the semi-join prunes folders before any
-    feature is parsed. The tile list is broadcast only at zooms where the whole
-    world's tiles are few enough.
+    Exactly the listed files are opened, so a tile that two locations share gives only this
+    one's features, no other file is read, and a listed file that is absent is an error.
+    The list is one row for each file and its size is checked; a longer one is joined to
+    the files' own paths instead.
     """
     touching = spatial.tiles_touching(masks, zoom).select("quadkey")
     links = readers.csv_catalogue(spark, catalogue).filter(F.col("Location") == location)
-    listed = links.select(F.col("QuadKey").alias("quadkey"))
-    wanted = listed.join(touching, "quadkey", "left_semi").distinct()
-    if 4**zoom <= MAX_PRUNE_TILES:
-        wanted = F.broadcast(wanted)
-    rows = readers.geojson_seq(
-        spark, features, properties, strict=False, partition="quadkey string"
-    )
-    return rows.join(wanted, "quadkey", "left_semi")
+    listed = links.select(F.col("QuadKey").alias("quadkey"), F.col("Url").alias("url"))
+    wanted = listed.join(touching, "quadkey", "left_semi").select("url").distinct()
+    urls = [r["url"] for r in wanted.limit(MAX_LISTED + 1).collect()]
+    kind = "location string, quadkey string"
+    if len(urls) <= MAX_LISTED:
+        found = readers.geojson_seq(
+            spark, urls or features, properties, strict=False, partition=kind, base=features
+        )
+        found = found if urls else found.limit(0)
+    else:
+        found = readers.geojson_seq(spark, features, properties, strict=False, partition=kind)
+        folder = F.concat_ws("/", F.lit(features), F.concat(F.lit("location="), "location"), F.concat(F.lit("quadkey="), "quadkey"))
+        found = found.join(wanted, folder == F.col("url"), "left_semi")
+    return found.drop("location")
 
 
 def ingest_features(spark: SparkSession, path: str, properties: str) -> DataFrame:

@@ -336,7 +336,7 @@ def _in_place(zoom: int) -> str:
 SEMI = f"select footprint_id, quadkey from {_in_place(q.ZOOM)}"
 INGESTED = f"""
 select height, footprint_id, quadkey, round((maxx - minx) * (maxy - miny), 6) as area
-from {_in_place(q.LANDED_ZOOM)} where right(quadkey, 1) <> '3'"""
+from {_in_place(q.LANDED_ZOOM)} where right(quadkey, 1) <> '3' or footprint_id % 2 = 1"""
 
 LAYERS = f"""
 select 'blocks' as layer, round((maxx - minx) * (maxy - miny), 6) as area, 'unknown' as failed

@@ -570,7 +570,10 @@ def tile_semi_join(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _tile_files(spark: SparkSession, sf: str) -> tuple[str, str]:
-    """Footprints landed as compressed GeoJSON lines by tile, with a link catalogue."""
+    """Footprints landed as compressed GeoJSON lines, with a link catalogue.
+
+    A tile on the border has a file of either country.
+    """
     path = scratch_path(spark, "tiles")
     corners = [F.col(c) for c in spatial.BOX]
     x, y = tl.tile_x(F.col("minx"), LANDED_ZOOM), tl.tile_y(F.col("miny"), LANDED_ZOOM)
@@ -586,15 +589,18 @@ def _tile_files(spark: SparkSession, sf: str) -> tuple[str, str]:
         ),
         "features",
     )
-    landed.hint("rebalance", "quadkey").write.partitionBy("quadkey").json(
+    border = (F.substring("quadkey", -1, 1) == "3") & (F.col("properties.footprint_id") % 2 == 0)
+    landed = landed.withColumn("location", F.when(border, "Canada").otherwise("UnitedStates"))
+    landed.hint("rebalance", "location", "quadkey").write.partitionBy("location", "quadkey").json(
         f"{path}/features", compression="gzip"
     )
     links = landed.select(
-        F.when(F.substring("quadkey", -1, 1) == "3", "Canada")
-        .otherwise("UnitedStates")
-        .alias("Location"),
+        F.col("location").alias("Location"),
         F.col("quadkey").alias("QuadKey"),
-        F.concat(F.lit(f"{path}/features/quadkey="), "quadkey").alias("Url"),
+        F.concat_ws(
+            "/", F.lit(f"{path}/features"), F.concat(F.lit("location="), "location"),
+            F.concat(F.lit("quadkey="), "quadkey"),
+        ).alias("Url"),
         F.lit("1KB").alias("Size"),
         F.lit("2024-01-01").alias("UploadDate"),
     ).distinct()

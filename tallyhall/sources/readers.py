@@ -27,15 +27,24 @@ def _feature(properties: str) -> str:
 
 
 def geojson_seq(
-    spark: SparkSession, path: str, properties: str, strict: bool = True, partition: str = ""
+    spark: SparkSession,
+    path: str | list[str],
+    properties: str,
+    strict: bool = True,
+    partition: str = "",
+    base: str = "",
 ) -> DataFrame:
     """One GeoJSON feature per line, compressed or not; geometry as WKB.
 
+    ``path`` may list files or folders; one that is absent is an error. ``base`` is then
+    the folder above the partition folders.
+
     ``partition`` declares folder columns, so that a tile key keeps its zeros. A line
     that is no JSON fails a strict read; else it gives a row of nulls.
     """
     extra = f", {partition}" if partition else ""
     reader = spark.read.option("mode", "FAILFAST" if strict else "PERMISSIVE")
+    reader = reader.option("basePath", base) if base else reader
     raw = reader.schema(_feature(properties) + extra).json(path)
     rest = [c for c in raw.columns if c not in ("type", "properties", "geometry")]
     shape = to_wkb(F.col("geometry"), strict=strict, geojson=True)
