@@ -13,7 +13,7 @@ Null and empty pages have no text, nor have pages of nothing but boilerplate; te
 any markup is one line and is kept. Rows are read one by one, so repeated rows need no
 rule; further columns are ignored; an empty table gives an empty result. Broken markup:
 an end tag closes what is open inside its element, a tag that never closes ends with its
-parent, and an article or main region opens even inside boilerplate left open.
+parent, and if all articles and main regions lie in boilerplate, it was left open there.
 """
 
 from __future__ import annotations
@@ -57,6 +57,8 @@ MARKS = frozenset(
     "social related recommended recommendations widget widgets comment comments disqus respond reply replies "
     "discussion pagination pager toolbar skip hidden".split()
 )
+#: Words that make a mark a remark on the layout, as in ``with-sidebar``.
+ABOUT = frozenset("with has no without not".split())
 NAME = re.compile(r"[a-z]+|[0-9]+")
 CAMEL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
 #: Elements that a start of the same kind ends, where authors leave end tags out.
@@ -72,7 +74,7 @@ def marked(attributes: list[tuple[str, str | None]]) -> bool:
             continue
         if name in ("class", "id"):
             words = NAME.findall(CAMEL.sub(" ", value).lower())
-            if any(w in MARKS for w in words):
+            if any(w in MARKS and before not in ABOUT for before, w in zip(["", *words], words)):
                 return True
         elif name == "role" and value.strip().lower() in ROLES:
             return True
@@ -88,7 +90,7 @@ class Lines(HTMLParser):
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, tuple[int, ...], bool]] = []
+        self.lines: list[tuple[str, int, tuple[int, ...], bool, bool]] = []
         self.open: list[tuple[str, bool, int | None]] = []  # tag, boilerplate, container
         self.regions: set[int] = set()
         self.containers = 0
@@ -99,7 +101,8 @@ class Lines(HTMLParser):
         text = " ".join("".join(self.text).split())
         if text:
             around = tuple(c for _, _, c in self.open if c is not None)
-            self.lines.append((text, max(1, self.tags), around, any(bad for _, bad, _ in self._since_region())))
+            within = any(bad for _, bad, _ in self._since_region())
+            self.lines.append((text, max(1, self.tags), around, within or any(b for _, b, _ in self.open), within))
         self.text, self.tags = [], 0
 
     def _since_region(self) -> list[tuple[str, bool, int | None]]:
@@ -166,11 +169,14 @@ def main_text(html: str | None) -> str:
     parser.close()
     parser.cut()
     lines = parser.lines
-    clean = [i for i, line in enumerate(lines) if not line[3]]
+    bad = [line[3] for line in lines]
+    if parser.regions and not any(parser.regions & set(line[2]) for line in lines if not line[3]):
+        bad = [line[4] for line in lines]  # every region lies in boilerplate, left open by mistake
+    clean = [i for i, b in enumerate(bad) if not b]
     if not clean:
         return ""
     sizes = np.array([len(line[0]) for line in lines], float)
-    ratios = np.array([0.0 if line[3] else size / line[1] for line, size in zip(lines, sizes)])
+    ratios = np.array([0.0 if b else size / line[1] for line, size, b in zip(lines, sizes, bad)])
     level = smooth(ratios)
     bar = MEAN_SHARE * level[clean].mean() + DEVIATION_SHARE * level[clean].std()
     clustered = [i for i in clean if level[i] >= bar] or clean

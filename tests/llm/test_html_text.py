@@ -18,6 +18,7 @@ LONG = "This paragraph is long enough to look like the text of an article, and i
         (f"<nav><a>a</a></nav><article><h1>T</h1><p><b>bold</b>xy<p>{LONG}</p></article><footer>f</footer>", f"T boldxy {LONG}"),
         (f"<div id=cookieNotice>{LONG}</div><div class=content><p>{LONG}</p><p>Short.</p></div><div class='user-comments'><p>{LONG}</p></div>", f"{LONG} Short."),
         (f"<body>{LONG}<script>var a='</p>'+1;</script><style>p{{}}</style><form><p>{LONG}</p></form></body>", LONG),
+        (f"<article class='no-sidebar'><p>{LONG}</p></article><aside><article>{LONG} Related.</article></aside>", LONG),
         (f"<aside><p>never closed<article><p>{LONG}</p></article>", LONG),
         (f"<main>\n <p>{LONG}</p>\n<ul><li>one<li>two</ul><div class='ad'>buy</div></main>", f"{LONG} one two"),
     ],
