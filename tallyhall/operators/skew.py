@@ -43,31 +43,64 @@ def hot_keys(df: DataFrame, keys: list[str], min_rows: int) -> DataFrame | None:
     return df.sparkSession.createDataFrame(found, hot.schema) if found else None
 
 
+def _salted(df: DataFrame, hot: DataFrame | None, keys: list[str], own: str, other: str) -> DataFrame:
+    """Rows dealt over the salts of their own side and repeated over those of the other.
+
+    ``hot`` holds ``_own`` and ``_other`` salt counts by key; other keys have one salt.
+    """
+    if hot is None:
+        return df.withColumns({own: F.lit(0), other: F.lit(0)})
+    mine, theirs = F.coalesce("_own", F.lit(1)), F.coalesce("_other", F.lit(1))
+    deal = F.pmod(F.xxhash64(*df.columns), mine).cast("int").alias(own)
+    repeat = F.explode(F.sequence(F.lit(0), theirs - 1)).alias(other)
+    return df.join(F.broadcast(hot), keys, "left").select(*df.columns, deal, repeat)
+
+
 def skew_join(
     left: DataFrame, right: DataFrame, keys: list[str], how: str, min_rows: int = 1_000_000
 ) -> DataFrame:
     """Equi-join on ``keys`` with SQL ``=`` semantics (null matches nothing).
 
-    Left rows of a hot key are dealt over several salts by a hash of the row, and
-    the right rows of that key repeated once per salt, so every pair meets exactly
-    once; left rows with a null key are scattered. Identical copies share a salt;
-    adaptive execution splits those by map task.
+    Rows of a key that is hot on either side are dealt over several salts by a hash of
+    the row, and the other side's rows of that key repeated once per salt, so every pair
+    meets exactly once; left rows with a null key are scattered. A key hot on the right
+    has a match for each of its left rows, so there a left join is an inner one. Semi and
+    anti joins need each right key once only. Identical copies share a salt; adaptive
+    execution splits those by map task.
     """
     if how not in HOW:
         raise ValueError(f"unsupported join type {how!r}")
     right = right.filter(~any_null(keys))
-    hot = hot_keys(left.select(*keys).filter(~any_null(keys)), keys, min_rows)
+    one_sided = how in ("left_semi", "left_anti")
+    if one_sided:
+        right = right.select(*keys).distinct()
+    hot_left = hot_keys(left.select(*keys).filter(~any_null(keys)), keys, min_rows)
+    hot_right = None if one_sided else hot_keys(right.select(*keys), keys, min_rows)
+    if hot_right is not None:
+        # Both sides' salts of the keys that are hot on the right: a grid, and an inner join.
+        grid = hot_right.withColumnRenamed("_salts", "_right")
+        if hot_left is not None:
+            grid = grid.join(hot_left.withColumnRenamed("_salts", "_left"), keys, "left")
+        else:
+            grid = grid.withColumn("_left", F.lit(1))
+        grid = materialise_small(grid.withColumn("_left", F.coalesce("_left", F.lit(1))))
+        names = F.broadcast(grid.select(*keys))
+        ours = grid.select(*keys, F.col("_left").alias("_own"), F.col("_right").alias("_other"))
+        theirs = grid.select(*keys, F.col("_right").alias("_own"), F.col("_left").alias("_other"))
+        a = _salted(left.join(names, keys, "left_semi"), ours, keys, "_i", "_j")
+        b = _salted(right.join(names, keys, "left_semi"), theirs, keys, "_j", "_i")
+        crowded = a.join(b, [*keys, "_i", "_j"], "inner").drop("_i", "_j")
+        left, right = (df.join(names, keys, "left_anti") for df in (left, right))
     scatter = scatter_nulls(keys, left.columns)
-    if hot is None:
-        dealt = left.withColumn("_salt", scatter)
-        repeated = right.withColumn("_salt", F.lit(0))
-    else:
-        salts = F.coalesce("_salts", F.lit(1))
-        deal = F.pmod(F.xxhash64(*left.columns), salts).cast("int")
-        dealt = left.join(F.broadcast(hot), keys, "left").select(
-            *left.columns, F.when(any_null(keys), scatter).otherwise(deal).alias("_salt")
-        )
-        repeated = right.join(F.broadcast(hot), keys, "left").select(
-            *right.columns, F.explode(F.sequence(F.lit(0), salts - 1)).alias("_salt")
-        )
-    return dealt.join(repeated, [*keys, "_salt"], how).drop("_salt")
+    own = None if hot_left is None else hot_left.select(*keys, F.col("_salts").alias("_own"), F.lit(1).alias("_other"))
+    theirs = None if hot_left is None else hot_left.select(*keys, F.lit(1).alias("_own"), F.col("_salts").alias("_other"))
+    dealt = _salted(left, own, keys, "_salt", "_one").drop("_one")
+    dealt = dealt.withColumn("_salt", F.when(any_null(keys), scatter).otherwise(F.col("_salt")))
+    repeated = _salted(right, theirs, keys, "_one", "_salt").drop("_one")
+    rest = dealt.join(repeated, [*keys, "_salt"], how).drop("_salt")
+    return rest if hot_right is None else rest.unionByName(crowded)
+
+
+def materialise_small(df: DataFrame) -> DataFrame:
+    """At most MAX_HOT rows as a local relation, so they are not computed in every join."""
+    return df.sparkSession.createDataFrame(df.collect(), df.schema)

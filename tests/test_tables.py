@@ -168,6 +168,22 @@ def test_contracts_and_purchases_jobs(spark):
     assert spark.table(table).count() == 1
 
 
+@pytest.mark.parametrize("how", skew.HOW)
+@pytest.mark.parametrize("crowd", [0, 2000])
+def test_skew_join_of_a_crowded_right(spark, how, crowd):
+    """One key holds most rows of the right side, and of both where ``crowd`` is set."""
+    left = spark.range(400 + crowd).select(
+        F.when(F.col("id") < 400, F.col("id") % 40).otherwise(3).alias("k"), F.col("id").alias("v")
+    )
+    left = left.unionByName(spark.createDataFrame([(None, -1), (99, -2)], "k long, v long"))
+    right = spark.range(900).select(
+        F.when(F.col("id") % 9 == 0, F.col("id") % 50).otherwise(3).alias("k"), F.col("id").alias("w")
+    )
+    got, want = skew.skew_join(left, right, ["k"], how, min_rows=100), left.join(right, ["k"], how)
+    totals = [F.count(F.lit(1)), *[F.sum(F.xxhash64(*want.columns).cast("decimal(38,0)"))]]
+    assert got.select(*want.columns).agg(*totals).first() == want.agg(*totals).first()
+
+
 @pytest.mark.parametrize("how", skew.HOW)
 def test_skew_join(spark, how):
     left = spark.range(3000).select(
