@@ -8,8 +8,8 @@ of the text. Texts that agree in any sketch are candidates. A pair is a link if
 distance of their words, found in a band as wide as allowed, is at most 1 -
 :data:`SIMILARITY` of the longer one. Classes are the components of the links.
 
-Candidates never meet all with all. First everyone in a bucket is held against its smallest
-id, which settles buckets of near copies with one pair for each member. Where a bucket still
+Candidates never meet all with all. First everyone is held against the smallest fitting id
+of its buckets, which settles groups of near copies with one pair for each member. Where a bucket still
 spans several classes, its members are compared across classes in blocks, by an exact lower
 bound of the distance (word counts in 64 bins): first the closest pair of each two classes
 is aligned, then, across the classes that remain, every pair that the bound can't exclude.
@@ -290,30 +290,30 @@ def aligned(pairs: DataFrame, docs: DataFrame) -> DataFrame:
 def across_classes(members: DataFrame, closest: bool) -> DataFrame:
     """Pairs of unlike classes within a bucket that word counts can't exclude.
 
-    ``members``: ``key, hub, size`` of the bucket, ``id, n, bins, label`` of the member. A
+    ``members``: ``key, size`` of the bucket, ``id, n, bins, label, first`` of the member. A
     bucket of more than BLOCK members is dealt into blocks, and pairs of blocks are tasks of
     their own. With ``closest``, of each two classes in a task only the pair with the
-    smallest bound is given. Pairs with the hub have been tried before.
+    smallest bound is given. A member's pair with its ``first`` has been tried before.
     """
     blocks = F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")
     dealt = members.withColumn("own", F.pmod(F.xxhash64("id"), blocks).cast("int"))
     other = F.explode(F.sequence(F.lit(0), blocks - 1))
     dealt = dealt.withColumn("other", other).withColumns(
-        {"low": F.least("own", "other"), "high": F.greatest("own", "other"), "first": F.col("own") <= F.col("other")}
+        {"low": F.least("own", "other"), "high": F.greatest("own", "other")}
     )
 
     def compare(table):
         id_, label, n = (table.column(c).to_numpy() for c in ("id", "label", "n"))
         own, low, high = (table.column(c).to_numpy() for c in ("own", "low", "high"))
-        hub = table.column("hub")[0].as_py()
+        first = table.column("first").fill_null(-(1 << 63)).to_numpy()
         raw = table.column("bins").to_pylist()
         counts = np.array([np.frombuffer(x, "<u2") if x is not None else np.zeros(BINS) for x in raw], dtype=np.int32)
         binned = np.array([x is not None for x in raw])
-        left = np.flatnonzero((own == low) & (id_ != hub))
-        right = np.flatnonzero((own == high) & (id_ != hub))
+        left, right = np.flatnonzero(own == low), np.flatnonzero(own == high)
         found = []
         for i in left:
             js = right[(label[right] != label[i]) & ((id_[right] > id_[i]) | (low[i] != high[i]))]
+            js = js[(id_[js] != first[i]) & (first[js] != id_[i])]
             longer = np.maximum(n[js], n[i])
             least = np.ceil(SIMILARITY * longer - 1e-9)
             js, edits = js[np.minimum(n[js], n[i]) >= least], (longer - least)[np.minimum(n[js], n[i]) >= least]
@@ -325,16 +325,16 @@ def across_classes(members: DataFrame, closest: bool) -> DataFrame:
             js, apart = js[apart <= edits], apart[apart <= edits]
             if closest and len(js):  # of each class the nearest member
                 order = np.lexsort((apart, label[js]))
-                first = np.concatenate([[True], np.diff(label[js][order]) != 0])
-                js, apart = js[order][first], apart[order][first]
+                top = np.concatenate([[True], np.diff(label[js][order]) != 0])
+                js, apart = js[order][top], apart[order][top]
             found.append(np.stack([np.full(len(js), i), js, apart]))
         i, j, apart = np.concatenate([np.empty((3, 0), np.int64), *found], axis=1).astype(np.int64)
         if closest and len(i):  # of each two classes the nearest pair
             one, two = np.minimum(label[i], label[j]), np.maximum(label[i], label[j])
             order = np.lexsort((apart, two, one))
             one, two = one[order], two[order]
-            first = np.concatenate([[True], (np.diff(one) != 0) | (np.diff(two) != 0)])
-            i, j = i[order][first], j[order][first]
+            top = np.concatenate([[True], (np.diff(one) != 0) | (np.diff(two) != 0)])
+            i, j = i[order][top], j[order][top]
         return pa.table({"a": np.minimum(id_[i], id_[j]), "b": np.maximum(id_[i], id_[j])})
 
     return dealt.groupBy("key", "low", "high").applyInArrow(compare, "a long, b long").distinct()
@@ -350,30 +350,34 @@ def classes(docs: DataFrame) -> DataFrame:
         first.select("digest", F.col("r.doc_id").alias("id"), F.col("r.n").alias("n"), "r.sketch", "r.bins"), "reps"
     )
     keys = reps.select("id", "n", F.explode("sketch").alias("key"))
-    hubs = keys.groupBy("key").agg(F.min("id").alias("hub"), F.count(F.lit(1)).alias("size")).filter("size > 1")
-    members = materialise(keys.join(hubs, "key"), "members")
-    lone = reps.select(F.col("id").alias("hub"), F.col("n").alias("hub_n"))
-    starred = members.filter("id <> hub").select("id", "n", "hub").distinct().join(lone, "hub")
-    stars = starred.filter(_lengths_fit("n", "hub_n")).select(F.col("id").alias("a"), F.col("hub").alias("b"))
+    hubs = keys.groupBy("key").agg(
+        F.min("id").alias("hub"), F.min_by("n", "id").alias("hub_n"), F.count(F.lit(1)).alias("size")
+    )
+    members = materialise(keys.join(hubs.filter("size > 1"), "key"), "members")
+    # First everyone is held against one smaller id: the smallest hub of a fitting length.
+    fitting = members.filter("id <> hub").filter(_lengths_fit("n", "hub_n"))
+    firsts = materialise(fitting.groupBy("id").agg(F.min("hub").alias("first")), "firsts")
+    stars = firsts.select(F.col("first").alias("a"), F.col("id").alias("b"))
     tried = materialise(near_by_bins(stars, reps), "stars")
-    links = materialise(aligned(tried, docs), "links")
+    found = materialise(components(aligned(tried, docs)), "labels")
     # Buckets that still hold several classes: first the closest pair of each two classes,
     # which joins what belongs together, then every pair across what is left.
-    binned = reps.select("id", "bins")
-    known = [tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))]
+    binned = reps.select("id", "bins").join(firsts, "id", "left")
     for closest in (True, False):
-        label = materialise(components(links), "labels").select("id", F.col("component").alias("label"))
+        label = found.select("id", F.col("component").alias("label"))
         labelled = members.join(label, "id", "left").withColumn("label", F.coalesce("label", "id"))
         spread = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
         still = spread.filter("lo <> hi").select("key")
         rest = labelled.join(still, "key", "left_semi").join(binned, "id")
         pairs = across_classes(rest, closest)
-        for old in known:
-            pairs = pairs.join(old, ["a", "b"], "left_anti")
-        pairs = materialise(pairs, "across")
-        known.append(pairs)
-        links = links.unionByName(materialise(aligned(pairs, docs), "more-links"))
-    joined = components(links)
+        if not closest:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        tried = materialise(pairs, "across")
+        more = materialise(aligned(tried, docs), "more-links")
+        if not more.isEmpty():
+            links = found.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more)
+            found = materialise(components(links), "labels")
+    joined = found
     whole = reps.select("digest", "id").join(joined, "id", "left")
     named_class = whole.select("digest", F.coalesce("component", "id").alias("class_id"))
     return every.select("doc_id", "digest").join(named_class, "digest", "left").select(
