@@ -43,6 +43,19 @@ def process_state(key: str, make: Callable[[], object]) -> object:
     return store[key]
 
 
+def smallest(df: DataFrame, hash_: Column, count: int, total: int) -> DataFrame:
+    """The ``count`` rows with the smallest 64-bit hashes, of ``total`` rows.
+
+    Rows beyond twice the share are filtered out first, so all tasks together hand the
+    driver about twice ``count`` rows, however many tasks there are.
+    """
+    share = min(1.0, 2 * count / max(1, total))
+    bound = min((1 << 63) - 1, int(-(1 << 63) + share * (1 << 64)))
+    name = fresh(df, "_hash")
+    near = df.withColumn(name, hash_).filter(F.col(name) <= F.lit(bound))
+    return near.orderBy(name).limit(count).drop(name)
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     """Cuts a batch so that no part holds much more than ``limit`` bytes of one column."""
     lengths = pa.compute.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhall.llm.common import materialise
+from tallyhall.llm.common import materialise, smallest
 from tallyhall.llm.graph import components
 from tallyhall.llm.vectors import doubles, finite, matrix
 
@@ -182,8 +182,8 @@ def link_table(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     valid = every.filter(finite() & some & F.col("vec_id").isNotNull())
     copies = valid.groupBy("embedding").agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("weight"))
     reps = materialise(copies.withColumn("dim", F.size("embedding")), "vectors")
-    sample = reps.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("dim", "embedding").collect()
     count = reps.count()
+    sample = smallest(reps, F.xxhash64("id"), SAMPLE, count).select("dim", "embedding").collect()
     centres = {}
     for dim in {r["dim"] for r in sample}:
         found = unit(np.array([r["embedding"] for r in sample if r["dim"] == dim]))

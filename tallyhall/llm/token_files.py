@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyhall.llm.common import process_state, rows, slices, text_or_empty
+from tallyhall.llm.common import process_state, rows, slices, smallest, text_or_empty
 from tallyhall.llm.tokens import END, tokenizer_json, word_encoder
 
 RECORD = np.dtype([("doc", "<i8"), ("null", "u1"), ("tokens", "<u4"), ("offset", "<u8"), ("bytes", "<u4")])
@@ -91,12 +91,9 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, end: int = E
     spark, spec = docs.sparkSession, tokenizer_json(tokenizer)
     width = 2 if word_encoder(spec).width <= 1 << 16 else 4
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty())
-    sample = (
-        texts.select(F.xxhash64("doc_id", "text").alias("h"), F.substring("text", 1, SAMPLE_CHARS).alias("text"))
-        .filter("text <> ''")
-        .orderBy("h", "text")
-        .limit(SAMPLE_DOCS)
-    )
+    filled = texts.filter("text <> ''")
+    sample = smallest(filled, F.xxhash64("doc_id", "text"), SAMPLE_DOCS, filled.count())
+    sample = sample.select(F.substring("text", 1, SAMPLE_CHARS).alias("text"))
     data = train_dictionary([r.text for r in sample.collect()], spec, width)
     stamp = zlib.crc32(data)
     spark.createDataFrame([(stamp, width, data)], "hash long, width int, data binary").coalesce(1).write.parquet(

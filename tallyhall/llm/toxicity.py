@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyhall.llm.common import fresh, process_state, slices
+from tallyhall.llm.common import fresh, process_state, slices, smallest
 
 SLOTS_BITS = 22
 SLOTS = 1 << SLOTS_BITS
@@ -120,15 +120,14 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     Only labels and ids are sorted to find the sample; its texts become features in
     parallel and reach the learning task as slots.
     """
-    wanted = (
+    usable = (
         labels.select(F.col("doc_id").cast("long").alias("_id"), F.col("toxic").cast("int").alias("_y"))
         .filter("_id is not null and _y in (0, 1)")
         .filter(~held_out("_id"))
         .groupBy("_id")
         .agg(F.max("_y").alias("_y"))
-        .orderBy(F.xxhash64("_id"), "_id")
-        .limit(SAMPLE_ROWS)
     )
+    wanted = smallest(usable, F.xxhash64("_id"), SAMPLE_ROWS, usable.count())
     texts = docs.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("text"))
     sample = texts.join(F.broadcast(wanted), "_id")  # at most SAMPLE_ROWS rows of two numbers
 
