@@ -18,6 +18,8 @@ an empty result. Further columns are ignored.
 
 from __future__ import annotations
 
+import pickle
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -31,7 +33,7 @@ THRESHOLD = 0.95
 BLOCK = 4096
 MAX_CELLS = 256
 SAMPLE = 2048
-SLACK = 1e-9  # bounds are loosened by it, so rounding never drops a pair
+SLACK = 1e-5  # bounds, in single precision, are loosened by it, so rounding never drops a pair
 FINEST = np.pi / 64
 
 
@@ -54,10 +56,22 @@ def net(points: np.ndarray, count: int) -> np.ndarray:
 
 
 class Tree:
-    """Nested levels of nodes over a block; the last level's nodes hold the points."""
+    """Nested levels of nodes over a block; the last level's nodes hold the points.
+
+    Built once for each block; ``parts`` is what to keep of it beside the points.
+    """
+
+    def __init__(self, points: np.ndarray, parts: bytes | None = None):
+        self.points, self.coarse = points, points.astype(np.float32)
+        if parts is None:
+            self._build(points)
+        else:
+            self.levels, self.parents, self.radii, self.inside = pickle.loads(parts)
 
-    def __init__(self, points: np.ndarray):
-        self.points = points
+    def parts(self) -> bytes:
+        return pickle.dumps((self.levels, self.parents, self.radii, self.inside))
+
+    def _build(self, points: np.ndarray) -> None:
         levels, nodes, radius = [np.array([0])], [0], np.pi / 2
         best = points @ points[0]
         while radius > FINEST and len(nodes) < len(points):
@@ -68,10 +82,12 @@ class Tree:
                     break
                 nodes.append(int(bare[0]))
                 best = np.maximum(best, points @ points[nodes[-1]])
-            levels.append(np.array(nodes))
             radius /= 2
-        if len(nodes) == len(points) or len(levels[-1]) * 2 > len(points):
-            levels[-1] = np.arange(len(points))  # little is gained by nodes of one point each
+            if 2 * len(nodes) > len(points):  # nodes of a point or two save little
+                levels.append(np.arange(len(points)))
+                break
+            if len(nodes) > len(levels[-1]):  # else the level is as the one above
+                levels.append(np.array(nodes))
         self.levels = levels
         inside = self._nearest(points, levels[-1])
         self.parents, self.radii = [], []
@@ -97,7 +113,7 @@ class Tree:
 
     def at(self, depth: int):
         depth = min(depth, len(self.levels) - 1)
-        return self.points[self.levels[depth]], self.radii[depth]
+        return self.coarse[self.levels[depth]], self.radii[depth].astype(np.float32)
 
     def down(self, depth: int) -> np.ndarray:
         """Parent, a level up, of each node at this depth; below the last level, itself."""
@@ -106,7 +122,7 @@ class Tree:
 
 def meets(x: Tree, y: Tree, threshold: float):
     """Yields ``(rows of x, mask over y's points)`` of every exact link."""
-    tau = float(np.arccos(threshold)) + SLACK
+    tau = np.float32(np.arccos(threshold) + SLACK)
     alive = np.ones((1, 1), bool)
     for depth in range(max(len(x.levels), len(y.levels))):
         (cx, rx), (cy, ry) = x.at(depth), y.at(depth)
@@ -118,13 +134,19 @@ def meets(x: Tree, y: Tree, threshold: float):
         cols = np.flatnonzero(alive.any(axis=0)[up_y])
         if not len(rows) or not len(cols):
             return
-        cos_y, sin_y, ends_y = np.cos(ry[cols]), np.sin(ry[cols]), ry[cols]
+        cy, ry, every = cy[cols], ry[cols], bool(alive.all())
+        cos_y, sin_y = np.cos(ry), np.sin(ry)
         for i in range(0, len(rows), 512):
             r = rows[i : i + 512]
-            reach = tau + rx[r]
-            bound = np.cos(reach)[:, None] * cos_y - np.sin(reach)[:, None] * sin_y - SLACK
-            near = (cx[r] @ cy[cols].T >= bound) | (reach[:, None] + ends_y >= np.pi)
-            now[np.ix_(r, cols)] = near & alive[np.ix_(up_x[r], up_y[cols])]
+            cosines, reach = cx[r] @ cy.T, tau + rx[r]
+            if rx[r].any() or ry.any():
+                bound = np.cos(reach)[:, None] * cos_y - np.sin(reach)[:, None] * sin_y
+                near = (cosines >= bound - SLACK) | (reach[:, None] + ry >= np.pi - SLACK)
+            else:  # nodes of single points
+                near = cosines >= np.cos(tau) - SLACK
+            if not every:
+                near &= alive[np.ix_(up_x[r], up_y[cols])]
+            now[np.ix_(r, cols)] = near
         alive = now
     open_rows = np.flatnonzero(alive.any(axis=1)[x.inside])
     cols = np.flatnonzero(alive.any(axis=0)[y.inside])
@@ -171,7 +193,7 @@ def compare(x_ids, x_weights, x: Tree, y_ids, y_weights, y: Tree, same: bool, th
     return counts, forest.links
 
 
-BLOCKS = "block string, dim int, cell int, radius double, ids binary, weights binary, points binary"
+BLOCKS = "block string, dim int, cell int, radius double, ids binary, weights binary, points binary, tree binary"
 
 
 def link_table(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -214,7 +236,8 @@ def link_table(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         ids, weights = (table.column(c).to_numpy().astype("<i8").tobytes() for c in ("id", "weight"))
         row = {"block": f"{dim}/{cell}/{cut}", "dim": dim, "cell": cell, "radius": radius}
         row |= {"ids": ids, "weights": weights, "points": points.astype("<f8").tobytes()}
-        types = [pa.string(), pa.int32(), pa.int32(), pa.float64(), pa.binary(), pa.binary(), pa.binary()]
+        row["tree"] = Tree(points).parts()
+        types = [pa.string(), pa.int32(), pa.int32(), pa.float64(), *[pa.binary()] * 4]
         return pa.table({k: pa.array([v], t) for (k, v), t in zip(row.items(), types)})
 
     blocks = materialise(dealt.groupBy("dim", "cell", "cut").applyInArrow(block, BLOCKS), "blocks")
@@ -247,7 +270,7 @@ def link_table(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             dim, side = (table.column(c)[i].as_py() for c in ("dim", "side"))
             points = np.frombuffer(table.column("points")[i].as_py(), "<f8").reshape(-1, dim)
             ids, weights = (np.frombuffer(table.column(c)[i].as_py(), "<i8") for c in ("ids", "weights"))
-            parts[side] = (ids, weights, Tree(points))
+            parts[side] = (ids, weights, Tree(points, table.column("tree")[i].as_py()))
         same = 1 not in parts
         counts, links = compare(*parts[0], *parts[0 if same else 1], same, threshold)
         ids = np.concatenate([i[n > 0] for i, n in counts])
