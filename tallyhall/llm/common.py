@@ -32,12 +32,17 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
-def process_state(key: str, make: Callable[[], object]) -> object:
+def process_state(key: str, make: Callable[[], object], large: bool = False) -> object:
     """State of this worker process that outlives a task, such as a loaded tokenizer.
 
-    Functions reach a worker by value, so their own globals start afresh in each task.
+    Functions reach a worker by value, so their own globals start afresh in each task. Of
+    ``large`` states, those that remember words, a worker keeps the last used one only:
+    workers live on through all stages of a job.
     """
     store = sys.modules.setdefault("_tallyhall_state", types.ModuleType("_tallyhall_state")).__dict__
+    if large and store.get("_large") != key:
+        store.pop(store.get("_large"), None)
+        store["_large"] = key
     if key not in store:
         store[key] = make()
     return store[key]

@@ -39,7 +39,7 @@ SKETCHES = 24
 PICKED = 2
 BINS = 64
 BLOCK = 1024  # members of a bucket compared at once
-MAX_WORDS = 500_000
+MAX_WORDS = 250_000
 WORD = re.compile(r"\w+")
 MIX = np.uint64(0x9E3779B97F4A7C15)
 MASK = 0xFFFFFFFFFFFFFFFF
@@ -72,7 +72,7 @@ class Words:
 
 
 def words() -> Words:
-    return process_state("order-minhash-words", Words)
+    return process_state("order-minhash-words", Words, large=True)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:

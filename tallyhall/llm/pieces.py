@@ -250,7 +250,7 @@ class Coder:
 
 def coder(model: Model, trie: DoubleArray) -> Coder:
     key = hashlib.sha256(repr((model.pieces, model.prefix)).encode()).hexdigest()
-    return process_state("pieces-" + key, lambda: Coder(model, trie))
+    return process_state("pieces-" + key, lambda: Coder(model, trie), large=True)
 
 
 def trie_of(model: Model) -> DoubleArray:

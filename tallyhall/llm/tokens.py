@@ -110,4 +110,4 @@ class WordEncoder:
 def word_encoder(spec: str) -> WordEncoder:
     """One encoder for each worker process."""
     key = "words-" + hashlib.sha256(spec.encode()).hexdigest()
-    return process_state(key, lambda: WordEncoder(spec))
+    return process_state(key, lambda: WordEncoder(spec), large=True)

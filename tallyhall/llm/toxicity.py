@@ -36,7 +36,7 @@ UPDATES = 30_000  # small samples are gone through more often, up to 20 times; a
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 4.0, 0.1
 PRIOR = 0.1
 REJECT = 0.3
-MAX_WORDS = 500_000  # words whose hashes a worker remembers
+MAX_WORDS = 250_000  # words whose hashes a worker remembers
 WORD = re.compile(r"\w+")
 
 
@@ -79,7 +79,7 @@ class Hasher:
 
 
 def hasher() -> Hasher:
-    return process_state("toxicity-words", Hasher)
+    return process_state("toxicity-words", Hasher, large=True)
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
