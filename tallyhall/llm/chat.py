@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyhall.llm.common import small_batches
+
 SPECIAL = re.compile(r"[\\\[\]<>]")
 PART_CHARS = 1 << 20  # formatted characters in one row of output
 
@@ -539,7 +541,7 @@ def _stream(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[tuple]
 
 
 def _in_order(df: DataFrame, *order: str) -> DataFrame:
-    return df.repartition("conv_id").sortWithinPartitions("conv_id", *order)
+    return small_batches(df).repartition("conv_id").sortWithinPartitions("conv_id", *order)
 
 
 def format_conversations(turns: DataFrame, template: str = CHAT) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tallyhall.session import materialise, scratch_path  # noqa: F401
 
 BATCH_BYTES = 4 << 20  # text handled at once inside a task
+BATCH_ROWS = 512  # texts in one Arrow batch: ten thousand very long ones would fill an executor
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +25,14 @@ def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit("")).alias(column)
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """The table, with the session's Arrow batches bounded to BATCH_ROWS rows."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name)) <= BATCH_ROWS:
+        conf.set(name, str(BATCH_ROWS))
+    return df
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that the table does not have yet."""
     taken = {c.lower() for c in df.columns}

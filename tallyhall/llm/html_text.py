@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhall.llm.common import slices
+from tallyhall.llm.common import slices, small_batches
 
 CHUNK = 1 << 16  # characters fed to the parser at once
 SIGMA = 1.0
@@ -213,4 +213,4 @@ def extract(pages: DataFrame) -> DataFrame:
                 )
 
     pages = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string"))
-    return pages.mapInArrow(read, "page_id long, url string, text string, n_chars long")
+    return small_batches(pages).mapInArrow(read, "page_id long, url string, text string, n_chars long")

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhall.llm.common import fresh, materialise, process_state, slices
+from tallyhall.llm.common import fresh, materialise, process_state, slices, small_batches
 from tallyhall.llm.graph import components
 
 SHINGLE = 5
@@ -225,7 +225,7 @@ def features(docs: DataFrame) -> DataFrame:
                     }
                 )
 
-    return texts.mapInArrow(compute, FEATURES)
+    return small_batches(texts).mapInArrow(compute, FEATURES)
 
 
 def _lengths_fit(n: str, m: str):
@@ -270,7 +270,7 @@ def aligned(pairs: DataFrame, docs: DataFrame) -> DataFrame:
                 found = [(known.hashes(t) >> np.uint64(32)).astype("<u4").tobytes() for t in batch.column("text").to_pylist()]
                 yield pa.record_batch({"id": batch.column("id"), "words": pa.array(found, pa.binary())})
 
-    side = materialise(texts.mapInArrow(split, "id long, words binary"), "aligned-words")
+    side = materialise(small_batches(texts).mapInArrow(split, "id long, words binary"), "aligned-words")
     both = pairs.join(side.select(F.col("id").alias("a"), F.col("words").alias("wa")), "a").join(
         side.select(F.col("id").alias("b"), F.col("words").alias("wb")), "b"
     )
@@ -284,7 +284,7 @@ def aligned(pairs: DataFrame, docs: DataFrame) -> DataFrame:
             ]
             yield pa.record_batch({c: batch.column(c) for c in ("a", "b")}).filter(pa.array(mask, pa.bool_()))
 
-    return both.mapInArrow(verify, "a long, b long")
+    return small_batches(both).mapInArrow(verify, "a long, b long")
 
 
 def across_classes(members: DataFrame, closest: bool) -> DataFrame:

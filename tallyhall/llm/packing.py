@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhall.llm.common import materialise, slices, text_or_empty
+from tallyhall.llm.common import materialise, slices, small_batches, text_or_empty
 from tallyhall.llm.tokens import END, tokenizer_json, word_encoder
 
 CAPACITY = 4096
@@ -113,7 +113,7 @@ def pieces_of(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAP
         if held:
             yield from pack()
 
-    return texts.mapInArrow(local, PLACED)
+    return small_batches(texts).mapInArrow(local, PLACED)
 
 
 def merge_round(open_bins: DataFrame, round_: int, capacity: int, slack: int) -> DataFrame:

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhall.llm.common import process_state, slices, text_or_empty
+from tallyhall.llm.common import process_state, slices, small_batches, text_or_empty
 
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
@@ -278,7 +278,7 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
                 )
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty())
-    return texts.mapInArrow(run, "doc_id long, ids binary, n_bytes long")
+    return small_batches(texts).mapInArrow(run, "doc_id long, ids binary, n_bytes long")
 
 
 def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
@@ -296,7 +296,7 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
                 )
 
     columns = encoded.select("doc_id", "ids", "n_bytes")
-    return columns.mapInArrow(run, "doc_id long, ids binary, n_bytes long, text string")
+    return small_batches(columns).mapInArrow(run, "doc_id long, ids binary, n_bytes long, text string")
 
 
 def digest(decoded: DataFrame) -> DataFrame:

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyhall.llm.common import process_state, rows, slices, smallest, text_or_empty
+from tallyhall.llm.common import process_state, rows, slices, small_batches, smallest, text_or_empty
 from tallyhall.llm.tokens import END, tokenizer_json, word_encoder
 
 RECORD = np.dtype([("doc", "<i8"), ("null", "u1"), ("tokens", "<u4"), ("offset", "<u8"), ("bytes", "<u4")])
@@ -143,7 +143,7 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, end: int = E
     ordered = texts.repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(
         F.col("doc_id").asc_nulls_first()
     )
-    ordered.mapInArrow(encode, SHARDS).write.option("compression", "none").parquet(f"{path}/shards")
+    small_batches(ordered).mapInArrow(encode, SHARDS).write.option("compression", "none").parquet(f"{path}/shards")
     totals = spark.read.schema(SHARDS).parquet(f"{path}/shards").groupBy("part").agg(F.sum("n_tokens").alias("n"))
     running = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row for each part
     starts = totals.select("part", F.coalesce(F.sum("n").over(running), F.lit(0)).alias("part_start"))

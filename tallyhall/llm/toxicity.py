@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyhall.llm.common import fresh, process_state, slices, smallest
+from tallyhall.llm.common import fresh, process_state, slices, small_batches, smallest
 
 SLOTS_BITS = 22
 SLOTS = 1 << SLOTS_BITS
@@ -155,7 +155,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
             }
         )
 
-    slots = sample.mapInArrow(features, "_id long, _y int, _f binary")
+    slots = small_batches(sample).mapInArrow(features, "_id long, _y int, _f binary")
     order = [F.xxhash64("_id"), F.col("_id"), F.col("_f")]  # ids may repeat in docs
     one = slots.repartition(1).sortWithinPartitions(*order)
     learned = one.mapInArrow(learn, "bias double, slots binary, weights binary").collect()
@@ -189,7 +189,7 @@ def score(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:
                     [*batch.columns, pa.array(scores, pa.float64())], names=[*batch.schema.names, column]
                 )
 
-    return docs.select(*rest).mapInArrow(rate, schema)
+    return small_batches(docs.select(*rest)).mapInArrow(rate, schema)
 
 
 def digest(docs: DataFrame, model: Model) -> DataFrame:
