@@ -292,8 +292,8 @@ def across_classes(members: DataFrame, closest: bool) -> DataFrame:
 
     ``members``: ``key, size`` of the bucket, ``id, n, bins, label, first`` of the member. A
     bucket of more than BLOCK members is dealt into blocks, and pairs of blocks are tasks of
-    their own. With ``closest``, of each two classes in a task only the pair with the
-    smallest bound is given. A member's pair with its ``first`` has been tried before.
+    their own. With ``closest``, of each two classes only the pair with the smallest bound
+    is given, whichever buckets they share. A member's pair with its ``first`` has been tried before.
     """
     blocks = F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")
     dealt = members.withColumn("own", F.pmod(F.xxhash64("id"), blocks).cast("int"))
@@ -334,10 +334,23 @@ def across_classes(members: DataFrame, closest: bool) -> DataFrame:
             order = np.lexsort((apart, two, one))
             one, two = one[order], two[order]
             top = np.concatenate([[True], (np.diff(one) != 0) | (np.diff(two) != 0)])
-            i, j = i[order][top], j[order][top]
-        return pa.table({"a": np.minimum(id_[i], id_[j]), "b": np.maximum(id_[i], id_[j])})
-
-    return dealt.groupBy("key", "low", "high").applyInArrow(compare, "a long, b long").distinct()
+            i, j, apart = i[order][top], j[order][top], apart[order][top]
+        return pa.table(
+            {
+                "a": np.minimum(id_[i], id_[j]),
+                "b": np.maximum(id_[i], id_[j]),
+                "one": np.minimum(label[i], label[j]),
+                "two": np.maximum(label[i], label[j]),
+                "apart": apart,
+            }
+        )
+
+    schema = "a long, b long, one long, two long, apart long"
+    found = dealt.groupBy("key", "low", "high").applyInArrow(compare, schema)
+    if not closest:
+        return found.select("a", "b").distinct()
+    nearest = found.groupBy("one", "two").agg(F.min(F.struct("apart", "a", "b")).alias("r"))
+    return nearest.select("r.a", "r.b")
 
 
 def classes(docs: DataFrame) -> DataFrame:
