@@ -1,6 +1,10 @@
 """SentencePiece encoding and decoding: unigram Viterbi over a double-array trie.
 
-The model file gives pieces and scores; nothing is trained here. A text becomes marker
+The model file gives the pieces. Log scores come with a unigram model only: a model of merges
+(BPE) carries ranks instead, which can't be added up, so its scores are estimated from all
+texts. Every distinct word is counted once, and in each of :data:`ROUNDS` rounds the best
+segmentations under the last scores are counted and the log of the pieces' shares taken (the
+first scores are the logs of Zipf's law over the ranks). A text becomes marker
 form (blanks as U+2581, one in front), and the segmentation with the highest sum of scores
 is found over a double-array trie of the pieces' bytes. A character that no piece covers
 becomes the byte pieces of its UTF-8 form; without byte fallback, the unknown piece.
@@ -21,11 +25,13 @@ empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import struct
 from array import array
+from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from pathlib import Path
 
 import numpy as np
@@ -34,16 +40,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhall.llm.common import process_state, slices, small_batches, text_or_empty
+from tallyhall.llm.common import materialise, process_state, slices, small_batches, text_or_empty
 
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
 # Kinds of pieces in a model file, and what an unknown character costs more.
 NORMAL, UNKNOWN, USER, BYTE = 1, 2, 4, 6
 UNKNOWN_PENALTY = 10.0
+UNIGRAM = 1  # the type of model whose scores are logs of shares
+ROUNDS = 2
 NEVER = float("-inf")
 MAX_WORDS = 500_000  # words whose pieces a worker remembers
 MAX_WORD_CHARS = 64
+MAX_COUNTED_CHARS = 16 << 20  # characters of the words that a task counts before it hands them on
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, object]]:
@@ -78,23 +87,26 @@ class Model:
     scores: list[float]
     kinds: list[int]
     prefix: bool  # a marker goes in front of every text
+    kind: int = UNIGRAM
 
     @staticmethod
     def read(path: str | None = None) -> Model:
         """The pieces of a model file and how it wants blanks treated."""
-        pieces, scores, kinds, prefix = [], [], [], True
+        pieces, scores, kinds, prefix, kind = [], [], [], True, UNIGRAM
         for field, value in _fields(Path(path or public_tokenizers.path(MODEL)).read_bytes()):
             if field == 1:
                 own = dict(_fields(value))
                 pieces.append(own[1].decode("utf-8"))
                 scores.append(struct.unpack("<f", own[2])[0] if 2 in own else 0.0)
                 kinds.append(own.get(3, NORMAL))
+            elif field == 2:
+                kind = dict(_fields(value)).get(3, UNIGRAM)
             elif field == 3:
                 rules = dict(_fields(value))
                 prefix = bool(rules.get(3, 1))
                 if rules.get(2) or rules.get(4, 1) or not rules.get(5, 1):
                     raise ValueError("models that rewrite characters or merge blanks are not supported")
-        return Model(pieces, scores, kinds, prefix)
+        return Model(pieces, scores, kinds, prefix, kind)
 
 
 class DoubleArray:
@@ -230,14 +242,18 @@ class Coder:
             self.words[word] = ids
         return ids
 
-    def encode(self, text: str) -> bytes:
-        """Ids as little-endian 32-bit integers."""
+    def split(self, text: str) -> list[str]:
+        """The words of a text in marker form, or all of it as one."""
         if not text:
-            return b""
+            return []
         marked = (MARK if self.model.prefix else "") + text.replace(" ", MARK)
+        return self.chunk.findall(marked) if self.by_words else [marked]
+
+    def encode(self, text: str) -> bytes:
+        """Ids as little-endian 32-bit integers."""
+        words = self.split(text)
         if not self.by_words:
-            return array("I", self.best(marked)).tobytes()
-        words = self.chunk.findall(marked)
+            return b"".join(array("I", self.best(w)).tobytes() for w in words)
         found = list(map(self.words.get, words))
         if None in found:
             found = [self._word(w) if f is None else f for w, f in zip(words, found)]
@@ -249,22 +265,98 @@ class Coder:
 
 
 def coder(model: Model, trie: DoubleArray) -> Coder:
-    key = hashlib.sha256(repr((model.pieces, model.prefix)).encode()).hexdigest()
+    key = hashlib.sha256(repr((model.pieces, model.scores, model.prefix)).encode()).hexdigest()
     return process_state("pieces-" + key, lambda: Coder(model, trie), large=True)
 
 
+def decoder(model: Model, trie: DoubleArray) -> Coder:
+    """A coder that remembers no words; it leaves the one that encodes in place."""
+    key = hashlib.sha256(repr((model.pieces, model.prefix)).encode()).hexdigest()
+    return process_state("pieces-decoder-" + key, lambda: Coder(model, trie))
+
+
 def trie_of(model: Model) -> DoubleArray:
     kept = enumerate(zip(model.pieces, model.kinds))
     return DoubleArray({p.encode("utf-8"): i for i, (p, k) in kept if k in (NORMAL, USER) and p})
 
 
+def ranked(model: Model) -> Model:
+    """Scores by Zipf's law over the ranks of the pieces."""
+    normal = [i for i, k in enumerate(model.kinds) if k == NORMAL]
+    total = math.log(sum(1 / r for r in range(1, len(normal) + 1)) or 1.0)
+    scores = list(model.scores)
+    for r, i in enumerate(sorted(normal, key=lambda i: (-model.scores[i], i)), 1):
+        scores[i] = -math.log(r) - total
+    return replace(model, scores=scores)
+
+
+def estimated(model: Model, trie: DoubleArray, docs: DataFrame) -> Model:
+    """The model with log scores from all texts. Sums are of whole numbers, so runs agree.
+
+    The driver gets one count for each piece at most; a piece never chosen counts as chosen once.
+    """
+    context = docs.sparkSession.sparkContext
+    model = ranked(model)
+    sent = context.broadcast((model, trie))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        use, seen, chars = coder(*sent.value), Counter(), 0
+
+        def out() -> Iterator[pa.RecordBatch]:
+            while seen:
+                some = [seen.popitem() for _ in range(min(len(seen), 1 << 16))]
+                words, counts = zip(*some)
+                yield pa.record_batch({"word": pa.array(words, pa.string()), "n": pa.array(counts, pa.int64())})
+
+        for whole in batches:
+            for batch in slices(whole, "text"):
+                for text in batch.column("text").to_pylist():
+                    before = len(seen)
+                    words = use.split(text)
+                    seen.update(words)
+                    if len(seen) > before:
+                        chars += len(text)
+                    if chars > MAX_COUNTED_CHARS:
+                        yield from out()
+                        chars = 0
+        yield from out()
+
+    words = small_batches(docs.select(text_or_empty())).mapInArrow(count, "word string, n long")
+    words = materialise(words.groupBy("word").agg(F.sum("n").alias("n")), "pieces-words")
+    for _ in range(ROUNDS):
+        sent = context.broadcast((model, trie))
+
+        def choose(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            use, chosen = coder(*sent.value), Counter()
+            for batch in batches:
+                for word, n in zip(batch.column("word").to_pylist(), batch.column("n").to_pylist()):
+                    for id_ in use.best(word):
+                        chosen[id_] += n
+            yield pa.record_batch({"id": pa.array(list(chosen), pa.int32()), "n": pa.array(list(chosen.values()), pa.int64())})
+
+        found = small_batches(words).mapInArrow(choose, "id int, n long").groupBy("id").agg(F.sum("n").alias("n"))
+        counts = {r.id: r.n for r in found.collect() if model.kinds[r.id] == NORMAL}
+        if not counts:
+            break
+        normal = [i for i, k in enumerate(model.kinds) if k == NORMAL]
+        total, scores = math.log(sum(counts.values()) + len(normal)), list(model.scores)
+        for i in normal:
+            scores[i] = math.log(counts.get(i, 0) + 1) - total
+        model = replace(model, scores=scores)
+    return model
+
+
 def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
     """``doc_id, ids, n_bytes``: little-endian 32-bit ids and how many are byte pieces.
 
     Model and trie are built once on the driver and go along as a broadcast of some megabytes.
+    A model of merges gets its scores from ``docs`` first, in jobs of their own.
     """
     model = Model.read(path)
-    sent = docs.sparkSession.sparkContext.broadcast((model, trie_of(model)))
+    trie = trie_of(model)
+    if model.kind != UNIGRAM:
+        model = estimated(model, trie, docs)
+    sent = docs.sparkSession.sparkContext.broadcast((model, trie))
     byte_ids = np.array([k == BYTE for k in model.kinds])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -287,7 +379,7 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
     sent = encoded.sparkSession.sparkContext.broadcast((model, trie_of(model)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        use = coder(*sent.value)
+        use = decoder(*sent.value)
         for whole in batches:
             for batch in slices(whole, "ids"):
                 texts = [use.decode(i) for i in batch.column("ids").to_pylist()]

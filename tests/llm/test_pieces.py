@@ -1,5 +1,6 @@
 """SentencePiece coding against an exhaustive search and the library's own decoder."""
 
+import math
 import random
 from array import array
 
@@ -88,3 +89,27 @@ def test_rows(spark):
     assert sorted((r.doc_id or 0, r.text) for r in found) == sorted((d or 0, t or "") for d, t in rows)
     assert pieces.digest(pieces.decode(pieces.encode(docs.limit(0)))).count() == 0
     assert pieces.digest(pieces.decode(pieces.encode(docs))).filter("doc_id = 3").first()["n_pieces"] == 0
+
+
+def test_scores_of_merges_are_estimated(spark):
+    """Ranks are no log scores: added up, they took common words apart."""
+    text = "Hello, the government of the people said hello to the other governments"
+    docs = spark.createDataFrame([(i, text) for i in range(20)], "doc_id long, text string")
+    library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(pieces.MODEL))
+    found = pieces.encode(docs).collect()
+    got = [library.id_to_piece(i) for i in array("I", found[0].ids)]
+    assert {"▁Hello", "▁government", "▁people", "▁governments"} <= set(got)
+    assert all(r.ids == found[0].ids for r in found)
+    model = pieces.Model.read()
+    trained = pieces.estimated(model, pieces.trie_of(model), docs)
+    normal = [s for s, k in zip(trained.scores, trained.kinds) if k == pieces.NORMAL]
+    assert sum(map(math.exp, normal)) == pytest.approx(1)
+    assert max(normal) < 0 and trained.scores == pieces.estimated(model, pieces.trie_of(model), docs).scores
+
+
+def test_long_texts_are_counted_in_parts(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"one two word{i} three") for i in range(300)], "doc_id long, text string").coalesce(1)
+    model = pieces.Model.read()
+    want = pieces.estimated(model, pieces.trie_of(model), docs).scores
+    monkeypatch.setattr(pieces, "MAX_COUNTED_CHARS", 50)
+    assert pieces.estimated(model, pieces.trie_of(model), docs).scores == want
