@@ -5,9 +5,9 @@ a line knows its text, how many tags it holds, the container it stands in, and w
 element around it is boilerplate by name (``nav``, ``footer``, ``form``, ...) or by class,
 id or role (``sidebar``, ``advert``, ``comments``, ...). The ratio of characters to tags is
 smoothed over neighbouring lines by a Gaussian. Lines whose smoothed ratio reaches the
-threshold (a share of the mean, plus a share of the deviation) form clusters; the container
-with the most clustered text is the content region, and with it count all lines inside it
-that are not boilerplate. An ``article`` or ``main`` that holds clustered text comes first.
+threshold (a share of the mean, plus a share of the deviation) form clusters; the smallest
+container around all clustered text is the content region, and with it count all lines inside
+it that are not boilerplate. An ``article`` or ``main`` that holds clustered text comes first.
 
 Null and empty pages have no text, nor have pages of nothing but boilerplate; text without
 any markup is one line and is kept. Rows are read one by one, so repeated rows need no
@@ -180,20 +180,14 @@ def main_text(html: str | None) -> str:
     level = smooth(ratios)
     bar = MEAN_SHARE * level[clean].mean() + DEVIATION_SHARE * level[clean].std()
     clustered = [i for i in clean if level[i] >= bar] or clean
-    held: dict[int, float] = {}
-    for i in clustered:
-        around = lines[i][2]
-        inner = [c for c in around if c in parser.regions][-1:] or around[-1:] or (0,)
-        held[inner[0]] = held.get(inner[0], 0.0) + sizes[i]
-    in_regions = {c: n for c, n in held.items() if c in parser.regions}
-    best = max(in_regions or held, key=lambda c: (held[c], -c))
-    if best in parser.regions:
-        # Articles side by side are all content; one inside a comment list is marked itself.
-        chosen = set(in_regions)
-    else:
-        # Containers that hold a fair share of the clustered text belong to the region too.
-        chosen = {c for c, n in held.items() if n >= 0.2 * held[best]}
-    return " ".join(lines[i][0] for i in clean if chosen & set(lines[i][2] or (0,)))
+    chosen = {c for i in clustered for c in [c for c in lines[i][2] if c in parser.regions][-1:]}
+    if not chosen:
+        # No article or main: the smallest container around all clustered lines, or the whole page.
+        shared = set(lines[clustered[0]][2]).intersection(*(lines[i][2] for i in clustered))
+        if not shared:
+            return " ".join(lines[i][0] for i in clean)
+        chosen = {max(shared)}  # containers are numbered as they open, so the innermost is the last
+    return " ".join(lines[i][0] for i in clean if chosen & set(lines[i][2]))
 
 
 def extract(pages: DataFrame) -> DataFrame:

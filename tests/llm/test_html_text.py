@@ -48,3 +48,16 @@ def test_rows(spark):
     got = html_text.extract(pages).collect()
     assert [(r.page_id, r.text, r.n_chars) for r in got] == [(1, LONG, len(LONG))] * 2 + [(None, "", 0)]
     assert html_text.extract(pages.limit(0)).count() == 0
+
+
+def test_sections_without_article():
+    """Nothing inside the smallest container around the clustered text is dropped but boilerplate."""
+    long, short = " ".join([LONG] * 20), " ".join([LONG] * 3)
+    page = f"<div class=content><section><p>{long}</p></section><section><p>{short}</p></section></div>"
+    assert html_text.main_text(page) == f"{long} {short}"
+    blocks = f"<div><h2>Title</h2></div><div>{long}</div><div>Short one.</div><div>{short}</div>"
+    page = f"<body><nav>menu</nav><div>{blocks}<div class=comments>{LONG}</div></div><footer>f</footer></body>"
+    assert html_text.main_text(page) == f"Title {long} Short one. {short}"
+    deep = f"<div><section><div>{long}</div></section><div><div>{short}</div><section>x</section></div></div>"
+    assert html_text.main_text(deep) == f"{long} {short} x"
+    assert html_text.main_text(f"{long}<div>{short}</div>") == f"{long} {short}"
