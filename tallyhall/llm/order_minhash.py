@@ -4,7 +4,10 @@ Words are runs of word characters, case aside. Texts with the same words in the
 (the same text where there are no words) are copies: one row stands for all of them. Every
 representative of five words or more gets :data:`SKETCHES` sketches: of its five-word
 shingles, numbered by occurrence, the :data:`PICKED` with the smallest hashes, in the order
-of the text. Texts that agree in any sketch are candidates. A pair is a link if the edit
+of the text. :data:`LOOSE` more sketches are of two-word shingles, of which many are left where
+edits are spread over the text. Texts of at most :data:`SHORT` words also get keys from runs of
+their words, which no pair within the limit can miss (see :func:`short_keys`). Texts that agree
+in any key are candidates. A pair is a link if the edit
 distance of their words, found in a band as wide as allowed, is at most 1 -
 :data:`SIMILARITY` of the longer one. Classes are the components of the links.
 
@@ -37,6 +40,8 @@ SHINGLE = 5
 SIMILARITY = 0.8
 SKETCHES = 24
 PICKED = 2
+LOOSE, PAIR = 32, 2  # further sketches, and the words of their shingles
+SHORT = 24  # words of the longest text whose candidates are found exactly
 BINS = 64
 BLOCK = 1024  # members of a bucket compared at once
 MAX_WORDS = 250_000
@@ -80,32 +85,32 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def labelled_shingles(hashes: np.ndarray) -> np.ndarray:
-    """Hash of each five-word shingle with the number of its occurrence so far."""
-    n = len(hashes) - SHINGLE + 1
+def labelled_shingles(hashes: np.ndarray, width: int = SHINGLE) -> np.ndarray:
+    """Hash of each shingle of ``width`` words with the number of its occurrence so far."""
+    n = len(hashes) - width + 1
     out = np.zeros(n, np.uint64)
-    for i in range(SHINGLE):
+    for i in range(width):
         out = out * np.uint64(0xD6E8FEB86659FD93) + hashes[i : i + n]
     out = mixed(out)
     order = np.argsort(out, kind="stable")
     ranked = out[order]
     fresh = np.concatenate([[True], ranked[1:] != ranked[:-1]])
     if fresh.all():
-        return out
+        return mixed(out)  # as below: a text without repeats must agree with one that has some
     at = np.arange(n)
     nth = np.empty(n, np.uint64)
     nth[order] = (at - np.maximum.accumulate(np.where(fresh, at, 0))).astype(np.uint64)
     return mixed(out + nth * MIX)
 
 
-def sketch(hashes: np.ndarray) -> np.ndarray:
-    """One key for each sketch; none for texts shorter than a shingle."""
+def sketch(hashes: np.ndarray, count: int = SKETCHES, width: int = SHINGLE) -> np.ndarray:
+    """One key for each sketch; none for texts shorter than a five-word shingle."""
     if len(hashes) < SHINGLE:
         return np.empty(0, np.int64)
-    base = labelled_shingles(hashes)
-    seeds, factors = _SEEDS
+    base = labelled_shingles(hashes, width)
+    seeds, factors = _SEEDS if width == SHINGLE else _LOOSE_SEEDS
     picks = []
-    for i in range(0, SKETCHES, max(1, (1 << 21) // len(base))):
+    for i in range(0, count, max(1, (1 << 21) // len(base))):
         j = slice(i, i + max(1, (1 << 21) // len(base)))
         drawn = (base[None, :] ^ seeds[j, None]) * factors[j, None]
         at = np.arange(len(drawn))
@@ -116,13 +121,47 @@ def sketch(hashes: np.ndarray) -> np.ndarray:
             drawn[at, least] = np.uint64(MASK)
         picks.append(np.sort(np.stack(places, axis=1), axis=1))
     chosen = base[np.concatenate(picks)]
-    key = np.arange(1, SKETCHES + 1, dtype=np.uint64) * MIX
+    key = np.arange(1, count + 1, dtype=np.uint64) * MIX + np.uint64(width - SHINGLE & MASK)
     for i in range(chosen.shape[1]):
         key = mixed(key * factors + chosen[:, i])
     return key.view(np.int64)
 
 
+def short_keys(hashes: np.ndarray) -> list[int]:
+    """Keys of which any two texts of at most SHORT words within the limit share one.
+
+    The longer text of a pair, of ``n`` words, is cut into one more part than there may be
+    edits, so some part is whole in the shorter one too. Counted from the front, the first part
+    that the edits before it fall short of has as many edits before it as parts, which bounds
+    how far it may have moved. Each text gives its own parts and, for each length that a
+    longer one may have, its runs of words in those places.
+    """
+    m, words_, out = len(hashes), hashes.tolist(), set()
+    if m < SHINGLE or m > SHORT:
+        return []
+    for n in range(m, SHORT + 1):
+        edits, shorter = allowed(n, n), n - m
+        if shorter > edits:
+            continue
+        for i in range(edits + 1):
+            start, end = n * i // (edits + 1), n * (i + 1) // (edits + 1)
+            for by in range(max(-i, i - edits - shorter), min(i, edits - i - shorter) + 1):
+                if start + by >= 0 and end + by <= m:
+                    key = n << 8 | i
+                    for w in words_[start + by : end + by]:
+                        key = ((key ^ w) * 0x9E3779B97F4A7C15 & MASK) ^ (key >> 29)
+                    out.add(key - (1 << 64) if key >> 63 else key)
+    return sorted(out)
+
+
+def keys_of(hashes: np.ndarray) -> np.ndarray:
+    """All keys by which a text finds candidates."""
+    short = np.array(short_keys(hashes), np.int64)
+    return np.concatenate([sketch(hashes), sketch(hashes, LOOSE, PAIR), short])
+
+
 _SEEDS = (_odd(SKETCHES, 11), _odd(SKETCHES, 12))
+_LOOSE_SEEDS = (_odd(LOOSE, 13), _odd(LOOSE, 14))
 
 
 def allowed(n: int, m: int) -> int:
@@ -197,7 +236,7 @@ FEATURES = "doc_id long, digest string, n int, sketch array<long>, bins binary"
 
 
 def features(docs: DataFrame) -> DataFrame:
-    """Digest of the words, their number, sketches and binned counts of every document."""
+    """Digest of the words, their number, keys and binned counts of every document."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -212,7 +251,7 @@ def features(docs: DataFrame) -> DataFrame:
                     data = h.tobytes() if len(h) else b"text" + text.encode("utf-8", "surrogatepass")
                     out["digest"].append(hashlib.blake2b(data, digest_size=16).hexdigest())
                     out["n"].append(len(h))
-                    out["sketch"].append(sketch(h))
+                    out["sketch"].append(keys_of(h))
                     # counts beyond 16 bits would wrap: such texts are compared without bins
                     out["bins"].append(bins(h).tobytes() if len(h) < 1 << 16 else None)
                 yield pa.record_batch(

@@ -146,3 +146,54 @@ def test_components(spark):
     got = {r.id: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {x: find(x) for x in label}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def edited(draw, text, count):
+    out = list(text)
+    for k in range(count):
+        at, what = draw.randrange(len(out) + 1), draw.randrange(3)
+        if what == 0:
+            out.insert(at, f"new{draw.random()}")
+        elif at < len(out):
+            out[at : at + 1] = [] if what == 1 else [f"new{draw.random()}"]
+    return out
+
+
+def test_short_texts_always_meet():
+    """Any two texts of at most SHORT words within the limit share a key."""
+    use, draw, pairs = omh.Words(), random.Random(12), 0
+    for _ in range(20000):
+        a = [f"w{draw.randrange(60)}" for _ in range(draw.randint(5, omh.SHORT))]
+        b = edited(draw, a, draw.randint(1, omh.allowed(len(a), len(a))))
+        x, y = use.hashes(" ".join(a).replace(".", "")), use.hashes(" ".join(b).replace(".", ""))
+        if omh.SHINGLE <= len(y) <= omh.SHORT and edits(x.tolist(), y.tolist()) <= omh.allowed(len(x), len(y)):
+            pairs += 1
+            assert set(omh.short_keys(x)) & set(omh.short_keys(y)), (a, b)
+    assert pairs > 10000
+
+
+def test_spread_edits_meet():
+    """Every fifth word changed leaves no five-word shingle, but nearly all such pairs are candidates."""
+    use, draw, missed = omh.Words(), random.Random(13), 0
+    for i in range(400):
+        a = [f"w{draw.randrange(5000)}" for _ in range(draw.choice([25, 30, 50, 100, 400]))]
+        b = [f"x{i}" if k % 5 == 2 else w for k, w in enumerate(a)]
+        x, y = use.hashes(" ".join(a)), use.hashes(" ".join(b))
+        assert omh.similar(x, y)
+        missed += not set(omh.keys_of(x).tolist()) & set(omh.keys_of(y).tolist())
+    assert missed <= 4
+
+
+def test_classes_of_short_and_spread_edits(spark):
+    draw, rows = random.Random(14), []
+    for n in (5, 6, 7, 8, 10, 11, 12, 13, 15, 18, 24, 40, 80):
+        for kind in range(2):
+            text = [f"n{n}k{kind}w{draw.randrange(900)}" for _ in range(n)]
+            if kind:
+                near = [f"y{n}" if k % 5 == 2 and k // 5 < n // 5 else w for k, w in enumerate(text)]
+            else:
+                near = [f"y{n}" if k == n // 2 else w for k, w in enumerate(text)]
+            rows += [" ".join(text), " ".join(near)]
+    rows = list(enumerate(rows))
+    got = {r.doc_id: r.class_id for r in omh.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == plain_classes(rows) == {i: i - i % 2 for i, _ in rows}
