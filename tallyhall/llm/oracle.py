@@ -5,7 +5,7 @@ The other operators are held against brute force in ``tests/llm``.
 
 from __future__ import annotations
 
-from tallyhall.llm import cover_tree, secret_scan, topk
+from tallyhall.llm import count_min, cover_tree, secret_scan, topk
 
 _GOOD = (
     "vec_id is not null and embedding is not null and len(embedding) > 0 and "
@@ -106,7 +106,33 @@ select d.doc_id, {columns}, sha256(coalesce(base_spans, '')) as base_sha256, coa
 from documents d left join found using (doc_id)"""
 
 
+def _repeats() -> str:
+    w = count_min.WIDTH
+    return rf"""
+with texts as (
+  select row_number() over () as rid, doc_id,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words
+  from documents),
+starts as (
+  select rid, i, md5(array_to_string(words[i:i + {w - 1}], ' ')) as h
+  from (select rid, words, unnest(range(1, len(words) - {w - 2})) as i from texts)),
+often as (select h from starts group by h having count(*) > 1),
+hits as (select rid, i from starts semi join often using (h)),
+placed as (select rid, unnest(words) as word, unnest(range(1, len(words) + 1)) as i from texts),
+marked as (
+  select rid, i, word,
+         coalesce(max(hits.i) over (partition by rid order by i rows between {w - 1} preceding and current row), 0) > 0
+           as gone
+  from placed left join hits using (rid, i)),
+kept as (
+  select rid, count(*) filter (gone) as n_removed, string_agg(word, ' ' order by i) filter (not gone) as rest
+  from marked group by rid)
+select doc_id, len(words) as n_words, coalesce(n_removed, 0) as n_removed, sha256(coalesce(rest, '')) as kept_sha256
+from texts left join kept using (rid)"""
+
+
 SQL: dict[str, str] = {
+    "op11_substring_dedup": _repeats(),
     "op3_embedding_near_dedup": _links(),
     "op4_exact_top_k": _top_k(),
     "op7_secret_scan": _secrets(),

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhall.llm import chat, cover_tree, html_text, order_minhash, packing, pieces, secret_scan, token_files, topk, toxicity
+from tallyhall.llm import chat, count_min, cover_tree, html_text, order_minhash, packing, pieces, secret_scan, token_files, topk, toxicity
 from tallyhall.llm.common import scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,3 +73,8 @@ def op6_chat_format(spark: SparkSession, sf: str) -> DataFrame:
     extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], columns)
     turns = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
     return chat.digest(chat.format_conversations(turns.unionByName(extra)))
+
+
+@query
+def op11_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return count_min.digest(count_min.without_repeats(table(spark, sf, "documents")))
