@@ -5,7 +5,7 @@ that also starts anywhere else, the same text included, is taken out.
 
 First pass: each window is counted under its anchor, the smallest hash among its runs of
 :data:`RUN` words. Equal windows have equal anchors in equal places, and neighbouring
-windows mostly share one, so some seven in a hundred words are counted. Every partition
+windows mostly share one, so some tenth of the words is counted. Every partition
 makes a sparse count-min sketch of its anchors (cells that saturate at two); the sketches
 are sent in slices of the hash range and merged there, in a stream, into a bit for each
 cell. An estimate is the least of :data:`ROWS` cells and never below the true count, so no
