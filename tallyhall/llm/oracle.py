@@ -5,7 +5,7 @@ The other operators are held against brute force in ``tests/llm``.
 
 from __future__ import annotations
 
-from tallyhall.llm import count_min, cover_tree, secret_scan, topk
+from tallyhall.llm import count_min, cover_tree, resample, secret_scan, topk
 
 _GOOD = (
     "vec_id is not null and embedding is not null and len(embedding) > 0 and "
@@ -131,7 +131,55 @@ select doc_id, len(words) as n_words, coalesce(n_removed, 0) as n_removed, sha25
 from texts left join kept using (rid)"""
 
 
+#: Lower-cased words of every row of a table; A-Z only are lower-cased.
+def _words(table_: str, columns: str, letters: str) -> str:
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    return rf"""
+  select row_number() over () as rid, {columns},
+         regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'), '{letters}') as words
+  from {table_}"""
+
+
+def _resample() -> str:
+    m, letters = resample.BUCKETS, r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+    return rf"""
+with docs as ({_words("documents", "doc_id", letters)}),
+bench as ({_words("benchmark", "item_id", letters)}),
+d as (select rid, unnest(words) as word from docs),
+b as (select unnest(words) as word from bench),
+crc_table as (
+  select list(list_reduce([c, 1, 1, 1, 1, 1, 1, 1, 1],
+    lambda x, y: case when x & 1 = 1 then xor(x >> 1, 3988292384) else x >> 1 end) order by c) as t
+  from (select unnest(range(0, 256)) as c)),
+spelt as (
+  select word, hex(encode(word)) as h from (select word from d union select word from b)),
+buckets as (
+  select word, xor(list_reduce(list_prepend(4294967295, list_transform(range(0, length(h) // 2),
+    lambda i: cast(('0x' || h[2 * i + 1:2 * i + 2]) as bigint))),
+    lambda x, y: xor(x >> 8, t[(xor(x, y) & 255) + 1])), 4294967295) % {m} as bucket
+  from spelt, crc_table),
+s as (select bucket, count(*) as n from d join buckets using (word) group by bucket),
+t as (select bucket, count(*) as n from b join buckets using (word) group by bucket),
+gain as (
+  select word, cast(floor(1000 * ln(cast((coalesce(t.n, 0) + 1) * ((select count(*) from d) + {m}) as double)
+    / cast((coalesce(s.n, 0) + 1) * ((select count(*) from b) + {m}) as double))) as bigint) as gain
+  from buckets left join s using (bucket) left join t using (bucket)),
+weights as (select rid, cast(sum(gain) as bigint) as weight from d join gain using (word) group by rid),
+scored as (
+  select rid, doc_id, cast(len(words) as bigint) as n_features, coalesce(weight, 0) as weight,
+         coalesce(weight, 0) + cast(floor(-1000 * ln(-ln((cast(('0x' || sha256('{resample.SEED}:' || coalesce(cast(doc_id as varchar), ''))[1:8]) as bigint)
+           + 0.5::double) / 4294967296::double))) as bigint) as score
+  from docs left join weights using (rid)),
+eligible as (
+  select rid, row_number() over (order by score desc, doc_id nulls last, rid) as rank,
+         count(*) over () * {resample.PERCENT} // 100 as draw
+  from scored where n_features >= {resample.MIN_WORDS})
+select doc_id, n_features, weight, score, case when rank <= draw then rank end as rank
+from scored left join eligible using (rid)"""
+
+
 SQL: dict[str, str] = {
+    "op12_importance_resampling": _resample(),
     "op11_substring_dedup": _repeats(),
     "op3_embedding_near_dedup": _links(),
     "op4_exact_top_k": _top_k(),

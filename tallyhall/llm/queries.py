@@ -6,7 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhall.llm import chat, count_min, cover_tree, html_text, order_minhash, packing, pieces, secret_scan, token_files, topk, toxicity
+from tallyhall.llm import (
+    chat,
+    count_min,
+    cover_tree,
+    html_text,
+    order_minhash,
+    packing,
+    pieces,
+    resample,
+    secret_scan,
+    token_files,
+    topk,
+    toxicity,
+)
 from tallyhall.llm.common import scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +91,8 @@ def op6_chat_format(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op11_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return count_min.digest(count_min.without_repeats(table(spark, sf, "documents")))
+
+
+@query
+def op12_importance_resampling(spark: SparkSession, sf: str) -> DataFrame:
+    return resample.resample(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
