@@ -12,9 +12,9 @@ cell. An estimate is the least of :data:`ROWS` cells and never below the true co
 repeated window is lost. Only the merged bits are broadcast: eight cells for each anchor,
 :data:`MAX_CELLS` at most; beyond that more windows pass for repeated, nothing else.
 
-Second pass: windows estimated repeated are grouped exactly, by 128-bit hashes. A batch
+Second pass: windows estimated repeated are grouped exactly, by 96-bit hashes. A chunk
 of texts sends each hash once, with whether it met it twice, so a passage that a third of
-all texts share costs a row a batch. The answer goes back to the batch as bits.
+all texts share costs one hash a chunk. The answer goes back to the chunk's texts as bits.
 
 Texts without such windows never move. Null texts have no words; null or repeated ids are
 rows of their own; an empty table gives an empty result; other columns are ignored.
@@ -27,38 +27,28 @@ from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhall.llm.common import materialise, slices, small_batches, text_or_empty
+from tallyhall.llm.common import BATCH_ROWS, materialise, process_state, slices, small_batches, text_or_empty
 from tallyhall.llm.spans import SOLID, WORD_RADIX, find_words, flat, mixed, powers, span_hashes, word_hashes
 
 WIDTH = 35
-RUN = 10  # words of the runs that anchors are taken from
+RUN = 16  # words of the runs that anchors are taken from
 ROWS = 2  # independent rows of the sketch
 SLICES = 256  # parts of the hash range in which sketches are merged
 MIN_CELLS, MAX_CELLS = 1 << 16, 1 << 29  # cells of a row; at most 64 MB of bits each
 CELLS_EACH = 8  # cells of a row for each anchor counted
 GROUP = 1 << 20  # windows that one group of the second pass holds on average at most
+CHUNK_WINDOWS, CHUNK_TEXTS, CHUNK_BYTES = 1 << 19, 4096, 8 << 20  # a chunk ends beyond one of them
 
-FOUND = (
-    "doc_id long, n_words long, kept binary, chunk long, starts binary, refs binary, "
-    "slice int, base int, hashes binary, twice binary"
-)
+FOUND = "doc_id long, n_words long, kept binary, chunk long, slice int, base int, one binary, two binary, twice binary"
 FOUND_SCHEMA = pa.schema(
-    [
-        ("doc_id", pa.int64()),
-        ("n_words", pa.int64()),
-        ("kept", pa.binary()),
-        ("chunk", pa.int64()),
-        ("starts", pa.binary()),
-        ("refs", pa.binary()),
-        ("slice", pa.int32()),
-        ("base", pa.int32()),
-        ("hashes", pa.binary()),
-        ("twice", pa.binary()),
-    ]
+    [("doc_id", pa.int64()), ("n_words", pa.int64()), ("kept", pa.binary()), ("chunk", pa.int64())]
+    + [("slice", pa.int32()), ("base", pa.int32())]
+    + [(name, pa.binary()) for name in ("one", "two", "twice")]
 )
 
 
@@ -87,29 +77,32 @@ class Windows:
         if n > 0 and self.whole.any():
             at = np.arange(len(self.words) - run + 1)
             self.runs = span_hashes(self.words, at, at + run, WORD_RADIX) | np.uint64(1)
-            self.anchor = sliding(self.runs, width - run + 1, np.minimum)
-            self.anchor[~self.whole] = 0
+            self.least = sliding(self.runs, width - run + 1, np.minimum)
+            self.least[~self.whole] = 0
         else:
-            self.runs = self.anchor = np.empty(0, np.uint64)
+            self.runs = self.least = np.empty(0, np.uint64)
             self.whole = np.empty(0, bool)
 
     def anchors(self) -> np.ndarray:
-        """Hash at each place that is the anchor of some window."""
-        if not len(self.anchor):
-            return self.anchor
+        """Hash at each place that is the anchor of some window, spread evenly again."""
+        if not len(self.least):
+            return self.least
         reach = self.width - self.run + 1
         none = np.zeros(reach - 1, np.uint64)
-        highest = sliding(np.concatenate([none, self.anchor, none]), reach, np.maximum)
-        return self.runs[highest == self.runs]
+        highest = sliding(np.concatenate([none, self.least, none]), reach, np.maximum)
+        return mixed(self.runs[highest == self.runs])
+
+    def anchor_of(self, at: np.ndarray) -> np.ndarray:
+        """Hash of the anchor of each window that starts at ``at``."""
+        return mixed(self.least[at])
 
-    def digests(self, at: np.ndarray) -> np.ndarray:
-        """128 bits for each window that starts at ``at``."""
+    def digests(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """96 bits, as 64 and 32, for each window that starts at ``at``."""
         one = span_hashes(self.words, at, at + self.width, WORD_RADIX)
         up, down = powers(WORD_RADIX).upto(len(self.words) + 1)
         sums = np.zeros(len(self.words) + 1, np.uint64)
         np.cumsum(mixed(self.words ^ np.uint64(0xA0761D6478BD642F)) * up[:-1], out=sums[1:])
-        two = mixed((sums[at + self.width] - sums[at]) * down[at])
-        return np.stack([one, two], axis=1)
+        return one, (mixed((sums[at + self.width] - sums[at]) * down[at]) >> np.uint64(32)).astype(np.uint32)
 
 
 def distinct(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -221,110 +214,161 @@ def repeated_cells(rows: list[np.ndarray], hashes: np.ndarray, bits: int) -> np.
     return out
 
 
+class Suspects:
+    """Windows of a chunk of texts that the sketch takes for repeated."""
+
+    def __init__(self, rows: list[np.ndarray], bits: int, width: int):
+        self.rows, self.bits, self.width = rows, bits, width
+        self.parts: list[tuple[np.ndarray, ...]] = []
+        self.count = 0
+
+    def add(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Words and suspected windows of each text of a batch."""
+        found = Windows(column, self.width)
+        valid = np.flatnonzero(found.whole)
+        at = valid[repeated_cells(self.rows, found.anchor_of(valid), self.bits)] if len(valid) else valid
+        first_word = np.concatenate([[0], np.cumsum(found.n_words)])
+        cut = np.searchsorted(at, first_word)
+        if len(at):
+            text = np.searchsorted(cut, np.arange(len(at)), "right") - 1
+            self.parts.append((*found.digests(at), at - first_word[text], np.diff(cut)))
+        else:
+            self.parts.append((*_NONE, at, np.diff(cut)))
+        self.count += len(at)
+        return found.n_words, np.diff(cut)
+
+    def distinct(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Each digest once, in order, whether it came twice, and which one each window has."""
+        one, two = (np.concatenate([p[i] for p in self.parts]) for i in (0, 1))
+        order = np.lexsort((two, one))
+        fresh = _changes(one[order], two[order])
+        refs = np.empty(len(order), np.int64)
+        refs[order] = np.cumsum(fresh) - 1
+        tops = np.flatnonzero(fresh)
+        return one[order][tops], two[order][tops], np.diff(np.append(tops, len(order))) > 1, refs
+
+
+_NONE = (np.empty(0, np.uint64), np.empty(0, np.uint32))
+
+
+def _changes(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    fresh = np.ones(len(one), bool)
+    fresh[1:] = (one[1:] != one[:-1]) | (two[1:] != two[:-1])
+    return fresh
+
+
 def suspects(texts: DataFrame, sketch, bits: int, groups: int, width: int) -> DataFrame:
     """Second pass: texts without suspected windows are done; of others, the windows by hash.
 
-    Rows with ``slice`` hold the distinct hashes of a batch, rows with ``refs`` a text of
-    it: where suspected windows start and which of the batch's hashes they have.
+    Rows with ``slice`` hold the distinct hashes of a chunk, rows with ``chunk`` alone a
+    text of it, compressed.
     """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, seen, rows = TaskContext.get().partitionId(), 0, sketch.value
+        part, seen = TaskContext.get().partitionId() << 32, 0
+        now, held = Suspects(sketch.value, bits, width), [0, 0]
+        pack = process_state("zstd-1", lambda: zstandard.ZstdCompressor(level=1))
+
+        def flush() -> pa.RecordBatch:
+            one, two, twice, _ = now.distinct()
+            of = _group(one, groups)
+            used = np.unique(of)
+            ranges = list(zip(np.searchsorted(of, used), np.searchsorted(of, used, "right")))
+            return _rows(
+                chunk=np.full(len(used), part | seen),
+                slice=used,
+                base=[a for a, _ in ranges],
+                one=[one[a:b].tobytes() for a, b in ranges],
+                two=[two[a:b].tobytes() for a, b in ranges],
+                twice=[np.packbits(twice[a:b]).tobytes() for a, b in ranges],
+            )
+
         for whole in batches:
             for batch in slices(whole, "text"):
-                chunk, seen = part << 32 | seen, seen + 1
-                found = Windows(batch.column("text"), width)
-                valid = np.flatnonzero(found.whole)
-                at = valid[repeated_cells(rows, found.anchor[valid], bits)] if len(valid) else valid
-                first_word = np.concatenate([[0], np.cumsum(found.n_words)])
-                digest = found.digests(at) if len(at) else np.empty((0, 2), np.uint64)
-                group = (digest[:, 0] % np.uint64(groups)).astype(np.int64)
-                order = np.lexsort((digest[:, 1], digest[:, 0], group))
-                ranked = digest[order]
-                fresh = np.ones(len(order), bool)
-                fresh[1:] = (ranked[1:] != ranked[:-1]).any(axis=1)
-                refs = np.empty(len(order), np.int32)
-                refs[order] = np.cumsum(fresh) - 1
-                tops = np.flatnonzero(fresh)
-                twice = np.diff(np.append(tops, len(order))) > 1
+                n_words, windows = now.add(batch.column("text"))
                 kept = [b" ".join(t.split()) for t in batch.column("text").cast(pa.binary()).to_pylist()]
-                ids = batch.column("doc_id")
-                cut = np.searchsorted(at, first_word)
-                starts = [None if a == b else (at[a:b] - w).astype(np.int32).tobytes() for a, b, w in zip(cut[:-1], cut[1:], first_word)]
-                own = [None if a == b else refs[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:])]
-                yield _rows(doc_id=ids, n_words=found.n_words, kept=kept, chunk=np.full(len(kept), chunk), starts=starts, refs=own)
-                if not len(at):
-                    continue
-                keys, of = ranked[tops], group[order][tops]
-                used = np.unique(of)
-                ranges = list(zip(np.searchsorted(of, used), np.searchsorted(of, used, "right")))
                 yield _rows(
-                    chunk=np.full(len(used), chunk),
-                    slice=used,
-                    base=[a for a, _ in ranges],
-                    hashes=[keys[a:b].tobytes() for a, b in ranges],
-                    twice=[np.packbits(twice[a:b]).tobytes() for a, b in ranges],
+                    doc_id=batch.column("doc_id"),
+                    n_words=n_words,
+                    kept=[pack.compress(k) if w else k for k, w in zip(kept, windows)],
+                    chunk=pa.array(np.full(len(kept), part | seen), mask=windows == 0),
                 )
+                held = [held[0] + len(kept), held[1] + sum(map(len, kept))]
+                if now.count >= CHUNK_WINDOWS or held[0] >= CHUNK_TEXTS or held[1] >= CHUNK_BYTES:
+                    if now.count:
+                        yield flush()
+                    now, held, seen = Suspects(sketch.value, bits, width), [0, 0], seen + 1
+        if now.count:
+            yield flush()
 
     return small_batches(texts).mapInArrow(scan, FOUND)
 
 
+def _group(one: np.ndarray, groups: int) -> np.ndarray:
+    """Group of each digest; groups are ranges, so digests in order are in order of groups."""
+    return ((one >> np.uint64(32)) * np.uint64(groups) >> np.uint64(32)).astype(np.int64)
+
+
 def _rows(**columns) -> pa.RecordBatch:
     n = len(next(iter(columns.values())))
-    return pa.record_batch(
-        [
-            columns[f.name].cast(f.type)
-            if isinstance(columns.get(f.name), pa.Array)
-            else pa.array(columns[f.name], f.type)
-            if f.name in columns
-            else pa.nulls(n, f.type)
-            for f in FOUND_SCHEMA
-        ],
-        schema=FOUND_SCHEMA,
-    )
+    made = [
+        pa.nulls(n, f.type)
+        if f.name not in columns
+        else columns[f.name].cast(f.type)
+        if isinstance(columns[f.name], pa.Array)
+        else pa.array(columns[f.name], f.type)
+        for f in FOUND_SCHEMA
+    ]
+    return pa.record_batch(made, schema=FOUND_SCHEMA)
 
 
 def _exact(table: pa.Table) -> pa.Table:
-    """Which hashes of a slice come twice or more, over all batches: bits for each batch."""
-    table = table.combine_chunks()
-    data = [np.frombuffer(x, np.uint64).reshape(-1, 2) for x in table.column("hashes").to_pylist()]
-    twice = [
-        np.unpackbits(np.frombuffer(x, np.uint8), count=len(d)) for x, d in zip(table.column("twice").to_pylist(), data)
-    ]
-    keys, double = np.concatenate(data), np.concatenate(twice)
-    order = np.lexsort((keys[:, 1], keys[:, 0]))
-    ranked = keys[order]
-    fresh = np.ones(len(order), bool)
-    fresh[1:] = (ranked[1:] != ranked[:-1]).any(axis=1)
+    """Which hashes of a slice come twice or more, over all chunks: bits for each chunk."""
+    ones = [np.frombuffer(x, np.uint64) for x in table.column("one").to_pylist()]
+    twice = [np.unpackbits(np.frombuffer(x, np.uint8), count=len(d)) for x, d in zip(table.column("twice").to_pylist(), ones)]
+    one, double = np.concatenate(ones), np.concatenate(twice)
+    two = np.concatenate([np.frombuffer(x, np.uint32) for x in table.column("two").to_pylist()])
+    order = np.lexsort((two, one))
+    fresh = _changes(one[order], two[order])
     count = np.add.reduceat(1 + double[order].astype(np.int64), np.flatnonzero(fresh))
     repeated = np.empty(len(order), bool)
     repeated[order] = (count > 1)[np.cumsum(fresh) - 1]
-    cut = np.cumsum([len(d) for d in data])[:-1]
+    cut = np.cumsum([len(d) for d in ones])[:-1]
     return pa.table(
         {
             "chunk": table.column("chunk"),
             "base": table.column("base"),
-            "n": pa.array([len(d) for d in data], pa.int32()),
+            "n": pa.array([len(d) for d in ones], pa.int32()),
             "bits": pa.array([np.packbits(x).tobytes() for x in np.split(repeated, cut)], pa.binary()),
         }
     )
 
 
-def _take_out(width: int):
+def _take_out(sketch, bits: int, width: int):
+    """Takes the repeated windows out of a chunk's texts, found anew as the second pass found them."""
+
     def settle(texts: pa.Table, answers: pa.Table) -> pa.Table:
         bases, sizes = answers.column("base").to_pylist(), answers.column("n").to_pylist()
         repeated = np.zeros(max(b + n for b, n in zip(bases, sizes)), bool)
-        for base, n, bits in zip(bases, sizes, answers.column("bits").to_pylist()):
-            repeated[base : base + n] = np.unpackbits(np.frombuffer(bits, np.uint8), count=n)
+        for base, n, found in zip(bases, sizes, answers.column("bits").to_pylist()):
+            repeated[base : base + n] = np.unpackbits(np.frombuffer(found, np.uint8), count=n)
+        unpack = zstandard.ZstdDecompressor()
+        kept = [unpack.decompress(x) for x in texts.column("kept").to_pylist()]
+        now, n_words = Suspects(sketch.value, bits, width), []
+        for i in range(0, len(kept), BATCH_ROWS):
+            n_words += now.add(pa.array(kept[i : i + BATCH_ROWS], pa.large_binary()))[0].tolist()
+        hit = repeated[now.distinct()[3]]
+        places = np.concatenate([p[2] for p in now.parts])
+        cut = np.concatenate([[0], np.cumsum(np.concatenate([p[3] for p in now.parts]))])
         out: dict[str, list] = {"kept": [], "n_removed": [], "spans": []}
-        for kept, n, starts, refs in zip(*(texts.column(c).to_pylist() for c in ("kept", "n_words", "starts", "refs"))):
-            at = np.frombuffer(starts, np.int32)[repeated[np.frombuffer(refs, np.int32)]]
+        for i, (text, n) in enumerate(zip(kept, n_words)):
+            at = places[cut[i] : cut[i + 1]][hit[cut[i] : cut[i + 1]]]
             edge = np.zeros(n + 1, np.int64)
             np.add.at(edge, at, 1)
             np.add.at(edge, at + width, -1)
             gone = np.cumsum(edge[:-1]) > 0
             turns = np.flatnonzero(np.diff(np.concatenate([[False], gone, [False]]).astype(np.int8)))
-            out["kept"].append(b" ".join(compress(kept.split(b" "), (~gone).tolist())) if len(at) else kept)
+            out["kept"].append(b" ".join(compress(text.split(b" "), (~gone).tolist())) if len(at) else text)
             out["n_removed"].append(int(gone.sum()))
             out["spans"].append(turns.tolist())
         return pa.table(
@@ -358,11 +402,11 @@ def without_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     tasks = max(1, min(SLICES, sketches.rdd.getNumPartitions()))
     sketch = spark.sparkContext.broadcast(merged(sketches, bits, tasks))
     found = materialise(suspects(texts, sketch, bits, 1 + (total["w"] or 0) // GROUP, width), "suspects")
-    hashes = found.filter("slice is not null").select("chunk", "slice", "base", "hashes", "twice")
+    hashes = found.filter("slice is not null").select("chunk", "slice", "base", "one", "two", "twice")
     answers = hashes.groupBy("slice").applyInArrow(_exact, "chunk long, base int, n int, bits binary")
-    open_ = found.filter("refs is not null").select("doc_id", "n_words", "kept", "chunk", "starts", "refs")
-    settled = open_.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_take_out(width), OUT)
-    done = found.filter("refs is null and slice is null").select(
+    open_ = found.filter("chunk is not null and slice is null").select("doc_id", "n_words", "kept", "chunk")
+    settled = open_.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_take_out(sketch, bits, width), OUT)
+    done = found.filter("chunk is null").select(
         "doc_id",
         "n_words",
         F.lit(0).cast("long").alias("n_removed"),
