@@ -5,7 +5,7 @@ The other operators are held against brute force in ``tests/llm``.
 
 from __future__ import annotations
 
-from tallyhall.llm import count_min, cover_tree, resample, secret_scan, topk
+from tallyhall.llm import count_min, cover_tree, resample, secret_scan, topk, treap
 
 _GOOD = (
     "vec_id is not null and embedding is not null and len(embedding) > 0 and "
@@ -178,7 +178,35 @@ select doc_id, n_features, weight, score, case when rank <= draw then rank end a
 from scored left join eligible using (rid)"""
 
 
+def _ranked() -> str:
+    letters = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+    impact = (
+        f"({treap.SCALE} * tf) // ({treap.UNIT} * tf + {treap.SATURATION} * "
+        f"({100 - treap.B_PERCENT} + ({treap.B_PERCENT} * n * docs) // terms))"
+    )
+    return rf"""
+with docs as ({_words("documents", "doc_id", letters)}),
+bench as ({_words("benchmark", "item_id", letters)}),
+asked as (select distinct rid as item, item_id, unnest(words) as term from bench),
+sums as (select count(*) filter (len(words) > 0) as docs, cast(sum(len(words)) as bigint) as terms from docs),
+postings as (
+  select rid, doc_id, n, term, count(*) as tf
+  from (select rid, doc_id, len(words) as n, unnest(words) as term from docs)
+  where term in (select term from asked) group by all),
+weights as (
+  select term, cast(floor(1000 * ln(cast(2 * (select docs from sums) + 2 as double) / (2 * count(*) + 1))) as bigint) as w
+  from postings group by term),
+scored as (
+  select item, item_id, rid, doc_id, cast(sum(w * ({impact})) as bigint) as score
+  from asked join postings using (term) join weights using (term), sums group by all),
+ranked as (
+  select *, cast(row_number() over (partition by item order by score desc, doc_id nulls last, rid) as integer) as rank
+  from scored where score > 0)
+select item_id, rank, doc_id, score from ranked where rank <= {treap.K}"""
+
+
 SQL: dict[str, str] = {
+    "op13_lexical_search": _ranked(),
     "op12_importance_resampling": _resample(),
     "op11_substring_dedup": _repeats(),
     "op3_embedding_near_dedup": _links(),

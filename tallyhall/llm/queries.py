@@ -19,6 +19,7 @@ from tallyhall.llm import (
     token_files,
     topk,
     toxicity,
+    treap,
 )
 from tallyhall.llm.common import scratch_path, table
 
@@ -96,3 +97,8 @@ def op11_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op12_importance_resampling(spark: SparkSession, sf: str) -> DataFrame:
     return resample.resample(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@query
+def op13_lexical_search(spark: SparkSession, sf: str) -> DataFrame:
+    return treap.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
