@@ -65,6 +65,7 @@ def _places(pattern: str) -> str:
 def _secrets() -> str:
     names = " ".join(f"when {i} then '{k}'" for i, k in enumerate(secret_scan.KINDS))
     allowed = " or ".join(f"regexp_full_match(hit, {_quoted(p)})" for p in secret_scan.ALLOWED)
+    allowed += f" or (regexp_matches(hit, '^{secret_scan.ROW_START}') and not regexp_matches(hit, '{secret_scan.ROW_BREAK}'))"
     w, bars = secret_scan.WINDOW, secret_scan.THRESHOLDS
     spans = "string_agg(name || ':' || start || ':' || \"end\", ',' order by start, kind, \"end\")"
     counts = ", ".join(f"count(*) filter (kind = {i}) as n_{k}" for i, k in enumerate(secret_scan.KINDS))

@@ -38,10 +38,12 @@ ALLOWED = [
     r"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}",  # identifiers of this form are public
     r"[A-Za-z]+",  # a word
     r"[0-9]+",  # a number
-    r"([A-Za-z]+|[0-9]+)([+/_=-]+([A-Za-z]+|[0-9]+))*[+/_=-]*",  # words and numbers in a row
     r"(?i).*(example|sample|dummy|placeholder|changeme|your_).*",
     r"(?i).*(0123456789|abcdefghij|qwertyuiop).*",
 ]
+#: Candidates that start with the first and hold the second nowhere are words and numbers in a
+#: row. Said as one pattern, a repeated choice, a long row would overflow the matcher's stack.
+ROW_START, ROW_BREAK = "[A-Za-z0-9]", "[A-Za-z][0-9]|[0-9][A-Za-z]"
 KINDS = ["assign", "access", "hex", "entropy_hex", "entropy_base64"]
 SPANS = "array<struct<start:int,kind:int,end:int>>"
 
@@ -159,7 +161,12 @@ def entropy_spans(text: Column, base: Column) -> Column:
         )
 
     allowed = "^(?:" + "|".join(f"(?:{p})" for p in ALLOWED) + ")$"
-    candidates = F.filter(places(text, RUN), lambda c: ~F.rlike(c["hit"], F.lit(allowed)))
+
+    def stands(c: Column) -> Column:
+        row = F.rlike(c["hit"], F.lit("^" + ROW_START)) & ~F.rlike(c["hit"], F.lit(ROW_BREAK))
+        return ~F.rlike(c["hit"], F.lit(allowed)) & ~row
+
+    candidates = F.filter(places(text, RUN), stands)
     spans = F.flatten(F.transform(candidates, judged)).cast(SPANS)
     return F.filter(spans, lambda s: ~F.exists(base, lambda b: (b["start"] <= s["start"]) & (s["end"] <= b["end"])))
 

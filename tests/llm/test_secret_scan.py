@@ -33,6 +33,9 @@ def entropy(window):
     return math.log2(len(window)) - sum(c * math.log2(c) for c in counts) / len(window)
 
 
+ROW = r"([A-Za-z]+|[0-9]+)([+/_=-]+([A-Za-z]+|[0-9]+))*[+/_=-]*"  # words and numbers in a row
+
+
 def plain(text):
     text, spans = text or "", []
     spans += [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
@@ -40,7 +43,7 @@ def plain(text):
     spans += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
     base, more = sorted(spans), []
     for m in re.finditer(scan.RUN, text):
-        if any(re.fullmatch(p, m[0]) for p in scan.ALLOWED):
+        if any(re.fullmatch(p, m[0]) for p in [*scan.ALLOWED, ROW]):
             continue
         is_hex = re.fullmatch("[0-9A-Fa-f]+", m[0])
         bar, joined = scan.THRESHOLDS["hex" if is_hex else "base64"], []
@@ -102,3 +105,14 @@ def test_no_python_runs(spark):
 def test_long_runs(spark, text):
     df = spark.createDataFrame([(1, text)], "doc_id long, text string")
     assert [tuple(s) for s in scan.scan(df).first()["spans"]] == plain(text)
+
+
+@pytest.mark.parametrize("part", ["a-", "a1_", "a/", "1=", "-a"])
+def test_long_rows_of_words_and_numbers(spark, part):
+    text = part * 100_000
+    df = spark.createDataFrame([(1, text), (2, "see " + part * 5000 + " " + KEY)], "doc_id long, text string")
+    assert {r.doc_id: [tuple(s) for s in r.spans] for r in scan.scan(df).collect()} == {
+        1: plain(text),
+        2: plain("see " + part * 5000 + " " + KEY),
+    }
+    assert scan.redact(df).filter("doc_id = 2").first()["text"] == "see " + part * 5000 + " [SECRET]"
