@@ -621,15 +621,24 @@ def ingest_tiles(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def ingest_features(spark: SparkSession, sf: str) -> DataFrame:
-    """A FeatureCollection written one feature per line, typed and loaded."""
+    """FeatureCollections in three layouts, typed and loaded into a table."""
     path = scratch_path(spark, "collection")
     corners = [F.col(c) for c in spatial.BOX]
     feature = F.concat(
         F.lit('{"type":"Feature","properties":{"release":"'), "release", F.lit('","footprint_id":'),
-        F.col("footprint_id").cast("string"), F.lit('},"geometry":'), geo.box_geojson(*corners),
-        F.lit("},"),
+        F.col("footprint_id").cast("string"), F.lit('},"geometry":'), geo.box_geojson(*corners), F.lit("}"),
     )
-    view(spark, sf, "footprint_boxes").select(feature).write.text(path)
+    # One line, a feature a line, and a feature over several lines: by runs of a thousand ids.
+    run = F.floor(F.col("footprint_id") / 1000)
+    layout = F.pmod(run, F.lit(3))
+    spread = F.regexp_replace("feature", '"(properties|geometry)":', '\n    "$1" :\n      ')
+    rows = view(spark, sf, "footprint_boxes").select(run.alias("run"), layout.alias("layout"), feature.alias("feature"))
+    rows = rows.withColumn("feature", F.when(F.col("layout") == 2, spread).otherwise(F.col("feature")))
+    runs = rows.groupBy("run", "layout").agg(F.collect_list("feature").alias("features"))
+    joined = F.array_join("features", ", ")
+    lines = F.when(F.col("layout") == 0, joined).otherwise(F.array_join("features", ",\n"))
+    frame = F.concat(F.lit('{"type":"FeatureCollection","name":"x","features":['), lines, F.lit("]}"))
+    runs.select(frame).write.text(path)
     out = jobs.ingest_features(spark, path, "release string, footprint_id bigint")
     area = geo.st_area(F.col("geometry"), "planar")
     return out.withColumn("area", F.round(area, 6)).drop("geometry")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyhall.functions.geometry import to_wkb
+from tallyhall.sources.collections import collection_items, features
 
 CATALOGUE = "Location string, QuadKey string, Url string, Size string, UploadDate string"
 
@@ -54,40 +55,44 @@ def geojson_seq(
 def geojson_collection(
     spark: SparkSession, path: str, properties: str, strict: bool = True, by_line: bool = True
 ) -> DataFrame:
-    """One row per feature of a FeatureCollection.
-
-    The published files keep each feature on a line of its own, so ``by_line``
-    reads the file as splittable text whatever its size. A line may also hold a
-    whole collection. A line that is neither feature, collection nor part of the
-    frame around them (as in a file spread over lines freely) fails a strict read,
-    else it gives a row of nulls. Without ``by_line`` a file is one record and one
-    task: only for small collections, in any layout.
+    """One row per feature of a FeatureCollection, in any layout.
+
+    Features are found by their brackets (see :mod:`tallyhall.sources.collections`), so a
+    file is split whatever its layout. A strict read gives every feature or fails: on text
+    between features, on an item that is no feature, on a file that ends too early.
+
+    A loose read (not ``strict``) gives a row of nulls for what is no feature. With
+    ``by_line`` it takes the published layout, each feature on a line of its own, so that
+    a damaged line costs that line alone; else it follows the brackets too.
     """
-    if by_line:
-        schema = f"{_struct(properties)}, features: array<struct<{_struct(properties)}>>, _bad: string"
-        body = F.regexp_replace(F.trim("value"), r",\s*$", "")
-        parsed = F.from_json("body", f"struct<{schema}>", {"columnNameOfCorruptRecord": "_bad"})
-        lines = spark.read.text(path).select(body.alias("body")).filter("body <> ''")
-        lines = lines.select("body", parsed.alias("f"))
-        whole = F.col("f._bad").isNull()
-        one = F.struct("f.type", "f.properties", "f.geometry")
-        none = F.slice(F.array(one), 1, 0)
-        frame = F.rlike("body", F.lit(_FRAME)) & ~F.contains("body", F.lit('"Feature"'))
-        fault = F.raise_error(F.concat(F.lit("no feature: "), F.substring("body", 1, 200)))
-        rows = (
-            F.when(whole & (F.col("f.type") == "Feature"), F.array(one))
-            .when(whole & (F.col("f.type") == "FeatureCollection"), F.coalesce("f.features", none))
-            .when(frame, none)
-            .otherwise(fault.cast(f"array<struct<{_struct(properties)}>>") if strict else F.array(F.lit(None).cast(f"struct<{_struct(properties)}>")))
-        )
-        features = lines.select(F.explode(rows).alias("f"))
+    if strict or not by_line:
+        items = collection_items(spark, path, strict)
+        found = items.select(features(items, properties, strict).alias("f"))
     else:
-        schema = f"features array<struct<{_struct(properties)}>>"
-        reader = spark.read.option("mode", "FAILFAST" if strict else "PERMISSIVE")
-        features = reader.schema(schema).json(path, multiLine=True)
-        features = features.select(F.explode("features").alias("f"))
+        found = _features_by_line(spark, path, properties)
     shape = to_wkb(F.col("f.geometry"), strict=strict, geojson=True)
-    return features.select("f.properties.*", shape.alias("geometry"))
+    return found.select("f.properties.*", shape.alias("geometry"))
+
+
+def _features_by_line(spark: SparkSession, path: str, properties: str) -> DataFrame:
+    """Features of lines that hold a feature or a whole collection; null for other lines."""
+    schema = f"{_struct(properties)}, features: array<struct<{_struct(properties)}>>, _bad: string"
+    body = F.regexp_replace(F.trim("value"), r",\s*$", "")
+    parsed = F.from_json("body", f"struct<{schema}>", {"columnNameOfCorruptRecord": "_bad"})
+    lines = spark.read.text(path).select(body.alias("body")).filter("body <> ''")
+    lines = lines.select("body", parsed.alias("f"))
+    whole = F.col("f._bad").isNull()
+    one = F.struct("f.type", "f.properties", "f.geometry")
+    none = F.slice(F.array(one), 1, 0)
+    frame = F.rlike("body", F.lit(_FRAME)) & ~F.contains("body", F.lit('"Feature"'))
+    bad = F.array(F.lit(None).cast(f"struct<{_struct(properties)}>"))
+    rows = (
+        F.when(whole & (F.col("f.type") == "Feature"), F.array(one))
+        .when(whole & (F.col("f.type") == "FeatureCollection"), F.coalesce("f.features", none))
+        .when(frame, none)
+        .otherwise(bad)
+    )
+    return lines.select(F.explode(rows).alias("f"))
 
 
 #: Lines around the features of a collection: brackets and members of the collection.
