@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhall.functions.geometry import geom_type
+from tallyhall.operators import parts
 from tallyhall.operators.skew import scatter_nulls
 from tallyhall.session import materialise, table_path
 
@@ -95,6 +96,8 @@ def write_replace(df: DataFrame, table: str, cluster_by: list[str] | None = None
         raise ValueError(f"{table} is managed by the catalog; its versions can't be kept")
     path = table_path(spark, table)
     (_clustered(df, cluster_by) if cluster_by else df).write.parquet(path)
+    if parts.is_parted(spark, table):  # a view over its parts, whose files stay
+        spark.sql(f"drop view {table}")
     if spark.catalog.tableExists(table):
         if [f.dataType for f in spark.table(table).schema] == [
             f.dataType for f in df.schema
@@ -125,7 +128,10 @@ def write_append(df: DataFrame, table: str, cluster_by: list[str] | None = None)
     columns = spark.table(table).columns
     if {c.lower() for c in columns} != {c.lower() for c in df.columns}:
         raise ValueError(f"{table} has the columns {columns}, the batch {df.columns}")
-    df.select(*columns).write.insertInto(table)
+    if parts.is_parted(spark, table):
+        parts.append(spark, table, df)
+    else:
+        df.select(*columns).write.insertInto(table)
 
 
 def ensure_database(spark: SparkSession, name: str) -> None:
@@ -164,7 +170,8 @@ def materialize(
     A view must be built from catalog tables; it is registered for the session.
     ``limit`` keeps a few rows of a view only, for development: it would cut a stored
     table. An incremental table holds history its source may have lost, so it is built
-    anew only with ``full_refresh``.
+    anew only with ``full_refresh``. It is kept in parts by its date key (else its first
+    key), and a run rewrites only the parts that its keys can be in.
     """
     spark = df.sparkSession
     if limit is not None:
@@ -185,22 +192,39 @@ def materialize(
     elif kind == "incremental":
         if not keys:
             raise ValueError("an incremental model needs its merge keys")
+        column = _part_column(df, keys)
         if exists and not full_refresh:
             batch = guard_unique(materialise(df, "model"), keys)
-            df = keyed_merge(spark.table(table), batch, keys)
-        write_replace(df, table)
-        spark.sql(f"alter table {table} set tblproperties ('{INCREMENTAL}' = 'true')")
+            if parts.is_parted(spark, table) and parts.stored(spark, table)[1] == column:
+                parts.merge_keys(spark, table, batch, keys, lambda held, new: keyed_merge(held, new, keys))
+            else:
+                parts.write_parts(keyed_merge(spark.table(table), batch, keys), table, column)
+        else:
+            parts.write_parts(df, table, column)
+        spark.sql(f"alter view {table} set tblproperties ('{INCREMENTAL}' = 'true')")
     else:
         raise ValueError(f"unknown materialisation {kind!r}")
     return table
 
 
+def _part_column(df: DataFrame, keys: list[str]) -> str:
+    """The key that the parts of an incremental table are cut by."""
+    return next((k for k in keys if df.schema[k].dataType.typeName() in ("date", "timestamp")), keys[0])
+
+
 def reload_table(
     spark: SparkSession, table: str, batch: DataFrame, col: str, start: dt.date, end: dt.date
 ) -> None:
-    """``range_reload`` on a catalog table; a table not there yet is created."""
+    """``range_reload`` on a catalog table; a table not there yet is created.
+
+    The table is kept in parts by ``col``; only parts that [start, end] meets are rewritten.
+    A table that is not in parts yet is read and written whole once.
+    """
+    if parts.is_parted(spark, table) and parts.stored(spark, table)[1] == col:
+        parts.reload_range(spark, table, batch, start, end)
+        return
     target = spark.table(table) if spark.catalog.tableExists(table) else None
-    write_replace(range_reload(target, batch, col, start, end), table)
+    parts.write_parts(range_reload(target, batch, col, start, end), table, col)
 
 
 def reload_month_partitions(
