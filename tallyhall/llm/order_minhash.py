@@ -5,36 +5,40 @@ Words are runs of word characters, case aside. Texts with the same words in the
 representative of five words or more gets :data:`SKETCHES` sketches: of its five-word
 shingles, numbered by occurrence, the :data:`PICKED` with the smallest hashes, in the order
 of the text. :data:`LOOSE` more sketches are of two-word shingles, of which many are left where
-edits are spread over the text. Texts of at most :data:`SHORT` words also get keys from runs of
+edits are spread over the text. Texts of four (the fewest of which one may change) to :data:`SHORT` words also get keys from runs of
 their words, which no pair within the limit can miss (see :func:`short_keys`). Texts that agree
 in any key are candidates. A pair is a link if the edit
 distance of their words, found in a band as wide as allowed, is at most 1 -
 :data:`SIMILARITY` of the longer one. Classes are the components of the links.
 
-Candidates never meet all with all. First everyone is held against the smallest fitting id
+Candidates never meet all with all. First everyone is held against the first fitting text
 of its buckets, which settles groups of near copies with one pair for each member. Where a bucket still
 spans several classes, its members are compared across classes in blocks, by an exact lower
-bound of the distance (word counts in 64 bins): first the closest pair of each two classes
+bound of the distance (binned word counts): first the closest pair of each two classes
 is aligned, then, across the classes that remain, every pair that the bound can't exclude.
+Before texts are fetched for alignment, finer bins exclude most of those pairs.
 
-Null ids belong to no class and come back with a null class. Rows that share an id are one
-document if their words agree; else each text counts for that id. Null texts are empty.
-Further columns are ignored. An empty table gives an empty result.
+Rows are told apart by numbers of their own, given out once. A class is named by its
+smallest doc_id; rows without an id are documents like others, and a class of such rows
+alone has a null name. Rows that share an id are one document if their words agree; else
+each text is classed by itself. Null texts are empty. Further columns are ignored. An empty
+table gives an empty result.
 """
 
 from __future__ import annotations
 
-import re
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhall.llm.common import fresh, materialise, process_state, slices, small_batches
 from tallyhall.llm.graph import components
+from tallyhall.llm.spans import find_words, flat, span_hashes
+from tallyhall.llm.spans import mixed as spread
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -42,12 +46,13 @@ SKETCHES = 24
 PICKED = 2
 LOOSE, PAIR = 32, 2  # further sketches, and the words of their shingles
 SHORT = 24  # words of the longest text whose candidates are found exactly
-BINS = 64
+COARSE, FINE = 64, 256  # bins of word counts, for pairs in buckets and before alignment
 BLOCK = 1024  # members of a bucket compared at once
-MAX_WORDS = 250_000
-WORD = re.compile(r"\w+")
+PAIRS = 1 << 20  # pairs looked at in one step
+LEAST = 4  # words of the shortest text that may differ from a similar one
 MIX = np.uint64(0x9E3779B97F4A7C15)
 MASK = 0xFFFFFFFFFFFFFFFF
+LETTER_RADIX = 0xC2B2AE3D27D4EB4F
 
 
 def _odd(count: int, seed: int) -> np.ndarray:
@@ -56,28 +61,26 @@ def _odd(count: int, seed: int) -> np.ndarray:
 
 
 class Words:
-    """Hashes of a text's words; remembers words."""
+    """Hashes of the words of texts: runs of letters, digits and underscores, case aside."""
 
     def __init__(self) -> None:
-        self.known: dict[str, int] = {}
+        self.part = np.array([c == 0x5F or chr(c).isalnum() for c in range(0x110000)])
+
+    def of(self, texts: list[str]) -> list[np.ndarray]:
+        """Hash of each word of each text."""
+        lower = [t.lower() for t in texts]
+        places = np.concatenate([[0], np.cumsum([len(t) for t in lower])]).astype(np.int64)
+        signs = np.frombuffer("".join(lower).encode("utf-32-le", "surrogatepass"), np.uint32)
+        starts, ends, text = find_words(self.part[signs], places)
+        hashes = span_hashes(spread(signs.astype(np.uint64) + MIX), starts, ends, LETTER_RADIX)
+        return np.split(hashes, np.searchsorted(text, np.arange(1, len(texts))))
 
     def hashes(self, text: str) -> np.ndarray:
-        found, known = WORD.findall(text.lower()), self.known
-        try:
-            out = [known[w] for w in found]
-        except KeyError:
-            if len(known) > MAX_WORDS:
-                known.clear()
-            for w in found:
-                if w not in known:
-                    data = w.encode("utf-8", "surrogatepass")
-                    known[w] = (zlib.crc32(data) << 32 | zlib.crc32(data, 77)) * 0x9E3779B97F4A7C15 & MASK
-            out = [known[w] for w in found]
-        return np.array(out, dtype=np.uint64)
+        return self.of([text])[0]
 
 
 def words() -> Words:
-    return process_state("order-minhash-words", Words, large=True)
+    return process_state("order-minhash-words", Words)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -85,46 +88,73 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def labelled_shingles(hashes: np.ndarray, width: int = SHINGLE) -> np.ndarray:
-    """Hash of each shingle of ``width`` words with the number of its occurrence so far."""
-    n = len(hashes) - width + 1
+def labelled(hashes: np.ndarray, text: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of each shingle of ``width`` words with the number of its occurrence so far, and its text."""
+    n = max(0, len(hashes) - width + 1)
     out = np.zeros(n, np.uint64)
     for i in range(width):
         out = out * np.uint64(0xD6E8FEB86659FD93) + hashes[i : i + n]
-    out = mixed(out)
-    order = np.argsort(out, kind="stable")
-    ranked = out[order]
-    fresh = np.concatenate([[True], ranked[1:] != ranked[:-1]])
-    if fresh.all():
-        return mixed(out)  # as below: a text without repeats must agree with one that has some
-    at = np.arange(n)
-    nth = np.empty(n, np.uint64)
-    nth[order] = (at - np.maximum.accumulate(np.where(fresh, at, 0))).astype(np.uint64)
-    return mixed(out + nth * MIX)
-
-
-def sketch(hashes: np.ndarray, count: int = SKETCHES, width: int = SHINGLE) -> np.ndarray:
-    """One key for each sketch; none for texts shorter than a five-word shingle."""
-    if len(hashes) < SHINGLE:
-        return np.empty(0, np.int64)
-    base = labelled_shingles(hashes, width)
+    whole = text[:n] == text[width - 1 : width - 1 + n]
+    out, own = mixed(out)[whole], text[:n][whole]
+    key = mixed(out + own.astype(np.uint64) * MIX)
+    order = np.argsort(key, kind="stable")
+    ranked = key[order]
+    fresh = np.ones(len(order), bool)
+    fresh[1:] = ranked[1:] != ranked[:-1]
+    if not fresh.all():
+        at = np.arange(len(order))
+        nth = np.empty(len(order), np.uint64)
+        nth[order] = (at - np.maximum.accumulate(np.where(fresh, at, 0))).astype(np.uint64)
+        out = out + nth * MIX
+    return mixed(out), own
+
+
+def sketches(hashes: np.ndarray, text: np.ndarray, texts: int, width: int = SHINGLE) -> np.ndarray:
+    """A row of keys, one for each sketch, for each text that has a shingle; see :func:`sketched`.
+
+    For each sketch one pass over the shingles of all texts finds the two smallest hashes of
+    every text: the place rides in the low half of the number whose least is taken.
+    """
+    base, own = labelled(hashes, text, width)
     seeds, factors = _SEEDS if width == SHINGLE else _LOOSE_SEEDS
-    picks = []
-    for i in range(0, count, max(1, (1 << 21) // len(base))):
-        j = slice(i, i + max(1, (1 << 21) // len(base)))
-        drawn = (base[None, :] ^ seeds[j, None]) * factors[j, None]
-        at = np.arange(len(drawn))
-        places = []
-        for _ in range(min(PICKED, len(base))):
-            least = drawn.argmin(axis=1)
-            places.append(least)
-            drawn[at, least] = np.uint64(MASK)
-        picks.append(np.sort(np.stack(places, axis=1), axis=1))
-    chosen = base[np.concatenate(picks)]
-    key = np.arange(1, count + 1, dtype=np.uint64) * MIX + np.uint64(width - SHINGLE & MASK)
-    for i in range(chosen.shape[1]):
-        key = mixed(key * factors + chosen[:, i])
-    return key.view(np.int64)
+    begins = np.searchsorted(own, np.flatnonzero(np.bincount(own, minlength=texts)))
+    small = (base >> np.uint64(32)).astype(np.uint32)  # the draw needs no more
+    place = np.arange(len(base), dtype=np.uint64)
+    low, out = np.uint64(0xFFFFFFFF), np.empty((len(begins), len(seeds)), np.uint64)
+    for i, (seed, factor) in enumerate(zip(seeds, factors)):
+        drawn = ((small ^ np.uint32(seed & low)) * np.uint32(factor & low)).astype(np.uint64)
+        drawn <<= np.uint64(32)
+        drawn |= place
+        picked = []
+        for _ in range(PICKED):
+            least = np.minimum.reduceat(drawn, begins) if len(begins) else np.empty(0, np.uint64)
+            picked.append(np.where(least == MASK, low, least & low))
+            drawn[picked[-1][least != MASK].astype(np.int64)] = np.uint64(MASK)
+        key = np.full(len(begins), (i + 1) * 0x9E3779B97F4A7C15 + (width - SHINGLE) & MASK, np.uint64)
+        for at in np.sort(np.stack(picked), axis=0):  # in the order of the text
+            there = at != low
+            key[there] = mixed(key[there] * factor + base[at[there].astype(np.int64)])
+        out[:, i] = key
+    return out.view(np.int64)
+
+
+def sketched(counts: np.ndarray, width: int = SHINGLE) -> np.ndarray:
+    """Whether texts of so many words have sketches: both kinds only from a five-word shingle on."""
+    return counts >= max(width, SHINGLE)
+
+
+def all_keys(found: list[np.ndarray]) -> list[np.ndarray]:
+    """All keys by which each text finds candidates, from the hashes of its words."""
+    counts = np.array([len(h) for h in found])
+    long_ = sketched(counts)
+    out = [np.array(short_keys(h), np.int64) for h in found]
+    if long_.any():
+        hashes = np.concatenate([h for h, use in zip(found, long_) if use])
+        text = np.repeat(np.arange(long_.sum()), counts[long_])
+        both = np.concatenate([sketches(hashes, text, int(long_.sum()), w) for w in (SHINGLE, PAIR)], axis=1)
+        for row, at in zip(both, np.flatnonzero(long_).tolist()):
+            out[at] = np.concatenate([row, out[at]]) if len(out[at]) else row
+    return out
 
 
 def short_keys(hashes: np.ndarray) -> list[int]:
@@ -137,7 +167,7 @@ def short_keys(hashes: np.ndarray) -> list[int]:
     longer one may have, its runs of words in those places.
     """
     m, words_, out = len(hashes), hashes.tolist(), set()
-    if m < SHINGLE or m > SHORT:
+    if m < LEAST or m > SHORT:
         return []
     for n in range(m, SHORT + 1):
         edits, shorter = allowed(n, n), n - m
@@ -154,12 +184,6 @@ def short_keys(hashes: np.ndarray) -> list[int]:
     return sorted(out)
 
 
-def keys_of(hashes: np.ndarray) -> np.ndarray:
-    """All keys by which a text finds candidates."""
-    short = np.array(short_keys(hashes), np.int64)
-    return np.concatenate([sketch(hashes), sketch(hashes, LOOSE, PAIR), short])
-
-
 _SEEDS = (_odd(SKETCHES, 11), _odd(SKETCHES, 12))
 _LOOSE_SEEDS = (_odd(LOOSE, 13), _odd(LOOSE, 14))
 
@@ -218,7 +242,7 @@ def distance_within(a: list, b: list, limit: int) -> int:
 def similar(a: np.ndarray, b: np.ndarray) -> bool:
     """Whether the words of two texts agree to :data:`SIMILARITY`."""
     limit = allowed(len(a), len(b))
-    if abs(len(a) - len(b)) > limit:
+    if abs(len(a) - len(b)) > limit or multiset_distance(a, b) > limit:
         return False
     for _ in range(2):  # what both begin with, then what both end with
         k = min(len(a), len(b))
@@ -228,41 +252,74 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
     return distance_within(a.tolist(), b.tolist(), limit) <= limit
 
 
-def bins(hashes: np.ndarray) -> np.ndarray:
-    return np.bincount((hashes >> np.uint64(58)).astype(np.int64), minlength=BINS).astype("<u2")
+def multiset_distance(a: np.ndarray, b: np.ndarray) -> int:
+    """Words of one text that the other lacks, repeats counted, the larger way round."""
+    both, counts = np.unique(np.concatenate([a, b]), return_counts=True)
+    only_a, of_a = np.unique(a, return_counts=True)
+    of = np.zeros(len(both), np.int64)
+    of[np.searchsorted(both, only_a)] = of_a
+    common = int(np.minimum(of, counts - of).sum())
+    return max(len(a), len(b)) - common
+
+
+def binned(hashes: np.ndarray, count: int) -> bytes:
+    """Word counts in ``count`` bins, up to 255: differences are never larger than the true ones."""
+    found = np.bincount((hashes >> np.uint64(65 - count.bit_length())).astype(np.int64), minlength=count)
+    return np.minimum(found, 255).astype(np.uint8).tobytes()
+
+
+def apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Least number of edits between texts of which the binned counts are given, row by row."""
+    d = x.astype(np.int16) - y.astype(np.int16)
+    return np.maximum(np.maximum(d, 0).sum(axis=1, dtype=np.int32), np.maximum(-d, 0).sum(axis=1, dtype=np.int32))
 
 
-FEATURES = "doc_id long, digest string, n int, sketch array<long>, bins binary"
+def limits(n: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """:func:`allowed` for many pairs."""
+    longer = np.maximum(n, m)
+    return longer - np.ceil(SIMILARITY * longer - 1e-9).astype(np.int64)
+
+
+FEATURES = "row long, doc_id long, mark string, digest string, n int, sketch array<long>, coarse binary, fine binary"
 
 
 def features(docs: DataFrame) -> DataFrame:
-    """Digest of the words, their number, keys and binned counts of every document."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    """Number, digest of the words, their count, keys and binned counts of every row, once written.
+
+    ``mark`` tells texts apart as they stand.
+    """
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.md5(text.cast("binary")).alias("mark"))
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import hashlib
 
-        known = words()
+        known, row = words(), TaskContext.get().partitionId() << 32
         for whole in batches:
             for batch in slices(whole, "text"):
-                out: dict[str, list] = {"digest": [], "n": [], "sketch": [], "bins": []}
-                for text in batch.column("text").to_pylist():
-                    h = known.hashes(text)
+                out: dict[str, list] = {"digest": [], "n": [], "sketch": [], "coarse": [], "fine": []}
+                found = batch.column("text").to_pylist()
+                hashes = known.of(found)
+                for text, h, keys in zip(found, hashes, all_keys(hashes)):
                     data = h.tobytes() if len(h) else b"text" + text.encode("utf-8", "surrogatepass")
                     out["digest"].append(hashlib.blake2b(data, digest_size=16).hexdigest())
                     out["n"].append(len(h))
-                    out["sketch"].append(keys_of(h))
-                    # counts beyond 16 bits would wrap: such texts are compared without bins
-                    out["bins"].append(bins(h).tobytes() if len(h) < 1 << 16 else None)
+                    out["sketch"].append(keys)
+                    out["coarse"].append(binned(h, COARSE))
+                    out["fine"].append(binned(h, FINE))
                 yield pa.record_batch(
                     {
+                        "row": row + np.arange(batch.num_rows, dtype=np.int64),
                         "doc_id": batch.column("doc_id"),
-                        "digest": pa.array(out["digest"]),
+                        "mark": batch.column("mark"),
+                        "digest": pa.array(out["digest"], pa.string()),
                         "n": pa.array(out["n"], pa.int32()),
                         "sketch": pa.array(out["sketch"], pa.list_(pa.int64())),
-                        "bins": pa.array(out["bins"], pa.binary()),
+                        "coarse": pa.array(out["coarse"], pa.binary()),
+                        "fine": pa.array(out["fine"], pa.binary()),
                     }
                 )
+                row += batch.num_rows
 
     return small_batches(texts).mapInArrow(compute, FEATURES)
 
@@ -272,44 +329,44 @@ def _lengths_fit(n: str, m: str):
     return F.least(n, m) >= F.ceil(F.greatest(n, m) * F.lit(SIMILARITY) - F.lit(1e-9))
 
 
-def _far(x: bytes | None, y: bytes | None, limit: int) -> bool:
-    """Whether word counts alone show more than ``limit`` edits."""
-    if x is None or y is None:
-        return False
-    d = np.frombuffer(x, "<u2").astype(np.int32) - np.frombuffer(y, "<u2")
-    return max(int(d[d > 0].sum()), int(-d[d < 0].sum())) > limit
+def _matrix(column: pa.Array, width: int) -> np.ndarray:
+    return flat(column)[0].reshape(-1, width)
 
 
 def near_by_bins(pairs: DataFrame, reps: DataFrame) -> DataFrame:
-    """Pairs ``a, b`` that word counts can't exclude."""
-    side = reps.select("id", "n", "bins")
-    both = pairs.join(side.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("bins").alias("xa")), "a").join(
-        side.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("bins").alias("xb")), "b"
+    """Pairs ``a, b`` that finely binned word counts can't exclude."""
+    side = reps.select("id", "n", "fine")
+    both = pairs.join(side.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("fine").alias("xa")), "a").join(
+        side.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("fine").alias("xb")), "b"
     )
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cols = {c: batch.column(c).to_pylist() for c in ("na", "nb", "xa", "xb")}
-            mask = [not _far(x, y, allowed(n, m)) for n, m, x, y in zip(*cols.values())]
-            yield pa.record_batch({c: batch.column(c) for c in ("a", "b")}).filter(pa.array(mask, pa.bool_()))
+            if batch.num_rows:
+                x, y = (_matrix(batch.column(c), FINE) for c in ("xa", "xb"))
+                mask = apart(x, y) <= limits(batch.column("na").to_numpy(), batch.column("nb").to_numpy())
+                yield pa.record_batch({c: batch.column(c) for c in ("a", "b")}).filter(pa.array(mask))
 
     return both.mapInArrow(keep, "a long, b long")
 
 
-def aligned(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+def aligned(pairs: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
     """Pairs ``a, b`` whose texts are similar. Texts are fetched for the ids in pairs only."""
-    ids = materialise(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "aligned-ids")
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
-    texts = texts.filter("text is not null").join(ids, "id", "left_semi")
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    wanted = materialise(ids.join(reps.select("id", "doc_id", "mark"), "id"), "aligned-ids")
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    texts = docs.select(F.col("doc_id").cast("long").alias("_doc"), text.alias("text"), F.md5(text.cast("binary")).alias("mark"))
+    texts = texts.join(wanted, (texts["mark"] == wanted["mark"]) & F.col("_doc").eqNullSafe(F.col("doc_id"))).select("id", "text")
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = words()
         for whole in batches:
             for batch in slices(whole, "text"):
-                found = [(known.hashes(t) >> np.uint64(32)).astype("<u4").tobytes() for t in batch.column("text").to_pylist()]
+                found = [(h >> np.uint64(32)).astype("<u4").tobytes() for h in known.of(batch.column("text").to_pylist())]
                 yield pa.record_batch({"id": batch.column("id"), "words": pa.array(found, pa.binary())})
 
-    side = materialise(small_batches(texts).mapInArrow(split, "id long, words binary"), "aligned-words")
+    found = small_batches(texts).mapInArrow(split, "id long, words binary").groupBy("id").agg(F.first("words").alias("words"))
+    side = materialise(found, "aligned-words")
     both = pairs.join(side.select(F.col("id").alias("a"), F.col("words").alias("wa")), "a").join(
         side.select(F.col("id").alias("b"), F.col("words").alias("wb")), "b"
     )
@@ -326,11 +383,34 @@ def aligned(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return small_batches(both).mapInArrow(verify, "a long, b long")
 
 
+def within_groups(ends: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of rows of one group, some at a time; ``ends`` is the end of each row's group."""
+    rows = np.arange(len(ends))
+    count = ends - rows - 1
+    done = np.concatenate([[0], np.cumsum(count)])
+    begin = 0
+    while begin < len(rows):
+        end = max(begin + 1, int(np.searchsorted(done, done[begin] + PAIRS, "right")) - 1)
+        part = slice(begin, end)
+        i = np.repeat(rows[part], count[part])
+        yield i, np.arange(len(i)) - np.repeat(done[part] - done[begin], count[part]) + i + 1
+        begin = end
+
+
+def nearest(found: list[np.ndarray]) -> np.ndarray:
+    """Of columns ``a, b, one, two, apart`` the nearest pair of each two classes."""
+    all_ = np.concatenate(found, axis=1)
+    all_ = all_[:, np.lexsort((all_[1], all_[0], all_[4], all_[3], all_[2]))]
+    top = np.ones(all_.shape[1], bool)
+    top[1:] = (all_[2, 1:] != all_[2, :-1]) | (all_[3, 1:] != all_[3, :-1])
+    return all_[:, top]
+
+
 def across_classes(members: DataFrame, closest: bool) -> DataFrame:
     """Pairs of unlike classes within a bucket that word counts can't exclude.
 
-    ``members``: ``key, size`` of the bucket, ``id, n, bins, label, first`` of the member. A
-    bucket of more than BLOCK members is dealt into blocks, and pairs of blocks are tasks of
+    ``members``: ``key, size`` of the bucket, ``id, n, coarse, label, first`` of the member. A
+    bucket of more than BLOCK members is dealt into blocks, and pairs of blocks are groups of
     their own. With ``closest``, of each two classes only the pair with the smallest bound
     is given, whichever buckets they share. A member's pair with its ``first`` has been tried before.
     """
@@ -340,105 +420,132 @@ def across_classes(members: DataFrame, closest: bool) -> DataFrame:
     dealt = dealt.withColumn("other", other).withColumns(
         {"low": F.least("own", "other"), "high": F.greatest("own", "other")}
     )
-
-    def compare(table):
-        id_, label, n = (table.column(c).to_numpy() for c in ("id", "label", "n"))
-        own, low, high = (table.column(c).to_numpy() for c in ("own", "low", "high"))
-        first = table.column("first").fill_null(-(1 << 63)).to_numpy()
-        raw = table.column("bins").to_pylist()
-        counts = np.array([np.frombuffer(x, "<u2") if x is not None else np.zeros(BINS) for x in raw], dtype=np.int32)
-        binned = np.array([x is not None for x in raw])
-        left, right = np.flatnonzero(own == low), np.flatnonzero(own == high)
-        found = []
-        for i in left:
-            js = right[(label[right] != label[i]) & ((id_[right] > id_[i]) | (low[i] != high[i]))]
-            js = js[(id_[js] != first[i]) & (first[js] != id_[i])]
-            longer = np.maximum(n[js], n[i])
-            least = np.ceil(SIMILARITY * longer - 1e-9)
-            js, edits = js[np.minimum(n[js], n[i]) >= least], (longer - least)[np.minimum(n[js], n[i]) >= least]
-            if not len(js):
+    names = ["a", "b", "one", "two", "apart"]
+
+    def compare(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        columns = {c: table.column(c).to_numpy() for c in ("key", "low", "high", "own", "id", "label", "n")}
+        id_, label, n, own = (columns[c] for c in ("id", "label", "n", "own"))
+        first = table.column("first").fill_null(-1).to_numpy()
+        bins = _matrix(table.column("coarse").combine_chunks(), COARSE)
+        change = np.flatnonzero(np.any([np.diff(columns[c]) != 0 for c in ("key", "low", "high")], axis=0)) + 1
+        cuts = np.concatenate([change, [len(id_)]])
+        ends = cuts[np.searchsorted(cuts, np.arange(len(id_)), "right")]
+        one_block = columns["low"] == columns["high"]
+        found: list[np.ndarray] = []
+        size = 0
+        for i, j in within_groups(ends):
+            good = (label[i] != label[j]) & (one_block[i] | (own[i] != own[j]))
+            good &= (first[i] != id_[j]) & (first[j] != id_[i])
+            good &= np.abs(n[i] - n[j]) <= limits(n[i], n[j])
+            i, j = i[good], j[good]
+            for at in range(0, len(i), 1 << 15):
+                x, y = i[at : at + (1 << 15)], j[at : at + (1 << 15)]
+                far = apart(bins[x], bins[y])
+                close = far <= limits(n[x], n[y])
+                x, y, far = x[close], y[close], far[close]
+                part = [f(v[x], v[y]) for v in (id_, label) for f in (np.minimum, np.maximum)]
+                found.append(np.stack([*part, far]).astype(np.int64))
+                size += len(x)
+            if closest and size > PAIRS:
+                found = [nearest(found)]
+                size = found[0].shape[1]
+            elif size > PAIRS:
+                yield pa.record_batch(dict(zip(names, np.concatenate(found, axis=1))))
+                found, size = [], 0
+        if found:
+            yield pa.record_batch(dict(zip(names, nearest(found) if closest else np.concatenate(found, axis=1))))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        left: list[pa.RecordBatch] = []  # groups may go on in the next batch
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            d = counts[js] - counts[i]
-            apart = np.maximum(np.where(d > 0, d, 0).sum(1), np.where(d < 0, -d, 0).sum(1))
-            apart[~(binned[js] & binned[i])] = 0
-            js, apart = js[apart <= edits], apart[apart <= edits]
-            if closest and len(js):  # of each class the nearest member
-                order = np.lexsort((apart, label[js]))
-                top = np.concatenate([[True], np.diff(label[js][order]) != 0])
-                js, apart = js[order][top], apart[order][top]
-            found.append(np.stack([np.full(len(js), i), js, apart]))
-        i, j, apart = np.concatenate([np.empty((3, 0), np.int64), *found], axis=1).astype(np.int64)
-        if closest and len(i):  # of each two classes the nearest pair
-            one, two = np.minimum(label[i], label[j]), np.maximum(label[i], label[j])
-            order = np.lexsort((apart, two, one))
-            one, two = one[order], two[order]
-            top = np.concatenate([[True], (np.diff(one) != 0) | (np.diff(two) != 0)])
-            i, j, apart = i[order][top], j[order][top], apart[order][top]
-        return pa.table(
-            {
-                "a": np.minimum(id_[i], id_[j]),
-                "b": np.maximum(id_[i], id_[j]),
-                "one": np.minimum(label[i], label[j]),
-                "two": np.maximum(label[i], label[j]),
-                "apart": apart,
-            }
-        )
-
-    schema = "a long, b long, one long, two long, apart long"
-    found = dealt.groupBy("key", "low", "high").applyInArrow(compare, schema)
+            keys = [batch.column(c).to_numpy() for c in ("key", "low", "high")]
+            begins = np.flatnonzero(np.any([k != k[-1] for k in keys], axis=0))
+            cut = int(begins[-1]) + 1 if len(begins) else 0  # start of the last group
+            if left and any(l.column(c)[-1] != batch.column(c)[0] for l in left[-1:] for c in ("key", "low", "high")):
+                yield from compare(pa.Table.from_batches(left))
+                left = []
+            if cut:
+                yield from compare(pa.Table.from_batches([*left, batch.slice(0, cut)]))
+                left = []
+            left.append(batch.slice(cut))
+        if left:
+            yield from compare(pa.Table.from_batches(left))
+
+    group = ["key", "low", "high"]
+    together = dealt.select(*group, "own", "id", "n", "coarse", "label", "first").repartition(*group).sortWithinPartitions(*group)
+    found = together.mapInArrow(work, "a long, b long, one long, two long, apart long")
     if not closest:
         return found.select("a", "b").distinct()
-    nearest = found.groupBy("one", "two").agg(F.min(F.struct("apart", "a", "b")).alias("r"))
-    return nearest.select("r.a", "r.b")
+    best = found.groupBy("one", "two").agg(F.min(F.struct("apart", "a", "b")).alias("r"))
+    return best.select("r.a", "r.b")
 
 
-def classes(docs: DataFrame) -> DataFrame:
-    """``doc_id, class_id`` of every row; a class is its smallest id."""
+def _classed(docs: DataFrame) -> DataFrame:
+    """``row, doc_id, mark, class`` of every row; a class is the number of one of its rows."""
     docs = docs.select("doc_id", "text")
     every = materialise(features(docs), "order-minhash")
-    named = every.filter("doc_id is not null")
-    first = named.groupBy("digest").agg(F.min(F.struct("doc_id", "n", "sketch", "bins")).alias("r"))
-    reps = materialise(
-        first.select("digest", F.col("r.doc_id").alias("id"), F.col("r.n").alias("n"), "r.sketch", "r.bins"), "reps"
-    )
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row", "mark", "n", "sketch", "coarse", "fine")
+    first = every.groupBy("digest").agg(F.min(order).alias("r"))
+    reps = materialise(first.select("digest", F.col("r.row").alias("id"), "r.*").drop("row", "unnamed"), "reps")
     keys = reps.select("id", "n", F.explode("sketch").alias("key"))
     hubs = keys.groupBy("key").agg(
         F.min("id").alias("hub"), F.min_by("n", "id").alias("hub_n"), F.count(F.lit(1)).alias("size")
     )
     members = materialise(keys.join(hubs.filter("size > 1"), "key"), "members")
-    # First everyone is held against one smaller id: the smallest hub of a fitting length.
+    # First everyone is held against one other: the first hub of a fitting length.
     fitting = members.filter("id <> hub").filter(_lengths_fit("n", "hub_n"))
     firsts = materialise(fitting.groupBy("id").agg(F.min("hub").alias("first")), "firsts")
     stars = firsts.select(F.col("first").alias("a"), F.col("id").alias("b"))
     tried = materialise(near_by_bins(stars, reps), "stars")
-    found = materialise(components(aligned(tried, docs)), "labels")
+    found = materialise(components(aligned(tried, reps, docs)), "labels")
     # Buckets that still hold several classes: first the closest pair of each two classes,
     # which joins what belongs together, then every pair across what is left.
-    binned = reps.select("id", "bins").join(firsts, "id", "left")
+    counts = reps.select("id", "coarse").join(firsts, "id", "left")
     for closest in (True, False):
         label = found.select("id", F.col("component").alias("label"))
         labelled = members.join(label, "id", "left").withColumn("label", F.coalesce("label", "id"))
-        spread = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
-        still = spread.filter("lo <> hi").select("key")
-        rest = labelled.join(still, "key", "left_semi").join(binned, "id")
-        pairs = across_classes(rest, closest)
+        spread_ = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
+        still = spread_.filter("lo <> hi").select("key")
+        rest = labelled.join(still, "key", "left_semi").join(counts, "id")
+        pairs = near_by_bins(across_classes(rest, closest), reps)
         if not closest:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         tried = materialise(pairs, "across")
-        more = materialise(aligned(tried, docs), "more-links")
+        more = materialise(aligned(tried, reps, docs), "more-links")
         if not more.isEmpty():
             links = found.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more)
             found = materialise(components(links), "labels")
-    joined = found
-    whole = reps.select("digest", "id").join(joined, "id", "left")
-    named_class = whole.select("digest", F.coalesce("component", "id").alias("class_id"))
-    return every.select("doc_id", "digest").join(named_class, "digest", "left").select(
-        "doc_id", F.when(F.col("doc_id").isNotNull(), F.col("class_id")).alias("class_id")
-    )
+    named = reps.select("digest", "id").join(found, "id", "left")
+    named = named.select("digest", F.coalesce("component", "id").alias("class"))
+    return every.select("row", "doc_id", "mark", "digest").join(named, "digest").drop("digest")
+
+
+def classes(docs: DataFrame) -> DataFrame:
+    """``doc_id, class_id`` of every row; a class is its smallest id, null if no row has one."""
+    found = materialise(_classed(docs).select("doc_id", "class"), "classed")
+    names = found.groupBy("class").agg(F.min("doc_id").alias("class_id"))
+    return found.join(names, "class").select("doc_id", "class_id")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows with one document of each class: that of the smallest id."""
-    name = fresh(docs, "_gone")
-    gone = classes(docs).filter("doc_id <> class_id").select(F.col("doc_id").alias(name)).distinct()
-    return docs.join(gone, docs["doc_id"].cast("long") == F.col(name), "left_anti")
+    """One row of each class: that of the smallest id, one of its copies if it comes repeatedly.
+
+    Which row stays is told by its id and text; only rows equal in both are then counted.
+    """
+    found = _classed(docs)
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row", "mark")
+    best = found.groupBy("class").agg(F.min(order).alias("r")).select("r.doc_id", "r.mark")
+    doc, mark = fresh(docs, "_doc"), fresh(docs, "_mark")
+    best = best.select(F.col("doc_id").alias(doc), F.col("mark").alias(mark))
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    same = (F.md5(text.cast("binary")) == F.col(mark)) & F.col("doc_id").cast("long").eqNullSafe(F.col(doc))
+    kept = materialise(docs.join(best, same), "kept")
+    if kept.count() > best_count(kept, doc, mark):
+        kept = kept.dropDuplicates([doc, mark])
+    return kept.drop(doc, mark)
+
+
+def best_count(kept: DataFrame, doc: str, mark: str) -> int:
+    return kept.select(doc, mark).distinct().count()

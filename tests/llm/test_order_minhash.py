@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import re
 
 import numpy as np
 import pytest
@@ -35,23 +36,48 @@ def test_banded_distance():
         assert omh.distance_within(a, b, limit) == min(edits(a, b), limit + 1)
 
 
+def sketch(hashes):
+    return omh.sketches(hashes, np.zeros(len(hashes), np.int64), 1)[0]
+
+
+def keys_of(hashes):
+    return omh.all_keys([hashes])[0]
+
+
 def test_sketches_keep_order_and_occurrences():
     use = omh.Words()
     words = [f"w{i}" for i in range(40)]
     text = use.hashes(" ".join(words))
-    assert (omh.sketch(text) == omh.sketch(text.copy())).all()
+    assert (sketch(text) == sketch(text.copy())).all()
     turned = use.hashes(" ".join(words[20:] + words[:20]))  # nearly the same shingles, other order
-    same = np.mean(omh.sketch(text) == omh.sketch(turned))
+    same = np.mean(sketch(text) == sketch(turned))
     assert same < 0.75
-    shingles = omh.labelled_shingles(use.hashes("a b c d e " * 4))
+    repeats = use.hashes("a b c d e " * 4)
+    shingles, _ = omh.labelled(repeats, np.zeros(len(repeats), np.int64), omh.SHINGLE)
     assert len(set(shingles.tolist())) == len(shingles)  # repeats are numbered
-    assert omh.sketch(use.hashes("a b c d")).size == 0 and omh.sketch(use.hashes("a b c d e")).size == omh.SKETCHES
+    counts = [len(keys_of(use.hashes(t))) for t in ("a b c", "a b c d", "a b c d e")]
+    assert counts[0] == 0 < counts[1] < omh.SKETCHES + omh.LOOSE < counts[2]
+
+
+def test_keys_do_not_depend_on_the_batch():
+    draw, use = random.Random(2), omh.Words()
+    texts = [" ".join(f"w{draw.randrange(9 if i % 3 else 999)}" for _ in range(draw.choice([0, 3, 4, 5, 6, 30, 200]))) for i in range(80)]
+    together = omh.all_keys(use.of(texts))
+    assert all((keys_of(use.hashes(t)) == keys).all() for t, keys in zip(texts, together))
+    h = use.hashes(texts[2] + " a b c d e f g")
+    base, _ = omh.labelled(h, np.zeros(len(h), np.int64), omh.SHINGLE)
+    for i, (key, seed, factor) in enumerate(zip(sketch(h)[:5], *omh._SEEDS)):  # by definition
+        drawn = [((int(x) >> 32 ^ int(seed) & 0xFFFFFFFF) * (int(factor) & 0xFFFFFFFF)) & 0xFFFFFFFF for x in base]
+        want = np.array([(i + 1) * 0x9E3779B97F4A7C15 & omh.MASK], np.uint64)
+        for p in sorted(sorted(range(len(base)), key=lambda p: (drawn[p], p))[: omh.PICKED]):
+            want = omh.mixed(want * factor + base[p])
+        assert key == want.view(np.int64)[0]
 
 
 def plain_classes(rows):
     use = omh.Words()
-    named = [(i, use.hashes(t or ""), t or "") for i, t in rows if i is not None]
-    label = {i: i for i, _, _ in named}
+    named = [(at, use.hashes(t or ""), t or "") for at, (_, t) in enumerate(rows)]
+    label = {at: at for at, _, _ in named}
 
     def find(x):
         while label[x] != x:
@@ -60,11 +86,14 @@ def plain_classes(rows):
 
     for (i, a, s), (j, b, t) in itertools.combinations(named, 2):
         same = s == t if not len(a) and not len(b) else len(a) == len(b) and (a == b).all()
-        near = min(len(a), len(b)) >= omh.SHINGLE and edits(a.tolist(), b.tolist()) <= omh.allowed(len(a), len(b))
+        near = min(len(a), len(b)) > 0 and edits(a.tolist(), b.tolist()) <= omh.allowed(len(a), len(b))
         if same or near:
             x, y = sorted((find(i), find(j)))
             label[y] = x
-    return {i: find(i) for i in label}
+    least = {}
+    for at, (i, _) in enumerate(rows):
+        least[find(at)] = min((x for x in (least.get(find(at)), i) if x is not None), default=None)
+    return [(i, least[find(at)]) for at, (i, _) in enumerate(rows)], list(least.values())
 
 
 def corpus():
@@ -87,6 +116,10 @@ def corpus():
     rows += [passage + draw.choices(words, k=30) for _ in range(30)]  # shared passage, else unlike
     rows += [["a", "b"], ["a", "b"], ["a", "c"], ["a", "b", "c", "d", "e"], [], []]
     rows = [(i, " ".join(r)) for i, r in enumerate(rows)]
+    rows += [(2000, "one two three four"), (2001, "one two three four five"), (2002, "one two tree four five")]
+    rows += [(2003, "p q r"), (2004, "p q s"), (2005, "i j k l"), (2006, "i j k m")]
+    rows += [rows[5], rows[5], (None, rows[7][1]), (rows[9][0], rows[40][1]), (rows[9][0], "seven other words that no row has")]
+    rows += [(None, "twice without an id, word for word")] * 2 + [(None, "twice without an id, word by word")]
     return [*rows, (1000, None), (1001, "!!"), (1002, "??"), (None, "no id at all"), (1003, rows[0][1].upper() + "!")]
 
 
@@ -97,12 +130,13 @@ def test_classes(spark, monkeypatch, block):
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"n": F.lit("x"), "key": F.lit(1)})
     got = omh.classes(docs).collect()
     assert len(got) == len(rows)
-    want = plain_classes(rows)
-    assert {r.doc_id: r.class_id for r in got if r.doc_id is not None} == want
-    assert [r.class_id for r in got if r.doc_id is None] == [None]
+    want, groups = plain_classes(rows)
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
     kept = omh.keep_one(docs)
     assert kept.columns == docs.columns
-    assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == sorted(set(want.values()))
+    stay = kept.collect()
+    assert len(stay) == len(groups)
+    assert sorted((r.doc_id for r in stay), key=str) == sorted(groups, key=str)
 
 
 def test_bucket_without_its_hub(spark):
@@ -117,7 +151,7 @@ def test_bucket_without_its_hub(spark):
         text[draw.randrange(85)] = "x"
         rows.append((i, " ".join(text)))
     got = {r.doc_id: r.class_id for r in omh.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert got == plain_classes(rows) == {0: 0, **{i: 1 if i % 2 else 2 for i in range(1, 13)}}
+    assert got == dict(plain_classes(rows)[0]) == {0: 0, **{i: 1 if i % 2 else 2 for i in range(1, 13)}}
 
 
 def test_empty_and_repeated(spark):
@@ -125,6 +159,18 @@ def test_empty_and_repeated(spark):
     assert sorted(tuple(r) for r in omh.classes(docs).collect()) == [(1, 1), (1, 1), (2, 1)]
     assert omh.classes(docs.limit(0)).count() == 0
     assert omh.keep_one(docs.limit(0)).count() == 0
+    assert [r.doc_id for r in omh.keep_one(docs).collect()] == [1]
+
+
+def test_words_are_those_of_a_pattern():
+    texts = ["Ein Wort, zwei_3 WÖRTER! ÉTÉ", "", "ΣΑΣ İstanbul ½ ٣ x\u0301y", "a\nb\tc--d", "漢字 仮名", "🙂x"]
+    use, one, other = omh.Words(), [], []
+    for text, hashes in zip(texts, use.of(texts)):
+        found = re.findall(r"\w+", text.lower())
+        assert len(found) == len(hashes)
+        one += found
+        other += hashes.tolist()
+    assert len(set(one)) == len(set(other)) == len(set(zip(one, other)))
 
 
 def test_components(spark):
@@ -163,10 +209,10 @@ def test_short_texts_always_meet():
     """Any two texts of at most SHORT words within the limit share a key."""
     use, draw, pairs = omh.Words(), random.Random(12), 0
     for _ in range(20000):
-        a = [f"w{draw.randrange(60)}" for _ in range(draw.randint(5, omh.SHORT))]
-        b = edited(draw, a, draw.randint(1, omh.allowed(len(a), len(a))))
+        a = [f"w{draw.randrange(60)}" for _ in range(draw.randint(4, omh.SHORT))]
+        b = edited(draw, a, draw.randint(1, max(1, omh.allowed(len(a), len(a)))))
         x, y = use.hashes(" ".join(a).replace(".", "")), use.hashes(" ".join(b).replace(".", ""))
-        if omh.SHINGLE <= len(y) <= omh.SHORT and edits(x.tolist(), y.tolist()) <= omh.allowed(len(x), len(y)):
+        if omh.LEAST <= len(y) <= omh.SHORT and edits(x.tolist(), y.tolist()) <= omh.allowed(len(x), len(y)):
             pairs += 1
             assert set(omh.short_keys(x)) & set(omh.short_keys(y)), (a, b)
     assert pairs > 10000
@@ -180,7 +226,7 @@ def test_spread_edits_meet():
         b = [f"x{i}" if k % 5 == 2 else w for k, w in enumerate(a)]
         x, y = use.hashes(" ".join(a)), use.hashes(" ".join(b))
         assert omh.similar(x, y)
-        missed += not set(omh.keys_of(x).tolist()) & set(omh.keys_of(y).tolist())
+        missed += not set(keys_of(x).tolist()) & set(keys_of(y).tolist())
     assert missed <= 4
 
 
@@ -196,4 +242,4 @@ def test_classes_of_short_and_spread_edits(spark):
             rows += [" ".join(text), " ".join(near)]
     rows = list(enumerate(rows))
     got = {r.doc_id: r.class_id for r in omh.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert got == plain_classes(rows) == {i: i - i % 2 for i, _ in rows}
+    assert got == dict(plain_classes(rows)[0]) == {i: i - i % 2 for i, _ in rows}
