@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tallyhall.functions import fixed_values as fv
 from tallyhall.functions import wkb
+from tallyhall.functions.shapes import Shapes
 
 MODES = ("planar", "geography")
 BOX = "minx:double,miny:double,maxx:double,maxy:double"
@@ -48,8 +49,12 @@ def _areas(e: np.ndarray, row: np.ndarray, n: int, mode: str) -> np.ndarray:
     return np.bincount(row, wkb.cross(e - e[first[row]][:, [0, 1, 0, 1]]), minlength=n) / 2
 
 
-def _per_row(values: pa.Array, fn: Callable, out_type: pa.DataType) -> pa.Array:
-    return pa.array([None if v is None else fn(v) for v in values.to_pylist()], out_type)
+def _edges(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Oriented edges of all polygons in a batch of WKB, and the row each belongs to."""
+    shapes = Shapes.from_wkb(values)
+    if shapes.bad.any():
+        raise ValueError(f"cannot read geometry: {values[int(np.flatnonzero(shapes.bad)[0])].as_py()[:40]!r}")
+    return shapes.edges()
 
 
 def geom_type(g: Column) -> Column:
@@ -88,7 +93,7 @@ def parts(g: Column, mode: str = "geography") -> Column:
     @F.arrow_udf(PARTS)
     def kernel(values: pa.Array) -> pa.Array:
         n = len(values)
-        e, row = wkb.ring_edges(values.to_pylist())
+        e, row = _edges(values)
         length = np.bincount(row, minlength=n)
         box = _boxes(e, np.cumsum(length) - length, length)
         edges = _lists(length, pa.array(e.ravel()), 4)
@@ -130,7 +135,7 @@ def pieces(g: Column, mode: str = "geography") -> Column:
     @F.arrow_udf(PIECES)
     def kernel(values: pa.Array) -> pa.Array:
         n = len(values)
-        e, row = wkb.ring_edges(values.to_pylist())
+        e, row = _edges(values)
         length = np.bincount(row, minlength=n)
         start = np.cumsum(length) - length
         small = np.flatnonzero((length > 0) & (length <= PIECE_EDGES))
@@ -174,7 +179,7 @@ def st_area(g: Column, mode: str = "geography") -> Column:
 
     @F.arrow_udf("double")
     def kernel(values: pa.Array) -> pa.Array:
-        e, row = wkb.ring_edges(values.to_pylist())
+        e, row = _edges(values)
         return pa.array(
             _areas(e, row, len(values), mode),
             mask=values.is_null().to_numpy(zero_copy_only=False),
@@ -301,23 +306,26 @@ def st_intersects(a: Column, b: Column) -> Column:
     return F.when(a.isNotNull() & b.isNotNull(), meets)
 
 
-def _rewrite(g: Column, change: Callable) -> Column:
+def _rewrite(g: Column, change: Callable[[Shapes], Shapes]) -> Column:
     @F.arrow_udf("binary")
     def kernel(values: pa.Array) -> pa.Array:
-        return _per_row(values, lambda buf: wkb.write(change(wkb.read(buf))), pa.binary())
+        shapes = Shapes.from_wkb(values)
+        if shapes.bad.any():
+            raise ValueError("cannot read geometry")
+        return change(shapes).to_wkb()
 
     return kernel(g)
 
 
 def orient(g: Column) -> Column:
     """Exterior rings counter-clockwise, holes clockwise."""
-    return _rewrite(g, wkb.orient)
+    return _rewrite(g, lambda shapes: shapes.orient())
 
 
-def reproject(g: Column, src: int, dst: int) -> Column:
-    """Between degrees (4326; 4269 differs by under a metre) and Mercator metres (3857)."""
+def _projection(src: int, dst: int) -> Callable[[np.ndarray], np.ndarray] | None:
+    """Points from one system to another; None where they stay."""
     if {src, dst} <= {4326, 4269} or src == dst:
-        return g
+        return None
     r = fv.MERCATOR_RADIUS_M
     if src in (4326, 4269) and dst == 3857:
 
@@ -332,34 +340,65 @@ def reproject(g: Column, src: int, dst: int) -> Column:
 
     else:
         raise ValueError(f"no transformation from {src} to {dst}")
-    return _rewrite(g, lambda geom: wkb.map_coords(geom, change))
+    return change
+
+
+def reproject(g: Column, src: int, dst: int) -> Column:
+    """Between degrees (4326; 4269 differs by under a metre) and Mercator metres (3857)."""
+    change = _projection(src, dst)
+    return g if change is None else _rewrite(g, lambda shapes: shapes.map(change))
 
 
-def to_wkb(g: Column, strict: bool = True, geojson: bool = False) -> Column:
-    """Oriented WKB from WKB or GeoJSON text. Unusable shapes raise, or are null if not strict."""
+def to_wkb(g: Column, strict: bool = True, geojson: bool = False, source: int = 4326) -> Column:
+    """Oriented WKB in degrees from WKB or GeoJSON text in the system ``source``.
 
-    @F.arrow_udf("binary")
-    def kernel(values: pa.Array) -> pa.Array:
-        def convert(v):
-            try:
-                geom = wkb.from_geojson(v) if geojson else wkb.read(v)
-                if not wkb.well_formed(geom):
-                    raise ValueError("a ring is open, flat or too short")
-                return wkb.write(wkb.orient(geom))
-            except (ValueError, KeyError, IndexError, TypeError, wkb.struct.error) as error:
-                if strict:
-                    raise ValueError(f"cannot read geometry: {error}") from error
-                return None
-
-        shapes = [None if v is None else convert(v) for v in values.to_pylist()]
-        crossing = wkb.self_crossing(shapes)
+    Unusable shapes raise, or are null if not strict. Reading, moving, checking, turning
+    and writing are one kernel over the columns of a batch.
+    """
+    change = _projection(source, 4326)
+
+    def finish(shapes: Shapes) -> pa.Array:
+        if change is not None:
+            shapes = shapes.map(change)
+        wrong = shapes.ill_formed()
+        if strict and (wrong | shapes.bad).any():
+            said = "a ring is open, flat or too short" if wrong.any() else "it is malformed"
+            raise ValueError(f"cannot read geometry: {said}")
+        shapes = shapes.orient()
+        e, row = shapes.edges()
+        crossing = wkb.self_crossing(e, row, shapes.rows)
         if strict and crossing.any():
             raise ValueError("cannot read geometry: edges cross")
-        return pa.array(
-            [None if bad else v for v, bad in zip(shapes, crossing, strict=True)], pa.binary()
-        )
+        return shapes.to_wkb(drop=wrong | crossing)
 
-    return kernel(g)
+    if not geojson:
+
+        @F.arrow_udf("binary")
+        def from_bytes(values: pa.Array) -> pa.Array:
+            return finish(Shapes.from_wkb(values))
+
+        return from_bytes(g)
+
+    @F.arrow_udf("binary")
+    def from_text(text: pa.Array, kinds: pa.Array, point: pa.Array, line: pa.Array, rings: pa.Array, polygons: pa.Array) -> pa.Array:
+        null = text.is_null().to_numpy(zero_copy_only=False)
+        collection = np.array(kinds.fill_null("").to_pylist(), object) == "GeometryCollection"
+        made = finish(Shapes.from_geojson(kinds, point, line, rings, polygons, null | collection))
+        if not collection.any():
+            return made
+        # Collections nest freely: they become WKB one by one, the rest is as above.
+        picked = [wkb.collection(v) if use else None for v, use in zip(text.to_pylist(), collection)]
+        if strict and any(p is None for p, use in zip(picked, collection) if use):
+            raise ValueError("cannot read geometry: a collection is malformed")
+        return pa.compute.if_else(pa.array(collection), finish(Shapes.from_wkb(pa.array(picked, pa.binary()))), made)
+
+    parsed = F.from_json(g, "type string, coordinates string")
+    nested = ["array<double>", "array<array<double>>", "array<array<array<double>>>", "array<array<array<array<double>>>>"]
+    named = [["Point"], ["LineString", "MultiPoint"], ["Polygon", "MultiLineString"], ["MultiPolygon"]]
+    columns = [
+        F.when(parsed["type"].isin(names), F.from_json(parsed["coordinates"], kind)) for names, kind in zip(named, nested)
+    ]
+    return from_text(g, parsed["type"], *columns)
 
 
 def box_wkb(minx: Column, miny: Column, maxx: Column, maxy: Column) -> Column:

@@ -1,4 +1,4 @@
-"""Well-known binary in and out, one geometry at a time; helpers for the kernels.
+"""Well-known binary in and out, one geometry at a time, for tests and collections; helpers for the kernels.
 
 A geometry is ``(type, parts)``: parts are (n, 2) coordinate arrays for points,
 lines and polygon rings, or nested geometries for the multi types and collections.
@@ -97,34 +97,17 @@ def _from_geojson(obj: dict):
     return kind, [_from_geojson({"type": GEOJSON_TYPES[kind - 4], "coordinates": c}) for c in xy]
 
 
-def map_coords(geom, fn):
-    """The same geometry with ``fn(xy) -> xy`` applied to every coordinate array."""
-    kind, parts = geom
-    return kind, [map_coords(p, fn) if kind > POLYGON else fn(p) for p in parts]
-
-
-def polygons(geom) -> list:
-    """Ring lists of all polygons inside; points and lines have none."""
-    kind, parts = geom
-    if kind == POLYGON:
-        return [parts]
-    return [rings for p in parts for rings in polygons(p)] if kind > POLYGON else []
-
-
 def signed_area(ring: np.ndarray) -> float:
     x, y = (ring - ring[0]).T
     return float(np.dot(x[:-1], y[1:]) - np.dot(x[1:], y[:-1])) / 2
 
 
-def orient(geom):
-    """Exterior rings counter-clockwise, holes clockwise."""
-    kind, parts = geom
-    if kind == POLYGON:
-        return kind, [
-            r[::-1] if len(r) and (signed_area(r) < 0) != bool(i) else r
-            for i, r in enumerate(parts)
-        ]
-    return kind, [orient(p) for p in parts] if kind > POLYGON else parts
+def collection(text: str) -> bytes | None:
+    """WKB of one GeoJSON geometry of any kind, null if it can't be read."""
+    try:
+        return write(from_geojson(text))
+    except (ValueError, KeyError, IndexError, TypeError, struct.error):
+        return None
 
 
 def ragged(starts: np.ndarray, lengths: np.ndarray):
@@ -134,43 +117,6 @@ def ragged(starts: np.ndarray, lengths: np.ndarray):
     return rows, np.arange(len(rows)) - first[rows] + starts[rows]
 
 
-ONE_RING = struct.pack("<BII", 1, POLYGON, 1)
-
-
-def ring_edges(bufs: list[bytes]):
-    """Edges x1 y1 x2 y2 of all polygons in a batch, and the row each belongs to.
-
-    Exteriors run counter-clockwise and holes clockwise; zero-length edges are
-    left out. Polygons of one ring, the bulk of any footprint file, are taken
-    over as bytes; the rest of the work is done once for the whole batch.
-    """
-    chunks, lengths, rows, holes = [], [], [], []
-    for row, buf in enumerate(bufs):
-        if buf is None:
-            continue
-        if buf[:9] == ONE_RING:
-            rings = [buf[13:]]
-            groups = [rings]
-        else:
-            groups = [[r.tobytes() for r in rings] for rings in polygons(read(buf))]
-        for rings in groups:
-            for i, ring in enumerate(rings):
-                chunks.append(ring)
-                lengths.append(len(ring) // 16)
-                rows.append(row)
-                holes.append(i > 0)
-    xy = np.frombuffer(b"".join(chunks), "<f8").reshape(-1, 2)
-    length = np.array(lengths, "i8")
-    start = np.cumsum(length) - length
-    ring, at = ragged(start, np.maximum(length - 1, 0))
-    e = np.hstack([xy[at], xy[at + 1]]) if len(at) else np.empty((0, 4))
-    area = np.bincount(ring, cross(e - xy[start][ring][:, [0, 1, 0, 1]]), minlength=len(length))
-    turn = ((area < 0) != np.array(holes, bool))[ring]
-    e[turn] = e[turn][:, [2, 3, 0, 1]]
-    real = (e[:, 0] != e[:, 2]) | (e[:, 1] != e[:, 3])
-    return e[real], np.array(rows, "i8")[ring[real]]
-
-
 def cross(e: np.ndarray) -> np.ndarray:
     """Twice the signed area between each edge and the origin."""
     return e[:, 0] * e[:, 3] - e[:, 2] * e[:, 1]
@@ -192,14 +138,13 @@ def sides(a: np.ndarray, b: np.ndarray):
     )
 
 
-def self_crossing(bufs: list[bytes | None]) -> np.ndarray:
+def self_crossing(e: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
     """Per geometry of a batch, whether two of its edges cross inside both.
 
     A sweep along x for the whole batch: geometries lie side by side on one key,
     and each edge is held against those that start before it ends.
     """
-    e, row = ring_edges(bufs)
-    out = np.zeros(len(bufs), bool)
+    out = np.zeros(rows, bool)
     if not len(e):
         return out
     lo, hi = np.minimum(e[:, 0], e[:, 2]), np.maximum(e[:, 0], e[:, 2])
@@ -220,14 +165,3 @@ def self_crossing(bufs: list[bytes | None]) -> np.ndarray:
         o1, o2, o3, o4 = sides(e[i], e[j])
         out[row[i[(o1 * o2 < 0) & (o3 * o4 < 0)]]] = True
     return out
-
-
-def well_formed(geom) -> bool:
-    """Rings closed, finite, of four points or more and with area."""
-    for rings in polygons(geom):
-        for r in rings:
-            if len(r) < 4 or not np.isfinite(r).all() or (r[0] != r[-1]).any():
-                return False
-            if signed_area(r) == 0:
-                return False
-    return True

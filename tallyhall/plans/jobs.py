@@ -71,7 +71,7 @@ def typed_layer(df: DataFrame, epsg: int | None, geom: str = "geometry") -> Data
     """Geometry in degrees, oriented and checked. The source system must be known."""
     if epsg is None:
         raise ValueError("the coordinate system of the layer is not known")
-    return df.withColumn(geom, geo.to_wkb(geo.reproject(F.col(geom), epsg, 4326)))
+    return df.withColumn(geom, geo.to_wkb(F.col(geom), source=epsg))
 
 
 def ingest_layers(
