@@ -106,6 +106,45 @@ def load_geo_table(
         tables.write_append(typed, table, cluster_by)
 
 
+def load_features(spark: SparkSession, path: str, properties: str, table: str, cluster_by: list[str] | None = None) -> None:
+    """A landed collection as a table; it is replaced, or left as it was if any shape is bad."""
+    found = ingest_features(spark, path, properties)
+    tables.ensure_database(spark, table.split(".")[0])
+    tables.write_replace(found, table, cluster_by)  # typed already: GeoJSON is in degrees
+
+
+def load_tiles(
+    spark: SparkSession,
+    catalogue: str,
+    features: str,
+    masks: DataFrame,
+    locations: list[str],
+    properties: str,
+    table: str,
+    zoom: int = 9,
+) -> None:
+    """The tiles of each location where a mask is, as one table: the first replaces, others are added."""
+    tables.ensure_database(spark, table.split(".")[0])
+    for i, location in enumerate(locations):
+        found = ingest_tiles(spark, catalogue, features, masks, location, properties, zoom)
+        found = found.withColumn("location", F.lit(location))
+        (tables.write_append if i else tables.write_replace)(found, table)
+
+
+def load_layers(
+    layers: dict[str, tuple[DataFrame, int | None]], database: str, geom: str = "geometry"
+) -> tuple[list[str], dict[str, str]]:
+    """Each layer as a table of its own; the tables written, and why others could not be."""
+    loaded, failed = [], {}
+    for name, (df, epsg) in layers.items():
+        try:
+            load_geo_table(df, f"{database}.{name}", epsg, geom)
+            loaded.append(f"{database}.{name}")
+        except ValueError as error:
+            failed[name] = str(error)
+    return loaded, failed
+
+
 def reload_purchases(
     goods: DataFrame, services: DataFrame, seq: str, table: str, start, end
 ) -> None:

@@ -115,15 +115,25 @@ select * exclude (rn) from (
   from (select * replace (case when seq % 13 <> 0 then department end as department)
         from {duck("purchases_landed")})) where rn = 1"""
 
-CLEANED = f"""
+def _cleaned(where: str = "true", supplier: str = "supplier_name") -> str:
+    return f"""
 select purchase_document, department, department_name,
        case when acquisition_type = 'IT Goods' then first_item_title end as first_item_title,
-       supplier_id, supplier_name, {_us_date("start_date")} as start_date,
+       supplier_id, {supplier} as supplier_name, {_us_date("start_date")} as start_date,
        {_us_date("end_date")} as end_date, {_money("grand_total")} as grand_total,
        associated_pos, lpa_contract_id, acquisition_type
 from (select *, row_number() over (partition by purchase_document, department
                                    order by acquisition_type desc, seq desc) as rn
-      from {duck("purchases_landed")}) where rn = 1"""
+      from {duck("purchases_landed")} where {where}) where rn = 1"""
+
+
+CLEANED = _cleaned()
+_YEAR = f"{_us_date('start_date')} between date '{q.RELOAD[0]}' and date '{q.RELOAD[1]}'"
+RELOADED_TABLE = f"""
+select *, true as loaded_at from (
+  select * from ({CLEANED}) where not ({SPAN}) or start_date is null
+  union all
+  select * from ({_cleaned(f"acquisition_type = 'IT Goods' and {_YEAR}", "upper(supplier_name)")}))"""
 
 STAGED_PURCHASES = f"""
 select ltrim(purchase_document, '''') as purchase_document, department, department_name,
@@ -334,9 +344,17 @@ def _in_place(zoom: int) -> str:
 
 
 SEMI = f"select footprint_id, quadkey from {_in_place(q.ZOOM)}"
-INGESTED = f"""
+
+
+def _ingested(location: str) -> str:
+    """Tiles of a country: those on the border are shared out by the parity of ids."""
+    border = "right(quadkey, 1) = '3' and footprint_id % 2 = 0"
+    return f"""
 select height, footprint_id, quadkey, round((maxx - minx) * (maxy - miny), 6) as area
-from {_in_place(q.LANDED_ZOOM)} where right(quadkey, 1) <> '3' or footprint_id % 2 = 1"""
+from {_in_place(q.LANDED_ZOOM)} where {'not ' if location == 'UnitedStates' else ''}({border})"""
+
+
+INGESTED = _ingested("UnitedStates")
 
 LAYERS = f"""
 select 'blocks' as layer, round((maxx - minx) * (maxy - miny), 6) as area, 'unknown' as failed
@@ -344,6 +362,11 @@ from {BLOCKS}
 union all
 select 'footprints', round((maxx - minx) * (maxy - miny), 6), 'unknown' from {FP}"""
 
+LOADED_TILES = f"""
+select footprint_id, height, quadkey, area, 'UnitedStates' as location from ({INGESTED})
+union all
+select footprint_id, height, quadkey, area, 'Canada' from ({_ingested('Canada')})"""
+
 # Quality --------------------------------------------------------------------------
 
 PROFILE = f"""
@@ -471,6 +494,21 @@ def sql() -> dict[str, str]:
         "ingest_features": "select release, footprint_id, round((maxx - minx) * (maxy - miny), 6) "
         f"as area from {FP}",
         "ingest_layers": LAYERS,
+        "load_layers": LAYERS,
+        "load_geo_table": f"select layer, area from ({LAYERS})",
+        "load_tiles": LOADED_TILES,
+        "reload_purchases": RELOADED_TABLE,
+        "replace_contracts": f"select * replace (coalesce(buyer, 'nan') as buyer), true as loaded_at, "
+        f"'active contracts' as refused from {duck('contracts_landed')}",
+        "materialize_table": " union all ".join(
+            f"select '{kind}' as kind, {n} as n, {n} as keys from supplier {where}"
+            for kind, n, where in (
+                ("dev_marts", "count(*)", "where s_nationkey < 12"),
+                ("marts", "count(*)", ""),
+                ("whole", "count(*)", ""),
+                ("short", "least(count(*), 7)", ""),
+            )
+        ),
         "export_partitions": "select footprint_id, height, block_geoid, area_sqm, county_fips "
         f"from ({_census(['height'])})",
         "read_county": "select footprint_id, height, block_geoid, area_sqm, county_fips "
@@ -482,8 +520,8 @@ def sql() -> dict[str, str]:
         "where primary_code is not null group by 1 having count(*) > 1",
         "q_unique_combination": "select organization_name, account_name, table_name, usage_date, "
         f"count(*) as n_records from ({CLUSTERING}) group by 1, 2, 3, 4 having count(*) > 1",
-        "q_orphans": f"select count(*) as orphans from {duck('transactions')} t left join "
-        "(select * from customer where c_custkey % 7 <> 0) c on t.user_id = c.c_custkey "
+        "q_orphans": "select count(*) as orphans from (select *, case when user_id % 7 = 0 then -user_id "
+        f"else user_id end as named from {duck('transactions')}) t left join customer c on t.named = c.c_custkey "
         "where c.c_custkey is null",
         "q_profile": PROFILE,
         "q_status_breakdown": f"select status, count(*) as count from {duck('transactions')} "

@@ -284,8 +284,7 @@ def clean_purchases(spark: SparkSession, sf: str) -> DataFrame:
     return out.toDF(*[c.lower() for c in out.columns])
 
 
-@query
-def clean_contracts(spark: SparkSession, sf: str) -> DataFrame:
+def _contracts(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     landed = view(spark, sf, "contracts_landed").withColumns(
         {
             "begin_date": F.date_format("begin_date", "MM/dd/yyyy"),
@@ -297,13 +296,48 @@ def clean_contracts(spark: SparkSession, sf: str) -> DataFrame:
         {"begin_date": "Begin  Date", "expire_date": "Expire  Date", "contract_id": "Contract ID"}
     )
     status = F.col("status")
-    out = clean.clean_contracts(
-        landed.filter(status == "expired").drop("status"),
-        landed.filter(status == "active").drop("status"),
-    )
+    return landed.filter(status == "expired").drop("status"), landed.filter(status == "active").drop("status")
+
+
+@query
+def clean_contracts(spark: SparkSession, sf: str) -> DataFrame:
+    out = clean.clean_contracts(*_contracts(spark, sf))
+    return out.toDF(*[c.lower() for c in out.columns])
+
+
+def _fresh_table(spark: SparkSession, database: str, name: str) -> str:
+    return f"{database}.{name}_" + scratch_path(spark, "t").rsplit("-", 1)[1]
+
+
+@query
+def reload_purchases(spark: SparkSession, sf: str) -> DataFrame:
+    """Two scrapes loaded: all of it, then one year again that lost its services."""
+    goods, services = _landed(spark, sf)
+    table_ = _fresh_table(spark, "procurement", "purchases")
+    jobs.reload_purchases(goods, services, "seq", table_, dt.date(1900, 1, 1), dt.date(2100, 1, 1))
+    year = tx.parse_us_date(F.col("Start Date")).between(*map(F.lit, RELOAD))
+    again = goods.filter(year).withColumn("Supplier Name", F.upper("Supplier Name"))
+    jobs.reload_purchases(again, services.filter(F.lit(False)), "seq", table_, *RELOAD)
+    out = spark.table(table_).withColumn("LOADED_AT", F.col("LOADED_AT").isNotNull())
     return out.toDF(*[c.lower() for c in out.columns])
 
 
+@query
+def replace_contracts(spark: SparkSession, sf: str) -> DataFrame:
+    """The snapshot replaced twice; the third time one listing is empty and the table stays."""
+    table_ = _fresh_table(spark, "procurement", "contracts")
+    expired, active = _contracts(spark, sf)
+    jobs.replace_contracts(expired, active.withColumn("buyer", F.lit("first load")), table_)
+    jobs.replace_contracts(expired, active, table_)
+    try:
+        jobs.replace_contracts(expired, active.filter(F.lit(False)), table_)
+        refused = "nothing"
+    except RuntimeError as error:
+        refused = str(error).split(":")[0]
+    out = spark.table(table_).withColumn("LOADED_AT", F.col("LOADED_AT").isNotNull())
+    return out.toDF(*[c.lower() for c in out.columns]).withColumn("refused", F.lit(refused))
+
+
 def staged_purchases(spark: SparkSession, sf: str) -> DataFrame:
     return clean.stage_purchases(typed_purchases(spark, sf))
 
@@ -639,24 +673,65 @@ def ingest_features(spark: SparkSession, sf: str) -> DataFrame:
     lines = F.when(F.col("layout") == 0, joined).otherwise(F.array_join("features", ",\n"))
     frame = F.concat(F.lit('{"type":"FeatureCollection","name":"x","features":['), lines, F.lit("]}"))
     runs.select(frame).write.text(path)
-    out = jobs.ingest_features(spark, path, "release string, footprint_id bigint")
+    table_ = _fresh_table(spark, "building_footprints", "us")
+    jobs.load_features(spark, path, "release string, footprint_id bigint", table_, ["release"])
     area = geo.st_area(F.col("geometry"), "planar")
-    return out.withColumn("area", F.round(area, 6)).drop("geometry")
+    return spark.table(table_).withColumn("area", F.round(area, 6)).drop("geometry")
 
 
 @query
-def ingest_layers(spark: SparkSession, sf: str) -> DataFrame:
-    """Two census layers from Mercator metres to degrees; one fails and is reported."""
+def load_tiles(spark: SparkSession, sf: str) -> DataFrame:
+    """The tiles of two countries, a mask's border tiles shared by both, in one table."""
+    links, features = _tile_files(spark, sf)
+    masks = centred_shapes(spark, sf, "place_boxes")
+    table_ = _fresh_table(spark, "building_footprints", "global")
+    jobs.load_tiles(
+        spark, links, features, masks, ["UnitedStates", "Canada"], "height double, footprint_id bigint", table_, LANDED_ZOOM
+    )
+    area = geo.st_area(F.col("geometry"), "planar")
+    return spark.table(table_).withColumn("area", F.round(area, 6)).drop("geometry")
+
+
+def _layers(spark: SparkSession, sf: str) -> dict:
     layers = {
         "blocks": centred_shapes(spark, sf, "block_boxes"),
         "footprints": centred_shapes(spark, sf, "footprint_boxes"),
     }
     metres = {
-        name: (df.withColumn("geometry", geo.reproject(F.col("geometry"), 4326, 3857)), 3857)
+        name: (df.select(geo.reproject(F.col("geometry"), 4326, 3857).alias("geometry")), 3857)
         for name, df in layers.items()
     }
-    metres["unknown"] = (layers["blocks"], 2227)
-    loaded, failed = jobs.ingest_layers(metres)
+    return {**metres, "unknown": (layers["blocks"], 2227)}
+
+
+@query
+def load_geo_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Two layers typed into one table: one replaces it, clustered by name, the other is added."""
+    table_ = _fresh_table(spark, "geo_reference", "layers")
+    for name, (df, epsg) in _layers(spark, sf).items():
+        if name != "unknown":
+            first = name == "blocks"
+            named = df.withColumn("layer", F.lit(name))
+            jobs.load_geo_table(named, table_, epsg, overwrite=first, cluster_by=["layer"] if first else None)
+    return spark.table(table_).select("layer", F.round(geo.st_area(F.col("geometry"), "planar"), 6).alias("area"))
+
+
+@query
+def load_layers(spark: SparkSession, sf: str) -> DataFrame:
+    """Every layer as a table of its own; one fails and is reported."""
+    loaded, failed = jobs.load_layers(_layers(spark, sf), _fresh_table(spark, "x", "tiger").split(".")[1])
+    area = F.round(geo.st_area(F.col("geometry"), "planar"), 6)
+    out = None
+    for name in loaded:
+        rows = spark.table(name).select(F.lit(name.split(".")[1]).alias("layer"), area.alias("area"))
+        out = rows if out is None else out.unionByName(rows)
+    return out.withColumn("failed", F.lit(",".join(sorted(failed))))
+
+
+@query
+def ingest_layers(spark: SparkSession, sf: str) -> DataFrame:
+    """Two census layers from Mercator metres to degrees; one fails and is reported."""
+    loaded, failed = jobs.ingest_layers(_layers(spark, sf))
     out = None
     for name, df in loaded.items():
         area = F.round(geo.st_area(F.col("geometry"), "planar"), 6)
@@ -716,8 +791,10 @@ def q_unique_combination(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def q_orphans(spark: SparkSession, sf: str) -> DataFrame:
-    users = table(spark, sf, "customer").filter("c_custkey % 7 <> 0")
-    return quality.orphans(view(spark, sf, "transactions"), users, "user_id", "c_custkey")
+    """Every seventh user is written as one that does not exist."""
+    user = F.when(F.col("user_id") % 7 == 0, -F.col("user_id")).otherwise(F.col("user_id"))
+    rows = view(spark, sf, "transactions").withColumn("user_id", user)
+    return quality.orphans(rows, table(spark, sf, "customer"), "user_id", "c_custkey")
 
 
 @query
@@ -767,6 +844,24 @@ def materialize_incremental(spark: SparkSession, sf: str) -> DataFrame:
     return tidy(spark.table(full))
 
 
+@query
+def materialize_table(spark: SparkSession, sf: str) -> DataFrame:
+    """A model as a table, built twice, and views on it: whole, and cut short for development."""
+    name = _fresh_table(spark, "x", "supply").split(".")[1]
+    rows = table(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
+    tables.materialize(rows.filter("s_nationkey < 12"), name, "marts", "table")
+    full = tables.materialize(rows, name, "marts", "table", environment="prd")
+    held = spark.table(full)
+    whole = tables.materialize(held, f"{name}_all", "marts", "view")
+    short = tables.materialize(held, f"{name}_dev", "marts", "view", limit=7)
+    found = {"dev_marts": f"dev_marts.{name}", "marts": full, "whole": whole, "short": short}
+    counts = [
+        spark.table(t).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("s_suppkey").alias("keys")).select(F.lit(k).alias("kind"), "n", "keys")
+        for k, t in found.items()
+    ]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2]).unionByName(counts[3])
+
+
 @query
 def replace_and_append(spark: SparkSession, sf: str) -> DataFrame:
     """A clustered table replaced once, then the other rows appended."""

@@ -16,7 +16,9 @@ from tallyhall.sources.proxies import view
 SF = "/root/testdata/sf0.001"
 EAGER = {"export_partitions", "export_counties", "hierarchy_files", "ingest_features",
          "global_footprints_with_census", "reload_month_partitions", "materialize_incremental",
-         "replace_and_append", "read_county", "stream_merge", "stream_daily_usage", "merge_partitions"}
+         "replace_and_append", "read_county", "stream_merge", "stream_daily_usage", "merge_partitions",
+         "reload_purchases", "replace_contracts", "materialize_table", "load_geo_table", "load_tiles",
+         "load_layers"}
 
 
 def plan(df):
