@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhall.functions.geometry import to_wkb
@@ -112,17 +116,31 @@ def indented_lines(spark: SparkSession, path: str) -> DataFrame:
     """Text lines with their file and an order that survives splitting.
 
     ``line_no`` grows along each file but is not gapless: twice the byte offset of
-    the split plus the position inside it (a split has at most one line per byte).
+    the split plus the position inside it (a split has at most one line per byte). A task
+    reads the lines of a split one after the other, so it counts them as they pass and
+    nothing is shuffled.
     """
-    split = Window.partitionBy("doc", "start")
-    return (
-        spark.read.text(path)
-        .select(
-            F.col("_metadata.file_path").alias("doc"),
-            F.col("_metadata.file_block_start").alias("start"),
-            F.monotonically_increasing_id().alias("seq"),
-            F.col("value").alias("line"),
-        )
-        .withColumn("line_no", F.col("start") * 2 + F.col("seq") - F.min("seq").over(split))
-        .select("doc", "line_no", "line")
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("doc"),
+        F.col("_metadata.file_block_start").alias("line_no"),
+        F.col("value").alias("line"),
     )
+    return lines.mapInArrow(_numbered, "doc string, line_no long, line string")
+
+
+def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Replaces the offset of the split by twice that plus the number of its lines before."""
+    now, seen = None, 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        doc, start = batch.column("doc").dictionary_encode(), batch.column("line_no").to_numpy()
+        names, code = doc.dictionary.to_pylist(), doc.indices.to_numpy()
+        first = np.ones(len(start), bool)  # rows that begin another split
+        first[1:] = (start[1:] != start[:-1]) | (code[1:] != code[:-1])
+        begin = np.flatnonzero(first)
+        place = np.arange(len(start)) - np.repeat(begin, np.diff(np.append(begin, len(start))))
+        if (names[code[0]], start[0]) == now:
+            place[: begin[1] if len(begin) > 1 else len(place)] += seen
+        now, seen = (names[code[-1]], start[-1]), int(place[-1]) + 1
+        yield pa.record_batch({"doc": batch.column("doc"), "line_no": 2 * start + place, "line": batch.column("line")})

@@ -91,7 +91,11 @@ def test_lines_keep_their_order_over_splits(spark, tmp_path):
         df = readers.indented_lines(spark, str(tmp_path))
         assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 5
         got = df.collect()
+        assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+        assert sorted(map(tuple, df.collect())) == sorted(map(tuple, got))
     finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
         spark.conf.unset("spark.sql.files.openCostInBytes")
     assert len({r.line_no for r in got}) == len(lines)
