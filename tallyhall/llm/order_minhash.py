@@ -11,8 +11,8 @@ in any key are candidates. A pair is a link if the edit
 distance of their words, found in a band as wide as allowed, is at most 1 -
 :data:`SIMILARITY` of the longer one. Classes are the components of the links.
 
-Candidates never meet all with all. First everyone is held against the first fitting text
-of its buckets, which settles groups of near copies with one pair for each member. Where a bucket still
+Candidates never meet all with all. First everyone is held against the hub that most of its
+buckets have, which settles groups of near copies with one pair for each member. Where a bucket still
 spans several classes, its members are compared across classes in blocks, by an exact lower
 bound of the distance (binned word counts): first the closest pair of each two classes
 is aligned, then, across the classes that remain, every pair that the bound can't exclude.
@@ -48,6 +48,7 @@ LOOSE, PAIR = 32, 2  # further sketches, and the words of their shingles
 SHORT = 24  # words of the longest text whose candidates are found exactly
 COARSE, FINE = 64, 256  # bins of word counts, for pairs in buckets and before alignment
 BLOCK = 1024  # members of a bucket compared at once
+STARS = 2  # rounds in which each text is held against one other
 PAIRS = 1 << 20  # pairs looked at in one step
 LEAST = 4  # words of the shortest text that may differ from a similar one
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -326,6 +327,7 @@ def features(docs: DataFrame) -> DataFrame:
 
 def _lengths_fit(n: str, m: str):
     """Edit similarity can't reach the limit when the lengths differ too much."""
+    n, m = F.col(n), F.col(m)
     return F.least(n, m) >= F.ceil(F.greatest(n, m) * F.lit(SIMILARITY) - F.lit(1e-9))
 
 
@@ -482,6 +484,39 @@ def across_classes(members: DataFrame, closest: bool) -> DataFrame:
     return best.select("r.a", "r.b")
 
 
+def _labelled(members: DataFrame, found: DataFrame | None) -> DataFrame:
+    """Members with the class they are in so far; at first each its own."""
+    if found is None:
+        return members.withColumn("label", F.col("id"))
+    label = found.select("id", F.col("component").alias("label"))
+    return members.join(label, "id", "left").withColumn("label", F.coalesce("label", "id"))
+
+
+def best_hubs(members: DataFrame) -> DataFrame:
+    """Pairs ``a < b``: each member with the hub of another class that most of its buckets have.
+
+    A bucket's hub is the first text of its first class; near copies share most buckets, others
+    one or two, so one pair for each member settles nearly all of a group, whatever its size.
+    """
+    hubs = members.groupBy("key").agg(F.min(F.struct("label", "id", "n")).alias("hub"), F.max("label").alias("last"))
+    hubs = hubs.filter("hub.label <> last").select("key", "hub")
+    met = members.join(hubs, "key").filter("label <> hub.label").filter(_lengths_fit("n", "hub.n"))
+    shared = met.groupBy("id", F.col("hub.id").alias("hub")).agg(F.count(F.lit(1)).alias("buckets"))
+    best = shared.groupBy("id").agg(F.max(F.struct("buckets", (-F.col("hub")).alias("hub"))).alias("r"))
+    pair = best.select("id", (-F.col("r.hub")).alias("hub"))
+    return pair.select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b"))
+
+
+def _joined(found: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Classes after further links."""
+    links = materialise(links, "more-links")
+    if found is not None:
+        if links.isEmpty():
+            return found
+        links = links.unionByName(found.select(F.col("id").alias("a"), F.col("component").alias("b")))
+    return materialise(components(links), "labels")
+
+
 def _classed(docs: DataFrame) -> DataFrame:
     """``row, doc_id, mark, class`` of every row; a class is the number of one of its rows."""
     docs = docs.select("doc_id", "text")
@@ -490,33 +525,29 @@ def _classed(docs: DataFrame) -> DataFrame:
     first = every.groupBy("digest").agg(F.min(order).alias("r"))
     reps = materialise(first.select("digest", F.col("r.row").alias("id"), "r.*").drop("row", "unnamed"), "reps")
     keys = reps.select("id", "n", F.explode("sketch").alias("key"))
-    hubs = keys.groupBy("key").agg(
-        F.min("id").alias("hub"), F.min_by("n", "id").alias("hub_n"), F.count(F.lit(1)).alias("size")
-    )
-    members = materialise(keys.join(hubs.filter("size > 1"), "key"), "members")
-    # First everyone is held against one other: the first hub of a fitting length.
-    fitting = members.filter("id <> hub").filter(_lengths_fit("n", "hub_n"))
-    firsts = materialise(fitting.groupBy("id").agg(F.min("hub").alias("first")), "firsts")
-    stars = firsts.select(F.col("first").alias("a"), F.col("id").alias("b"))
-    tried = materialise(near_by_bins(stars, reps), "stars")
-    found = materialise(components(aligned(tried, reps, docs)), "labels")
+    sizes = keys.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    members = materialise(keys.join(sizes, "key"), "members")
+    found, tried, first = None, None, None
+    for _ in range(STARS):
+        stars = best_hubs(_labelled(members, found))
+        stars = stars if tried is None else stars.join(tried, ["a", "b"], "left_anti")
+        stars = materialise(near_by_bins(stars, reps), "stars")
+        first = stars.select(F.col("b").alias("id"), F.col("a").alias("first")) if first is None else first
+        tried = stars if tried is None else tried.unionByName(stars)
+        found = _joined(found, aligned(stars, reps, docs))
     # Buckets that still hold several classes: first the closest pair of each two classes,
     # which joins what belongs together, then every pair across what is left.
-    counts = reps.select("id", "coarse").join(firsts, "id", "left")
+    first = first.groupBy("id").agg(F.min("first").alias("first"))
+    counts = reps.select("id", "coarse").join(first, "id", "left")
     for closest in (True, False):
-        label = found.select("id", F.col("component").alias("label"))
-        labelled = members.join(label, "id", "left").withColumn("label", F.coalesce("label", "id"))
+        labelled = _labelled(members, found)
         spread_ = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
         still = spread_.filter("lo <> hi").select("key")
         rest = labelled.join(still, "key", "left_semi").join(counts, "id")
-        pairs = near_by_bins(across_classes(rest, closest), reps)
-        if not closest:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        tried = materialise(pairs, "across")
-        more = materialise(aligned(tried, reps, docs), "more-links")
-        if not more.isEmpty():
-            links = found.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more)
-            found = materialise(components(links), "labels")
+        pairs = across_classes(rest, closest).join(tried, ["a", "b"], "left_anti")
+        pairs = materialise(near_by_bins(pairs, reps), "across")
+        tried = tried.unionByName(pairs)
+        found = _joined(found, aligned(pairs, reps, docs))
     named = reps.select("digest", "id").join(found, "id", "left")
     named = named.select("digest", F.coalesce("component", "id").alias("class"))
     return every.select("row", "doc_id", "mark", "digest").join(named, "digest").drop("digest")
