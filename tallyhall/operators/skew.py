@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MAX_HOT = 512  # keys dealt out at most; any further key holds under 1/512 of the rows
 MAX_SALTS = 1024
+COUNTERS = 4 * MAX_HOT  # keys a summary holds: one with more than a share of 1 / COUNTERS is never lost
+LEAST_BYTES = 8  # of a row; a smaller table can't hold a hot key
 HOW = ("inner", "left", "left_semi", "left_anti")
 
 
@@ -24,23 +28,78 @@ def scatter_nulls(keys: list[str], cols: list[str]) -> Column:
     return F.when(any_null(keys), F.pmod(F.xxhash64(*cols), F.lit(1 << 16))).otherwise(0).cast("int")
 
 
-def hot_keys(df: DataFrame, keys: list[str], min_rows: int) -> DataFrame | None:
-    """The largest keys above ``min_rows`` rows with a salt count, None without any.
+def heavy_keys(sides: list[DataFrame], keys: list[str], counters: int = COUNTERS) -> DataFrame:
+    """``side, *keys, _n, _missed``: the keys that may be frequent on each side, by one pass over the keys.
 
-    Counts are combined map-side; one job returns at most MAX_HOT rows, so the
-    list is always safe to broadcast.
+    A summary of at most ``counters`` keys a task and side (Misra and Gries): when there are
+    more, all counts go down by the largest that has to go, so what is left counts at most
+    ``rows / counters`` too few. Summaries add up, so only they are shuffled: ``_n`` is a lower
+    bound of a key's rows, and the ``_missed`` of all tasks together how many it may lack.
     """
-    salts = F.least(F.ceil(F.col("_n") / F.lit(min_rows)), F.lit(MAX_SALTS)).cast("int")
-    hot = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > min_rows)
-        .orderBy(F.desc("_n"))
-        .limit(MAX_HOT)
-        .select(*keys, salts.alias("_salts"))
-    )
-    found = hot.collect()
-    return df.sparkSession.createDataFrame(found, hot.schema) if found else None
+    count = len(sides)
+    kinds = [f"`{k}` {t}" for k, t in sides[0].select(*keys).dtypes]
+    both = reduce(lambda x, y: x.unionByName(y), [df.select(F.lit(i).alias("side"), *keys) for i, df in enumerate(sides)])
+
+    def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, missed = None, {}
+
+        def trimmed(table: pa.Table) -> pa.Table:
+            parts = []
+            for side in range(count):
+                own = table.filter(pa.compute.equal(table.column("side"), side)).sort_by([("_n", "descending")])
+                if own.num_rows > counters:
+                    cut = own.column("_n")[counters].as_py()
+                    missed[side] = missed.get(side, 0) + cut
+                    own = own.slice(0, counters)
+                    own = own.set_column(own.schema.get_field_index("_n"), "_n", pa.compute.subtract(own.column("_n"), cut))
+                    own = own.filter(pa.compute.greater(own.column("_n"), 0))
+                parts.append(own)
+            return pa.concat_tables(parts)
+
+        names = ["side", *keys]
+        for batch in batches:
+            found = pa.Table.from_batches([batch]).group_by(names).aggregate([([], "count_all")])
+            found = found.rename_columns([*names, "_n"])
+            if held is not None:
+                both_ = pa.concat_tables([held, found]).group_by(names).aggregate([("_n", "sum")])
+                found = both_.rename_columns([*names, "_n"])
+            held = found if found.num_rows <= 2 * counters else trimmed(found)
+        if held is not None:
+            held = trimmed(held)
+            lost = pa.array([missed.get(x, 0) for x in held.column("side").to_pylist()], pa.int64())
+            yield from held.append_column("_missed", lost).to_batches()
+
+    schema = f"side int, {', '.join(kinds)}, _n long, _missed long"
+    found = both.mapInArrow(summarise, schema)
+    return found.groupBy("side", *keys).agg(F.sum("_n").alias("_n"), F.max("_missed").alias("_missed"))
+
+
+def hot_keys(sides: list[DataFrame], keys: list[str], min_rows: int) -> list[DataFrame | None]:
+    """For each side the largest keys above ``min_rows`` rows with a salt count, None without any.
+
+    Keys are looked for where a side is estimated to hold that many rows at all; at most
+    MAX_HOT rows a side come back, so the lists are always safe to broadcast.
+    """
+    spark = sides[0].sparkSession
+    large = [i for i, df in enumerate(sides) if _bytes(df) >= min_rows * LEAST_BYTES]
+    if not large:
+        return [None] * len(sides)
+    found = heavy_keys([sides[i] for i in large], keys).filter(F.col("_n") > min_rows)
+    order = Window.partitionBy("side").orderBy(F.desc("_n"))  # a few thousand rows at most
+    rows = found.withColumn("_at", F.row_number().over(order)).filter(F.col("_at") <= MAX_HOT)
+    salts = F.least(F.ceil(F.col("_n") / F.lit(min_rows)), F.lit(MAX_SALTS)).cast("int").alias("_salts")
+    hot = rows.select("side", *keys, salts)
+    listed, out = hot.collect(), [None] * len(sides)
+    schema = hot.drop("side").schema
+    for at, i in enumerate(large):
+        own = [tuple(r)[1:] for r in listed if r["side"] == at]
+        out[i] = spark.createDataFrame(own, schema) if own else None
+    return out
+
+
+def _bytes(df: DataFrame) -> int:
+    """The optimizer's estimate of a table's size."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def _salted(df: DataFrame, hot: DataFrame | None, keys: list[str], own: str, other: str) -> DataFrame:
@@ -74,8 +133,8 @@ def skew_join(
     one_sided = how in ("left_semi", "left_anti")
     if one_sided:
         right = right.select(*keys).distinct()
-    hot_left = hot_keys(left.select(*keys).filter(~any_null(keys)), keys, min_rows)
-    hot_right = None if one_sided else hot_keys(right.select(*keys), keys, min_rows)
+    sides = [left.select(*keys).filter(~any_null(keys)), right.select(*keys)]
+    hot_left, hot_right = [*hot_keys(sides[: 1 if one_sided else 2], keys, min_rows), None][:2]
     if hot_right is not None:
         # Both sides' salts of the keys that are hot on the right: a grid, and an inner join.
         grid = hot_right.withColumnRenamed("_salts", "_right")

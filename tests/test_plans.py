@@ -100,3 +100,8 @@ def test_hot_cluster_key_is_cut(spark):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert files_per_key(path, spark, "k")[5] > 2
     assert spark.table(name).count() == 20_000
+
+
+def test_entity_budgets_shuffle_thrice_at_most(spark):
+    text = plan(QUERIES["entity_budgets"](spark, SF))
+    assert sum("Exchange " in line and "Broadcast" not in line for line in text.split("\n")) <= 3

@@ -199,3 +199,23 @@ def test_skew_join(spark, how):
     assert bag(plain.select(*want.columns)) == bag(want)
     with pytest.raises(ValueError):
         skew.skew_join(left, right, ["k"], "full")
+
+
+def test_heavy_keys_are_never_lost(spark):
+    rows = spark.range(40000).select((F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id"))).cast("string").alias("k"))
+    other = spark.range(9000).select(F.when(F.col("id") % 4 == 0, F.lit("x")).otherwise(F.concat(F.lit("y"), F.col("id") % 50)).alias("k"))
+    found = skew.heavy_keys([rows.repartition(6), other.repartition(3)], ["k"], counters=40).collect()
+    most = {(r.side, r.k): r._n for r in found}
+    true = 13334  # every third row, and the id 7 itself
+    assert true - 40000 / 40 <= most[(0, "7")] <= true
+    assert most[(1, "x")] >= 2250 - 9000 / 40 and len(found) <= 40 * 9
+    hot = skew.hot_keys([rows, other], ["k"], 2000)
+    assert [tuple(r) for r in hot[0].collect()] == [("7", 7)] and [tuple(r) for r in hot[1].collect()] == [("x", 2)]
+
+
+def test_small_tables_are_not_counted(spark):
+    small = spark.createDataFrame([("a", 1), ("a", 2)], "k string, v int")
+    assert skew.hot_keys([small, small], ["k"], 1_000_000) == [None, None]
+    got = skew.skew_join(small, small.withColumnRenamed("v", "w"), ["k"], "left")
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" not in plan and got.count() == 4
