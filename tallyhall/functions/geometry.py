@@ -401,6 +401,111 @@ def to_wkb(g: Column, strict: bool = True, geojson: bool = False, source: int =
     return from_text(g, parsed["type"], *columns)
 
 
+def tile_runs(g: Column, zoom: int) -> Column:
+    """Bounds of the polygon, and the runs of Web-Mercator tiles that it meets, row by row.
+
+    Tiles count with their borders. An edge is looked at in the rows of tiles it spans only:
+    there its part between the row's latitudes gives the tiles on the polygon's border. Tiles
+    in the inside are the runs between the crossings of the row's middle. What leaves the
+    kernel is a run for each stretch of tiles, not edges: as many as the border is long.
+    """
+    n = 1 << zoom
+
+    @F.arrow_udf(f"struct<{BOX},runs:array<struct<y:int,x0:int,x1:int>>>")
+    def kernel(values: pa.Array) -> pa.Array:
+        rows = len(values)
+        e, poly = _edges(values)
+        length = np.bincount(poly, minlength=rows)
+        box = _boxes(e, np.cumsum(length) - length, length)
+        found = [np.empty((4, 0), np.int64)]
+        for part in np.array_split(np.arange(len(e)), max(1, len(e) * 4 // MAX_EDGE_PAIRS)):
+            found.append(_border_tiles(e[part], poly[part], n))
+        found.append(_inner_tiles(e, poly, n))
+        owner, y, x0, x1 = _merged(np.concatenate(found, axis=1), n)
+        runs = pa.StructArray.from_arrays([pa.array(c, pa.int32()) for c in (y, x0, x1)], ["y", "x0", "x1"])
+        columns = [*[pa.array(c) for c in box.T], _lists(np.bincount(owner, minlength=rows), runs)]
+        names = ["minx", "miny", "maxx", "maxy", "runs"]
+        return pa.StructArray.from_arrays(columns, names, mask=pa.array(length == 0))
+
+    return kernel(g)
+
+
+def _latitude(row: np.ndarray, n: int) -> np.ndarray:
+    """Northern border of a row of tiles."""
+    return np.degrees(np.arctan(np.sinh(np.pi * (1 - 2 * row / n))))
+
+
+def _row_of(lat: np.ndarray, n: int) -> np.ndarray:
+    s = np.sin(np.radians(np.clip(lat, -fv.MERCATOR_LAT_LIMIT, fv.MERCATOR_LAT_LIMIT)))
+    return np.floor((0.5 - 0.25 * np.log((1 + s) / (1 - s)) / np.pi) * n).astype(np.int64)
+
+
+def _columns(low: np.ndarray, high: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """First and last tile that meets [low, high], borders included."""
+
+    def west(x):
+        return x / n * 360.0 - 180.0
+
+    first = np.floor((low + 180.0) / 360.0 * n).astype(np.int64)
+    last = np.floor((high + 180.0) / 360.0 * n).astype(np.int64)
+    first -= west(first) >= low
+    last += west(last + 1) <= high
+    return np.maximum(first, 0), np.minimum(last, n - 1)
+
+
+def _border_tiles(e: np.ndarray, poly: np.ndarray, n: int) -> np.ndarray:
+    """``polygon, y, x0, x1`` of the tiles that each edge meets in each row."""
+    low, high = np.minimum(e[:, 1], e[:, 3]), np.maximum(e[:, 1], e[:, 3])
+    top, bottom = np.maximum(_row_of(high, n) - 1, 0), np.minimum(_row_of(low, n) + 1, n - 1)
+    edge, y = wkb.ragged(top, np.maximum(bottom - top + 1, 0))
+    north, south = _latitude(y, n), _latitude(y + 1, n)
+    meets = (low[edge] <= north) & (high[edge] >= south)
+    edge, y, north, south = edge[meets], y[meets], north[meets], south[meets]
+    x1, y1, x2, y2 = e[edge].T
+    rise = np.where(y2 == y1, 1.0, y2 - y1)
+
+    def at(lat):
+        """Longitude of the edge where it leaves the row, or its end within."""
+        return np.where(y2 == y1, x1, x1 + (np.clip(lat, low[edge], high[edge]) - y1) * (x2 - x1) / rise)
+
+    a, b = at(south), at(north)
+    flat = y1 == y2
+    west, east = np.minimum(e[edge, 0], e[edge, 2]), np.maximum(e[edge, 0], e[edge, 2])
+    left = np.where(flat, west, np.clip(np.minimum(a, b), west, east))
+    right = np.where(flat, east, np.clip(np.maximum(a, b), west, east))
+    first, last = _columns(left, right, n)
+    return np.stack([poly[edge], y, first, last])[:, first <= last]
+
+
+def _inner_tiles(e: np.ndarray, poly: np.ndarray, n: int) -> np.ndarray:
+    """``polygon, y, x0, x1`` between the crossings of the middle of each row, two by two."""
+    low, high = np.minimum(e[:, 1], e[:, 3]), np.maximum(e[:, 1], e[:, 3])
+    top, bottom = np.maximum(_row_of(high, n) - 1, 0), np.minimum(_row_of(low, n) + 1, n - 1)
+    edge, y = wkb.ragged(top, np.maximum(bottom - top + 1, 0))
+    middle = (_latitude(y, n) + _latitude(y + 1, n)) / 2
+    crosses = (low[edge] <= middle) & (middle < high[edge])
+    edge, y, middle = edge[crosses], y[crosses], middle[crosses]
+    x1, y1, x2, y2 = e[edge].T
+    x = x1 + (middle - y1) * (x2 - x1) / np.where(y2 == y1, 1.0, y2 - y1)
+    order = np.lexsort((x, y, poly[edge]))
+    owner, y, x = poly[edge][order], y[order], x[order]
+    first, last = _columns(x[::2], x[1::2], n)
+    return np.stack([owner[::2], y[::2], first, last])[:, first <= last]
+
+
+def _merged(runs: np.ndarray, n: int) -> np.ndarray:
+    """Runs of one row of one polygon that meet or follow each other, joined."""
+    owner, y, first, last = runs[:, np.lexsort((runs[2], runs[1], runs[0]))]
+    if not len(owner):
+        return np.stack([owner, y, first, last])
+    group = np.cumsum(np.concatenate([[0], (np.diff(owner) != 0) | (np.diff(y) != 0)])) * (2 * n)
+    reach = np.maximum.accumulate(last + group)
+    begin = np.concatenate([[True], (first + group)[1:] > reach[:-1] + 1])
+    at = np.flatnonzero(begin)
+    end = np.append(at[1:], len(owner)) - 1
+    return np.stack([owner[at], y[at], first[at], (reach - group)[end]])
+
+
 def box_wkb(minx: Column, miny: Column, maxx: Column, maxy: Column) -> Column:
     """Axis-aligned box as a WKB polygon, counter-clockwise."""
 

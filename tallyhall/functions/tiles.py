@@ -42,6 +42,19 @@ def tile_bounds(x: Column, y: Column, zoom: int) -> tuple[Column, Column, Column
     return (x / n * 360.0 - 180.0, lat(y + 1), (x + 1) / n * 360.0 - 180.0, lat(y))
 
 
+def tile_ranges(zoom: int, minx="minx", miny="miny", maxx="maxx", maxy="maxy") -> list[Column]:
+    """First and last tile columns and rows that bounds cover: ``_x0, _x1, _y0, _y1``."""
+    south = F.greatest(F.lit(-fv.MERCATOR_LAT_LIMIT), F.col(miny))
+    north = F.least(F.lit(fv.MERCATOR_LAT_LIMIT), F.col(maxy))
+    w, e = F.greatest(F.lit(-180.0), F.col(minx)), F.least(F.lit(180.0), F.col(maxx))
+    return [
+        tile_x(w, zoom).alias("_x0"),
+        tile_x(e - fv.LNGLAT_EPSILON, zoom).alias("_x1"),
+        tile_y(north, zoom).alias("_y0"),
+        tile_y(south + fv.LNGLAT_EPSILON, zoom).alias("_y1"),
+    ]
+
+
 def tiles_for_bounds(
     df: DataFrame, zoom: int, minx="minx", miny="miny", maxx="maxx", maxy="maxy"
 ) -> DataFrame:
@@ -57,22 +70,14 @@ def tiles_for_bounds(
             F.struct(west.alias("w"), F.lit(180.0).alias("e")),
         ),
     ).otherwise(F.array(F.struct(west.alias("w"), east.alias("e"))))
-    south = F.greatest(F.lit(-fv.MERCATOR_LAT_LIMIT), F.col(miny))
-    north = F.least(F.lit(fv.MERCATOR_LAT_LIMIT), F.col(maxy))
-    w, e = F.greatest(F.lit(-180.0), F.col("_span.w")), F.least(F.lit(180.0), F.col("_span.e"))
-    ranges = {
-        "_x0": tile_x(w, zoom),
-        "_x1": tile_x(e - fv.LNGLAT_EPSILON, zoom),
-        "_y0": tile_y(north, zoom),
-        "_y1": tile_y(south + fv.LNGLAT_EPSILON, zoom),
-    }
+    names = ["_x0", "_x1", "_y0", "_y1"]
     # An empty range stays empty: sequence would count down.
     return (
         df.withColumn("_span", F.explode(spans))
-        .withColumns(ranges)
+        .select("*", *tile_ranges(zoom, "_span.w", miny, "_span.e", maxy))
         .filter("_x0 <= _x1 and _y0 <= _y1")
         .withColumn("x", F.explode(F.sequence("_x0", "_x1")))
         .withColumn("y", F.explode(F.sequence("_y0", "_y1")))
-        .drop("_span", *ranges)
+        .drop("_span", *names)
         .withColumn("quadkey", quadkey(F.col("x"), F.col("y"), zoom))
     )

@@ -345,21 +345,15 @@ def footprints_with_census(
 def tiles_touching(
     masks: DataFrame, zoom: int, geom: str = "geometry", keep: list[str] | None = None
 ) -> DataFrame:
-    """Tiles that meet each mask polygon: first by bounds, then exactly."""
+    """Tiles that meet each mask polygon, and that its bounds cover.
+
+    The polygon itself never leaves its row: a kernel gives the runs of tiles it meets, and
+    only those become rows.
+    """
     keep = keep or []
-    shaped = masks.select(*keep, geo.parts(F.col(geom), "planar").alias("_p")).select(
-        *keep, "_p.*"
-    )
-    covered = tl.tiles_for_bounds(shaped, zoom)
-    bounds = tl.tile_bounds(F.col("x"), F.col("y"), zoom)
-    west, south, east, north = bounds
-    area = geo.edges_overlap(
-        geo.box_edges(*bounds), F.col("edges"),
-        F.greatest(west, "minx"), F.least(east, "maxx"),
-        F.least((east - west) * (north - south), "area"), "planar",
-    )
-    return (
-        covered.withColumn("_area", area)
-        .filter("_area is not null")
-        .select(*keep, "x", "y", "quadkey")
-    )
+    shaped = masks.select(*keep, geo.tile_runs(F.col(geom), zoom).alias("_p")).select(*keep, "_p.*")
+    spans = shaped.select(*keep, *tl.tile_ranges(zoom), F.explode("runs").alias("_r"))
+    first, last = F.greatest("_x0", "_r.x0"), F.least("_x1", "_r.x1")
+    held = spans.filter((F.col("_r.y") >= F.col("_y0")) & (F.col("_r.y") <= F.col("_y1")) & (first <= last))
+    tiles = held.select(*keep, F.explode(F.sequence(first, last)).alias("x"), F.col("_r.y").alias("y"))
+    return tiles.withColumn("quadkey", tl.quadkey(F.col("x"), F.col("y"), zoom))

@@ -278,3 +278,51 @@ def test_layers_need_known_system(spark):
     jobs.load_geo_table(df, "geo.layer_t", 4326)
     jobs.load_geo_table(df, "geo.layer_t", 4326, overwrite=False)
     assert spark.table("geo.layer_t").count() == 2
+
+
+def two_pass_tiles(masks, zoom):
+    """Every tile of the bounds, each held against the whole polygon."""
+    shaped = masks.select("id", geo.parts(F.col("geometry"), "planar").alias("_p")).select("id", "_p.*")
+    west, south, east, north = bounds = tl.tile_bounds(F.col("x"), F.col("y"), zoom)
+    area = geo.edges_overlap(
+        geo.box_edges(*bounds), F.col("edges"), F.greatest(west, "minx"), F.least(east, "maxx"),
+        F.least((east - west) * (north - south), "area"), "planar",
+    )
+    return tl.tiles_for_bounds(shaped, zoom).withColumn("_a", area).filter("_a is not null").select("id", "x", "y", "quadkey")
+
+
+def test_tiles_as_in_two_passes(spark):
+    draw = np.random.default_rng(8)
+
+    def star(x, y, r, n):
+        angle, size = np.arange(n) * 2 * np.pi / n, r * draw.uniform(0.2, 1, n)
+        xy = np.column_stack([x + size * np.cos(angle), y + size * np.sin(angle)])
+        return np.vstack([xy, xy[:1]])
+
+    shapes = []
+    for _ in range(25):
+        x, y, r = draw.uniform(-170, 170), draw.uniform(-75, 75), draw.choice([0.01, 1.0, 9.0])
+        hole = np.array([[x - r / 30, y - r / 30], [x + r / 30, y - r / 30], [x, y + r / 30], [x - r / 30, y - r / 30]])
+        shapes.append(wkb.write((wkb.POLYGON, [star(x, y, r, int(draw.integers(3, 60))), hole])))
+    apart_ = [(wkb.POLYGON, [star(x, 10, 3, 9)]) for x in (20, 40)]
+    box = np.array([[-45.0, 0], [0, 0], [0, 45], [-45, 45], [-45, 0]])  # its sides lie on borders of tiles
+    ring = np.array([[-60.0, -60], [60, -60], [60, 60], [-60, 60], [-60, -60]])
+    shapes += [wkb.write((wkb.MULTIPOLYGON, apart_)), wkb.write((wkb.POLYGON, [box])), wkb.write((wkb.POLYGON, [ring, ring[::-1] / 2]))]
+    shapes += [None, POINT, wkb.write((wkb.POLYGON, [np.array([[170.0, 80], [180, 80], [180, 90], [170, 90], [170, 80]])]))]
+    masks = spark.createDataFrame(list(enumerate(shapes)), "id int, geometry binary").repartition(3)
+    for zoom in (1, 5, 7):
+        got = spatial.tiles_touching(masks, zoom, keep=["id"]).collect()
+        want = two_pass_tiles(masks, zoom).collect()
+        assert len(got) == len(set(got)) and set(map(tuple, got)) == set(map(tuple, want)), zoom
+    assert spatial.tiles_touching(masks.limit(0), 5).count() == 0
+
+
+def test_a_country_at_a_fine_zoom_gives_runs(spark):
+    n = 3000
+    angle = np.arange(n + 1) * 2 * np.pi / n
+    shape = np.column_stack([10 + 8 * np.cos(angle), 50 + 5 * np.sin(angle)])
+    shape[-1] = shape[0]
+    df = spark.createDataFrame([(wkb.write((wkb.POLYGON, [shape])),)], "geometry binary")
+    found = df.select(geo.tile_runs(F.col("geometry"), 12).alias("t")).select("t.runs").first()["runs"]
+    tiles = sum(r.x1 - r.x0 + 1 for r in found)
+    assert tiles > 20_000 and len(found) < 250
