@@ -14,7 +14,8 @@ each: document, tokens, offset in the payload, bytes. A reader of one document r
 shards whose range holds it (pushed to the scan), then one slice, then one small frame.
 
 Null ``doc_id`` comes first and is kept as null; a null text is empty and yields the end
-id alone; repeated ids are documents of their own; an empty table gives empty files.
+id alone; repeated ids are documents of their own, in the order of the checksums of their
+ids; an empty table gives empty files. The folder ``frames`` is left over from writing.
 """
 
 from __future__ import annotations
@@ -84,15 +85,17 @@ def _coder(data: bytes, kind: str):
 def write(docs: DataFrame, path: str, tokenizer: str | None = None, end: int = END) -> None:
     """Encodes every text and writes the files under ``path``.
 
-    The texts are sorted by range of ``doc_id`` before they are encoded, so Spark's
-    sampling of the ranges reads the table and nothing is encoded twice. The dictionary is
-    trained on SAMPLE_DOCS texts with the smallest hashes; it decides sizes, not content.
+    Texts are encoded and compressed where they lie; the frames, a fraction of their size, are
+    stored and then sorted by ranges of ``doc_id``. Rows of one id come in the order of a hash
+    of their ids, which is also the last range column: an id that many rows share is cut over
+    several shards' tasks. The dictionary is trained on SAMPLE_DOCS texts with the smallest
+    hashes; it decides sizes, not content.
     """
     spark, spec = docs.sparkSession, tokenizer_json(tokenizer)
     width = 2 if word_encoder(spec).width <= 1 << 16 else 4
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty())
     filled = texts.filter("text <> ''")
-    sample = smallest(filled, F.xxhash64("doc_id", "text"), SAMPLE_DOCS, filled.count())
+    sample = smallest(filled, F.xxhash64("doc_id", "text"), SAMPLE_DOCS, docs.count())
     sample = sample.select(F.substring("text", 1, SAMPLE_CHARS).alias("text"))
     data = train_dictionary([r.text for r in sample.collect()], spec, width)
     stamp = zlib.crc32(data)
@@ -102,52 +105,88 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, end: int = E
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, coder = word_encoder(spec), _coder(data, "write")
-        part, shard, before, tail = TaskContext.get().partitionId(), 0, 0, np.array([end], "<u4").tobytes()
-        held: list[tuple] = []
-        frames: list[bytes] = []
-        tokens = size = 0
+        tail = np.array([end], "<u4").tobytes()
+        for whole in batches:
+            for batch in slices(whole, "text"):
+                ids = [body + tail for body in encoder.encode(batch.column("text").to_pylist())]
+                yield pa.record_batch(
+                    {
+                        "doc_id": batch.column("doc_id"),
+                        "tokens": pa.array([len(body) // 4 for body in ids], pa.int64()),
+                        "mark": pa.array([zlib.crc32(body) for body in ids], pa.int64()),
+                        "frame": pa.array([coder.compress(narrow(body, width)) for body in ids], pa.binary()),
+                    }
+                )
+
+    frames = small_batches(texts).mapInArrow(encode, "doc_id long, tokens long, mark long, frame binary")
+    frames = _stored(frames, f"{path}/frames")
+    _pack(frames, stamp).write.option("compression", "none").parquet(f"{path}/shards")
+    totals = spark.read.schema(SHARDS).parquet(f"{path}/shards").groupBy("part").agg(F.sum("n_tokens").alias("n"))
+    running = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row for each part
+    starts = totals.select("part", F.coalesce(F.sum("n").over(running), F.lit(0)).alias("part_start"))
+    starts.coalesce(1).write.parquet(f"{path}/parts")
+
+
+def _stored(frames: DataFrame, path: str) -> DataFrame:
+    frames.write.option("compression", "none").parquet(path)  # compressed as they are
+    return frames.sparkSession.read.schema(frames.schema).parquet(path)
+
+
+def _pack(frames: DataFrame, stamp: int) -> DataFrame:
+    """Frames in ascending order of ``doc_id``, nulls first, as shards with their offset index."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, shard, before = TaskContext.get().partitionId(), 0, 0
+        index: list[np.ndarray] = []
+        payload: list[bytes] = []
+        tokens = docs = size = 0
 
         def flush() -> pa.RecordBatch:
-            index = np.array(held, dtype=RECORD)
-            known = index["doc"][index["null"] == 0]
-            return rows(
+            nonlocal index, payload, tokens, docs, size, shard, before
+            all_ = np.concatenate(index)
+            known = all_["doc"][all_["null"] == 0]
+            made = rows(
                 SHARD_SCHEMA,
                 part=[part],
                 shard=[shard],
                 first_doc=[int(known[0]) if len(known) else None],
                 last_doc=[int(known[-1]) if len(known) else None],
                 before=[before],
-                n_docs=[len(held)],
+                n_docs=[docs],
                 n_tokens=[tokens],
                 dict_hash=[stamp],
-                index=[index.tobytes()],
-                payload=[b"".join(frames)],
+                index=[all_.tobytes()],
+                payload=[b"".join(payload)],
             )
+            before, shard = before + tokens, shard + 1
+            index, payload, tokens, docs, size = [], [], 0, 0, 0
+            return made
 
-        for whole in batches:
-            for batch in slices(whole, "text"):
-                ids = encoder.encode(batch.column("text").to_pylist())
-                for doc, body in zip(batch.column("doc_id").to_pylist(), ids):
-                    body += tail
-                    frame = coder.compress(narrow(body, width))
-                    held.append((doc or 0, doc is None, len(body) // 4, size, len(frame)))
-                    frames.append(frame)
-                    size, tokens = size + len(frame), tokens + len(body) // 4
-                    if tokens >= SHARD_TOKENS or len(held) >= SHARD_DOCS:
-                        yield flush()
-                        before, shard = before + tokens, shard + 1
-                        held, frames, tokens, size = [], [], 0, 0
-        if held:
+        for batch in batches:
+            count = batch.column("tokens").to_numpy()
+            frame = batch.column("frame")
+            length = pa.compute.binary_length(frame).to_numpy().astype(np.int64)
+            ids = batch.column("doc_id")
+            record = np.zeros(batch.num_rows, RECORD)
+            record["doc"], record["null"] = ids.fill_null(0).to_numpy(), ids.is_null().to_numpy(zero_copy_only=False)
+            record["tokens"], record["bytes"] = count, length
+            start = 0
+            while start < batch.num_rows:  # a shard ends with the document that fills it
+                full = np.searchsorted(np.cumsum(count[start:]), SHARD_TOKENS - tokens) + 1
+                end = min(batch.num_rows, start + int(full), start + SHARD_DOCS - docs)
+                own = record[start:end].copy()
+                own["offset"] = size + np.cumsum(length[start:end]) - length[start:end]
+                index.append(own)
+                payload.extend(frame.slice(start, end - start).to_pylist())
+                size, tokens, docs = size + int(length[start:end].sum()), tokens + int(count[start:end].sum()), docs + end - start
+                start = end
+                if tokens >= SHARD_TOKENS or docs >= SHARD_DOCS:
+                    yield flush()
+        if docs:
             yield flush()
 
-    ordered = texts.repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(
-        F.col("doc_id").asc_nulls_first()
-    )
-    small_batches(ordered).mapInArrow(encode, SHARDS).write.option("compression", "none").parquet(f"{path}/shards")
-    totals = spark.read.schema(SHARDS).parquet(f"{path}/shards").groupBy("part").agg(F.sum("n_tokens").alias("n"))
-    running = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row for each part
-    starts = totals.select("part", F.coalesce(F.sum("n").over(running), F.lit(0)).alias("part_start"))
-    starts.coalesce(1).write.parquet(f"{path}/parts")
+    order = [F.col("doc_id").asc_nulls_first(), F.col("mark").asc(), F.xxhash64("frame").asc()]
+    return frames.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(pack, SHARDS)
 
 
 def _shards(spark: SparkSession, path: str) -> tuple[DataFrame, bytes, int, int]:

@@ -128,3 +128,20 @@ def test_over_half_full_bins_stay(spark, encoder):
     rows = [(i, "a " * 2500) for i in range(40)]
     packed = packing.pack(spark.createDataFrame(rows, "doc_id long, text string").repartition(9)).collect()
     assert check_packing(packed, encoder, rows) == 40
+
+
+def test_rows_of_one_id_have_an_order(spark, monkeypatch):
+    monkeypatch.setattr(token_files, "SHARD_TOKENS", 40)
+    monkeypatch.setattr(token_files, "SHARD_DOCS", 7)
+    rows = [(i % 3 if i % 4 else None, f"text {i} " * (i % 9)) for i in range(200)]
+    found = []
+    for parts in (1, 7):
+        path = scratch_path(spark, "test-tokens")
+        token_files.write(spark.createDataFrame(rows, "doc_id long, text string").repartition(parts), path)
+        got = sorted(map(tuple, token_files.digest(token_files.read(spark, path)).collect()), key=lambda r: r[1])
+        assert [r[1] for r in got] == [sum(x[2] for x in got[:i]) for i in range(len(got))]
+        assert [r[0] is None for r in got] == sorted((r[0] is None for r in got), reverse=True)
+        one = token_files.read_documents(spark, path, [2]).collect()
+        assert sorted(r.start for r in one) == [r[1] for r in got if r[0] == 2]
+        found.append(got)
+    assert found[0] == found[1]
