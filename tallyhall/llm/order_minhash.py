@@ -16,7 +16,6 @@ buckets have, which settles groups of near copies with one pair for each member.
 spans several classes, its members are compared across classes in blocks, by an exact lower
 bound of the distance (binned word counts): first the closest pair of each two classes
 is aligned, then, across the classes that remain, every pair that the bound can't exclude.
-Before texts are fetched for alignment, finer bins exclude most of those pairs.
 
 Rows are told apart by numbers of their own, given out once. A class is named by its
 smallest doc_id; rows without an id are documents like others, and a class of such rows
@@ -46,7 +45,7 @@ SKETCHES = 24
 PICKED = 2
 LOOSE, PAIR = 32, 2  # further sketches, and the words of their shingles
 SHORT = 24  # words of the longest text whose candidates are found exactly
-COARSE, FINE = 64, 256  # bins of word counts, for pairs in buckets and before alignment
+BINS = 256  # of word counts
 BLOCK = 1024  # members of a bucket compared at once
 STARS = 2  # rounds in which each text is held against one other
 PAIRS = 1 << 20  # pairs looked at in one step
@@ -263,9 +262,9 @@ def multiset_distance(a: np.ndarray, b: np.ndarray) -> int:
     return max(len(a), len(b)) - common
 
 
-def binned(hashes: np.ndarray, count: int) -> bytes:
-    """Word counts in ``count`` bins, up to 255: differences are never larger than the true ones."""
-    found = np.bincount((hashes >> np.uint64(65 - count.bit_length())).astype(np.int64), minlength=count)
+def binned(hashes: np.ndarray) -> bytes:
+    """Binned word counts, up to 255: differences are never larger than the true ones."""
+    found = np.bincount((hashes >> np.uint64(65 - BINS.bit_length())).astype(np.int64), minlength=BINS)
     return np.minimum(found, 255).astype(np.uint8).tobytes()
 
 
@@ -281,7 +280,7 @@ def limits(n: np.ndarray, m: np.ndarray) -> np.ndarray:
     return longer - np.ceil(SIMILARITY * longer - 1e-9).astype(np.int64)
 
 
-FEATURES = "row long, doc_id long, mark string, digest string, n int, sketch array<long>, coarse binary, fine binary"
+FEATURES = "row long, doc_id long, mark string, digest string, n int, sketch array<long>, bins binary"
 
 
 def features(docs: DataFrame) -> DataFrame:
@@ -298,7 +297,7 @@ def features(docs: DataFrame) -> DataFrame:
         known, row = words(), TaskContext.get().partitionId() << 32
         for whole in batches:
             for batch in slices(whole, "text"):
-                out: dict[str, list] = {"digest": [], "n": [], "sketch": [], "coarse": [], "fine": []}
+                out: dict[str, list] = {"digest": [], "n": [], "sketch": [], "bins": []}
                 found = batch.column("text").to_pylist()
                 hashes = known.of(found)
                 for text, h, keys in zip(found, hashes, all_keys(hashes)):
@@ -306,8 +305,7 @@ def features(docs: DataFrame) -> DataFrame:
                     out["digest"].append(hashlib.blake2b(data, digest_size=16).hexdigest())
                     out["n"].append(len(h))
                     out["sketch"].append(keys)
-                    out["coarse"].append(binned(h, COARSE))
-                    out["fine"].append(binned(h, FINE))
+                    out["bins"].append(binned(h))
                 yield pa.record_batch(
                     {
                         "row": row + np.arange(batch.num_rows, dtype=np.int64),
@@ -316,8 +314,7 @@ def features(docs: DataFrame) -> DataFrame:
                         "digest": pa.array(out["digest"], pa.string()),
                         "n": pa.array(out["n"], pa.int32()),
                         "sketch": pa.array(out["sketch"], pa.list_(pa.int64())),
-                        "coarse": pa.array(out["coarse"], pa.binary()),
-                        "fine": pa.array(out["fine"], pa.binary()),
+                        "bins": pa.array(out["bins"], pa.binary()),
                     }
                 )
                 row += batch.num_rows
@@ -331,21 +328,21 @@ def _lengths_fit(n: str, m: str):
     return F.least(n, m) >= F.ceil(F.greatest(n, m) * F.lit(SIMILARITY) - F.lit(1e-9))
 
 
-def _matrix(column: pa.Array, width: int) -> np.ndarray:
-    return flat(column)[0].reshape(-1, width)
+def _matrix(column: pa.Array) -> np.ndarray:
+    return flat(column)[0].reshape(-1, BINS)
 
 
 def near_by_bins(pairs: DataFrame, reps: DataFrame) -> DataFrame:
-    """Pairs ``a, b`` that finely binned word counts can't exclude."""
-    side = reps.select("id", "n", "fine")
-    both = pairs.join(side.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("fine").alias("xa")), "a").join(
-        side.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("fine").alias("xb")), "b"
+    """Pairs ``a, b`` that word counts can't exclude."""
+    side = reps.select("id", "n", "bins")
+    both = pairs.join(side.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("bins").alias("xa")), "a").join(
+        side.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("bins").alias("xb")), "b"
     )
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                x, y = (_matrix(batch.column(c), FINE) for c in ("xa", "xb"))
+                x, y = (_matrix(batch.column(c)) for c in ("xa", "xb"))
                 mask = apart(x, y) <= limits(batch.column("na").to_numpy(), batch.column("nb").to_numpy())
                 yield pa.record_batch({c: batch.column(c) for c in ("a", "b")}).filter(pa.array(mask))
 
@@ -411,7 +408,7 @@ def nearest(found: list[np.ndarray]) -> np.ndarray:
 def across_classes(members: DataFrame, closest: bool) -> DataFrame:
     """Pairs of unlike classes within a bucket that word counts can't exclude.
 
-    ``members``: ``key, size`` of the bucket, ``id, n, coarse, label, first`` of the member. A
+    ``members``: ``key, size`` of the bucket, ``id, n, bins, label, first`` of the member. A
     bucket of more than BLOCK members is dealt into blocks, and pairs of blocks are groups of
     their own. With ``closest``, of each two classes only the pair with the smallest bound
     is given, whichever buckets they share. A member's pair with its ``first`` has been tried before.
@@ -428,7 +425,7 @@ def across_classes(members: DataFrame, closest: bool) -> DataFrame:
         columns = {c: table.column(c).to_numpy() for c in ("key", "low", "high", "own", "id", "label", "n")}
         id_, label, n, own = (columns[c] for c in ("id", "label", "n", "own"))
         first = table.column("first").fill_null(-1).to_numpy()
-        bins = _matrix(table.column("coarse").combine_chunks(), COARSE)
+        bins = _matrix(table.column("bins").combine_chunks())
         change = np.flatnonzero(np.any([np.diff(columns[c]) != 0 for c in ("key", "low", "high")], axis=0)) + 1
         cuts = np.concatenate([change, [len(id_)]])
         ends = cuts[np.searchsorted(cuts, np.arange(len(id_)), "right")]
@@ -476,7 +473,7 @@ def across_classes(members: DataFrame, closest: bool) -> DataFrame:
             yield from compare(pa.Table.from_batches(left))
 
     group = ["key", "low", "high"]
-    together = dealt.select(*group, "own", "id", "n", "coarse", "label", "first").repartition(*group).sortWithinPartitions(*group)
+    together = dealt.select(*group, "own", "id", "n", "bins", "label", "first").repartition(*group).sortWithinPartitions(*group)
     found = together.mapInArrow(work, "a long, b long, one long, two long, apart long")
     if not closest:
         return found.select("a", "b").distinct()
@@ -521,7 +518,7 @@ def _classed(docs: DataFrame) -> DataFrame:
     """``row, doc_id, mark, class`` of every row; a class is the number of one of its rows."""
     docs = docs.select("doc_id", "text")
     every = materialise(features(docs), "order-minhash")
-    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row", "mark", "n", "sketch", "coarse", "fine")
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row", "mark", "n", "sketch", "bins")
     first = every.groupBy("digest").agg(F.min(order).alias("r"))
     reps = materialise(first.select("digest", F.col("r.row").alias("id"), "r.*").drop("row", "unnamed"), "reps")
     keys = reps.select("id", "n", F.explode("sketch").alias("key"))
@@ -538,14 +535,14 @@ def _classed(docs: DataFrame) -> DataFrame:
     # Buckets that still hold several classes: first the closest pair of each two classes,
     # which joins what belongs together, then every pair across what is left.
     first = first.groupBy("id").agg(F.min("first").alias("first"))
-    counts = reps.select("id", "coarse").join(first, "id", "left")
+    counts = reps.select("id", "bins").join(first, "id", "left")
     for closest in (True, False):
         labelled = _labelled(members, found)
         spread_ = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
         still = spread_.filter("lo <> hi").select("key")
         rest = labelled.join(still, "key", "left_semi").join(counts, "id")
         pairs = across_classes(rest, closest).join(tried, ["a", "b"], "left_anti")
-        pairs = materialise(near_by_bins(pairs, reps), "across")
+        pairs = materialise(pairs, "across")
         tried = tried.unionByName(pairs)
         found = _joined(found, aligned(pairs, reps, docs))
     named = reps.select("digest", "id").join(found, "id", "left")
