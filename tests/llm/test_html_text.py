@@ -1,5 +1,10 @@
 """Main text of pages."""
 
+import html
+import re
+import time
+
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 from tallyhall.llm import html_text
@@ -8,7 +13,7 @@ LONG = "This paragraph is long enough to look like the text of an article, and i
 
 
 @pytest.mark.parametrize(
-    ("html", "want"),
+    ("page", "want"),
     [
         (None, ""),
         ("", ""),
@@ -23,8 +28,8 @@ LONG = "This paragraph is long enough to look like the text of an article, and i
         (f"<main>\n <p>{LONG}</p>\n<ul><li>one<li>two</ul><div class='ad'>buy</div></main>", f"{LONG} one two"),
     ],
 )
-def test_pages(html, want):
-    assert html_text.main_text(html) == want
+def test_pages(page, want):
+    assert html_text.main_text(page) == want
 
 
 def test_chunks_do_not_matter(monkeypatch):
@@ -61,3 +66,42 @@ def test_sections_without_article():
     deep = f"<div><section><div>{long}</div></section><div><div>{short}</div><section>x</section></div></div>"
     assert html_text.main_text(deep) == f"{long} {short} x"
     assert html_text.main_text(f"{long}<div>{short}</div>") == f"{long} {short}"
+
+
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        (f"<nav>menu</nav><article class='social-policy'><h1>T</h1><p>{LONG}</p></article><p>stray</p>", f"T {LONG}"),
+        (f"<article class='comment-free'><p>{LONG}</p></article>", LONG),
+        (f"<header>h</header><main id='widget-review'><p>{LONG}</p></main>", LONG),
+        (f"<div class='sidebar-less'><p>{LONG}</p></div><footer>f</footer>", LONG),
+        (f"<article><p>{LONG} {LONG}</p></article><div>x</div><article><p>Short one.</p></article>", f"{LONG} {LONG} Short one."),
+        (f"<article><p>{LONG}</p></article><article><a href=x>teaser of links</a></article>", LONG),
+        (f"<article><p>{LONG}</p></article><div id=comments><article class=comment><p>{LONG} {LONG}</p></article></div>", LONG),
+        ("<p>one<br>two<hr>three<wbr>four</p>", "one two threefour"),
+        ("<div class=menu><a href=x>only links here</a></div>", ""),
+    ],
+)
+def test_marks_yield_to_text(page, want):
+    assert html_text.main_text(page) == want
+
+
+@pytest.mark.parametrize("part", ["<div>x", "<p><b>x", "<div></i>x", "<li>x", "<article>x", "<div class=ad>x", "<option>x<div>"])
+def test_a_megabyte_of_unclosed_tags(part):
+    start = time.process_time()
+    html_text.main_text(part * (1_000_000 // len(part)))
+    assert time.process_time() - start < 30
+
+
+def test_every_page_gives_its_article():
+    """The driver's pages hold one article each: its text without markup, found by patterns."""
+    blocks = "article|h[1-6]|p|div|ul|ol|li|table|tr|td|th|section|blockquote|pre|br|figure|figcaption"
+    pages = pq.read_table("/root/testdata/sf0.01/pages.parquet").column("html").to_pylist()
+    held = [h for h in pages if h and h.count("<article") == 1]
+    assert len(held) > 0.9 * len(pages)
+    for h in held:
+        body = re.search(r"<article[^>]*>(.*?)(</article>|$)", h, re.S)[1]
+        body = re.sub(r"<!--.*?-->|<(script|style|aside|form|nav)\b.*?</\1>", " ", body, flags=re.S)
+        body = re.sub(rf"</?({blocks})\b[^>]*>", " ", body)
+        want = " ".join(html.unescape(re.sub(r"<[^>]*>", "", body)).split())
+        assert html_text.main_text(h) == want
