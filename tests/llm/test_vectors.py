@@ -1,6 +1,7 @@
 """Cover-tree links and exact top-k against all pairs."""
 
 import math
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -67,11 +68,11 @@ def test_tree_holds_points_within_radii():
 
 def plain_top(rows, k):
     scaled = {}
-    good = [(i, [math.floor(1024 * x) for x in v]) for i, v in rows if v and i is not None and all(x is not None and math.isfinite(x) for x in v)]
-    good = [(i, v) for i, v in good if all(abs(x) < 1 << 27 for x in v)]
+    good = [(i, [math.floor(Fraction(x) * 1024) for x in v]) for i, v in rows if v and i is not None and all(x is not None and math.isfinite(x) for x in v)]
     for i, q in good:
         if i % 100 == 0:
-            all_ = [(-sum(a * b for a, b in zip(q, v)), j) for j, v in good if j != i and len(v) == len(q)]
+            held = lambda x: max(-(1 << 63), min((1 << 63) - 1, x))
+            all_ = [(-held(sum(a * b for a, b in zip(q, v))), j) for j, v in good if j != i and len(v) == len(q)]
             scaled[i] = [(j, -s) for s, j in sorted(all_)[:k]]
     return scaled
 
@@ -93,3 +94,15 @@ def test_top_k_of_few_and_repeated(spark):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
     found = topk.top_k(df, df.filter("vec_id = 100").limit(1)).orderBy("rank").collect()
     assert [r.vec_id for r in found] == [7, 7, 9] and found[0].score == 1024 * 1024
+
+
+@pytest.mark.parametrize("shard", [2, 4096])
+def test_large_components_are_scored(spark, monkeypatch, shard):
+    monkeypatch.setattr(topk, "SHARD", shard)
+    rows = [(0, [1.0, 0.0]), (1, [200000.0, 0.0]), (2, [1.0, 1.0]), (100, [-3e8, 1e5]), (101, [1e300, -1e300]), (3, [131072.0, 0.5])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = {}
+    for r in topk.top_k(df, df.filter("vec_id % 100 = 0")).orderBy("query_id", "rank").collect():
+        found.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    assert found == plain_top(rows, 10)
+    assert dict(found[0])[1] == 209_715_200_000
