@@ -30,39 +30,46 @@ SCALE = 1024
 STEP = 32
 SHARD = 4096
 QUERIES = 1024  # queries that meet a shard at once
-LEGS = (0.15, 0.35, 0.6, 0.8, 0.92, 1.0)  # shares of the postings after which bounds are tried
+LEGS = (0.9, 1.0)  # shares of the postings after which bounds are tried
 LARGE = 1 << 27  # scaled components up to which sums of products of 512 dimensions fit a long
 LIMIT = (1 << 63) - 1
 FEW = 16  # a leg is the last if at most one in so many candidates is left
 
 
 class Index:
-    """Postings of a shard, by dimension and quantised impact."""
+    """Segments of a shard: the candidates with one quantised impact in one dimension.
+
+    A candidate is in one segment of each dimension; ``segment`` holds its row of them, so the
+    segments that a leg has processed are added up for the candidates still in question only.
+    """
 
     def __init__(self, ids: np.ndarray, values: np.ndarray):
         self.ids, self.values = ids, values
         n, d = values.shape
-        dims, starts, ends, lows, highs, postings = [], [], [], [], [], []
+        self.segment = np.empty((n, d), np.int32)
+        dims, lows, highs, sizes, count = [], [], [], [], 0
         for dim in range(d):
             column = values[:, dim]
-            level = column // STEP
-            order = np.argsort(-level, kind="stable")
-            cuts = np.flatnonzero(np.diff(level[order])) + 1
-            first, last = np.concatenate([[0], cuts]), np.concatenate([cuts, [n]])
-            sorted_ = column[order]
-            dims.append(np.full(len(first), dim))
-            starts.append(first + dim * n)
-            ends.append(last + dim * n)
-            lows.append(np.minimum.reduceat(sorted_, first))
-            highs.append(np.maximum.reduceat(sorted_, first))
-            postings.append(order)
-        self.dims, self.starts, self.ends = (np.concatenate(x) for x in (dims, starts, ends))
+            level, own = np.unique(column // STEP, return_inverse=True)
+            self.segment[:, dim] = count + own
+            low, high = np.full(len(level), np.iinfo(np.int64).max), np.full(len(level), np.iinfo(np.int64).min)
+            np.minimum.at(low, own, column)
+            np.maximum.at(high, own, column)
+            dims.append(np.full(len(level), dim))
+            lows.append(low)
+            highs.append(high)
+            sizes.append(np.bincount(own, minlength=len(level)))
+            count += len(level)
+        self.dims, self.sizes = np.concatenate(dims), np.concatenate(sizes)
         self.lows, self.highs = np.concatenate(lows).astype(np.float64), np.concatenate(highs).astype(np.float64)
-        self.postings = np.concatenate(postings)
-        self.sizes = self.ends - self.starts
 
     def search(self, query_id: int, query: np.ndarray, k: int, floor: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """The best ``k`` ids and scores, by score, then id; none need be below ``floor``."""
+        """The best ``k`` ids and scores, by score, then id; none need be below ``floor``.
+
+        Segments count in the order of what they can gain over the least of their dimension.
+        Of a processed one a candidate's part is known up to the width of a step; of the
+        others it gains at most what the best unprocessed segment of the dimension can.
+        """
         n, d = self.values.shape
         weight = query[self.dims].astype(np.float64)
         one, two = weight * self.lows, weight * self.highs
@@ -73,34 +80,25 @@ class Index:
         order = np.argsort(-gain, kind="stable")
         done = np.cumsum(self.sizes[order])
         slack = 1.0 + 1e-9 * float(np.abs(gain).max(initial=0.0)) * d
-        known, spread = np.zeros(n), np.zeros(n)
-        seen = np.zeros((n, d), np.float32)
-        own = self.ids == query_id
-        left, begin = np.flatnonzero(~own), 0
+        left = np.flatnonzero(self.ids != query_id)
         for share in LEGS:
             end = len(order) if share == 1.0 else int(np.searchsorted(done, share * done[-1]))
-            part = order[begin:end]
-            if len(part):
-                sizes = self.sizes[part]
-                at = np.arange(sizes.sum()) + np.repeat(self.starts[part] - np.cumsum(sizes) + sizes, sizes)
-                who = self.postings[at]
-                known += np.bincount(who, np.repeat(sure[part], sizes), n)
-                spread += np.bincount(who, np.repeat(gain[part] - sure[part], sizes), n)
-                seen[who, np.repeat(self.dims[part], sizes)] = 1.0
-            begin = end
             rest = np.zeros(d)
             np.maximum.at(rest, self.dims[order[end:]], gain[order[end:]])
-            if len(left) <= k and floor is None:
+            least, most = np.zeros(len(gain)), rest[self.dims]
+            least[order[:end]], most[order[:end]] = sure[order[:end]], gain[order[:end]]
+            if not len(left) or len(left) <= k and floor is None:
                 break
-            upper = known[left] + spread[left] + (rest.sum() - seen[left] @ rest) + slack
-            least = -np.inf if floor is None else floor - base.sum()
+            own = self.segment[left]
+            known, upper = least[own].sum(axis=1), most[own].sum(axis=1) + slack
+            bar = -np.inf if floor is None else floor - base.sum()
             if len(left) > k:
-                least = max(least, np.partition(known[left], len(left) - k)[len(left) - k])
-            left = left[upper >= least]
+                bar = max(bar, np.partition(known, len(left) - k)[len(left) - k])
+            left = left[upper >= bar]
             if len(left) * FEW <= n:
                 break
         scores = self.values[left] @ query
-        best = np.lexsort((self.ids[left], -scores))[:k]
+        best = np.lexsort((self.ids[left], ~scores))[:k]
         return self.ids[left][best], scores[best]
 
 
