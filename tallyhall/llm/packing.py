@@ -27,7 +27,7 @@ CAPACITY = 4096
 SLACK = 4  # a bin with no more room than this is closed
 FAN_IN = 8  # tasks whose open bins meet in one task of the next round
 MAX_ITEMS = 1 << 18  # items a task packs at once
-MIN_GAIN = 0.01  # rounds end when they save less than this share of the open bins
+MIN_GAIN = 0.01  # where one task can't hold all open bins, rounds end below this share saved
 
 PLACED = (
     "doc_id long, piece int, start long, length long, ids_crc32 long, bin long, offset long, fill int, open boolean"
@@ -153,14 +153,20 @@ def merge_round(open_bins: DataFrame, round_: int, capacity: int, slack: int) ->
 def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, slack: int = SLACK) -> DataFrame:
     """Every piece of every document with its sequence and its place there.
 
-    Rounds stop when one task has seen all open bins, or when a round merges almost none
-    of them (say, all are over half full): further rounds could then not save sequences.
+    A round carries the bins that some other open bin still fits into. Rounds go on until
+    one task has seen them all; only where there are more than a task may hold do they end
+    with a round that merges almost none of them.
     """
     placed = materialise(pieces_of(docs, tokenizer, capacity, slack), "pack-pieces")
     open_bins = placed.filter("open and offset = 0").select("bin", "fill")
-    count, tasks, round_ = open_bins.count(), open_bins.rdd.getNumPartitions(), 1
+    tasks, round_ = open_bins.rdd.getNumPartitions(), 1
     levels: list[DataFrame] = []
-    while count > 1:
+    while True:
+        least = open_bins.agg(F.min("fill")).first()[0] or 0
+        open_bins = open_bins.filter(F.col("fill") <= capacity - least)
+        count = open_bins.count()
+        if count < 2:
+            break
         round_ += 1
         tasks = max(1, -(-tasks // FAN_IN), -(-count // MAX_ITEMS))
         dealt = open_bins.repartition(tasks, F.xxhash64("bin", F.lit(round_)))
@@ -168,9 +174,8 @@ def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY
         levels.append(merged)
         open_bins = merged.filter("open and first").select(F.col("parent").alias("bin"), "fill")
         bins_now = merged.filter("first").count()
-        if tasks == 1 or count - bins_now < MIN_GAIN * count:
+        if tasks == 1 or tasks == -(-count // MAX_ITEMS) and count - bins_now < MIN_GAIN * count:
             break
-        count = open_bins.count()
     if not levels:
         found = placed.withColumns({"sequence_id": F.col("bin")})
         return found.select(*OUT)

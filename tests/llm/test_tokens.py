@@ -145,3 +145,10 @@ def test_rows_of_one_id_have_an_order(spark, monkeypatch):
         assert sorted(r.start for r in one) == [r[1] for r in got if r[0] == 2]
         found.append(got)
     assert found[0] == found[1]
+
+
+def test_few_leftovers_find_room_in_the_last_round(spark, encoder):
+    """Ninety bins of which only three small ones fit anywhere: rounds go on until they have met."""
+    rows = [(i, "a " * (1000 if i in (10, 45, 80) else 3000)) for i in range(90)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartitionByRange(90, "doc_id")
+    assert check_packing(packing.pack(df).collect(), encoder, rows) == 87
