@@ -115,6 +115,27 @@ def test_stream_merge_is_idempotent_and_adds_up(spark, tmp_path):
         assert {r.k: r.total for r in out.collect()} == {"a": 13, "b": 5, "c": 7}
 
 
+def test_many_batches_open_few_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(usage_stream, "EVERY", 4)
+    landed, schema, path = str(tmp_path / "landed"), "k string, v int", str(tmp_path / "merged")
+    for i in range(11):
+        spark.createDataFrame([(f"k{i % 3}", i), ("all", 1)], schema).coalesce(1).write.parquet(f"{landed}/{i}")
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+    stream = reader.option("recursiveFileLookup", "true").parquet(landed)
+    want = {"all": 11, **{f"k{r}": sum(range(r, 11, 3)) for r in range(3)}}
+    out = usage_stream.merge_stream(stream, ["k"], {"total": "v"}, path)
+    assert {r.k: r.total for r in out.collect()} == want
+    assert len({f.rsplit("/", 2)[1] for f in out.inputFiles()}) <= 1 + 3
+    kinds = spark.read.parquet(f"{path}/data/batch=0").schema
+    write = usage_stream._writer(path, kinds, lambda rows: rows.groupBy("k").agg(F.sum("total").alias("total"), F.max("batch").alias("batch")))
+    again = spark.createDataFrame(spark.read.parquet(f"{path}/data/batch=7").collect(), kinds)
+    write(again, 7)  # the batch whose turn the last compaction was runs again
+    out = usage_stream.merge_stream(stream, ["k"], {"total": "v"}, path)
+    assert {r.k: r.total for r in out.collect()} == want
+    (tmp_path / "merged/base/upto=99").mkdir()  # a compaction that was cut short
+    assert usage_stream.stored(spark, path, kinds).agg(F.sum("total")).first()[0] == sum(want.values())
+
+
 def test_late_rows_are_dropped(spark, tmp_path):
     landed = str(tmp_path / "events")
     schema = "ts timestamp, k string, v int"
