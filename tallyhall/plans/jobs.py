@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+from itertools import islice
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,7 +12,7 @@ from tallyhall.functions import geometry as geo
 from tallyhall.operators import clean, hierarchy, spatial, tables
 from tallyhall.sources import readers
 
-MAX_LISTED = 200_000  # catalogued files that one read names; beyond, the folder is joined
+MAX_LISTED = 200_000  # catalogued files that one read names
 
 ORGANISATION = (
     "webAgencyCd string, legalTitl string, allBudgetYearDols double, displayOnWebFlg string"
@@ -28,6 +31,12 @@ def budget_tables(
     )
 
 
+def _chunks(values: Iterable[str], size: int) -> Iterator[list[str]]:
+    values = iter(values)
+    while chunk := list(islice(values, size)):
+        yield chunk
+
+
 def ingest_tiles(
     spark: SparkSession,
     catalogue: str,
@@ -40,25 +49,19 @@ def ingest_tiles(
     """Features of the files a catalogue lists for a location, where their tile meets a mask.
 
     Exactly the listed files are opened, so a tile that two locations share gives only this
-    one's features, no other file is read, and a listed file that is absent is an error.
-    The list is one row for each file and its size is checked; a longer one is joined to
-    the files' own paths instead.
+    one's features, no other file is read, and a listed file that is absent is an error. A
+    read names at most MAX_LISTED files; a longer list is read in as many reads as it takes.
     """
     touching = spatial.tiles_touching(masks, zoom).select("quadkey")
     links = readers.csv_catalogue(spark, catalogue).filter(F.col("Location") == location)
     listed = links.select(F.col("QuadKey").alias("quadkey"), F.col("Url").alias("url"))
     wanted = listed.join(touching, "quadkey", "left_semi").select("url").distinct()
-    urls = [r["url"] for r in wanted.limit(MAX_LISTED + 1).collect()]
-    kind = "location string, quadkey string"
-    if len(urls) <= MAX_LISTED:
-        found = readers.geojson_seq(
-            spark, urls or features, properties, strict=False, partition=kind, base=features
-        )
-        found = found if urls else found.limit(0)
-    else:
-        found = readers.geojson_seq(spark, features, properties, strict=False, partition=kind)
-        folder = F.concat_ws("/", F.lit(features), F.concat(F.lit("location="), "location"), F.concat(F.lit("quadkey="), "quadkey"))
-        found = found.join(wanted, folder == F.col("url"), "left_semi")
+    kind, found = "location string, quadkey string", None
+    for urls in _chunks((r["url"] for r in wanted.toLocalIterator()), MAX_LISTED):
+        part = readers.geojson_seq(spark, urls, properties, strict=False, partition=kind, base=features)
+        found = part if found is None else found.unionByName(part)
+    if found is None:
+        found = readers.geojson_seq(spark, features, properties, strict=False, partition=kind).limit(0)
     return found.drop("location")
 
 

@@ -6,6 +6,8 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from tallyhall.plans import jobs, queries
+from tallyhall.session import scratch_path
 from tallyhall.sources import readers
 from tallyhall.streaming import usage_stream
 
@@ -153,3 +155,19 @@ def test_late_rows_are_dropped(spark, tmp_path):
         out = usage_stream.run_totals(daily, ["k", "usage_date"], str(tmp_path / "totals"))
         got = {(str(r.usage_date), r.v) for r in out.collect()}
         assert got == {("2024-01-01", 1), ("2024-01-05", 5), ("2024-01-09", 4)}
+
+
+def test_tile_lists_of_any_length(spark, monkeypatch):
+    sf = "/root/testdata/sf0.001"
+    whole = sorted(map(tuple, queries.ingest_tiles(spark, sf).collect()))
+    monkeypatch.setattr(jobs, "MAX_LISTED", 2)
+    assert sorted(map(tuple, queries.ingest_tiles(spark, sf).collect())) == whole and len(whole) > 10
+    links, features = queries._tile_files(spark, sf)
+    listed = readers.csv_catalogue(spark, links).filter("Location = 'UnitedStates'")
+    wrong = scratch_path(spark, "links")
+    listed.withColumn("Url", F.concat("Url", F.lit("0"))).write.csv(wrong, header=True)
+    masks = queries.centred_shapes(spark, sf, "place_boxes")
+    for most in (2, 1000):
+        monkeypatch.setattr(jobs, "MAX_LISTED", most)
+        with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+            jobs.ingest_tiles(spark, wrong, features, masks, "UnitedStates", "height double", queries.LANDED_ZOOM).collect()
