@@ -24,6 +24,15 @@ def _small(links: DataFrame) -> DataFrame:
     return moved.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
 
 
+def _settled(links: DataFrame) -> bool:
+    """Whether every node points to one smaller node that points to none: stars, nothing to do."""
+    ends = links.select(F.col("a").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        links.select(F.col("b").alias("x"), F.lit(0).alias("up"), F.lit(1).alias("down"))
+    )
+    nodes = ends.groupBy("x").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return nodes.filter("up > 1 or up > 0 and down > 0").isEmpty()
+
+
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """``id, component`` of every node with a link; a component is its smallest id.
 
@@ -33,13 +42,10 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     pairs = links.select(F.col(a).cast("long").alias("a"), F.col(b).cast("long").alias("b"))
     pairs = pairs.filter("a is not null and b is not null and a <> b")
     pairs = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    now, seen = materialise(pairs, "links"), None
+    now = materialise(pairs, "links")
     for _ in range(MAX_ROUNDS):
-        state = now.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h"))
-        found = state.first()
-        if found["n"] == 0 or found == seen:
+        if _settled(now):
             break
-        seen = found
         now = materialise(_small(_large(now)), "stars")
     else:
         raise RuntimeError("components did not settle")
