@@ -14,8 +14,8 @@ distance of their words, found in a band as wide as allowed, is at most 1 -
 Candidates never meet all with all. First everyone is held against the hub that most of its
 buckets have, which settles groups of near copies with one pair for each member. Where a bucket still
 spans several classes, its members are compared across classes in blocks, by an exact lower
-bound of the distance (binned word counts): first the closest pair of each two classes
-is aligned, then, across the classes that remain, every pair that the bound can't exclude.
+bound of the distance (binned word counts): in a few rounds the closest pair of each class is
+aligned, then, across the classes that remain, every pair that the bound can't exclude.
 
 Rows are told apart by numbers of their own, given out once. A class is named by its
 smallest doc_id; rows without an id are documents like others, and a class of such rows
@@ -47,8 +47,9 @@ LOOSE, PAIR = 32, 2  # further sketches, and the words of their shingles
 SHORT = 24  # words of the longest text whose candidates are found exactly
 BINS = 256  # of word counts
 BLOCK = 1024  # members of a bucket compared at once
-STARS = 2  # rounds in which each text is held against one other
+STARS, NEAREST = 1, 2  # rounds in which each text is held against one other, then each class
 PAIRS = 1 << 20  # pairs looked at in one step
+CELLS = 1 << 26  # bits that tell which texts are fetched for alignment: 8 MB
 LEAST = 4  # words of the shortest text that may differ from a similar one
 MIX = np.uint64(0x9E3779B97F4A7C15)
 MASK = 0xFFFFFFFFFFFFFFFF
@@ -349,22 +350,42 @@ def near_by_bins(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     return both.mapInArrow(keep, "a long, b long")
 
 
+def mark_bits(wanted: DataFrame) -> np.ndarray:
+    """A bit for each cell that the mark of a wanted text falls into: CELLS bits, however many there are.
+
+    Only texts whose bit is set leave their partition; where most cells are taken, more do.
+    """
+    cell = F.pmod(F.xxhash64("mark"), F.lit(CELLS)) + 1  # the functions count from one
+    numbered = wanted.select(cell.alias("c")).selectExpr("bitmap_bucket_number(c) as bucket", "bitmap_bit_position(c) as place")
+    out = np.zeros(CELLS // 8, np.uint8)
+    for r in numbered.groupBy("bucket").agg(F.expr("bitmap_construct_agg(place)").alias("bits")).collect():
+        own = np.frombuffer(r["bits"], np.uint8)
+        out[(r["bucket"] - 1) * len(own) : r["bucket"] * len(own)] = own
+    return out
+
+
 def aligned(pairs: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
     """Pairs ``a, b`` whose texts are similar. Texts are fetched for the ids in pairs only."""
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     wanted = materialise(ids.join(reps.select("id", "doc_id", "mark"), "id"), "aligned-ids")
+    bits = docs.sparkSession.sparkContext.broadcast(mark_bits(wanted))
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    texts = docs.select(F.col("doc_id").cast("long").alias("_doc"), text.alias("text"), F.md5(text.cast("binary")).alias("mark"))
-    texts = texts.join(wanted, (texts["mark"] == wanted["mark"]) & F.col("_doc").eqNullSafe(F.col("doc_id"))).select("id", "text")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc"), text.alias("text"), F.md5(text.cast("binary")).alias("own_mark"))
+    texts = texts.withColumn("cell", F.pmod(F.xxhash64("own_mark"), F.lit(CELLS)))
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = words()
+        known, held = words(), bits.value
         for whole in batches:
-            for batch in slices(whole, "text"):
+            cell = whole.column("cell").to_numpy()
+            hit = whole.filter(pa.array((held[cell >> 3] >> (cell & 7).astype(np.uint8)) & 1 == 1))
+            for batch in slices(hit, "text"):
                 found = [(h >> np.uint64(32)).astype("<u4").tobytes() for h in known.of(batch.column("text").to_pylist())]
-                yield pa.record_batch({"id": batch.column("id"), "words": pa.array(found, pa.binary())})
+                columns = {c: batch.column(c) for c in ("doc", "own_mark")}
+                yield pa.record_batch({**columns, "words": pa.array(found, pa.binary())})
 
-    found = small_batches(texts).mapInArrow(split, "id long, words binary").groupBy("id").agg(F.first("words").alias("words"))
+    split_texts = small_batches(texts).mapInArrow(split, "doc long, own_mark string, words binary")
+    same = (split_texts["own_mark"] == wanted["mark"]) & F.col("doc").eqNullSafe(F.col("doc_id"))
+    found = split_texts.join(wanted, same).groupBy("id").agg(F.first("words").alias("words"))
     side = materialise(found, "aligned-words")
     both = pairs.join(side.select(F.col("id").alias("a"), F.col("words").alias("wa")), "a").join(
         side.select(F.col("id").alias("b"), F.col("words").alias("wb")), "b"
@@ -397,11 +418,12 @@ def within_groups(ends: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 
 def nearest(found: list[np.ndarray]) -> np.ndarray:
-    """Of columns ``a, b, one, two, apart`` the nearest pair of each two classes."""
+    """Of columns ``a, b, one, two, apart`` the nearest pair of each class, named in ``one``."""
     all_ = np.concatenate(found, axis=1)
-    all_ = all_[:, np.lexsort((all_[1], all_[0], all_[4], all_[3], all_[2]))]
+    all_ = np.concatenate([all_, all_[[0, 1, 3, 2, 4]]], axis=1)
+    all_ = all_[:, np.lexsort((all_[1], all_[0], all_[4], all_[2]))]
     top = np.ones(all_.shape[1], bool)
-    top[1:] = (all_[2, 1:] != all_[2, :-1]) | (all_[3, 1:] != all_[3, :-1])
+    top[1:] = all_[2, 1:] != all_[2, :-1]
     return all_[:, top]
 
 
@@ -410,8 +432,8 @@ def across_classes(members: DataFrame, closest: bool) -> DataFrame:
 
     ``members``: ``key, size`` of the bucket, ``id, n, bins, label, first`` of the member. A
     bucket of more than BLOCK members is dealt into blocks, and pairs of blocks are groups of
-    their own. With ``closest``, of each two classes only the pair with the smallest bound
-    is given, whichever buckets they share. A member's pair with its ``first`` has been tried before.
+    their own. With ``closest``, of each class only the pair with the smallest bound to any
+    other is given, whichever buckets they share. A member's pair with its ``first`` has been tried before.
     """
     blocks = F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")
     dealt = members.withColumn("own", F.pmod(F.xxhash64("id"), blocks).cast("int"))
@@ -447,7 +469,7 @@ def across_classes(members: DataFrame, closest: bool) -> DataFrame:
                 size += len(x)
             if closest and size > PAIRS:
                 found = [nearest(found)]
-                size = found[0].shape[1]
+                size = 0
             elif size > PAIRS:
                 yield pa.record_batch(dict(zip(names, np.concatenate(found, axis=1))))
                 found, size = [], 0
@@ -477,8 +499,8 @@ def across_classes(members: DataFrame, closest: bool) -> DataFrame:
     found = together.mapInArrow(work, "a long, b long, one long, two long, apart long")
     if not closest:
         return found.select("a", "b").distinct()
-    best = found.groupBy("one", "two").agg(F.min(F.struct("apart", "a", "b")).alias("r"))
-    return best.select("r.a", "r.b")
+    best = found.groupBy("one").agg(F.min(F.struct("apart", "a", "b")).alias("r"))
+    return best.select("r.a", "r.b").distinct()
 
 
 def _labelled(members: DataFrame, found: DataFrame | None) -> DataFrame:
@@ -532,11 +554,11 @@ def _classed(docs: DataFrame) -> DataFrame:
         first = stars.select(F.col("b").alias("id"), F.col("a").alias("first")) if first is None else first
         tried = stars if tried is None else tried.unionByName(stars)
         found = _joined(found, aligned(stars, reps, docs))
-    # Buckets that still hold several classes: first the closest pair of each two classes,
-    # which joins what belongs together, then every pair across what is left.
+    # Buckets that still hold several classes: first the closest pair of each class, a few
+    # times, which joins what belongs together, then every pair across what is left.
     first = first.groupBy("id").agg(F.min("first").alias("first"))
     counts = reps.select("id", "bins").join(first, "id", "left")
-    for closest in (True, False):
+    for closest in [*[True] * NEAREST, False]:
         labelled = _labelled(members, found)
         spread_ = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
         still = spread_.filter("lo <> hi").select("key")
