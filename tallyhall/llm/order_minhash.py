@@ -14,8 +14,10 @@ distance of their words, found in a band as wide as allowed, is at most 1 -
 Candidates never meet all with all. First everyone is held against the hub that most of its
 buckets have, which settles groups of near copies with one pair for each member. Where a bucket still
 spans several classes, its members are compared across classes in blocks, by an exact lower
-bound of the distance (binned word counts): in a few rounds the closest pair of each class is
-aligned, then, across the classes that remain, every pair that the bound can't exclude.
+bound of the distance (binned word counts): first the closest pair of each class is aligned,
+then its closest few, then, across the classes that remain, every pair that the bound can't
+exclude. Classes without such a pair take no part in later rounds, as none can come up. Words
+travel only for pairs that a second exact bound leaves, binned counts of two words in a row.
 
 Rows are told apart by numbers of their own, given out once. A class is named by its
 smallest doc_id; rows without an id are documents like others, and a class of such rows
@@ -31,7 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyhall.llm.common import fresh, materialise, process_state, slices, small_batches
@@ -47,8 +49,10 @@ LOOSE, PAIR = 32, 2  # further sketches, and the words of their shingles
 SHORT = 24  # words of the longest text whose candidates are found exactly
 BINS = 256  # of word counts
 BLOCK = 1024  # members of a bucket compared at once
-STARS, NEAREST = 1, 2  # rounds in which each text is held against one other, then each class
-PAIRS = 1 << 20  # pairs looked at in one step
+NEAREST = 1, 32  # pairs that each class tries in the rounds before all are tried
+GRAMS = 6, 14  # powers of two: the fewest and most bins of a text's runs of two words
+PAIRS = 1 << 20  # pairs kept before they are handed on or thinned out
+STEP = 1 << 18  # pairs looked at in one step
 CELLS = 1 << 26  # bits that tell which texts are fetched for alignment: 8 MB
 LEAST = 4  # words of the shortest text that may differ from a similar one
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -275,6 +279,24 @@ def apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.maximum(np.maximum(d, 0).sum(axis=1, dtype=np.int32), np.maximum(-d, 0).sum(axis=1, dtype=np.int32))
 
 
+def grams(hashes: np.ndarray) -> bytes:
+    """Binned counts, up to 255, of the runs of two words: about as many bins as words."""
+    power = min(max(GRAMS[0], len(hashes).bit_length()), GRAMS[1])
+    runs = mixed(hashes[:-1] * np.uint64(0xD6E8FEB86659FD93) + hashes[1:])
+    found = np.bincount((runs >> np.uint64(64 - power)).astype(np.int64), minlength=1 << power)
+    return np.minimum(found, 255).astype(np.uint8).tobytes()
+
+
+def grams_fit(x: np.ndarray, y: np.ndarray, limit: int) -> bool:
+    """Whether :func:`grams` leave room for ``limit`` edits: each takes or brings two runs at most.
+
+    Bins go by the leading bits, so sums of neighbours are the bins of a smaller number of them.
+    """
+    size = min(len(x), len(y))
+    d = x.reshape(size, -1).sum(axis=1, dtype=np.int32) - y.reshape(size, -1).sum(axis=1, dtype=np.int32)
+    return max(int(d[d > 0].sum()), -int(d[d < 0].sum())) <= 2 * limit
+
+
 def limits(n: np.ndarray, m: np.ndarray) -> np.ndarray:
     """:func:`allowed` for many pairs."""
     longer = np.maximum(n, m)
@@ -334,8 +356,9 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def near_by_bins(pairs: DataFrame, reps: DataFrame) -> DataFrame:
-    """Pairs ``a, b`` that word counts can't exclude."""
-    side = reps.select("id", "n", "bins")
+    """Pairs ``a, b``, written before, that word counts can't exclude. Only texts in pairs send theirs."""
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    side = reps.select("id", "n", "bins").join(ids, "id", "left_semi")
     both = pairs.join(side.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("bins").alias("xa")), "a").join(
         side.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("bins").alias("xb")), "b"
     )
@@ -364,8 +387,34 @@ def mark_bits(wanted: DataFrame) -> np.ndarray:
     return out
 
 
-def aligned(pairs: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
-    """Pairs ``a, b`` whose texts are similar. Texts are fetched for the ids in pairs only."""
+def _two_sided(pairs: DataFrame, side: DataFrame, *columns: str) -> DataFrame:
+    """Pairs with columns of both texts, named after the side."""
+    for end in ("a", "b"):
+        pairs = pairs.join(side.select(F.col("id").alias(end), *[F.col(c).alias(c + end) for c in columns]), end)
+    return pairs
+
+
+def near_by_grams(pairs: DataFrame, side: DataFrame) -> DataFrame:
+    """Pairs ``a, b`` that counts of two words in a row can't exclude."""
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ga, gb, na, nb = (batch.column(c) for c in ("gramsa", "gramsb", "na", "nb"))
+            limit = limits(na.to_numpy(), nb.to_numpy()).tolist()
+            mask = [
+                grams_fit(np.frombuffer(ga[i].as_buffer(), np.uint8), np.frombuffer(gb[i].as_buffer(), np.uint8), limit[i])
+                for i in range(batch.num_rows)
+            ]
+            yield pa.record_batch({c: batch.column(c) for c in ("a", "b")}).filter(pa.array(mask, pa.bool_()))
+
+    return small_batches(_two_sided(pairs, side, "grams", "n")).mapInArrow(keep, "a long, b long")
+
+
+def aligned(pairs: DataFrame, reps: DataFrame, docs: DataFrame, likely: bool = False) -> DataFrame:
+    """Pairs ``a, b`` whose texts are similar. Texts are fetched for the ids in pairs only.
+
+    Unless most are ``likely`` to be, pairs are thinned out by :func:`grams` before words travel.
+    """
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     wanted = materialise(ids.join(reps.select("id", "doc_id", "mark"), "id"), "aligned-ids")
     bits = docs.sparkSession.sparkContext.broadcast(mark_bits(wanted))
@@ -379,21 +428,23 @@ def aligned(pairs: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
             cell = whole.column("cell").to_numpy()
             hit = whole.filter(pa.array((held[cell >> 3] >> (cell & 7).astype(np.uint8)) & 1 == 1))
             for batch in slices(hit, "text"):
-                found = [(h >> np.uint64(32)).astype("<u4").tobytes() for h in known.of(batch.column("text").to_pylist())]
+                hashes = known.of(batch.column("text").to_pylist())
                 columns = {c: batch.column(c) for c in ("doc", "own_mark")}
-                yield pa.record_batch({**columns, "words": pa.array(found, pa.binary())})
+                columns["n"] = pa.array([len(h) for h in hashes], pa.int32())
+                columns["grams"] = pa.array([b"" if likely else grams(h) for h in hashes], pa.binary())
+                columns["words"] = pa.array([(h >> np.uint64(32)).astype("<u4").tobytes() for h in hashes], pa.binary())
+                yield pa.record_batch(columns)
 
-    split_texts = small_batches(texts).mapInArrow(split, "doc long, own_mark string, words binary")
+    split_texts = small_batches(texts).mapInArrow(split, "doc long, own_mark string, n int, grams binary, words binary")
     same = (split_texts["own_mark"] == wanted["mark"]) & F.col("doc").eqNullSafe(F.col("doc_id"))
-    found = split_texts.join(wanted, same).groupBy("id").agg(F.first("words").alias("words"))
-    side = materialise(found, "aligned-words")
-    both = pairs.join(side.select(F.col("id").alias("a"), F.col("words").alias("wa")), "a").join(
-        side.select(F.col("id").alias("b"), F.col("words").alias("wb")), "b"
-    )
+    found = split_texts.join(wanted, same).groupBy("id").agg(F.first(F.struct("n", "grams", "words")).alias("r"))
+    side = materialise(found.select("id", "r.*"), "aligned-words")
+    near = pairs if likely else materialise(near_by_grams(pairs, side), "near")
+    both = _two_sided(near, side, "words")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            wa, wb = batch.column("wa"), batch.column("wb")
+            wa, wb = batch.column("wordsa"), batch.column("wordsb")
             mask = [
                 similar(np.frombuffer(wa[i].as_buffer(), "<u4"), np.frombuffer(wb[i].as_buffer(), "<u4"))
                 for i in range(batch.num_rows)
@@ -410,30 +461,35 @@ def within_groups(ends: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     done = np.concatenate([[0], np.cumsum(count)])
     begin = 0
     while begin < len(rows):
-        end = max(begin + 1, int(np.searchsorted(done, done[begin] + PAIRS, "right")) - 1)
+        end = max(begin + 1, int(np.searchsorted(done, done[begin] + STEP, "right")) - 1)
         part = slice(begin, end)
         i = np.repeat(rows[part], count[part])
         yield i, np.arange(len(i)) - np.repeat(done[part] - done[begin], count[part]) + i + 1
         begin = end
 
 
-def nearest(found: list[np.ndarray]) -> np.ndarray:
-    """Of columns ``a, b, one, two, apart`` the nearest pair of each class, named in ``one``."""
+def nearest(found: list[np.ndarray], most: int) -> np.ndarray:
+    """Of columns ``a, b, one, two, apart`` the ``most`` nearest pairs of each class, named in ``one``."""
     all_ = np.concatenate(found, axis=1)
     all_ = np.concatenate([all_, all_[[0, 1, 3, 2, 4]]], axis=1)
     all_ = all_[:, np.lexsort((all_[1], all_[0], all_[4], all_[2]))]
-    top = np.ones(all_.shape[1], bool)
-    top[1:] = all_[2, 1:] != all_[2, :-1]
-    return all_[:, top]
+    same = np.zeros(all_.shape[1], bool)  # as the pair before
+    same[1:] = (all_[:3, 1:] == all_[:3, :-1]).all(axis=0)
+    all_ = all_[:, ~same]
+    at = np.arange(all_.shape[1])
+    begins = np.ones(len(at), bool)
+    begins[1:] = all_[2, 1:] != all_[2, :-1]
+    return all_[:, at - np.maximum.accumulate(np.where(begins, at, 0)) < most]
 
 
-def across_classes(members: DataFrame, closest: bool) -> DataFrame:
+def across_classes(members: DataFrame, most: int | None) -> DataFrame:
     """Pairs of unlike classes within a bucket that word counts can't exclude.
 
     ``members``: ``key, size`` of the bucket, ``id, n, bins, label, first`` of the member. A
     bucket of more than BLOCK members is dealt into blocks, and pairs of blocks are groups of
-    their own. With ``closest``, of each class only the pair with the smallest bound to any
-    other is given, whichever buckets they share. A member's pair with its ``first`` has been tried before.
+    their own. With ``most``, of each class only so many pairs with the smallest bounds are given
+    (more, if other groups of its members hold nearer or farther ones), each under both classes,
+    ``one`` and ``two``. A member's pair with its ``first`` has been tried before.
     """
     blocks = F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")
     dealt = members.withColumn("own", F.pmod(F.xxhash64("id"), blocks).cast("int"))
@@ -467,14 +523,14 @@ def across_classes(members: DataFrame, closest: bool) -> DataFrame:
                 part = [f(v[x], v[y]) for v in (id_, label) for f in (np.minimum, np.maximum)]
                 found.append(np.stack([*part, far]).astype(np.int64))
                 size += len(x)
-            if closest and size > PAIRS:
-                found = [nearest(found)]
+            if most and size > PAIRS:
+                found = [nearest(found, most)]
                 size = 0
             elif size > PAIRS:
                 yield pa.record_batch(dict(zip(names, np.concatenate(found, axis=1))))
                 found, size = [], 0
         if found:
-            yield pa.record_batch(dict(zip(names, nearest(found) if closest else np.concatenate(found, axis=1))))
+            yield pa.record_batch(dict(zip(names, nearest(found, most) if most else np.concatenate(found, axis=1))))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         left: list[pa.RecordBatch] = []  # groups may go on in the next batch
@@ -496,11 +552,16 @@ def across_classes(members: DataFrame, closest: bool) -> DataFrame:
 
     group = ["key", "low", "high"]
     together = dealt.select(*group, "own", "id", "n", "bins", "label", "first").repartition(*group).sortWithinPartitions(*group)
-    found = together.mapInArrow(work, "a long, b long, one long, two long, apart long")
-    if not closest:
-        return found.select("a", "b").distinct()
-    best = found.groupBy("one").agg(F.min(F.struct("apart", "a", "b")).alias("r"))
-    return best.select("r.a", "r.b").distinct()
+    return together.mapInArrow(work, "a long, b long, one long, two long, apart long")
+
+
+def closest_pairs(found: DataFrame, tried: DataFrame, most: int | None) -> DataFrame:
+    """Of pairs by :func:`across_classes` those not tried before, ``most`` for each class."""
+    new = found.join(tried, ["a", "b"], "left_anti").distinct()
+    if most:
+        order = Window.partitionBy("one").orderBy("apart", "a", "b")
+        new = new.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= most)
+    return new.select("a", "b").distinct()
 
 
 def _labelled(members: DataFrame, found: DataFrame | None) -> DataFrame:
@@ -511,15 +572,20 @@ def _labelled(members: DataFrame, found: DataFrame | None) -> DataFrame:
     return members.join(label, "id", "left").withColumn("label", F.coalesce("label", "id"))
 
 
+def bucket_members(keys: DataFrame) -> DataFrame:
+    """Rows ``key, id, n`` of keys that several texts have, with the bucket's size and its first text."""
+    bucket = Window.partitionBy("key")
+    size, hub = F.count(F.lit(1)).over(bucket), F.min(F.struct("id", "n")).over(bucket)
+    return keys.select("key", "id", "n", size.alias("size"), hub.alias("hub")).filter("size > 1")
+
+
 def best_hubs(members: DataFrame) -> DataFrame:
-    """Pairs ``a < b``: each member with the hub of another class that most of its buckets have.
+    """Pairs ``a < b``: each member with the hub that most of its buckets have.
 
-    A bucket's hub is the first text of its first class; near copies share most buckets, others
-    one or two, so one pair for each member settles nearly all of a group, whatever its size.
+    A bucket's hub is its first text; near copies share most buckets, others one or two, so one
+    pair for each member settles nearly all of a group, whatever its size.
     """
-    hubs = members.groupBy("key").agg(F.min(F.struct("label", "id", "n")).alias("hub"), F.max("label").alias("last"))
-    hubs = hubs.filter("hub.label <> last").select("key", "hub")
-    met = members.join(hubs, "key").filter("label <> hub.label").filter(_lengths_fit("n", "hub.n"))
+    met = members.filter("id <> hub.id").filter(_lengths_fit("n", "hub.n"))
     shared = met.groupBy("id", F.col("hub.id").alias("hub")).agg(F.count(F.lit(1)).alias("buckets"))
     best = shared.groupBy("id").agg(F.max(F.struct("buckets", (-F.col("hub")).alias("hub"))).alias("r"))
     pair = best.select("id", (-F.col("r.hub")).alias("hub"))
@@ -544,27 +610,25 @@ def _classed(docs: DataFrame) -> DataFrame:
     first = every.groupBy("digest").agg(F.min(order).alias("r"))
     reps = materialise(first.select("digest", F.col("r.row").alias("id"), "r.*").drop("row", "unnamed"), "reps")
     keys = reps.select("id", "n", F.explode("sketch").alias("key"))
-    sizes = keys.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    members = materialise(keys.join(sizes, "key"), "members")
-    found, tried, first = None, None, None
-    for _ in range(STARS):
-        stars = best_hubs(_labelled(members, found))
-        stars = stars if tried is None else stars.join(tried, ["a", "b"], "left_anti")
-        stars = materialise(near_by_bins(stars, reps), "stars")
-        first = stars.select(F.col("b").alias("id"), F.col("a").alias("first")) if first is None else first
-        tried = stars if tried is None else tried.unionByName(stars)
-        found = _joined(found, aligned(stars, reps, docs))
-    # Buckets that still hold several classes: first the closest pair of each class, a few
-    # times, which joins what belongs together, then every pair across what is left.
-    first = first.groupBy("id").agg(F.min("first").alias("first"))
+    members = materialise(bucket_members(keys), "members")
+    hubs = materialise(best_hubs(members), "hubs")
+    tried = materialise(near_by_bins(hubs, reps), "stars")
+    found = _joined(None, aligned(tried, reps, docs, likely=True))
+    # Buckets that still hold several classes: first the closest pairs of each class, which
+    # joins what belongs together, then every pair across what is left.
+    first = tried.groupBy(F.col("b").alias("id")).agg(F.min("a").alias("first"))
     counts = reps.select("id", "bins").join(first, "id", "left")
-    for closest in [*[True] * NEAREST, False]:
-        labelled = _labelled(members, found)
-        spread_ = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
-        still = spread_.filter("lo <> hi").select("key")
-        rest = labelled.join(still, "key", "left_semi").join(counts, "id")
-        pairs = across_classes(rest, closest).join(tried, ["a", "b"], "left_anti")
-        pairs = materialise(pairs, "across")
+    members = members.select("key", "id", "n")
+    for most in [*NEAREST, None]:
+        bucket = Window.partitionBy("key")
+        size, lo, hi = F.count(F.lit(1)).over(bucket), F.min("label").over(bucket), F.max("label").over(bucket)
+        rest = _labelled(members, found).withColumns({"size": size, "lo": lo, "hi": hi}).filter("lo <> hi")
+        near = materialise(across_classes(rest.drop("lo", "hi").join(counts, "id"), most), "across")
+        pairs = materialise(closest_pairs(near, tried, most), "pairs")
+        if most:  # classes without a pair now never get one: joined classes only have fewer
+            alive = near.select(F.col("one").alias("label")).distinct()
+            alive = _labelled(reps.select("id"), found).join(alive, "label", "left_semi").select("id")
+            members = materialise(members.join(materialise(alive, "alive"), "id", "left_semi"), "members")
         tried = tried.unionByName(pairs)
         found = _joined(found, aligned(pairs, reps, docs))
     named = reps.select("digest", "id").join(found, "id", "left")

@@ -243,3 +243,55 @@ def test_classes_of_short_and_spread_edits(spark):
     rows = list(enumerate(rows))
     got = {r.doc_id: r.class_id for r in omh.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == dict(plain_classes(rows)[0]) == {i: i - i % 2 for i, _ in rows}
+
+
+def test_runs_of_two_words_bound_the_edits():
+    """No pair within the limit is excluded, whatever its lengths; long texts of the same common words are."""
+    draw, use = random.Random(15), omh.Words()
+    as_array = lambda words: np.frombuffer(omh.grams(use.hashes(" ".join(words))), np.uint8)
+    for n in (1, 2, 5, 63, 64, 65, 130, 260, 1030, 20000):
+        for vocabulary in (2, 30, 5000):
+            a = [f"w{draw.randrange(vocabulary)}" for _ in range(n)]
+            limit = omh.allowed(n, n)
+            b = edited(draw, a, limit)
+            b = [w.replace(".", "") for w in b]
+            assert omh.grams_fit(as_array(a), as_array(b), limit) and omh.grams_fit(as_array(b), as_array(a), limit)
+    words = [f"w{i}" for i in range(300)]
+    a, b = (draw.choices(words, weights=[1 / (i + 1) for i in range(300)], k=4000) for _ in range(2))
+    x, y = use.hashes(" ".join(a)), use.hashes(" ".join(b))
+    bins = [np.frombuffer(omh.binned(h), np.uint8)[None] for h in (x, y)]
+    assert omh.apart(*bins)[0] <= omh.allowed(4000, 4000)  # counts of single words can't tell
+    assert not omh.grams_fit(as_array(a), as_array(b), omh.allowed(4000, 4000))
+
+
+def test_group_about_the_limit(spark, monkeypatch):
+    """Copies of one text, about as far from one another as allowed: no all pairs of a group, nor of a pair of classes."""
+    draw, tried = random.Random(16), []
+    base = [f"w{draw.randrange(5000)}" for _ in range(100)]
+    rows = []
+    for i in range(300):
+        text = list(base)
+        for at in draw.sample(range(100), 11):
+            text[at] = f"new{draw.randrange(10**6)}"
+        rows.append((i, " ".join(text)))
+    plain = omh.aligned
+
+    def counted(pairs, *args, **kwargs):
+        tried.append(pairs.count())
+        return plain(pairs, *args, **kwargs)
+
+    monkeypatch.setattr(omh, "aligned", counted)
+    got = {r.doc_id: r.class_id for r in omh.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert set(got.values()) == {0} and len(got) == 300
+    assert sum(tried) < 10 * len(rows) and tried[-1] < len(rows)
+
+
+def test_failed_nearest_pair_makes_way(spark):
+    """A class whose nearest pair has been tried goes on with the next, not with none."""
+    found = spark.createDataFrame([(1, 2, 1, 2, 5), (1, 3, 1, 3, 6), (1, 4, 1, 4, 7)], "a long, b long, one long, two long, apart long")
+    tried = spark.createDataFrame([(1, 2)], "a long, b long")
+    assert [tuple(r) for r in omh.closest_pairs(found, tried, 1).collect()] == [(1, 3)]
+    assert sorted(map(tuple, omh.closest_pairs(found, tried, None).collect())) == [(1, 3), (1, 4)]
+    pairs = [np.array([[1, 1, 1], [2, 3, 2], [1, 1, 1], [2, 3, 2], [5, 6, 5]])]
+    assert omh.nearest(pairs, 1).T.tolist() == [[1, 2, 1, 2, 5], [1, 2, 2, 1, 5], [1, 3, 3, 1, 6]]
+    assert omh.nearest(pairs, 2).shape[1] == 4
