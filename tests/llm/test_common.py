@@ -34,3 +34,15 @@ def test_one_large_state():
     common.process_state("test-small", lambda: made.append("small") or 1)
     common.process_state("test-small", lambda: made.append("small") or 1)
     assert made[3:] == ["small"]
+
+
+def test_arrow_batches_are_bounded_in_bytes(spark):
+    """Few hundred long texts don't come as one batch: rows alone don't bound a task's memory."""
+    long = spark.range(0, 400, 1, 1).select(F.repeat(F.lit("x"), 100_000).alias("text"))
+
+    def size(batches):
+        for batch in batches:
+            yield pa.record_batch({"size": pa.array([batch.nbytes], pa.int64())})
+
+    sizes = [r.size for r in common.small_batches(long).mapInArrow(size, "size long").collect()]
+    assert sum(sizes) >= 40_000_000 and max(sizes) <= 5 * common.BATCH_BYTES
