@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhall.llm.common import materialise, process_state, slices, small_batches, text_or_empty
+from tallyhall.llm.common import BATCH_BYTES, materialise, process_state, slices, small_batches, text_or_empty
 
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
@@ -52,6 +52,7 @@ ROUNDS = 2
 NEVER = float("-inf")
 MAX_WORDS = 500_000  # words whose pieces a worker remembers
 MAX_WORD_CHARS = 64
+TOGETHER, SIDE = 1 << 13, 64  # words segmented at once, and their bytes at most
 MAX_COUNTED_CHARS = 16 << 20  # characters of the words that a task counts before it hands them on
 
 
@@ -175,6 +176,7 @@ class Coder:
     def __init__(self, model: Model, trie: DoubleArray):
         self.model = model
         self.base, self.check, self.value = trie.base.tolist(), trie.check.tolist(), trie.value.tolist()
+        self.arrays = [np.array(a, np.int32) for a in (trie.base, trie.check, trie.value)]
         self.scores = list(model.scores)
         self.longest = max(len(p.encode("utf-8")) for p in model.pieces)
         normal = [s for s, k in zip(model.scores, model.kinds) if k == NORMAL]
@@ -222,7 +224,10 @@ class Coder:
                 if score > top[single]:
                     top[single], came[single], ids[single] = score, i, -1
             i += width
-        out, at = [], n
+        return self._back(data, came, ids)
+
+    def _back(self, data: bytes, came: list[int], ids: list[int]) -> list[int]:
+        out, at = [], len(data)
         while at:
             start = came[at]
             if ids[at] >= 0:
@@ -234,6 +239,60 @@ class Coder:
             at = start
         return out[::-1]
 
+    def best_of(self, words: list[str]) -> list[list[int]]:
+        """:meth:`best` of each word. Short words take each step of the search together."""
+        data = [w.encode("utf-8") for w in words]
+        out = [[] if len(d) <= SIDE else self.best(w) for d, w in zip(data, words)]
+        short = sorted((k for k, d in enumerate(data) if 0 < len(d) <= SIDE), key=lambda k: len(data[k]))
+        for at in range(0, len(short), TOGETHER):
+            some = short[at : at + TOGETHER]
+            for k, ids in zip(some, self._together([data[k] for k in some])):
+                out[k] = ids
+        return out
+
+    def _together(self, data: list[bytes]) -> list[list[int]]:
+        n = np.array([len(d) for d in data])
+        side = int(n.max())
+        text = np.frombuffer(b"".join(d.ljust(side, b"\0") for d in data), np.uint8).reshape(len(data), side)
+        (base, check, value), scores = self.arrays, np.array(self.scores)
+        top = np.full((len(data), side + 1), NEVER)
+        came, ids = np.zeros(top.shape, np.int32), np.full(top.shape, -1, np.int32)
+        top[:, 0] = 0.0
+
+        def reach(rows: np.ndarray, end: np.ndarray | int, score: np.ndarray, start: int, id_: np.ndarray | int) -> None:
+            better = score > top[rows, end]
+            rows, end, id_ = rows[better], np.broadcast_to(end, better.shape)[better], np.broadcast_to(id_, better.shape)[better]
+            top[rows, end], came[rows, end], ids[rows, end] = score[better], start, id_
+
+        for i in range(side):
+            rows = np.flatnonzero((n > i) & (text[:, i] & 0xC0 != 0x80))
+            first, here = text[rows, i], top[rows, i]
+            width = 1 + (first >= 0x80).astype(np.int64) + (first >= 0xE0) + (first >= 0xF0)
+            single = np.ones(len(rows), bool)
+            live, node = np.arange(len(rows)), np.zeros(len(rows), np.int32)
+            for j in range(i, min(side, i + self.longest)):
+                inside = n[rows[live]] > j
+                live, node = live[inside], node[inside]
+                to = base[node] + text[rows[live], j] + 1
+                found = check[to] == node
+                live, node = live[found], to[found]
+                if not len(live):
+                    break
+                id_ = value[node]
+                ends = id_ >= 0
+                at, id_ = live[ends], id_[ends]
+                reach(rows[at], j + 1, here[at] + scores[id_], i, id_)
+                single[at[width[at] == j + 1 - i]] = False
+            reach(rows[single], i + width[single], here[single] + self.unknown_score, i, -1)
+        return [self._back(*x) for x in zip(data, came.tolist(), ids.tolist())]
+
+    def learn(self, texts: list[list[str]]) -> None:
+        """Segments the words of split texts that aren't remembered yet."""
+        if len(self.words) >= MAX_WORDS:
+            self.words.clear()
+        new = [w for w in set().union(*texts).difference(self.words) if len(w) <= MAX_WORD_CHARS]
+        self.words.update(zip(new, (array("I", ids).tobytes() for ids in self.best_of(new))))
+
     def _word(self, word: str) -> bytes:
         ids = array("I", self.best(word)).tobytes()
         if len(word) <= MAX_WORD_CHARS:
@@ -251,7 +310,15 @@ class Coder:
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian 32-bit integers."""
-        words = self.split(text)
+        return self._encoded(self.split(text))
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        words = [self.split(t) for t in texts]
+        if self.by_words:
+            self.learn(words)
+        return [self._encoded(w) for w in words]
+
+    def _encoded(self, words: list[str]) -> bytes:
         if not self.by_words:
             return b"".join(array("I", self.best(w)).tobytes() for w in words)
         found = list(map(self.words.get, words))
@@ -328,10 +395,22 @@ def estimated(model: Model, trie: DoubleArray, docs: DataFrame) -> Model:
 
         def choose(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             use, chosen = coder(*sent.value), Counter()
-            for batch in batches:
-                for word, n in zip(batch.column("word").to_pylist(), batch.column("n").to_pylist()):
-                    for id_ in use.best(word):
+            words, counts, chars = [], [], 0
+
+            def add() -> None:
+                for ids, n in zip(use.best_of(words), counts):
+                    for id_ in ids:
                         chosen[id_] += n
+
+            for whole in batches:
+                for batch in slices(whole, "word"):
+                    words += batch.column("word").to_pylist()
+                    counts += batch.column("n").to_pylist()
+                    chars += batch.nbytes
+                    if len(words) >= TOGETHER or chars >= BATCH_BYTES:
+                        add()
+                        words, counts, chars = [], [], 0
+            add()
             yield pa.record_batch({"id": pa.array(list(chosen), pa.int32()), "n": pa.array(list(chosen.values()), pa.int64())})
 
         found = small_batches(words).mapInArrow(choose, "id int, n long").groupBy("id").agg(F.sum("n").alias("n"))
@@ -363,7 +442,7 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
         use = coder(*sent.value)
         for whole in batches:
             for batch in slices(whole, "text"):
-                ids = [use.encode(t) for t in batch.column("text").to_pylist()]
+                ids = use.encode_all(batch.column("text").to_pylist())
                 fell = [int(byte_ids[np.frombuffer(i, "<u4")].sum()) for i in ids]
                 yield pa.record_batch(
                     {"doc_id": batch.column("doc_id"), "ids": pa.array(ids, pa.binary()), "n_bytes": pa.array(fell, pa.int64())}

@@ -113,3 +113,14 @@ def test_long_texts_are_counted_in_parts(spark, monkeypatch):
     want = pieces.estimated(model, pieces.trie_of(model), docs).scores
     monkeypatch.setattr(pieces, "MAX_COUNTED_CHARS", 50)
     assert pieces.estimated(model, pieces.trie_of(model), docs).scores == want
+
+
+def test_words_together_as_one_by_one(coder):
+    """The same ids, ties and unknown characters included, for words of any length."""
+    draw = random.Random(8)
+    words = ["", "a", "é", "🙂", "x" * 64, "x" * 65, "中" * 30, "\n", pieces.MARK]
+    words += ["".join(draw.choices([*"abcdeth ing.,0éß▁", "the", "中", "🙂", "\x00"], k=draw.randint(1, 30))) for _ in range(9000)]
+    assert coder.best_of(words) == [coder.best(w) for w in words]
+    assert coder.best_of([]) == []
+    texts = ["", "the cat", "the " + "y" * 70 + " é🙂", "the cat"]
+    assert coder.encode_all(texts) == [coder.encode(t) for t in texts]
