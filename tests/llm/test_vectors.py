@@ -106,3 +106,40 @@ def test_large_components_are_scored(spark, monkeypatch, shard):
         found.setdefault(r.query_id, []).append((r.vec_id, r.score))
     assert found == plain_top(rows, 10)
     assert dict(found[0])[1] == 209_715_200_000
+
+
+def shuffled(spark):
+    """Bytes that all stages so far wrote for others to read."""
+    store = spark.sparkContext._jsc.sc().statusStore()
+    none = spark.sparkContext._gateway.new_array(spark.sparkContext._jvm.double, 0)
+    stages = store.stageList(None, False, False, none, None)
+    return sum(stages.apply(i).shuffleWriteBytes() for i in range(stages.size()))
+
+
+def test_blocks_are_not_copied_for_their_pairs(spark, monkeypatch):
+    monkeypatch.setattr(cover_tree, "BLOCK", 50)
+    points = np.random.default_rng(4).normal(size=(1000, 64)).astype(np.float32)
+    rows = [(i, v.tolist()) for i, v in enumerate(points)] + [(1000, (points[3] * 1.5).tolist())]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    before = shuffled(spark)
+    assert cover_tree.link_table(df).filter("n_links = 1").count() == 2
+    assert shuffled(spark) - before < 3 * points.nbytes  # some twenty times in pairs of blocks
+
+
+@pytest.mark.parametrize("dim, spread", [(64, 0.02), (64, 0.04), (5, 0.2), (1, 1.0), (3, 0.001)])
+def test_meets_finds_every_link(dim, spread):
+    draw = np.random.default_rng(dim)
+    base = draw.normal(size=(40, dim)) / math.sqrt(dim)
+    x, y = (cover_tree.unit(base[draw.integers(40, size=n)] + draw.normal(size=(n, dim)) * spread) for n in (601, 300))
+    found = list(cover_tree.meets(cover_tree.Tree(x), cover_tree.Tree(y), 0.95))
+    pairs = [p for i, j in found for p in zip(i.tolist(), j.tolist(), strict=True)]
+    assert len(pairs) == len(set(pairs)) and set(pairs) == set(zip(*map(np.ndarray.tolist, np.nonzero(x @ y.T >= 0.95))))
+
+
+def test_a_common_vector_leaves_a_task_once(spark):
+    rows = [(i, [1.0, 2.0] if i % 10 else [float(i), 1.0]) for i in range(5000)] + [(-3, [1.0, 2.0]), (-3, [1.0, 2.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    sent = cover_tree.copies(df, {}, "<f8").filter("weight > 100").collect()
+    assert len(sent) <= 4 and sum(r.weight for r in sent) == 4502
+    zeros = spark.createDataFrame([(1, [0.0, 1.0]), (2, [-0.0, 1.0])], "vec_id long, embedding array<double>")
+    assert sorted(tuple(r) for r in cover_tree.link_table(zeros).collect()) == [(1, 1, 1, True), (2, 1, 1, False)]
