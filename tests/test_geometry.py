@@ -326,3 +326,58 @@ def test_a_country_at_a_fine_zoom_gives_runs(spark):
     found = df.select(geo.tile_runs(F.col("geometry"), 12).alias("t")).select("t.runs").first()["runs"]
     tiles = sum(r.x1 - r.x0 + 1 for r in found)
     assert tiles > 20_000 and len(found) < 250
+
+
+@pytest.mark.parametrize(
+    "hot, cut, steps, rows", [(True, 4, 64, 3), (False, 256, 2_000_000, 20_000), (True, 256, 64, 20_000), (False, 4, 2_000_000, 3)]
+)
+def test_merged_cells_give_the_same_pairs(spark, hot, cut, steps, rows, monkeypatch):
+    """Kernels over whole cells against Spark's join of them, in steps of any size."""
+    monkeypatch.setattr(geo, "PIECE_EDGES", cut)
+    if hot:
+        monkeypatch.setattr(spatial, "MIN_HOT", 5)
+        monkeypatch.setattr(spatial, "HOT_SHARE", 20)
+    ldf = spark.createDataFrame(shapes(spark, 3, 90, 15), SHAPES).withColumn("twice", F.col("id") * 2)
+    rdf = spark.createDataFrame(shapes(spark, 4, 80, 15), SHAPES).withColumnRenamed("id", "rid").withColumn("_l_0", F.lit("x"))
+
+    def found(kind):
+        out = spatial.spatial_join(ldf, rdf, ["id", "twice"], ["rid", "_l_0"], kind=kind, dedup=False, mode="planar")
+        assert out.columns == ["geometry", "id", "twice", "rid", "_l_0", "intersection_area"]
+        key = {(r.id, r.rid): r for r in out.collect()}
+        return {k: (r.geometry and bytes(r.geometry), r.twice, r._l_0, r.intersection_area) for k, r in key.items()}
+
+    kinds = ("inner", "left") if rows > 3 else ("inner",)
+    want = [found(kind) for kind in kinds]
+    monkeypatch.setattr(spatial, "MERGE_PIECES", 0)
+    monkeypatch.setattr(spatial, "MERGE_ROWS", rows)
+    monkeypatch.setattr(spatial, "MERGE_DOUBLES", steps)
+    monkeypatch.setattr(geo, "MAX_EDGE_PAIRS", steps)
+    for kind, old in zip(kinds, want, strict=True):
+        new = found(kind)
+        assert new.keys() == old.keys()
+        for k in new:
+            assert new[k][:3] == old[k][:3] and new[k][3] == pytest.approx(old[k][3], abs=1e-9)
+
+
+def test_pairs_are_not_shuffled(spark, monkeypatch):
+    """Footprints that all overlap: the pairs stay in the tasks that find them."""
+    monkeypatch.setattr(spatial, "MERGE_PIECES", 0)
+    near = [(i, bytearray(poly(box(i / 1000, 0, 1 + i / 1000, 1)))) for i in range(200)]
+    df = spark.createDataFrame(near, SHAPES)
+    other = df.withColumnRenamed("id", "other")
+    out = spatial.spatial_join(df, other, ["id"], ["other"], kind="inner", dedup=False, mode="planar")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    above = plan[: plan.index("MapInArrow")]
+    assert "Exchange" not in above and "Join" not in above
+    assert out.count() == 200 * 200
+
+
+def test_upright_edges_are_not_paired(monkeypatch):
+    seen = []
+    real = geo._edge_pairs
+    monkeypatch.setattr(geo, "_edge_pairs", lambda a, b: (seen.append(int((a * b).sum())), real(a, b))[1])
+    sides = [0.0, 0, 2, 0, 2, 0, 2, 1, 2, 1, 0, 1, 0, 1, 0, 0]
+    edges = geo.pa.array([sides], geo.pa.list_(geo.pa.float64()))
+    one = geo.np.ones(1)
+    assert geo.overlap_areas(edges, edges, one * 0, one * 2, one * 2, "planar").tolist() == [2.0]
+    assert seen == [4, 0]
